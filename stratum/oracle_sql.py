@@ -127,3 +127,270 @@ SELECT year, genre_name, CAST(members AS BIGINT) AS members,
        CAST(members AS DOUBLE) * 100.0 / CAST(SUM(members) OVER (PARTITION BY year) AS DOUBLE) AS share_pct
 FROM kept
 """
+
+# ------------------------------------------------------------------- marts
+ORACLES["q_enriched_asis"] = PREFIX + """
+SELECT AVG(score) AS avg_score, CAST(COALESCE(SUM(members), 0) AS BIGINT) AS total_members FROM filtered
+"""
+
+ORACLES["q_enriched_dedup"] = PREFIX + """
+SELECT AVG(score) AS avg_score, CAST(COALESCE(SUM(members), 0) AS BIGINT) AS total_members
+FROM f_anime WHERE year BETWEEN {lo} AND {hi}
+""".format(lo=YEARS[0], hi=YEARS[1])
+
+ORACLES["q_enriched_rows"] = PREFIX + """
+SELECT * FROM filtered
+"""
+
+ORACLES["q_bubble_rows"] = PREFIX + """
+SELECT anime_id, title_english, score, members, favorites, genre_name FROM filtered
+"""
+
+ORACLES["q_category_summary_top15"] = PREFIX + """,
+gs AS (
+  SELECT dg.genre_name, COUNT(e.anime_id) AS anime_count, SUM(e.members) AS members, AVG(e.score) AS score
+  FROM links_genres lg JOIN d_genres dg ON lg.genre_id = dg.genre_id
+  JOIN (SELECT anime_id, members, score FROM enriched) e ON lg.anime_id = e.anime_id
+  WHERE dg.genre_name IS NOT NULL
+  GROUP BY dg.genre_name
+)
+SELECT genre_name, CAST(anime_count AS BIGINT) AS anime_count, CAST(members AS BIGINT) AS members, score
+FROM gs ORDER BY members DESC, genre_name LIMIT 15
+"""
+
+ORACLES["q_source_analysis"] = PREFIX + """
+SELECT source, AVG(score) AS score, AVG(popularity) AS popularity, CAST(COUNT(anime_id) AS BIGINT) AS anime_count
+FROM filtered WHERE source IS NOT NULL GROUP BY source
+"""
+
+ORACLES["q_source_share"] = PREFIX + """,
+c AS (SELECT source, COUNT(anime_id) AS anime_count FROM filtered WHERE source IS NOT NULL GROUP BY source)
+SELECT source, CAST(anime_count AS BIGINT) AS anime_count,
+       CAST(anime_count AS DOUBLE) * 100.0 / CAST(SUM(anime_count) OVER () AS DOUBLE) AS share_pct
+FROM c
+"""
+
+ORACLES["q_source_summary"] = PREFIX + """
+SELECT source, CAST(COUNT(anime_id) AS BIGINT) AS anime_count, AVG(members) AS members, AVG(score) AS score
+FROM filtered WHERE source IS NOT NULL GROUP BY source ORDER BY members DESC
+"""
+
+_YEAR_TREND = """
+SELECT year, CAST(COUNT(anime_id) AS BIGINT) AS anime_count, CAST(COALESCE(SUM(members), 0) AS BIGINT) AS members,
+       AVG(score) AS score
+FROM {src} WHERE year IS NOT NULL GROUP BY year
+"""
+ORACLES["q_year_trend"] = PREFIX + _YEAR_TREND.format(src="filtered")
+ORACLES["q_year_trend_dedup"] = PREFIX + _YEAR_TREND.format(
+    src=f"(SELECT * FROM f_anime WHERE year BETWEEN {YEARS[0]} AND {YEARS[1]})")
+
+_DIM_METRICS = """,
+m AS (
+  SELECT d.{name}, COUNT(f.anime_id) AS anime_count, AVG(f.score) AS score, AVG(f.members) AS members
+  FROM links_{kind} l JOIN d_{kind} d ON l.{id} = d.{id}
+  JOIN (SELECT anime_id, score, members FROM filtered) f ON l.anime_id = f.anime_id
+  WHERE d.{name} IS NOT NULL
+  GROUP BY d.{name}
+)
+SELECT {name}, CAST(anime_count AS BIGINT) AS anime_count, score, members FROM m WHERE anime_count >= {support}
+"""
+ORACLES["q_dim_metrics_supplier"] = PREFIX + _DIM_METRICS.format(
+    kind="studios", id="studio_id", name="studio_name", support=5)
+ORACLES["q_dim_metrics_part"] = PREFIX + _DIM_METRICS.format(
+    kind="producers", id="producer_id", name="producer_name", support=150)
+
+ORACLES["q_dim_metrics_nation"] = PREFIX + """
+SELECT licensor_name, CAST(COUNT(anime_id) AS BIGINT) AS anime_count, AVG(score) AS score, AVG(members) AS members
+FROM filtered WHERE licensor_name IS NOT NULL GROUP BY licensor_name HAVING COUNT(anime_id) >= 5
+"""
+
+ORACLES["q_industry_avg"] = PREFIX + _DIM_METRICS.format(
+    kind="studios", id="studio_id", name="studio_name", support=5).replace(
+    "SELECT studio_name, CAST(anime_count AS BIGINT) AS anime_count, score, members FROM m WHERE anime_count >= 5",
+    "SELECT ROUND(AVG(score), 6) AS industry_avg_score FROM m WHERE anime_count >= 5")
+
+ORACLES["q_year_bounds"] = PREFIX + """
+SELECT MIN(year) AS min_year, MAX(year) AS max_year FROM f_anime
+"""
+
+# -------------------------------------------------------------------- gold
+ORACLES["q_dim_surrogate_status"] = PREFIX + "\nSELECT * FROM d_statuses\n"
+ORACLES["q_dim_surrogate_type"] = PREFIX + "\nSELECT * FROM d_types\n"
+ORACLES["q_dim_surrogate_source"] = PREFIX + "\nSELECT * FROM d_sources\n"
+
+ORACLES["q_dim_natural"] = PREFIX + "\n" + "\nUNION ALL\n".join(
+    f"SELECT 'd_{k}' AS dim, CAST({p}_id AS BIGINT) AS x_id, {p}_name AS x_name FROM d_{k}"
+    for k, p in [("producers", "producer"), ("licensors", "licensor"), ("studios", "studio"),
+                 ("genres", "genre"), ("themes", "theme"), ("demographics", "demographic")]) + "\n"
+
+ORACLES["q_link_sorted"] = PREFIX + "\n" + "\nUNION ALL\n".join(
+    f"SELECT 'links_{k}' AS link, anime_id, CAST({p}_id AS BIGINT) AS x_id FROM links_{k}"
+    for k, p in [("producers", "producer"), ("licensors", "licensor"), ("studios", "studio"),
+                 ("genres", "genre"), ("themes", "theme"), ("demographics", "demographic")]) + "\n"
+
+ORACLES["q_fact"] = PREFIX + "\nSELECT * FROM f_anime\n"
+
+ORACLES["q_fact_latest_batch"] = PREFIX + """,
+anime_b AS (SELECT * REPLACE (year AS batch_id) FROM anime)
+SELECT a.anime_id, a.title, a.title_english, a.no_of_episodes,
+       a.minutes_expected AS duration_minutes_per_episode, a.score, a.scored_by, a.rank,
+       a.popularity, a.members, a.favorites, a.year, ds.status_id, dt.type_id, dsrc.source_id
+FROM anime_b a
+LEFT JOIN d_statuses ds ON a.status = ds.status
+LEFT JOIN d_types dt ON a.type = dt.type
+LEFT JOIN d_sources dsrc ON a.source = dsrc.source
+WHERE a.batch_id = (SELECT MAX(batch_id) FROM anime_b)
+"""
+
+ORACLES["q_star_select"] = PREFIX + """
+SELECT f.*, l.genre_id, g.genre_name
+FROM f_anime f LEFT JOIN links_genres l ON f.anime_id = l.anime_id
+LEFT JOIN d_genres g ON l.genre_id = g.genre_id
+"""
+
+ORACLES["q_duration_minutes"] = """
+SELECT p_partkey,
+  CASE p_partkey % 9
+    WHEN 0 THEN CAST(p_size AS VARCHAR) || ' min per ep'
+    WHEN 1 THEN CAST(p_size % 3 + 1 AS VARCHAR) || ' hr ' || CAST(p_size AS VARCHAR) || ' min per ep'
+    WHEN 2 THEN CAST(p_size AS VARCHAR) || ' min'
+    WHEN 3 THEN CAST(p_size AS VARCHAR) || ' min ' || CAST(p_size AS VARCHAR) || ' sec'
+    WHEN 4 THEN CAST(p_size % 3 + 1 AS VARCHAR) || ' hr ' || CAST(p_size AS VARCHAR) || ' min '
+                || CAST(p_size AS VARCHAR) || ' sec'
+    WHEN 5 THEN CAST(p_size AS VARCHAR) || ' sec per ep'
+    WHEN 6 THEN CAST(p_size % 3 + 1 AS VARCHAR) || ' hr'
+    WHEN 7 THEN 'Unknown'
+    ELSE CAST(p_size AS VARCHAR) || ' MIN' END AS duration,
+  CASE p_partkey % 9
+    WHEN 0 THEN CAST(p_size AS FLOAT)
+    WHEN 1 THEN CAST((p_size % 3 + 1) * 60 + p_size AS FLOAT)
+    WHEN 2 THEN CAST(p_size AS FLOAT)
+    WHEN 3 THEN CAST(p_size AS FLOAT)
+    WHEN 4 THEN CAST((p_size % 3 + 1) * 60 + p_size AS FLOAT)
+    WHEN 5 THEN CAST(CAST(p_size AS FLOAT) / 60.0 AS FLOAT)
+    WHEN 6 THEN CAST((p_size % 3 + 1) * 60 AS FLOAT)
+    ELSE CAST(NULL AS FLOAT) END AS minutes
+FROM part
+"""
+
+# ------------------------------------------------------------ silver, json
+PAGED = PREFIX + """,
+ranked AS (SELECT a.* EXCLUDE (page), row_number() OVER (ORDER BY members DESC, anime_id) AS rn FROM anime a),
+paged AS (SELECT r.*, CAST((rn - 1) // 25 + 1 AS INTEGER) AS page, CAST((rn - 1) % 25 AS INTEGER) AS rec_pos,
+                 (SELECT COUNT(*) FROM links_anime_genres g WHERE g.anime_id = r.anime_id) AS n_genres
+          FROM ranked r)"""
+
+ORACLES["q_json_page_unpack"] = PAGED + """
+SELECT page, rec_pos, CAST(anime_id AS INTEGER) AS anime_id, title, type, source, status, duration,
+       CAST(score AS FLOAT) AS score, CAST(members AS INTEGER) AS members, year,
+       CAST(n_genres AS INTEGER) AS n_genres
+FROM paged
+"""
+
+ORACLES["q_struct_array_links"] = PREFIX + """
+SELECT CAST(anime_id AS INTEGER) AS anime_id, genre_id, genre_name FROM links_anime_genres
+WHERE genre_name <> 'Brand#1'
+"""
+
+ORACLES["q_event_props"] = """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+"""
+
+ORACLES["q_keep_last"] = """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+             l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
+  FROM lineitem) WHERE rn = 1
+"""
+
+ORACLES["q_pipeline_end_to_end"] = PREFIX + """
+SELECT CAST(a.anime_id AS INTEGER) AS anime_id, a.title, a.title_english, a.no_of_episodes,
+       a.minutes_expected AS duration_minutes_per_episode, CAST(a.score AS FLOAT) AS score, a.scored_by, a.rank,
+       a.popularity, CAST(a.members AS INTEGER) AS members, a.favorites, a.year,
+       ds.status_id, dt.type_id, dsrc.source_id
+FROM anime a
+LEFT JOIN d_statuses ds ON a.status = ds.status
+LEFT JOIN d_types dt ON a.type = dt.type
+LEFT JOIN d_sources dsrc ON a.source = dsrc.source
+"""
+
+ORACLES["q_silver_links_from_pages"] = PREFIX + """
+SELECT CAST(anime_id AS INTEGER) AS anime_id, genre_id, genre_name FROM links_anime_genres
+"""
+
+# ------------------------------------------------------------------ upsert
+_UPSERT = """
+WITH target AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderdate < TIMESTAMP '1999-07-01'),
+source AS (
+  SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT t.* FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL
+SELECT * FROM source
+"""
+ORACLES["q_upsert"] = _UPSERT
+ORACLES["q_upsert_twice"] = _UPSERT
+
+# ------------------------------------------------------------------ bronze
+_EV = """
+WITH ev AS (SELECT *, CAST(dayofmonth(ts) AS INTEGER) AS batch_id FROM events),
+loaded AS (SELECT * FROM ev WHERE ts < TIMESTAMP '2024-01-15')"""
+
+ORACLES["q_missing_batches"] = _EV + """
+SELECT DISTINCT batch_id FROM ev WHERE batch_id NOT IN (SELECT batch_id FROM loaded)
+"""
+
+ORACLES["q_incremental_rows"] = _EV + """
+SELECT event_id, batch_id FROM ev WHERE batch_id NOT IN (SELECT batch_id FROM loaded)
+"""
+
+ORACLES["q_next_batch"] = _EV + """
+SELECT CAST(COALESCE(MAX(batch_id), 0) + 1 AS INTEGER) AS next_batch_id FROM ev
+"""
+
+ORACLES["q_sequence_id"] = _EV + """,
+kept AS (SELECT event_id, batch_id FROM loaded
+         UNION ALL SELECT event_id, batch_id FROM ev WHERE batch_id NOT IN (SELECT batch_id FROM loaded))
+SELECT event_id, batch_id, CAST(row_number() OVER (ORDER BY batch_id, event_id) AS BIGINT) AS id FROM kept
+"""
+
+ORACLES["q_paginate"] = PREFIX + """,
+ranked AS (SELECT anime_id, members, CAST(row_number() OVER (ORDER BY members DESC, anime_id) AS BIGINT) AS rn FROM anime)
+SELECT anime_id, members, rn, CAST((rn - 1) // 25 + 1 AS INTEGER) AS page, CAST((rn - 1) % 25 AS INTEGER) AS rec_pos
+FROM ranked
+"""
+
+_PROBE = PAGED + """,
+probe AS (
+  SELECT page, CAST(COUNT(*) AS INTEGER) AS n_records,
+         arg_max(title, rec_pos) AS last_title, CAST(arg_max(members, rec_pos) AS INTEGER) AS last_members
+  FROM paged GROUP BY page)"""
+
+ORACLES["q_page_probe"] = _PROBE + """
+SELECT * FROM probe
+"""
+
+ORACLES["q_take_while_pages"] = _PROBE + """,
+bad AS (SELECT MIN(page) AS first_bad FROM probe WHERE last_members < 20000000)
+SELECT page, n_records, last_members FROM probe
+WHERE (SELECT first_bad FROM bad) IS NULL OR page < (SELECT first_bad FROM bad)
+"""
+
+# ------------------------------------------------------------------ checks
+ORACLES["q_dq_not_null"] = """
+SELECT o_orderkey FROM orders WHERE o_orderpriority = '5-LOW'
+"""
+
+ORACLES["q_dq_unique"] = """
+SELECT o_custkey, CAST(COUNT(*) AS BIGINT) AS n_rows FROM orders WHERE o_custkey IS NOT NULL
+GROUP BY o_custkey HAVING COUNT(*) > 1
+"""
+
+ORACLES["q_dq_composite"] = """
+SELECT l_orderkey, l_linenumber, CAST(COUNT(*) AS BIGINT) AS n_rows FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
+"""

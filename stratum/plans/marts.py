@@ -231,3 +231,15 @@ def industry_average(stats: DataFrame) -> DataFrame:
 def year_bounds(gold: Gold) -> DataFrame:
     """Smallest and largest year (the slider's range)."""
     return gold["f_anime"].agg(F.min("year").alias("min_year"), F.max("year").alias("max_year"))
+
+
+def star_select(gold: Gold, kind: str = "genres") -> DataFrame:
+    """Fact LEFT link LEFT dimension with every column named once: the fact's
+    columns, the link's ``X_id`` and the dimension's ``X_name``."""
+    i, n = S.link_cols(S.LINK_NAMES[kind])
+    f = gold["f_anime"].alias("f")
+    lk = gold[f"links_{kind}"].alias("l")
+    d = gold[f"d_{kind}"].alias("d")
+    return (f.join(lk, F.col("f.anime_id") == F.col("l.anime_id"), "left")
+            .join(d, F.col("l." + i) == F.col("d." + i), "left")
+            .select("f.*", F.col("l." + i).alias(i), F.col("d." + n).alias(n)))

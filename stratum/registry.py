@@ -10,15 +10,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import schemas as S
+from .functions.duration import duration_minutes
+from .functions.json_pages import pack_pages, unpack_pages
+from .functions.links import extract_links
+from .operators import quality as Q
+from .operators.dedup import keep_last
+from .operators.sequence import dense_index
+from .operators.upsert import upsert
 from .plans import marts as M
 from .plans import standin
-from .plans.gold import build_gold
+from .plans.gold import build_gold, gold_links
+from .plans.silver import bronze_from_pages, build_silver
 from .session import ensure_checkpoint_dir
+from .sources import bronze as B
+from .sources.pages import page_last_members, paginate, take_while_pages
 
-# Year window used on the provided tables (their orders span 1995-2001; the
-# dashboard default 2010-2024 would select nothing there).
+# Parameters used on the provided tables.  Their orders span 1995-2001, so the
+# dashboard's default window 2010-2024 would select nothing; members are cents.
 YEARS = (1996, 2000)
+MIN_SUPPORT_PRODUCERS = 150
+TAKE_WHILE_MIN_MEMBERS = 20_000_000
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -27,19 +41,349 @@ def query(fn):
     return fn
 
 
-def _gold(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None):
+def _tables(spark: SparkSession, sf_dir: str) -> standin.Tables:
     ensure_checkpoint_dir(spark)
-    t = standin.Tables(spark, sf_dir)
-    return build_gold(standin.silver(t, kinds))
+    return standin.Tables(spark, sf_dir)
+
+
+def _gold(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None):
+    return build_gold(standin.silver(_tables(spark, sf_dir), kinds))
+
 
+def _filtered(g, fanout=True):
+    return M.year_filter(M.titles(g, fanout), YEARS)
 
-# ----------------------------------------------------------------- marts
+
+# ------------------------------------------------------------------- marts
 @query
 def q_category_share_by_year(spark, sf_dir):
     g = _gold(spark, sf_dir, ["licensors", "genres"])
-    t = M.year_filter(M.titles(g), YEARS)
-    return M.genre_share_by_year(g, t, 10)
+    return M.genre_share_by_year(g, _filtered(g), 10)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_category_share_by_year(spark, sf_dir)
+
+
+@query
+def q_enriched_asis(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    return M.kpis(_filtered(g))
+
+
+@query
+def q_enriched_dedup(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    return M.kpis(_filtered(g, fanout=False))
+
+
+@query
+def q_enriched_rows(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    return M.year_filter(M.enriched(g), YEARS)
+
+
+@query
+def q_bubble_rows(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    return M.bubble_rows(M.year_filter(M.enriched(g), YEARS))
+
+
+@query
+def q_category_summary_top15(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    return M.genre_top(g, M.titles(g), 15)
+
+
+@query
+def q_source_analysis(spark, sf_dir):
+    return M.source_analysis(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
+
+
+@query
+def q_source_share(spark, sf_dir):
+    return M.source_share(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
+
+
+@query
+def q_source_summary(spark, sf_dir):
+    return M.source_summary(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
+
+
+@query
+def q_year_trend(spark, sf_dir):
+    return M.year_trend(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
+
+
+@query
+def q_year_trend_dedup(spark, sf_dir):
+    return M.year_trend(_filtered(_gold(spark, sf_dir, ["licensors", "genres"]), fanout=False))
+
+
+@query
+def q_dim_metrics_supplier(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres", "studios"])
+    return M.dim_metrics(g, "studios", _filtered(g))
+
+
+@query
+def q_dim_metrics_part(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres", "producers"])
+    return M.dim_metrics(g, "producers", _filtered(g), MIN_SUPPORT_PRODUCERS)
+
+
+@query
+def q_dim_metrics_nation(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    return M.licensor_metrics(g, _filtered(g))
+
+
+@query
+def q_industry_avg(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres", "studios"])
+    avg = M.industry_average(M.dim_metrics(g, "studios", _filtered(g)))
+    # A mean of means is summed in no fixed order; 6 decimals make it comparable.
+    return avg.select(F.round("industry_avg_score", 6).alias("industry_avg_score"))
+
+
+@query
+def q_year_bounds(spark, sf_dir):
+    return M.year_bounds(_gold(spark, sf_dir, []))
+
+
+# -------------------------------------------------------------------- gold
+def _surrogate(name):
+    def q(spark, sf_dir):
+        return _gold(spark, sf_dir, [])[name]
+    return q
+
+
+QUERIES["q_dim_surrogate_status"] = _surrogate("d_statuses")
+QUERIES["q_dim_surrogate_type"] = _surrogate("d_types")
+QUERIES["q_dim_surrogate_source"] = _surrogate("d_sources")
+
+
+@query
+def q_dim_natural(spark, sf_dir):
+    """All six natural-key dimensions in one frame: dim, X_id, X_name."""
+    g = _gold(spark, sf_dir)
+    out = None
+    for kind, prefix in S.LINK_KINDS:
+        i, n = S.link_cols(prefix)
+        d = g[f"d_{kind}"].select(F.lit(f"d_{kind}").alias("dim"),
+                                  F.col(i).cast("bigint").alias("x_id"), F.col(n).alias("x_name"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+@query
+def q_link_sorted(spark, sf_dir):
+    """All six gold link tables, range-partitioned and sorted by key."""
+    t = _tables(spark, sf_dir)
+    out = None
+    for kind, prefix in S.LINK_KINDS:
+        i, _ = S.link_cols(prefix)
+        lk = gold_links(standin.links(t, kind), prefix, sort=True).select(
+            F.lit(f"links_{kind}").alias("link"), "anime_id", F.col(i).cast("bigint").alias("x_id"))
+        out = lk if out is None else out.unionByName(lk)
+    return out
+
+
+@query
+def q_fact(spark, sf_dir):
+    return _gold(spark, sf_dir, [])["f_anime"]
+
+
+@query
+def q_fact_latest_batch(spark, sf_dir):
+    """Entity with batch = order year; the fact keeps the latest batch while
+    the surrogate dimensions come from every batch."""
+    t = _tables(spark, sf_dir)
+    silver = {"anime": standin.titles(t, batch=F.year("o_orderdate"))}
+    return build_gold(silver)["f_anime"]
+
+
+@query
+def q_star_select(spark, sf_dir):
+    return M.star_select(_gold(spark, sf_dir, ["genres"]), "genres")
+
+
+@query
+def q_duration_minutes(spark, sf_dir):
+    """Duration text in nine formats built from part rows, parsed to minutes."""
+    p = _tables(spark, sf_dir).part
+    s = F.col("p_size").cast("string")
+    h = ((F.col("p_size") % 3) + 1).cast("string")
+    k = F.col("p_partkey") % 9
+    text = (F.when(k == 0, F.concat(s, F.lit(" min per ep")))
+            .when(k == 1, F.concat(h, F.lit(" hr "), s, F.lit(" min per ep")))
+            .when(k == 2, F.concat(s, F.lit(" min")))
+            .when(k == 3, F.concat(s, F.lit(" min "), s, F.lit(" sec")))
+            .when(k == 4, F.concat(h, F.lit(" hr "), s, F.lit(" min "), s, F.lit(" sec")))
+            .when(k == 5, F.concat(s, F.lit(" sec per ep")))
+            .when(k == 6, F.concat(h, F.lit(" hr")))
+            .when(k == 7, F.lit("Unknown"))
+            .otherwise(F.concat(s, F.lit(" MIN"))))
+    return (p.select("p_partkey", text.alias("duration"))
+            .withColumn("minutes", duration_minutes("duration")))
+
+
+# ------------------------------------------------------------ silver, json
+def _pages(t):
+    """Titles cut into page documents of 25, by members desc then id."""
+    recs = paginate(standin.page_records(t, ["genres"]), [F.desc("members"), F.asc("mal_id")])
+    fields = [f.name for f in S.RECORD.fields if f.name in recs.columns]
+    return pack_pages(recs.select("page", "rec_pos", *fields), fields=fields)
+
+
+@query
+def q_json_page_unpack(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    pages = _pages(t).withColumn("batch_id", F.lit(1)).withColumn("id", F.col("page").cast("long"))
+    recs = unpack_pages(pages)
+    return recs.select("page", "rec_pos", "anime_id", "title", "type", "source", "status",
+                       "duration", "score", "members", "year",
+                       F.coalesce(F.size("genres"), F.lit(0)).alias("n_genres"))
+
+
+@query
+def q_struct_array_links(spark, sf_dir):
+    """Genre arrays of the page records, one name blanked (NULL) per rule,
+    exploded to link rows; rows with a NULL are dropped, duplicates kept last."""
+    t = _tables(spark, sf_dir)
+    recs = standin.page_records(t, ["genres"]).withColumnRenamed("mal_id", "anime_id")
+    recs = recs.withColumn("genres", F.transform(
+        "genres", lambda e: F.struct(e.getField("mal_id").alias("mal_id"),
+                                     F.nullif(e.getField("name"), F.lit("Brand#1")).alias("name"))))
+    rows = extract_links(recs, "genres", "genre")
+    return keep_last(rows, ["anime_id", "genre_id"], ["link_pos"], drop_order=True)
+
+
+@query
+def q_event_props(spark, sf_dir):
+    ev = _tables(spark, sf_dir).events
+    k = F.from_json("props", "k int").getField("k")
+    return ev.select("event_id", "event_type", k.alias("k"))
+
+
+@query
+def q_keep_last(spark, sf_dir):
+    li = _tables(spark, sf_dir).lineitem
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    return keep_last(li, ["l_orderkey", "l_linenumber"], order)
+
+
+@query
+def q_pipeline_end_to_end(spark, sf_dir):
+    """Page documents -> raw rows -> silver (unpack, keep-last) -> gold fact."""
+    t = _tables(spark, sf_dir)
+    pages = _pages(t).withColumn("batch_id", F.lit(1))
+    silver = build_silver(bronze_from_pages(pages))
+    return build_gold(silver)["f_anime"]
+
+
+@query
+def q_silver_links_from_pages(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    pages = _pages(t).withColumn("batch_id", F.lit(1))
+    return build_silver(bronze_from_pages(pages))["links_anime_genres"]
+
+
+# ------------------------------------------------------------------ upsert
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+              "o_orderpriority"]
+
+
+def _upsert_inputs(spark, sf_dir):
+    """Target = orders up to mid-1999 as they were; source = orders from 1998
+    on with a changed status and price (1998 to mid-1999 update, later insert)."""
+    o = _tables(spark, sf_dir).orders.select(*ORDER_COLS)
+    target = o.where(F.col("o_orderdate") < F.lit("1999-07-01").cast("timestamp_ntz"))
+    source = (o.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+              .withColumn("o_orderstatus", F.lit("U"))
+              .withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    return target, source
+
+
+@query
+def q_upsert(spark, sf_dir):
+    target, source = _upsert_inputs(spark, sf_dir)
+    return upsert(target, source, ["o_orderkey"])
+
+
+@query
+def q_upsert_twice(spark, sf_dir):
+    target, source = _upsert_inputs(spark, sf_dir)
+    return upsert(upsert(target, source, ["o_orderkey"]), source, ["o_orderkey"])
+
+
+# ------------------------------------------------------------------ bronze
+def _event_batches(spark, sf_dir):
+    """Events with batch = day of month; the first 14 days are loaded."""
+    ev = _tables(spark, sf_dir).events.withColumn("batch_id", F.dayofmonth("ts"))
+    loaded = ev.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    return ev, loaded
+
+
+@query
+def q_missing_batches(spark, sf_dir):
+    ev, loaded = _event_batches(spark, sf_dir)
+    return B.missing_batches(ev, loaded)
+
+
+@query
+def q_incremental_rows(spark, sf_dir):
+    ev, loaded = _event_batches(spark, sf_dir)
+    return B.rows_to_load(ev, loaded).select("event_id", "batch_id")
+
+
+@query
+def q_next_batch(spark, sf_dir):
+    ev, _ = _event_batches(spark, sf_dir)
+    return spark.range(1).select(B.next_batch_id(ev).alias("next_batch_id"))
+
+
+@query
+def q_sequence_id(spark, sf_dir):
+    """Ids of loaded rows 1..n1 by (batch, event); new rows continue at n1+1."""
+    ev, loaded = _event_batches(spark, sf_dir)
+    existing = dense_index(loaded.select("event_id", "batch_id"), ["batch_id", "event_id"], "id")
+    new = B.rows_to_load(ev, loaded).select("event_id", "batch_id")
+    appended = B.assign_ids(new, existing, ["batch_id", "event_id"])
+    return existing.unionByName(appended)
+
+
+@query
+def q_paginate(spark, sf_dir):
+    ent = standin.titles(_tables(spark, sf_dir)).select("anime_id", "members")
+    return paginate(ent, [F.desc("members"), F.asc("anime_id")])
+
+
+@query
+def q_take_while_pages(spark, sf_dir):
+    pages = _pages(_tables(spark, sf_dir))
+    return take_while_pages(pages, TAKE_WHILE_MIN_MEMBERS).select("page", "n_records", "last_members")
+
+
+@query
+def q_page_probe(spark, sf_dir):
+    return page_last_members(_pages(_tables(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ checks
+@query
+def q_dq_not_null(spark, sf_dir):
+    o = _tables(spark, sf_dir).orders.select(
+        "o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"))
+    return Q.not_null_failures(o, "o_orderpriority").select("o_orderkey")
+
+
+@query
+def q_dq_unique(spark, sf_dir):
+    return Q.unique_failures(_tables(spark, sf_dir).orders, "o_custkey")
+
+
+@query
+def q_dq_composite(spark, sf_dir):
+    return Q.unique_failures(_tables(spark, sf_dir).lineitem, ["l_orderkey", "l_linenumber"])
