@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def share_within(df: DataFrame, value: str, group: list[str], name: str = "share_pct") -> DataFrame:
+def share_within(df: DataFrame, value: str, group: list[str], name: str = "share_pct",
+                 rows_per_group_bounded: bool = False) -> DataFrame:
     """``100 * value / sum(value) per group`` (a 100%-stacked chart's numbers).
 
-    The group totals are an aggregate joined back on the group key rather than
-    a window: a hot group is summed map-side and the join is against one row
-    per group, which AQE broadcasts when it is small.
+    By default the group totals are an aggregate joined back on the group key:
+    a hot group is summed map-side and the join is against one row per group.
+    When every group holds a bounded number of rows (say, at most k after a
+    top-k filter) a window over the group is cheaper and equally safe.
     """
+    if rows_per_group_bounded:
+        total = F.sum(value).over(Window.partitionBy(*group))
+        return df.withColumn(name, F.col(value) * F.lit(100.0) / total)
     totals = df.groupBy(*group).agg(F.sum(value).alias("__total"))
     return (df.join(totals, on=group, how="inner")
             .withColumn(name, F.col(value) * F.lit(100.0) / F.col("__total"))

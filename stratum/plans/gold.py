@@ -24,13 +24,41 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.duration import duration_minutes
+from ..operators.joins import MAX_BROADCAST_ROWS
 from ..operators.sequence import dense_index
 
 
 def surrogate_dim(entity: DataFrame, column: str, id_col: str) -> DataFrame:
     """(id_col bigint, column): ids 1..n over sorted distinct non-null values."""
-    values = entity.select(column).where(F.col(column).isNotNull()).distinct()
-    return dense_index(values, [column], id_col).select(id_col, column)
+    return surrogate_dims(entity, [(column, id_col)])[column]
+
+
+def surrogate_dims(entity: DataFrame, specs: list[tuple[str, str]]) -> dict[str, DataFrame]:
+    """Several surrogate-key dimensions from one numbering pass.
+
+    The distinct non-null values of every column are stacked as (dim, value),
+    numbered 1..n in (dim, value) order by one ``dense_index`` (one checkpoint
+    for all of them) and re-based per dimension: id = n - first n of the dim + 1.
+    Each result is materialised; it is marked for broadcast when its row count
+    (one small aggregate over the materialised rows) is under the bound.
+    """
+    stacked = None
+    for k, (column, _) in enumerate(specs):
+        part = (entity.select(F.lit(k).alias("__dim"), F.col(column).cast("string").alias("__v"))
+                .where(F.col("__v").isNotNull()))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    numbered = dense_index(stacked.distinct(), ["__dim", "__v"], "__n")
+    firsts = numbered.groupBy("__dim").agg(F.min("__n").alias("__first"),
+                                           F.count(F.lit(1)).alias("__rows"))
+    based = numbered.join(F.broadcast(firsts), "__dim")  # one row per dimension
+    sizes = {r["__dim"]: r["__rows"] for r in firsts.collect()}
+    out = {}
+    for k, (column, id_col) in enumerate(specs):
+        dim = (based.where(F.col("__dim") == k)
+               .select((F.col("__n") - F.col("__first") + 1).cast("bigint").alias(id_col),
+                       F.col("__v").cast(entity.schema[column].dataType).alias(column)))
+        out[column] = F.broadcast(dim) if sizes.get(k, 0) <= MAX_BROADCAST_ROWS else dim
+    return out
 
 
 def natural_dim(links: DataFrame, prefix: str) -> DataFrame:
@@ -90,8 +118,15 @@ def build_gold(silver: Mapping[str, DataFrame], strict: bool = True,
     """The 16 gold frames (fewer when link kinds are missing from ``silver``)."""
     f: dict[str, Callable[[], DataFrame]] = {}
     gold = LazyFrames(f)
+    dims: dict[str, DataFrame] = {}
+
+    def surrogate(column: str) -> DataFrame:
+        if not dims:
+            dims.update(surrogate_dims(silver["anime"], [(c, f"{c}_id") for _, c in S.SURROGATE_DIMS]))
+        return dims[column]
+
     for dim_name, column in S.SURROGATE_DIMS:
-        f[dim_name] = (lambda c=column: surrogate_dim(silver["anime"], c, f"{c}_id"))
+        f[dim_name] = (lambda c=column: surrogate(c))
     f["f_anime"] = lambda: fact(silver["anime"], gold, strict)
     for kind, prefix in S.LINK_KINDS:
         name = f"links_anime_{kind}"

@@ -88,9 +88,9 @@ def title_weights(gold: Gold) -> DataFrame:
             .withColumn("weight", F.col("w_lic") * F.col("w_gen")))
 
 
-def titles(gold: Gold, fanout: bool = True) -> DataFrame:
-    """One row per title with its dimension names and weights."""
-    base = fact_dims(gold)
+def titles(gold: Gold, fanout: bool = True, names: bool = True) -> DataFrame:
+    """One row per title with its weights and (``names``) dimension names."""
+    base = fact_dims(gold) if names else gold["f_anime"]
     if not fanout:
         return base.select("*", F.lit(1).cast("long").alias("w_lic"),
                            F.lit(1).cast("long").alias("w_gen"), F.lit(1).cast("long").alias("weight"))
@@ -194,7 +194,8 @@ def genre_share_by_year(gold: Gold, t: DataFrame, k: int = 10) -> DataFrame:
     taken over the kept top-k genres only (a 100%-stacked area chart)."""
     by_year = genre_by_year(gold, t)
     kept = keep_members(by_year, top_genres(by_year, k), "genre_name")
-    return share_within(kept, "members", ["year"], "share_pct")
+    # (year, genre) is unique in by_year, so a year keeps at most k rows.
+    return share_within(kept, "members", ["year"], "share_pct", rows_per_group_bounded=True)
 
 
 def dim_metrics(gold: Gold, kind: str, t: DataFrame, min_support: int = S.MIN_SUPPORT) -> DataFrame:

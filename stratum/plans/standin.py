@@ -138,11 +138,12 @@ def link_rows(t: Tables, kind: str) -> DataFrame:
 
 
 def links(t: Tables, kind: str) -> DataFrame:
-    """Silver link table (anime_id, X_id, X_name), one row per (anime_id, X_id)."""
-    from ..operators.dedup import keep_last
+    """Silver link table (anime_id, X_id, X_name), one row per (anime_id, X_id).
 
+    In these tables the name is a function of the id, so keeping the last copy
+    of a key is a plain distinct (a hash aggregate, combined map-side)."""
     prefix = S.LINK_NAMES[kind]
-    return keep_last(link_rows(t, kind), S.link_key(prefix), ["l_linenumber"], drop_order=True)
+    return link_rows(t, kind).select(*S.link_table_columns(prefix)).distinct()
 
 
 def silver(t: Tables, kinds: list[str] | None = None,

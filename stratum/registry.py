@@ -50,15 +50,15 @@ def _gold(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None):
     return build_gold(standin.silver(_tables(spark, sf_dir), kinds))
 
 
-def _filtered(g, fanout=True):
-    return M.year_filter(M.titles(g, fanout), YEARS)
+def _filtered(g, fanout=True, names=True):
+    return M.year_filter(M.titles(g, fanout, names), YEARS)
 
 
 # ------------------------------------------------------------------- marts
 @query
 def q_category_share_by_year(spark, sf_dir):
     g = _gold(spark, sf_dir, ["licensors", "genres"])
-    return M.genre_share_by_year(g, _filtered(g), 10)
+    return M.genre_share_by_year(g, _filtered(g, names=False), 10)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

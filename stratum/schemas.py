@@ -98,3 +98,24 @@ def link_table_columns(prefix: str) -> list[str]:
 
 def link_key(prefix: str) -> list[str]:
     return ["anime_id", link_cols(prefix)[0]]
+
+
+_ENTITY_TYPES = {
+    "raw_id": T.LongType(), "batch_id": T.IntegerType(), "page": T.IntegerType(),
+    "anime_id": T.IntegerType(), "no_of_episodes": T.IntegerType(), "score": T.FloatType(),
+    "scored_by": T.IntegerType(), "rank": T.IntegerType(), "popularity": T.IntegerType(),
+    "members": T.IntegerType(), "favorites": T.IntegerType(), "year": T.IntegerType(),
+}
+
+
+def silver_schema(name: str) -> T.StructType:
+    """Declared schema of a stored silver table (``anime`` or ``links_anime_<kind>``),
+    ``loaded_at`` included."""
+    if name == "anime":
+        fields = [T.StructField(c, _ENTITY_TYPES.get(c, T.StringType())) for c in ENTITY_COLUMNS]
+    else:
+        prefix = LINK_NAMES[name.removeprefix("links_anime_")]
+        i, n = link_cols(prefix)
+        fields = [T.StructField("anime_id", T.IntegerType()), T.StructField(i, T.IntegerType()),
+                  T.StructField(n, T.StringType())]
+    return T.StructType(fields + [T.StructField("loaded_at", T.TimestampType())])

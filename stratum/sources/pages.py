@@ -22,8 +22,8 @@ def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*")
     The document is re-serialised with ``to_json(from_json(...))`` so stored
     JSON has no layout whitespace, as a parsed-and-dumped document would.
     """
-    files = (spark.read.option("wholetext", True)
-             .text(f"{root.rstrip('/')}/{batch_glob}/page_*.json")
+    # ``wholetext`` must be the keyword: ``text()`` sets its own default.
+    files = (spark.read.text(f"{root.rstrip('/')}/{batch_glob}/page_*.json", wholetext=True)
              .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path")))
     return files.select(
         number_in_name("path", "batch").alias("batch_id"),

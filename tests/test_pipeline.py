@@ -1,0 +1,130 @@
+"""End to end on page files in a temp folder: load, curate, gold, marts;
+then a second batch that changes, drops and renames things."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import rec, write_batch
+from stratum.plans import marts as M
+from stratum.plans import pipeline as P
+from stratum.sources import bronze as B
+from stratum.sources.pages import list_batches, scan_page_files, take_while_pages
+
+
+def batch1():
+    return {
+        1: [rec(1, members=50000, score=8.0, source="Manga", genres=[(1, "Action"), (2, "Drama")],
+                licensors=[(10, "Lic")], studios=[(5, "Bones")]),
+            rec(2, members=40000, score=6.0, source="Original", genres=[(1, "Action")],
+                duration="1 hr 30 min")],
+        2: [rec(3, members=30000, score=None, source=None, year=2012, genres=[])],
+    }
+
+
+def batch2():
+    return {
+        1: [rec(1, members=51000, score=9.0, source="Manga", genres=[(1, "Action")],
+                licensors=[(10, "Lic")], studios=[(5, "Bones")]),
+            rec(3, members=30500, score=7.0, source="Game", year=2012, genres=[(2, "Drama!")])],
+    }
+
+
+def test_scan_and_take_while(spark, tmp_root):
+    pages = os.path.join(tmp_root, "importbatches")
+    write_batch(pages, 1, {1: [rec(1, members=50000)], 2: [rec(2, members=20000)],
+                           3: [rec(3, members=9000)], 4: [rec(4, members=30000)]})
+    df = scan_page_files(spark, pages)
+    assert sorted((r.batch_id, r.page) for r in df.collect()) == [(1, 1), (1, 2), (1, 3), (1, 4)]
+    assert "\n" not in df.first().raw_json
+    kept = take_while_pages(df, 10000)
+    assert sorted(r.page for r in kept.collect()) == [1, 2]
+    assert [r.batch_id for r in list_batches(spark, pages).collect()] == [1]
+
+
+def test_incremental_batches(spark, tmp_root):
+    pages = os.path.join(tmp_root, "importbatches")
+    for b in (1, 2, 3):
+        write_batch(pages, b, {1: [rec(b)], 2: [rec(b + 10)]})
+    bronze_path = os.path.join(tmp_root, "raw")
+    only1 = scan_page_files(spark, pages, "batch_1")
+    assert B.append_batches(spark, only1, bronze_path) == 2
+    assert B.append_batches(spark, scan_page_files(spark, pages), bronze_path) == 4
+    assert B.append_batches(spark, scan_page_files(spark, pages), bronze_path) == 0
+    raw = B.read_bronze(spark, bronze_path)
+    ids = sorted(r.id for r in raw.collect())
+    assert ids == list(range(1, 7))
+    assert [tuple(r) for r in raw.orderBy("id").select("batch_id", "page").collect()] == \
+        [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 2)]
+
+
+def test_two_batches_end_to_end(spark, tmp_root):
+    pages = os.path.join(tmp_root, "importbatches")
+    wh = os.path.join(tmp_root, "warehouse")
+    write_batch(pages, 1, batch1())
+    out = P.run(spark, pages, wh)
+    assert out["appended"] == 2 and out["silver_rows"]["anime"] == 3
+    g = P.read_datamart(spark, wh)
+    f = {r.anime_id: r for r in g["f_anime"].collect()}
+    assert set(f) == {1, 2, 3}
+    assert f[2].duration_minutes_per_episode == 90.0
+    src = {r.source: r.source_id for r in g["d_sources"].collect()}
+    assert src == {"Manga": 1, "Original": 2}
+    assert f[3].source_id is None
+
+    write_batch(pages, 2, batch2())
+    out2 = P.run(spark, pages, wh)
+    assert out2["appended"] == 1
+    assert out2["silver_rows"]["anime"] == 3                   # title 2 dropped upstream, kept
+    g = P.read_datamart(spark, wh)
+    f = {r.anime_id: r for r in g["f_anime"].collect()}
+    assert set(f) == {1, 3}                                     # fact = latest batch only
+    assert f[1].score == 9.0 and f[3].score == 7.0
+    # stale link: genre 2 of title 1 stays; renamed genre 2 gives two dim rows
+    lg = sorted((r.anime_id, r.genre_id) for r in g["links_genres"].collect())
+    assert lg == [(1, 1), (1, 2), (2, 1), (3, 2)]
+    assert sorted(r.genre_name for r in g["d_genres"].where("genre_id = 2").collect()) == ["Drama", "Drama!"]
+    # d_sources built over every batch
+    assert sorted(r.source for r in g["d_sources"].collect()) == ["Game", "Manga", "Original"]
+    # marts run on the stored gold
+    k = M.kpis(M.titles(g, fanout=False)).first()
+    assert k.total_members == 51000 + 30500
+
+    # the silver keeps versions; a re-run of curation is idempotent
+    before = P.read_silver(spark, wh, "anime").drop("loaded_at").collect()
+    P.load_curated(spark, wh)
+    after = P.read_silver(spark, wh, "anime").drop("loaded_at").collect()
+    assert sorted(before) == sorted(after)
+
+    dst = os.path.join(tmp_root, "export")
+    assert len(P.export_datamart(spark, wh, dst)) == 16
+    assert spark.read.parquet(os.path.join(dst, "f_anime")).count() == 2
+
+
+def test_stream_pages_to_bronze(spark, tmp_root):
+    from stratum.streaming.incremental import stream_pages_to_bronze
+    pages = os.path.join(tmp_root, "importbatches")
+    bronze_path = os.path.join(tmp_root, "raw")
+    ckpt = os.path.join(tmp_root, "ckpt")
+    write_batch(pages, 1, {1: [rec(1)], 2: [rec(2)]})
+    stream_pages_to_bronze(spark, pages, bronze_path, ckpt).awaitTermination(120)
+    write_batch(pages, 2, {1: [rec(3)]})
+    stream_pages_to_bronze(spark, pages, bronze_path, ckpt).awaitTermination(120)
+    stream_pages_to_bronze(spark, pages, bronze_path, ckpt).awaitTermination(120)
+    raw = B.read_bronze(spark, bronze_path)
+    assert raw.count() == 3
+    assert sorted(r.id for r in raw.collect()) == [1, 2, 3]
+    assert sorted(r.batch_id for r in raw.collect()) == [1, 1, 2]
+
+
+def test_stream_pages_to_silver(spark, tmp_root):
+    from stratum.streaming.incremental import stream_pages_to_silver
+    pages = os.path.join(tmp_root, "importbatches")
+    wh = os.path.join(tmp_root, "warehouse")
+    ckpt = os.path.join(tmp_root, "ckpt")
+    write_batch(pages, 1, batch1())
+    stream_pages_to_silver(spark, pages, wh, ckpt).awaitTermination(180)
+    write_batch(pages, 2, batch2())
+    stream_pages_to_silver(spark, pages, wh, ckpt).awaitTermination(180)
+    ent = {r.anime_id: r for r in P.read_silver(spark, wh, "anime").collect()}
+    assert set(ent) == {1, 2, 3} and ent[1].members == 51000 and ent[2].batch_id == 1
