@@ -12,7 +12,7 @@ def number_in_name(name: Column | str, prefix: str) -> Column:
     The number is the digits right after ``prefix_`` (the reference takes the
     part after the first underscore)."""
     c = F.col(name) if isinstance(name, str) else name
-    return F.regexp_extract(c, rf"{prefix}_(\d+)", 1).cast("int")
+    return F.regexp_extract(c, rf"{prefix}_(\d+)", 1).try_cast("int")
 
 
 def last_element(arr: Column | str) -> Column:

@@ -195,7 +195,8 @@ def genre_share_by_year(gold: Gold, t: DataFrame, k: int = 10) -> DataFrame:
     by_year = genre_by_year(gold, t)
     kept = keep_members(by_year, top_genres(by_year, k), "genre_name")
     # (year, genre) is unique in by_year, so a year keeps at most k rows.
-    return share_within(kept, "members", ["year"], "share_pct", rows_per_group_bounded=True)
+    return share_within(kept, "members", ["year"], "share_pct", rows_per_group_bounded=True).select(
+        "year", "genre_name", "members", "share_pct")
 
 
 def dim_metrics(gold: Gold, kind: str, t: DataFrame, min_support: int = S.MIN_SUPPORT) -> DataFrame:

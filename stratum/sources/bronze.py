@@ -78,6 +78,11 @@ def append_batches(spark: SparkSession, pages: DataFrame, path: str) -> int:
 
     bronze = read_bronze(spark, path)
     new = rows_to_load(pages, bronze)
+    # NOT NULL on batch_id / page: a file whose name carries no number fails
+    # the load before anything is written.
+    if not new.where(F.col("batch_id").isNull() | F.col("page").isNull()).isEmpty():
+        raise ValueError("page rows without batch or page number; file names must be "
+                         "batch_<N>/page_<P>.json")
     new = assign_ids(new, bronze).withColumn("loaded_at", F.current_timestamp())
     obs = Observation("appended")
     out = new.select(*[f.name for f in S.BRONZE.fields]).observe(obs, F.count(F.lit(1)).alias("n"))
