@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def number_in_name(name: Column | str, prefix: str) -> Column:
     """``batch_12`` / ``page_3.json`` / ``/x/batch_12/page_3.json`` -> 12 / 3 (int).
 
-    The number is the digits right after ``prefix_`` (the reference takes the
-    part after the first underscore)."""
+    The number is the digits right after ``prefix_``; Spark's partition folder
+    spelling ``prefix=N`` / ``prefix_id=N`` is accepted too.  NULL when absent."""
     c = F.col(name) if isinstance(name, str) else name
-    return F.regexp_extract(c, rf"{prefix}_(\d+)", 1).try_cast("int")
+    return F.regexp_extract(c, rf"{prefix}(?:_id)?[_=](\d+)", 1).try_cast("int")
 
 
 def last_element(arr: Column | str) -> Column:

@@ -50,12 +50,18 @@ def surrogate_dims(entity: DataFrame, specs: list[tuple[str, str]]) -> dict[str,
     numbered = dense_index(stacked.distinct(), ["__dim", "__v"], "__n")
     firsts = numbered.groupBy("__dim").agg(F.min("__n").alias("__first"),
                                            F.count(F.lit(1)).alias("__rows"))
-    based = numbered.join(F.broadcast(firsts), "__dim")  # one row per dimension
-    sizes = {r["__dim"]: r["__rows"] for r in firsts.collect()}
+    # One row per dimension in ``firsts``: a proven bound for the broadcast.
+    # The finished ids are checkpointed, so every later use is a scan of a
+    # small stored table instead of re-deriving offsets.
+    based = (numbered.join(F.broadcast(firsts), "__dim")
+             .select("__dim", (F.col("__n") - F.col("__first") + 1).cast("bigint").alias("__id"),
+                     "__v", "__rows")
+             .checkpoint(eager=True))
+    sizes = {r["__dim"]: r["__rows"] for r in based.groupBy("__dim").agg(F.max("__rows").alias("__rows")).collect()}
     out = {}
     for k, (column, id_col) in enumerate(specs):
         dim = (based.where(F.col("__dim") == k)
-               .select((F.col("__n") - F.col("__first") + 1).cast("bigint").alias(id_col),
+               .select(F.col("__id").alias(id_col),
                        F.col("__v").cast(entity.schema[column].dataType).alias(column)))
         out[column] = F.broadcast(dim) if sizes.get(k, 0) <= MAX_BROADCAST_ROWS else dim
     return out

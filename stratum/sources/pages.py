@@ -16,14 +16,17 @@ from ..functions.json_pages import page_records
 from ..operators.sequence import dense_index
 
 
-def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*") -> DataFrame:
+def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
+                    page_glob: str = "page_*.json") -> DataFrame:
     """``root/batch_N/page_P.json`` -> batch_id, page, raw_json (one row per file).
 
     The document is re-serialised with ``to_json(from_json(...))`` so stored
     JSON has no layout whitespace, as a parsed-and-dumped document would.
+    ``batch_glob``/``page_glob`` select other layouts, e.g. the one written by
+    ``write_page_files`` (``batch_id=*`` / ``page=*/*.txt``).
     """
     # ``wholetext`` must be the keyword: ``text()`` sets its own default.
-    files = (spark.read.text(f"{root.rstrip('/')}/{batch_glob}/page_*.json", wholetext=True)
+    files = (spark.read.text(f"{root.rstrip('/')}/{batch_glob}/{page_glob}", wholetext=True)
              .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path")))
     return files.select(
         number_in_name("path", "batch").alias("batch_id"),
@@ -37,14 +40,15 @@ def list_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_page_files(pages: DataFrame, root: str) -> None:
-    """Write pages (batch_id, page, raw_json) as ``root/batch_id=N/...`` text.
+    """Write pages (batch_id, page, raw_json): one folder per batch and page,
+    ``root/batch_id=N/page=P/part-*.txt`` holding that page's document.
 
-    Spark writes partition folders as ``batch_id=N``; ``scan_page_files`` with
-    ``batch_glob='batch_id=*'`` reads them back (the number follows ``batch_``
-    in both spellings since ``number_in_name`` matches ``batch_id=N`` too).
+    Spark names the files itself, so the page number lives in the folder;
+    ``scan_page_files(root, "batch_id=*", "page=*/*.txt")`` reads them back.
     """
-    (pages.select("batch_id", "raw_json")
-     .write.mode("append").partitionBy("batch_id").text(root))
+    (pages.select("batch_id", "page", "raw_json")
+     .repartition("batch_id", "page")
+     .write.mode("append").partitionBy("batch_id", "page").text(root))
 
 
 def paginate(df: DataFrame, order: list[str | Column], page_size: int = S.PAGE_SIZE,
