@@ -75,17 +75,18 @@ def title_weights(gold: Gold) -> DataFrame:
 
     A left join yields max(matches, 1) rows per left row, so a title with link
     rows r (after the join with the dimension) counts max(r, 1) times per link
-    kind.  Titles without any link get no row here (weight 1 by default).
+    kind.  Both counts come from one aggregate over the tagged union of the two
+    link streams (combined map-side, one shuffle).  Titles without any link get
+    no row here (weight 1 by default).
     """
-    def rows(kind: str, name: str) -> DataFrame:
-        return _link_with_dim(gold, kind).groupBy("anime_id").agg(F.count(F.lit(1)).alias(name))
-
-    return (rows("licensors", "w_lic")
-            .join(rows("genres", "w_gen"), on="anime_id", how="full")
-            .select("anime_id",
-                    F.coalesce("w_lic", F.lit(1)).cast("long").alias("w_lic"),
-                    F.coalesce("w_gen", F.lit(1)).cast("long").alias("w_gen"))
-            .withColumn("weight", F.col("w_lic") * F.col("w_gen")))
+    lic = _link_with_dim(gold, "licensors").select("anime_id", F.lit(1).alias("__l"), F.lit(0).alias("__g"))
+    gen = _link_with_dim(gold, "genres").select("anime_id", F.lit(0).alias("__l"), F.lit(1).alias("__g"))
+    counts = lic.unionByName(gen).groupBy("anime_id").agg(F.sum("__l").alias("__l"), F.sum("__g").alias("__g"))
+    return counts.select(
+        "anime_id",
+        F.greatest("__l", F.lit(1)).cast("long").alias("w_lic"),
+        F.greatest("__g", F.lit(1)).cast("long").alias("w_gen"),
+    ).withColumn("weight", F.col("w_lic") * F.col("w_gen"))
 
 
 def titles(gold: Gold, fanout: bool = True, names: bool = True) -> DataFrame:
