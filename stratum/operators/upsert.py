@@ -12,7 +12,7 @@ overwrite a parquet table that the same job is reading).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .quality import assert_same_columns
@@ -53,9 +53,7 @@ def overwrite_table(df: DataFrame, staging_columns: list[str], path: str,
     The row count is taken with ``observe`` inside the write job, so the data
     is not scanned a second time.
     """
-    from pyspark.sql import Observation
-
-    obs = Observation(f"written_{abs(hash(path)) % 10**8}")
+    obs = Observation()
     staged = stage_frame(df, staging_columns, name).observe(obs, F.count(F.lit(1)).alias("rows"))
     staged.write.mode("overwrite").format(fmt).save(path)
     return int(obs.get["rows"])

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -34,36 +34,40 @@ def surrogate_dim(entity: DataFrame, column: str, id_col: str) -> DataFrame:
 
 
 def surrogate_dims(entity: DataFrame, specs: list[tuple[str, str]]) -> dict[str, DataFrame]:
-    """Several surrogate-key dimensions from one numbering pass.
-
-    The distinct non-null values of every column are stacked as (dim, value),
-    numbered 1..n in (dim, value) order by one ``dense_index`` (one checkpoint
-    for all of them) and re-based per dimension: id = n - first n of the dim + 1.
-    Each result is materialised; it is marked for broadcast when its row count
-    (one small aggregate over the materialised rows) is under the bound.
+    """Several surrogate-key dimensions from one pass over the entity.
+
+    The distinct non-null values of every column are stacked as (dim, value)
+    and counted.  Up to ``MAX_BROADCAST_ROWS`` values (the usual case: these
+    are categorical columns) the ids are ``row_number()`` per dimension in
+    value order -- deterministic, since the values are distinct -- and the
+    dimensions are broadcast: the count is the proven bound for both the
+    per-dimension window and the broadcast.  Above the bound the values are
+    numbered by the distributed ``dense_index`` instead and joined normally.
     """
     stacked = None
     for k, (column, _) in enumerate(specs):
         part = (entity.select(F.lit(k).alias("__dim"), F.col(column).cast("string").alias("__v"))
                 .where(F.col("__v").isNotNull()))
         stacked = part if stacked is None else stacked.unionByName(part)
-    numbered = dense_index(stacked.distinct(), ["__dim", "__v"], "__n")
-    firsts = numbered.groupBy("__dim").agg(F.min("__n").alias("__first"),
-                                           F.count(F.lit(1)).alias("__rows"))
-    # One row per dimension in ``firsts``: a proven bound for the broadcast.
-    # The finished ids are checkpointed, so every later use is a scan of a
-    # small stored table instead of re-deriving offsets.
-    based = (numbered.join(F.broadcast(firsts), "__dim")
-             .select("__dim", (F.col("__n") - F.col("__first") + 1).cast("bigint").alias("__id"),
-                     "__v", "__rows")
-             .checkpoint(eager=True))
-    sizes = {r["__dim"]: r["__rows"] for r in based.groupBy("__dim").agg(F.max("__rows").alias("__rows")).collect()}
+    values = stacked.distinct()
+    n_values = values.count()
+    if n_values <= MAX_BROADCAST_ROWS:
+        based = values.withColumn(
+            "__id", F.row_number().over(Window.partitionBy("__dim").orderBy("__v")).cast("bigint"))
+        wrap = F.broadcast
+    else:
+        numbered = dense_index(values, ["__dim", "__v"], "__n")
+        firsts = numbered.groupBy("__dim").agg(F.min("__n").alias("__first"))
+        # one row per dimension in ``firsts``: a proven bound for the broadcast
+        based = (numbered.join(F.broadcast(firsts), "__dim")
+                 .withColumn("__id", (F.col("__n") - F.col("__first") + 1).cast("bigint")))
+        wrap = lambda df: df
     out = {}
     for k, (column, id_col) in enumerate(specs):
         dim = (based.where(F.col("__dim") == k)
                .select(F.col("__id").alias(id_col),
                        F.col("__v").cast(entity.schema[column].dataType).alias(column)))
-        out[column] = F.broadcast(dim) if sizes.get(k, 0) <= MAX_BROADCAST_ROWS else dim
+        out[column] = wrap(dim)
     return out
 
 

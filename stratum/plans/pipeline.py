@@ -16,7 +16,7 @@ previous version stays readable until the new one is complete.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,8 +105,7 @@ def load_curated(spark: SparkSession, root: str, batch_id: int | None = None,
         else:
             target = read_silver(spark, root, name)
             merged = upsert(target, staged, key)
-        from pyspark.sql import Observation
-        obs = Observation(f"rows_{name}")
+        obs = Observation()
         (merged.select(*cols).withColumn(VERSION, F.lit((v or 0) + 1))
          .observe(obs, F.count(F.lit(1)).alias("n"))
          .write.mode("append").partitionBy(VERSION).parquet(target_path))

@@ -11,7 +11,7 @@ their rows after the current maximum id and appends them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -74,8 +74,6 @@ def append_batches(spark: SparkSession, pages: DataFrame, path: str) -> int:
     Rows get ``loaded_at = now()`` and ids after the current maximum; the
     write is a single append job (a batch is all in or not at all).
     """
-    from pyspark.sql import Observation
-
     bronze = read_bronze(spark, path)
     new = rows_to_load(pages, bronze)
     # NOT NULL on batch_id / page: a file whose name carries no number fails
@@ -84,7 +82,7 @@ def append_batches(spark: SparkSession, pages: DataFrame, path: str) -> int:
         raise ValueError("page rows without batch or page number; file names must be "
                          "batch_<N>/page_<P>.json")
     new = assign_ids(new, bronze).withColumn("loaded_at", F.current_timestamp())
-    obs = Observation("appended")
+    obs = Observation()
     out = new.select(*[f.name for f in S.BRONZE.fields]).observe(obs, F.count(F.lit(1)).alias("n"))
     out.write.mode("append").partitionBy("batch_id").parquet(path)
     return int(obs.get["n"])

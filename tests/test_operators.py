@@ -102,3 +102,16 @@ def test_quality_checks(spark):
         Q.assert_key(df, ["a", "b"])
     Q.assert_key(df.where("a = 2"), ["a"])
     assert Q.column_mismatch(["a", "x"], ["a", "b", "loaded_at"]) == ({"b"}, {"x"})
+
+
+def test_surrogate_dims_large_path_matches_small(spark, monkeypatch):
+    from stratum.plans import gold
+    df = spark.createDataFrame([(f"v{i % 37}", f"w{i % 5}") for i in range(500)], "a string, b string")
+    small = {c: sorted(map(tuple, d.collect())) for c, d in
+             gold.surrogate_dims(df, [("a", "a_id"), ("b", "b_id")]).items()}
+    monkeypatch.setattr(gold, "MAX_BROADCAST_ROWS", 3)   # force the distributed numbering
+    large = {c: sorted(map(tuple, d.collect())) for c, d in
+             gold.surrogate_dims(df, [("a", "a_id"), ("b", "b_id")]).items()}
+    assert small == large
+    assert [i for i, _ in small["b"]] == [1, 2, 3, 4, 5]
+    assert sorted(v for _, v in small["a"]) == sorted(f"v{i}" for i in range(37))
