@@ -1,24 +1,20 @@
-"""Size-checked broadcast of a materialised frame."""
+"""Broadcast policy.
 
-from __future__ import annotations
+Explicit ``broadcast()`` hints are given only where the row count is bounded
+by construction or has been checked:
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+* a top-k list (k rows)                              -> ``topk.keep_members``
+* one row per partition / per dimension              -> ``sequence.dense_index``,
+                                                        ``gold.surrogate_dims``
+* surrogate-key dimensions whose distinct-value count -> ``gold.surrogate_dims``
+  was checked against ``MAX_BROADCAST_ROWS``
+
+Every other join is a plain equi-join: Spark compares its size estimate with
+``spark.sql.autoBroadcastJoinThreshold`` at plan time, and AQE repeats the
+check on the real shuffle output, falling back to sort-merge / shuffled hash
+joins (with skew-join splitting) when the side is large.
+"""
 
 # Rows up to which a small (id, name) dimension is shipped to every task:
 # about 50 bytes a row, so ~50 MB at the bound.
 MAX_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` holds at most ``max_rows`` rows, else ``df``
-    unchanged (Spark then plans a shuffle join, and AQE may still broadcast it
-    once the real size is known).
-
-    Meant for frames that are already materialised (checkpointed), where the
-    count reads stored data: Spark has no size statistics for them and would
-    otherwise plan a sort-merge join that shuffles the big side.  Counting
-    stops as soon as the bound is exceeded.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
