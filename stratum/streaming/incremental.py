@@ -38,7 +38,10 @@ def _append_micro_batch(bronze_path: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         existing = B.read_bronze(spark, bronze_path)
-        rows = B.assign_ids(batch, existing).withColumn("loaded_at", F.current_timestamp())
+        # foreachBatch is at-least-once: a micro-batch retried after its write
+        # but before the stream's commit must not append its pages again.
+        fresh = batch.join(existing.select("batch_id", "page"), ["batch_id", "page"], "left_anti")
+        rows = B.assign_ids(fresh, existing).withColumn("loaded_at", F.current_timestamp())
         (rows.select(*[f.name for f in S.BRONZE.fields])
          .write.mode("append").partitionBy("batch_id").parquet(bronze_path))
     return write
