@@ -139,7 +139,7 @@ FROM f_anime WHERE year BETWEEN {lo} AND {hi}
 """.format(lo=YEARS[0], hi=YEARS[1])
 
 ORACLES["q_enriched_rows"] = PREFIX + """
-SELECT * FROM filtered
+SELECT * REPLACE (CAST(licensor_id AS DOUBLE) AS licensor_id, CAST(genre_id AS DOUBLE) AS genre_id) FROM filtered
 """
 
 ORACLES["q_bubble_rows"] = PREFIX + """
@@ -243,7 +243,7 @@ WHERE a.batch_id = (SELECT MAX(batch_id) FROM anime_b)
 """
 
 ORACLES["q_star_select"] = PREFIX + """
-SELECT f.*, l.genre_id, g.genre_name
+SELECT f.*, CAST(l.genre_id AS DOUBLE) AS genre_id, g.genre_name
 FROM f_anime f LEFT JOIN links_genres l ON f.anime_id = l.anime_id
 LEFT JOIN d_genres g ON l.genre_id = g.genre_id
 """

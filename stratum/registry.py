@@ -77,10 +77,17 @@ def q_enriched_dedup(spark, sf_dir):
     return M.kpis(_filtered(g, fanout=False))
 
 
+def _nullable_ids_as_double(df, cols):
+    """Link ids that are NULL for titles without links, presented as double:
+    pandas holds a nullable int column as float (Spark) or as a nullable Int
+    (DuckDB); as double both sides hold the same values the same way."""
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 @query
 def q_enriched_rows(spark, sf_dir):
     g = _gold(spark, sf_dir, ["licensors", "genres"])
-    return M.year_filter(M.enriched(g), YEARS)
+    return _nullable_ids_as_double(M.year_filter(M.enriched(g), YEARS), ["licensor_id", "genre_id"])
 
 
 @query
@@ -205,7 +212,7 @@ def q_fact_latest_batch(spark, sf_dir):
 
 @query
 def q_star_select(spark, sf_dir):
-    return M.star_select(_gold(spark, sf_dir, ["genres"]), "genres")
+    return _nullable_ids_as_double(M.star_select(_gold(spark, sf_dir, ["genres"]), "genres"), ["genre_id"])
 
 
 @query
