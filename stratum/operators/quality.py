@@ -67,3 +67,27 @@ def assert_same_columns(frame_columns: list[str], table_columns: list[str],
             f"Column mismatch for {target_name}!\n"
             f"  In table but not in DataFrame: {sorted(missing) or 'none'}\n"
             f"  In DataFrame but not in table: {sorted(extra) or 'none'}")
+
+
+def declared_tests(tables: dict[str, DataFrame], tests: list[tuple[str, str, str]]) -> DataFrame:
+    """Run declared column tests and report failures: one row per test with
+    (table_name, column_name, test, failures).
+
+    ``tests`` holds (table, column, "not_null" | "unique").  Each test is one
+    aggregate over its table (a global count for not_null, a grouped count for
+    unique); the reports are unioned, so the result has one row per test.
+    """
+    out = None
+    for table, column, kind in tests:
+        df = tables[table]
+        if kind == "not_null":
+            fails = df.agg(F.count(F.when(F.col(column).isNull(), 1)).cast("long").alias("failures"))
+        elif kind == "unique":
+            fails = unique_failures(df, column).agg(
+                F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("failures"))
+        else:
+            raise ValueError(kind)
+        row = fails.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
+                           F.lit(kind).alias("test"), "failures")
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -394,3 +394,25 @@ SELECT l_orderkey, l_linenumber, CAST(COUNT(*) AS BIGINT) AS n_rows FROM lineite
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
 """
+
+_SOURCE_TESTS = [("anime", "anime_id", "unique"), ("anime", "anime_id", "not_null")] + [
+    (f"links_anime_{k}", c, "not_null")
+    for k, p in [("producers", "producer"), ("licensors", "licensor"), ("studios", "studio"),
+                 ("genres", "genre"), ("themes", "theme"), ("demographics", "demographic")]
+    for c in ("anime_id", f"{p}_id")]
+
+
+def _source_test_sql(table, column, kind):
+    src = "lg_nulled" if table == "links_anime_genres" else table
+    if kind == "unique":
+        fails = (f"(SELECT COALESCE(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM {src} "
+                 f"WHERE {column} IS NOT NULL GROUP BY {column} HAVING COUNT(*) > 1))")
+    else:
+        fails = f"(SELECT COUNT(*) FROM {src} WHERE {column} IS NULL)"
+    return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS test, "
+            f"CAST({fails} AS BIGINT) AS failures")
+
+
+ORACLES["q_dq_source_tests"] = PREFIX + """,
+lg_nulled AS (SELECT anime_id, NULLIF(genre_id, 1) AS genre_id, genre_name FROM links_anime_genres)
+""" + "\nUNION ALL\n".join(_source_test_sql(*t) for t in _SOURCE_TESTS) + "\n"

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..operators.quality import assert_key
+from ..operators.quality import assert_key, declared_tests
 from ..operators.upsert import overwrite_table, upsert
 from ..session import ensure_checkpoint_dir
 from ..sources import bronze as B
@@ -137,9 +137,19 @@ def export_datamart(spark: SparkSession, root: str, destination: str) -> list[st
     return export_folder(spark, GOLD_TABLES, _p(root, "datamart"), destination)
 
 
+def test_silver(spark: SparkSession, root: str) -> DataFrame:
+    """The declared silver tests (unique / not_null) as a failures report."""
+    silver = {n: read_silver(spark, root, n) for n in silver_tables()}
+    return declared_tests(silver, S.SOURCE_TESTS)
+
+
 def run(spark: SparkSession, page_root: str, root: str) -> dict:
-    """The monthly run: load new batches, curate the latest, rebuild gold."""
+    """The monthly run: load new batches, curate the latest, test silver,
+    rebuild gold."""
     appended = load_missing_batches(spark, page_root, root)
     counts = load_curated(spark, root)
+    failures = {(r.table_name, r.column_name, r.test): r.failures
+                for r in test_silver(spark, root).where("failures > 0").collect()}
     tables = build_datamart(spark, root)
-    return {"appended": appended, "silver_rows": counts, "gold_tables": tables}
+    return {"appended": appended, "silver_rows": counts, "test_failures": failures,
+            "gold_tables": tables}

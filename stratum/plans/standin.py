@@ -102,11 +102,12 @@ def link_rows(t: Tables, kind: str) -> DataFrame:
     i, n = S.link_cols(prefix)
     li = _lines(t)
     if kind in ("genres", "producers"):
-        p = t.part.select("p_partkey", "p_brand", "p_name")
+        # the brand number is derived on the part side, once per part
+        p = t.part.select("p_partkey", "p_brand", "p_name",
+                          F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("p_brand_id"))
         j = li.join(p, li.l_partkey == p.p_partkey)
         if kind == "genres":
-            cols = [F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias(i),
-                    F.col("p_brand").alias(n)]
+            cols = [F.col("p_brand_id").alias(i), F.col("p_brand").alias(n)]
         else:
             cols = [F.col("p_partkey").alias(i), F.col("p_name").alias(n)]
     elif kind in ("studios", "licensors", "themes"):

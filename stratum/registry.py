@@ -386,6 +386,16 @@ def q_dq_not_null(spark, sf_dir):
     return Q.not_null_failures(o, "o_orderpriority").select("o_orderkey")
 
 
+@query
+def q_dq_source_tests(spark, sf_dir):
+    """The declared silver tests on the title model, with some link ids blanked
+    (genre 1 -> NULL) so the not_null test of that column reports failures."""
+    silver = standin.silver(_tables(spark, sf_dir))
+    silver["links_anime_genres"] = silver["links_anime_genres"].withColumn(
+        "genre_id", F.nullif("genre_id", F.lit(1)))
+    return Q.declared_tests(silver, S.SOURCE_TESTS)
+
+
 @query
 def q_dq_unique(spark, sf_dir):
     return Q.unique_failures(_tables(spark, sf_dir).orders, "o_custkey")

@@ -29,6 +29,11 @@ PAGE_SIZE = 25
 # Page-level popularity cut: a page is kept while its last record has at least
 # this many members.
 MIN_MEMBERS = 10000
+# Declared tests of the silver tables: unique + not_null on the entity key,
+# not_null on both key columns of every link table.
+SOURCE_TESTS = [("anime", "anime_id", "unique"), ("anime", "anime_id", "not_null")] + [
+    (f"links_anime_{kind}", col, "not_null")
+    for kind, prefix in LINK_KINDS for col in ("anime_id", f"{prefix}_id")]
 # Dashboard defaults: year window and minimum group support.
 DEFAULT_YEAR_RANGE = (2010, 2024)
 MIN_SUPPORT = 5

@@ -64,6 +64,7 @@ def test_two_batches_end_to_end(spark, tmp_root):
     write_batch(pages, 1, batch1())
     out = P.run(spark, pages, wh)
     assert out["appended"] == 2 and out["silver_rows"]["anime"] == 3
+    assert out["test_failures"] == {}
     g = P.read_datamart(spark, wh)
     f = {r.anime_id: r for r in g["f_anime"].collect()}
     assert set(f) == {1, 2, 3}
