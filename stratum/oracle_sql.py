@@ -249,28 +249,28 @@ LEFT JOIN d_genres g ON l.genre_id = g.genre_id
 """
 
 ORACLES["q_duration_minutes"] = """
+WITH p AS (SELECT p_partkey, p_size, p_type, p_size <= 25 AS small, CAST(ceil(p_size / 20) AS INTEGER) AS h FROM part)
 SELECT p_partkey,
-  CASE p_partkey % 9
-    WHEN 0 THEN CAST(p_size AS VARCHAR) || ' min per ep'
-    WHEN 1 THEN CAST(p_size % 3 + 1 AS VARCHAR) || ' hr ' || CAST(p_size AS VARCHAR) || ' min per ep'
-    WHEN 2 THEN CAST(p_size AS VARCHAR) || ' min'
-    WHEN 3 THEN CAST(p_size AS VARCHAR) || ' min ' || CAST(p_size AS VARCHAR) || ' sec'
-    WHEN 4 THEN CAST(p_size % 3 + 1 AS VARCHAR) || ' hr ' || CAST(p_size AS VARCHAR) || ' min '
-                || CAST(p_size AS VARCHAR) || ' sec'
-    WHEN 5 THEN CAST(p_size AS VARCHAR) || ' sec per ep'
-    WHEN 6 THEN CAST(p_size % 3 + 1 AS VARCHAR) || ' hr'
-    WHEN 7 THEN 'Unknown'
+  CASE
+    WHEN p_type = 'STANDARD' AND small THEN CAST(p_size AS VARCHAR) || ' min per ep'
+    WHEN p_type = 'STANDARD' THEN CAST(h AS VARCHAR) || ' hr ' || CAST(p_size AS VARCHAR) || ' min per ep'
+    WHEN p_type = 'LARGE' AND small THEN CAST(p_size AS VARCHAR) || ' min'
+    WHEN p_type = 'LARGE' THEN CAST(p_size AS VARCHAR) || ' min ' || CAST(p_size AS VARCHAR) || ' sec'
+    WHEN p_type = 'SMALL' AND small THEN CAST(h AS VARCHAR) || ' hr ' || CAST(p_size AS VARCHAR) || ' min '
+                                         || CAST(p_size AS VARCHAR) || ' sec'
+    WHEN p_type = 'SMALL' THEN CAST(p_size AS VARCHAR) || ' sec per ep'
+    WHEN p_type = 'ECONOMY' THEN CAST(h AS VARCHAR) || ' hr'
+    WHEN p_type = 'PROMO' THEN 'Unknown'
     ELSE CAST(p_size AS VARCHAR) || ' MIN' END AS duration,
-  CASE p_partkey % 9
-    WHEN 0 THEN CAST(p_size AS FLOAT)
-    WHEN 1 THEN CAST((p_size % 3 + 1) * 60 + p_size AS FLOAT)
-    WHEN 2 THEN CAST(p_size AS FLOAT)
-    WHEN 3 THEN CAST(p_size AS FLOAT)
-    WHEN 4 THEN CAST((p_size % 3 + 1) * 60 + p_size AS FLOAT)
-    WHEN 5 THEN CAST(CAST(p_size AS FLOAT) / 60.0 AS FLOAT)
-    WHEN 6 THEN CAST((p_size % 3 + 1) * 60 AS FLOAT)
+  CASE
+    WHEN p_type = 'STANDARD' AND small THEN CAST(p_size AS FLOAT)
+    WHEN p_type = 'STANDARD' THEN CAST(h * 60 + p_size AS FLOAT)
+    WHEN p_type = 'LARGE' THEN CAST(p_size AS FLOAT)
+    WHEN p_type = 'SMALL' AND small THEN CAST(h * 60 + p_size AS FLOAT)
+    WHEN p_type = 'SMALL' THEN CAST(CAST(p_size AS FLOAT) / 60.0 AS FLOAT)
+    WHEN p_type = 'ECONOMY' THEN CAST(h * 60 AS FLOAT)
     ELSE CAST(NULL AS FLOAT) END AS minutes
-FROM part
+FROM p
 """
 
 # ------------------------------------------------------------ silver, json

@@ -217,19 +217,21 @@ def q_star_select(spark, sf_dir):
 
 @query
 def q_duration_minutes(spark, sf_dir):
-    """Duration text in nine formats built from part rows, parsed to minutes."""
+    """Duration text in nine formats built from every part row (format chosen
+    by part type and size band), parsed to minutes."""
     p = _tables(spark, sf_dir).part
     s = F.col("p_size").cast("string")
-    h = ((F.col("p_size") % 3) + 1).cast("string")
-    k = F.col("p_partkey") % 9
-    text = (F.when(k == 0, F.concat(s, F.lit(" min per ep")))
-            .when(k == 1, F.concat(h, F.lit(" hr "), s, F.lit(" min per ep")))
-            .when(k == 2, F.concat(s, F.lit(" min")))
-            .when(k == 3, F.concat(s, F.lit(" min "), s, F.lit(" sec")))
-            .when(k == 4, F.concat(h, F.lit(" hr "), s, F.lit(" min "), s, F.lit(" sec")))
-            .when(k == 5, F.concat(s, F.lit(" sec per ep")))
-            .when(k == 6, F.concat(h, F.lit(" hr")))
-            .when(k == 7, F.lit("Unknown"))
+    h = F.ceil(F.col("p_size") / 20).cast("string")          # 1..3 hours
+    small = F.col("p_size") <= 25
+    ty = F.col("p_type")
+    text = (F.when((ty == "STANDARD") & small, F.concat(s, F.lit(" min per ep")))
+            .when((ty == "STANDARD") & ~small, F.concat(h, F.lit(" hr "), s, F.lit(" min per ep")))
+            .when((ty == "LARGE") & small, F.concat(s, F.lit(" min")))
+            .when((ty == "LARGE") & ~small, F.concat(s, F.lit(" min "), s, F.lit(" sec")))
+            .when((ty == "SMALL") & small, F.concat(h, F.lit(" hr "), s, F.lit(" min "), s, F.lit(" sec")))
+            .when((ty == "SMALL") & ~small, F.concat(s, F.lit(" sec per ep")))
+            .when(ty == "ECONOMY", F.concat(h, F.lit(" hr")))
+            .when(ty == "PROMO", F.lit("Unknown"))
             .otherwise(F.concat(s, F.lit(" MIN"))))
     return (p.select("p_partkey", text.alias("duration"))
             .withColumn("minutes", duration_minutes("duration")))
