@@ -44,9 +44,17 @@ def surrogate_dims(entity: DataFrame, specs: list[tuple[str, str]]) -> dict[str,
     per-dimension window and the broadcast.  Above the bound the values are
     numbered by the distributed ``dense_index`` instead and joined normally.
     """
+    types = {entity.schema[c].dataType.simpleString() for c, _ in specs}
+    if len(types) > 1:
+        # values are ordered in their own type, so only same-typed columns share a pass
+        out: dict[str, DataFrame] = {}
+        for t in sorted(types):
+            out.update(surrogate_dims(entity, [sp for sp in specs
+                                               if entity.schema[sp[0]].dataType.simpleString() == t]))
+        return out
     stacked = None
     for k, (column, _) in enumerate(specs):
-        part = (entity.select(F.lit(k).alias("__dim"), F.col(column).cast("string").alias("__v"))
+        part = (entity.select(F.lit(k).alias("__dim"), F.col(column).alias("__v"))
                 .where(F.col("__v").isNotNull()))
         stacked = part if stacked is None else stacked.unionByName(part)
     values = stacked.distinct()
@@ -65,8 +73,7 @@ def surrogate_dims(entity: DataFrame, specs: list[tuple[str, str]]) -> dict[str,
     out = {}
     for k, (column, id_col) in enumerate(specs):
         dim = (based.where(F.col("__dim") == k)
-               .select(F.col("__id").alias(id_col),
-                       F.col("__v").cast(entity.schema[column].dataType).alias(column)))
+               .select(F.col("__id").alias(id_col), F.col("__v").alias(column)))
         out[column] = wrap(dim)
     return out
 

@@ -115,3 +115,11 @@ def test_surrogate_dims_large_path_matches_small(spark, monkeypatch):
     assert small == large
     assert [i for i, _ in small["b"]] == [1, 2, 3, 4, 5]
     assert sorted(v for _, v in small["a"]) == sorted(f"v{i}" for i in range(37))
+
+
+def test_surrogate_ids_follow_native_order(spark):
+    from stratum.plans.gold import surrogate_dims
+    df = spark.createDataFrame([(10, "b"), (9, "a"), (100, "b")], "n int, s string")
+    d = surrogate_dims(df, [("n", "n_id"), ("s", "s_id")])
+    assert [tuple(r) for r in d["n"].orderBy("n_id").collect()] == [(1, 9), (2, 10), (3, 100)]
+    assert [tuple(r) for r in d["s"].orderBy("s_id").collect()] == [(1, "a"), (2, "b")]
