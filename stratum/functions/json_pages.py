@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 
+def compact_document(doc: Column | str) -> Column:
+    """The whole document re-serialised without layout whitespace, every field
+    kept (``parse_json`` -> ``to_json``, as load-and-dump would do).  Text that
+    is not JSON is kept verbatim: the raw layer loses nothing, and the silver
+    stage decides (``strict``) whether such a page is an error."""
+    d = F.col(doc) if isinstance(doc, str) else doc
+    return F.coalesce(F.to_json(F.try_parse_json(d)), d)
+
+
 def page_records(raw_json: Column | str, strict: bool = False) -> Column:
     """The ``data`` array of a page document as ``array<struct>``.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.misc import last_element, number_in_name
-from ..functions.json_pages import page_records
+from ..functions.json_pages import compact_document, page_records
 from ..operators.sequence import dense_index
 
 
@@ -20,8 +20,8 @@ def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
                     page_glob: str = "page_*.json") -> DataFrame:
     """``root/batch_N/page_P.json`` -> batch_id, page, raw_json (one row per file).
 
-    The document is re-serialised with ``to_json(from_json(...))`` so stored
-    JSON has no layout whitespace, as a parsed-and-dumped document would.
+    The whole document is kept, re-serialised without layout whitespace
+    (``compact_document``).
     ``batch_glob``/``page_glob`` select other layouts, e.g. the one written by
     ``write_page_files`` (``batch_id=*`` / ``page=*/*.txt``).
     """
@@ -31,7 +31,7 @@ def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
     return files.select(
         number_in_name("path", "batch").alias("batch_id"),
         number_in_name("path", "page").alias("page"),
-        F.to_json(F.from_json("doc", S.PAGE)).alias("raw_json"))
+        compact_document("doc").alias("raw_json"))
 
 
 def list_batches(spark: SparkSession, root: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.json_pages import compact_document
 from ..functions.misc import number_in_name
 from ..sources import bronze as B
 
@@ -31,7 +32,7 @@ def page_file_stream(spark: SparkSession, page_root: str, max_files: int | None
     return files.select(
         number_in_name("path", "batch").alias("batch_id"),
         number_in_name("path", "page").alias("page"),
-        F.to_json(F.from_json("doc", S.PAGE)).alias("raw_json"))
+        compact_document("doc").alias("raw_json"))
 
 
 def _append_micro_batch(bronze_path: str):

@@ -36,7 +36,8 @@ def test_scan_and_take_while(spark, tmp_root):
                            3: [rec(3, members=9000)], 4: [rec(4, members=30000)]})
     df = scan_page_files(spark, pages)
     assert sorted((r.batch_id, r.page) for r in df.collect()) == [(1, 1), (1, 2), (1, 3), (1, 4)]
-    assert "\n" not in df.first().raw_json
+    raw = df.first().raw_json
+    assert "\n" not in raw and '"pagination"' in raw and '"images"' in raw   # whole document kept
     kept = take_while_pages(df, 10000)
     assert sorted(r.page for r in kept.collect()) == [1, 2]
     assert [r.batch_id for r in list_batches(spark, pages).collect()] == [1]
