@@ -26,8 +26,13 @@ def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
     ``write_page_files`` (``batch_id=*`` / ``page=*/*.txt``).
     """
     # ``wholetext`` must be the keyword: ``text()`` sets its own default.
-    files = (spark.read.text(f"{root.rstrip('/')}/{batch_glob}/{page_glob}", wholetext=True)
-             .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path")))
+    try:
+        files = (spark.read.text(f"{root.rstrip('/')}/{batch_glob}/{page_glob}", wholetext=True)
+                 .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path")))
+    except Exception as e:  # no batch folder / no page file yet: nothing to load
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], "batch_id int, page int, raw_json string")
     return files.select(
         number_in_name("path", "batch").alias("batch_id"),
         number_in_name("path", "page").alias("page"),

@@ -157,3 +157,10 @@ def test_stream_micro_batch_retry_is_idempotent(spark, tmp_root):
     write(batch, 0)
     write(batch, 0)          # the same epoch replayed
     assert B.read_bronze(spark, bronze_path).count() == 2
+
+
+def test_no_page_files_loads_nothing(spark, tmp_root):
+    pages = os.path.join(tmp_root, "importbatches")
+    os.makedirs(os.path.join(pages, "batch_1"))          # an empty batch folder
+    assert scan_page_files(spark, pages).count() == 0
+    assert P.load_missing_batches(spark, pages, os.path.join(tmp_root, "wh")) == 0
