@@ -21,29 +21,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's: the LIKE patterns of the five
+# branches in order, and the markers the numbers are cut at.
+MIN_PER_EP = "% min per ep%"
+HR_MIN = "%hr%min%"
+ANY_MIN = "% min%"
+ANY_SEC = "%sec%"
+ANY_HR = "%hr%"
+MIN_MARK, SEC_MARK, HR_MARK, HR_SPACE = " min", " sec", " hr", "hr "
+# ---------------------------------------------------------------------------
+
+
 def _to(c: Column, typ: str, strict: bool) -> Column:
     return c.cast(typ) if strict else c.try_cast(typ)
 
 
 def duration_minutes(duration: Column | str, strict: bool = True) -> Column:
     d = F.col(duration) if isinstance(duration, str) else duration
-    before_min = F.split_part(d, F.lit(" min"), F.lit(1))
-    before_sec = F.split_part(d, F.lit(" sec"), F.lit(1))
-    before_hr = F.split_part(d, F.lit(" hr"), F.lit(1))
+    before_min = F.split_part(d, F.lit(MIN_MARK), F.lit(1))
+    before_sec = F.split_part(d, F.lit(SEC_MARK), F.lit(1))
+    before_hr = F.split_part(d, F.lit(HR_MARK), F.lit(1))
     # 'H hr M min': hours are the text before ' hr'; minutes sit between 'hr '
     # and ' min'.
-    p_hr_sp = F.locate(" hr", d)
-    p_hr = F.locate("hr ", d)
-    p_min = F.locate(" min", d)
+    p_hr_sp = F.locate(HR_MARK, d)
+    p_hr = F.locate(HR_SPACE, d)
+    p_min = F.locate(MIN_MARK, d)
     hours = F.substr(d, F.lit(1), p_hr_sp - 1)
-    mins = F.trim(F.substr(d, p_hr + 3, p_min - p_hr - 3))
-    hr_min = d.like("%hr%min%")
+    mins = F.trim(F.substr(d, p_hr + len(HR_SPACE), p_min - p_hr - len(HR_SPACE)))
+    hr_min = d.like(HR_MIN)
     return (
-        F.when(d.like("% min per ep%") & ~hr_min, _to(before_min, "int", strict))
+        F.when(d.like(MIN_PER_EP) & ~hr_min, _to(before_min, "int", strict))
         .when(hr_min, _to(hours, "int", strict) * 60 + _to(mins, "int", strict))
-        .when(d.like("% min%"), _to(before_min, "int", strict))
-        .when(d.like("%sec%"), _to(before_sec, "float", strict) / F.lit(60.0))
-        .when(d.like("%hr%"), _to(before_hr, "int", strict) * 60)
+        .when(d.like(ANY_MIN), _to(before_min, "int", strict))
+        .when(d.like(ANY_SEC), _to(before_sec, "float", strict) / F.lit(60.0))
+        .when(d.like(ANY_HR), _to(before_hr, "int", strict) * 60)
         .otherwise(F.lit(None))
         .cast("float")
     )

@@ -46,7 +46,7 @@ def unpack_pages(bronze: DataFrame, strict: bool = False) -> DataFrame:
         F.col("id").alias("raw_id"), "batch_id", "page",
         F.posexplode(page_records("raw_json", strict)).alias("rec_pos", "rec"))
     flat = exploded.select("raw_id", "batch_id", "page", "rec_pos", "rec.*")
-    return flat.withColumnsRenamed({"mal_id": "anime_id", "episodes": "no_of_episodes"})
+    return flat.withColumnsRenamed(S.RECORD_RENAMES)
 
 
 def pack_pages(records: DataFrame, page: str = "page", pos: str = "rec_pos",

@@ -34,6 +34,8 @@ MIN_MEMBERS = 10000
 SOURCE_TESTS = [("anime", "anime_id", "unique"), ("anime", "anime_id", "not_null")] + [
     (f"links_anime_{kind}", col, "not_null")
     for kind, prefix in LINK_KINDS for col in ("anime_id", f"{prefix}_id")]
+# Record fields renamed in the silver entity.
+RECORD_RENAMES = {"mal_id": "anime_id", "episodes": "no_of_episodes"}
 # Dashboard defaults: year window and minimum group support.
 DEFAULT_YEAR_RANGE = (2010, 2024)
 MIN_SUPPORT = 5
