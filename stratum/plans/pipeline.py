@@ -59,9 +59,84 @@ def _read_versioned(spark: SparkSession, path: str, name: str) -> DataFrame | No
         raise
 
 
+class SilverStore:
+    """Where the versioned silver tables live.
+
+    Default: parquet folders ``root/curated/<table>`` partitioned by
+    ``_version``.  With ``buckets`` (and a ``database`` name for the catalog)
+    the same folders are catalog tables bucketed -- and sorted -- by the table
+    key: the current version is then read already hash-partitioned by key, so
+    the upsert's anti join shuffles only the batch, never the whole table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
+                 database: str | None = None):
+        if buckets and not database:
+            raise ValueError("a bucketed silver store needs a catalog database name")
+        self.spark, self.root, self.buckets, self.database = spark, root, buckets, database
+
+    def path(self, name: str) -> str:
+        return _p(self.root, "curated", name)
+
+    def table(self, name: str) -> str:
+        return f"`{self.database}`.`{name}`"
+
+    def _ensure_table(self, name: str) -> None:
+        """Register the bucketed table over its folder (once per session)."""
+        if self.spark.catalog.tableExists(f"{self.database}.{name}"):
+            return
+        key = silver_tables()[name][1]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _versioned_schema(name).fields)
+        keys = ", ".join(f"`{k}`" for k in key)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+        self.spark.sql(
+            f"CREATE TABLE {self.table(name)} ({cols}) USING parquet PARTITIONED BY (`{VERSION}`) "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{self.path(name)}'")
+        try:  # pick up versions written by earlier sessions
+            self.spark.sql(f"ALTER TABLE {self.table(name)} RECOVER PARTITIONS")
+        except Exception as e:  # a new table: its folder does not exist yet
+            if "does not exist" not in str(e) and "PATH_NOT_FOUND" not in str(e):
+                raise
+
+    def _all_versions(self, name: str) -> DataFrame | None:
+        if self.buckets:
+            self._ensure_table(name)
+            return self.spark.table(self.table(name))
+        return _read_versioned(self.spark, self.path(name), name)
+
+    def current_version(self, name: str) -> int | None:
+        """Highest ``_version`` (None if there is none); partition values only."""
+        df = self._all_versions(name)
+        if df is None:
+            return None
+        row = df.select(F.max(VERSION)).first()
+        return None if row is None or row[0] is None else int(row[0])
+
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        """A version (default: the current one); empty before the first load."""
+        v = self.current_version(name) if version is None else version
+        if v is None:
+            return self.spark.createDataFrame([], S.silver_schema(name))
+        # Equality on the partition column: only that version's folder is read.
+        return self._all_versions(name).where(F.col(VERSION) == v).drop(VERSION)
+
+    def write_version(self, name: str, df: DataFrame, version: int) -> int:
+        """Append ``df`` as version ``version``; returns the rows written."""
+        cols = silver_tables()[name][0]
+        obs = Observation()
+        out = (df.select(*cols).withColumn(VERSION, F.lit(version).cast("int"))
+               .observe(obs, F.count(F.lit(1)).alias("n")))
+        if self.buckets:
+            self._ensure_table(name)
+            out.write.mode("append").insertInto(self.table(name))
+        else:
+            out.write.mode("append").partitionBy(VERSION).parquet(self.path(name))
+        return int(obs.get["n"])
+
+
 def current_version(spark: SparkSession, path: str, name: str) -> int | None:
-    """Highest ``_version`` of a versioned table (None if there is none).
-    Reads partition values only."""
+    """Highest ``_version`` of a path-based silver table (None if there is none)."""
     df = _read_versioned(spark, path, name)
     if df is None:
         return None
@@ -69,14 +144,10 @@ def current_version(spark: SparkSession, path: str, name: str) -> int | None:
     return None if row is None or row[0] is None else int(row[0])
 
 
-def read_silver(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_silver(spark: SparkSession, root: str, name: str, buckets: int | None = None,
+                database: str | None = None) -> DataFrame:
     """Current version of a silver table (an empty frame before the first load)."""
-    path = _p(root, "curated", name)
-    v = current_version(spark, path, name)
-    if v is None:
-        return spark.createDataFrame([], S.silver_schema(name))
-    # Equality on the partition column: only that version's folder is listed.
-    return _read_versioned(spark, path, name).where(F.col(VERSION) == v).drop(VERSION)
+    return SilverStore(spark, root, buckets, database).read(name)
 
 
 def load_missing_batches(spark: SparkSession, page_root: str, root: str) -> int:
@@ -85,10 +156,12 @@ def load_missing_batches(spark: SparkSession, page_root: str, root: str) -> int:
 
 
 def load_curated(spark: SparkSession, root: str, batch_id: int | None = None,
-                 strict: bool = False) -> dict[str, int]:
+                 strict: bool = False, buckets: int | None = None,
+                 database: str | None = None) -> dict[str, int]:
     """Latest (or given) batch -> staging overwrite -> checks -> upsert into a
     new silver version.  Returns rows per silver table after the upsert."""
     ensure_checkpoint_dir(spark)
+    store = SilverStore(spark, root, buckets, database)
     bronze = B.read_bronze(spark, _p(root, "raw", "api_data"))
     staging = build_silver(bronze, batch_id, strict)
     counts: dict[str, int] = {}
@@ -98,24 +171,17 @@ def load_curated(spark: SparkSession, root: str, batch_id: int | None = None,
         staged = spark.read.schema(S.silver_schema(name)).parquet(stage_path)
         not_null = ["raw_id"] if name == "anime" else []
         assert_key(staged, key, not_null, name=f"curated.{name}_merge")
-        target_path = _p(root, "curated", name)
-        v = current_version(spark, target_path, name)
-        if v is None:
-            merged = staged
-        else:
-            target = read_silver(spark, root, name)
-            merged = upsert(target, staged, key)
-        obs = Observation()
-        (merged.select(*cols).withColumn(VERSION, F.lit((v or 0) + 1))
-         .observe(obs, F.count(F.lit(1)).alias("n"))
-         .write.mode("append").partitionBy(VERSION).parquet(target_path))
-        counts[name] = int(obs.get["n"])
+        v = store.current_version(name)
+        merged = staged if v is None else upsert(store.read(name, v), staged, key)
+        counts[name] = store.write_version(name, merged, (v or 0) + 1)
     return counts
 
 
-def build_datamart(spark: SparkSession, root: str, strict: bool = True) -> list[str]:
+def build_datamart(spark: SparkSession, root: str, strict: bool = True, buckets: int | None = None,
+                   database: str | None = None) -> list[str]:
     """Full refresh of the gold tables from the current silver version."""
-    silver = {n: read_silver(spark, root, n) for n in silver_tables()}
+    store = SilverStore(spark, root, buckets, database)
+    silver = {n: store.read(n) for n in silver_tables()}
     gold = build_gold(silver, strict=strict, sort_links=True)
     for name in gold:
         materialize(gold[name], name, path=_p(root, "datamart", name))
@@ -137,19 +203,22 @@ def export_datamart(spark: SparkSession, root: str, destination: str) -> list[st
     return export_folder(spark, GOLD_TABLES, _p(root, "datamart"), destination)
 
 
-def test_silver(spark: SparkSession, root: str) -> DataFrame:
+def test_silver(spark: SparkSession, root: str, buckets: int | None = None,
+                database: str | None = None) -> DataFrame:
     """The declared silver tests (unique / not_null) as a failures report."""
-    silver = {n: read_silver(spark, root, n) for n in silver_tables()}
+    store = SilverStore(spark, root, buckets, database)
+    silver = {n: store.read(n) for n in silver_tables()}
     return declared_tests(silver, S.SOURCE_TESTS)
 
 
-def run(spark: SparkSession, page_root: str, root: str) -> dict:
+def run(spark: SparkSession, page_root: str, root: str, buckets: int | None = None,
+        database: str | None = None) -> dict:
     """The monthly run: load new batches, curate the latest, test silver,
-    rebuild gold."""
+    rebuild gold.  ``buckets``/``database`` select the bucketed silver store."""
     appended = load_missing_batches(spark, page_root, root)
-    counts = load_curated(spark, root)
+    counts = load_curated(spark, root, buckets=buckets, database=database)
     failures = {(r.table_name, r.column_name, r.test): r.failures
-                for r in test_silver(spark, root).where("failures > 0").collect()}
-    tables = build_datamart(spark, root)
+                for r in test_silver(spark, root, buckets, database).where("failures > 0").collect()}
+    tables = build_datamart(spark, root, buckets=buckets, database=database)
     return {"appended": appended, "silver_rows": counts, "test_failures": failures,
             "gold_tables": tables}

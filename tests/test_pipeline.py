@@ -3,6 +3,7 @@ then a second batch that changes, drops and renames things."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rec, write_batch
@@ -59,11 +60,14 @@ def test_incremental_batches(spark, tmp_root):
         [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 2)]
 
 
-def test_two_batches_end_to_end(spark, tmp_root):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_two_batches_end_to_end(spark, tmp_root, buckets):
     pages = os.path.join(tmp_root, "importbatches")
     wh = os.path.join(tmp_root, "warehouse")
+    db = f"silver_{os.path.basename(tmp_root).replace('-', '_')}" if buckets else None
+    kw = {"buckets": buckets, "database": db}
     write_batch(pages, 1, batch1())
-    out = P.run(spark, pages, wh)
+    out = P.run(spark, pages, wh, **kw)
     assert out["appended"] == 2 and out["silver_rows"]["anime"] == 3
     assert out["test_failures"] == {}
     g = P.read_datamart(spark, wh)
@@ -75,7 +79,7 @@ def test_two_batches_end_to_end(spark, tmp_root):
     assert f[3].source_id is None
 
     write_batch(pages, 2, batch2())
-    out2 = P.run(spark, pages, wh)
+    out2 = P.run(spark, pages, wh, **kw)
     assert out2["appended"] == 1
     assert out2["silver_rows"]["anime"] == 3                   # title 2 dropped upstream, kept
     g = P.read_datamart(spark, wh)
@@ -93,9 +97,9 @@ def test_two_batches_end_to_end(spark, tmp_root):
     assert k.total_members == 51000 + 30500
 
     # the silver keeps versions; a re-run of curation is idempotent
-    before = P.read_silver(spark, wh, "anime").drop("loaded_at").collect()
-    P.load_curated(spark, wh)
-    after = P.read_silver(spark, wh, "anime").drop("loaded_at").collect()
+    before = P.read_silver(spark, wh, "anime", **kw).drop("loaded_at").collect()
+    P.load_curated(spark, wh, **kw)
+    after = P.read_silver(spark, wh, "anime", **kw).drop("loaded_at").collect()
     assert sorted(before) == sorted(after)
 
     dst = os.path.join(tmp_root, "export")
@@ -164,3 +168,37 @@ def test_no_page_files_loads_nothing(spark, tmp_root):
     os.makedirs(os.path.join(pages, "batch_1"))          # an empty batch folder
     assert scan_page_files(spark, pages).count() == 0
     assert P.load_missing_batches(spark, pages, os.path.join(tmp_root, "wh")) == 0
+
+
+def test_bucketed_upsert_does_not_shuffle_the_table(spark, tmp_root):
+    """With the bucketed store the current version is read hash-partitioned by
+    key: a sort-merge anti join shuffles only the batch side."""
+    from stratum.operators.upsert import upsert
+    db = f"silver_{os.path.basename(tmp_root).replace('-', '_')}"
+    store = P.SilverStore(spark, os.path.join(tmp_root, "wh"), buckets=8, database=db)
+    name, (cols, key) = "links_anime_genres", P.silver_tables()["links_anime_genres"]
+    rows = spark.range(0, 2000).select(F.col("id").cast("int").alias("anime_id"),
+                                       (F.col("id") % 7).cast("int").alias("genre_id"),
+                                       F.lit("g").alias("genre_name"),
+                                       F.current_timestamp().alias("loaded_at"))
+    assert store.write_version(name, rows, 1) == 2000
+    batch = rows.where("anime_id < 300").withColumn("genre_name", F.lit("h"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert(store.read(name), batch, key)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+        # two exchanges in all would mean the table side was shuffled too
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert store.write_version(name, merged, 2) == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    got = store.read(name)
+    assert got.where("genre_name = 'h'").count() == 300 and got.count() == 2000
+    # a later session: the catalog entry is gone (external table: data stays)
+    spark.sql(f"DROP TABLE {store.table(name)}")
+    assert store.current_version(name) == 2
+    assert store.read(name).where("genre_name = 'h'").count() == 300
