@@ -60,9 +60,11 @@ def stream_pages_to_bronze(spark: SparkSession, page_root: str, bronze_path: str
 
 
 def stream_pages_to_silver(spark: SparkSession, page_root: str, root: str,
-                           checkpoint: str, available_now: bool = True):
+                           checkpoint: str, available_now: bool = True,
+                           buckets: int | None = None, database: str | None = None):
     """Like ``stream_pages_to_bronze``, then curate each micro-batch's latest
-    batch into silver (staging overwrite + upsert)."""
+    batch into silver (staging overwrite + upsert; ``buckets``/``database``
+    select the bucketed silver store)."""
     from ..plans.pipeline import _p, load_curated
 
     bronze_path = _p(root, "raw", "api_data")
@@ -72,7 +74,7 @@ def stream_pages_to_silver(spark: SparkSession, page_root: str, root: str,
         if batch.isEmpty():
             return
         append(batch, epoch_id)
-        load_curated(batch.sparkSession, root)
+        load_curated(batch.sparkSession, root, buckets=buckets, database=database)
 
     w = (page_file_stream(spark, page_root).writeStream.foreachBatch(write)
          .option("checkpointLocation", checkpoint))
