@@ -45,3 +45,10 @@ def test_malformed_document(spark):
     assert build_silver(bronze_from_pages(rows))["anime"].count() == 0
     with pytest.raises(Exception):
         build_silver(bronze_from_pages(rows), strict=True)["anime"].collect()
+
+
+def test_empty_raw_table_gives_empty_silver(spark):
+    from stratum.sources.bronze import empty_bronze
+    s = build_silver(empty_bronze(spark))
+    assert s["anime"].count() == 0
+    assert all(s[f"links_anime_{k}"].count() == 0 for k in ("genres", "studios"))
