@@ -10,9 +10,11 @@ Inputs: ``silver["anime"]`` (entity, every batch upserted in) and
   d_<kind>                distinct (id, name) of each link kind (all batches)
   links_<kind>            (anime_id, X_id) of each link kind (all batches)
 
-Joins against the dimensions are written as plain equi-joins: their size is
-only known once the distinct has run, so the broadcast decision is Spark's
-(size-checked at plan time and again by AQE on the real shuffle output).
+The surrogate-key dimensions are counted when built and broadcast only under
+a row bound (``operators.joins.MAX_BROADCAST_ROWS``).  Natural-key dimensions
+are plain equi-joins for the consumers: their size is only known once the
+distinct has run, so the broadcast decision is Spark's (size-checked at plan
+time and again by AQE on the real shuffle output).
 """
 
 from __future__ import annotations
