@@ -158,6 +158,19 @@ SELECT genre_name, CAST(anime_count AS BIGINT) AS anime_count, CAST(members AS B
 FROM gs ORDER BY members DESC, genre_name LIMIT 15
 """
 
+ORACLES["q_category_summary_top15_dedup"] = PREFIX + """,
+titles AS (SELECT f.*, src.source FROM f_anime f LEFT JOIN d_sources src ON f.source_id = src.source_id),
+gs AS (
+  SELECT dg.genre_name, COUNT(t.anime_id) AS anime_count, SUM(t.members) AS members, AVG(t.score) AS score
+  FROM links_genres lg JOIN d_genres dg ON lg.genre_id = dg.genre_id
+  JOIN (SELECT anime_id, members, score FROM titles) t ON lg.anime_id = t.anime_id
+  WHERE dg.genre_name IS NOT NULL
+  GROUP BY dg.genre_name
+)
+SELECT genre_name, CAST(anime_count AS BIGINT) AS anime_count, CAST(members AS BIGINT) AS members, score
+FROM gs ORDER BY members DESC, genre_name LIMIT 15
+"""
+
 ORACLES["q_source_analysis"] = PREFIX + """
 SELECT source, AVG(score) AS score, AVG(popularity) AS popularity, CAST(COUNT(anime_id) AS BIGINT) AS anime_count
 FROM filtered WHERE source IS NOT NULL GROUP BY source
@@ -175,6 +188,13 @@ SELECT source, CAST(COUNT(anime_id) AS BIGINT) AS anime_count, AVG(members) AS m
 FROM filtered WHERE source IS NOT NULL GROUP BY source ORDER BY members DESC
 """
 
+ORACLES["q_source_summary_dedup"] = PREFIX + """,
+t AS (SELECT f.*, src.source FROM f_anime f LEFT JOIN d_sources src ON f.source_id = src.source_id
+      WHERE f.year BETWEEN {lo} AND {hi})
+SELECT source, CAST(COUNT(anime_id) AS BIGINT) AS anime_count, AVG(members) AS members, AVG(score) AS score
+FROM t WHERE source IS NOT NULL GROUP BY source
+""".format(lo=YEARS[0], hi=YEARS[1])
+
 _YEAR_TREND = """
 SELECT year, CAST(COUNT(anime_id) AS BIGINT) AS anime_count, CAST(COALESCE(SUM(members), 0) AS BIGINT) AS members,
        AVG(score) AS score

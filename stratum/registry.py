@@ -102,6 +102,12 @@ def q_category_summary_top15(spark, sf_dir):
     return M.genre_top(g, M.titles(g), 15)
 
 
+@query
+def q_category_summary_top15_dedup(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    return M.genre_top(g, M.titles(g, fanout=False), 15)
+
+
 @query
 def q_source_analysis(spark, sf_dir):
     return M.source_analysis(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
@@ -117,6 +123,11 @@ def q_source_summary(spark, sf_dir):
     return M.source_summary(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
 
 
+@query
+def q_source_summary_dedup(spark, sf_dir):
+    return M.source_summary(_filtered(_gold(spark, sf_dir, ["licensors", "genres"]), fanout=False))
+
+
 @query
 def q_year_trend(spark, sf_dir):
     return M.year_trend(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
