@@ -26,7 +26,7 @@ from ..operators.upsert import overwrite_table, upsert
 from ..session import ensure_checkpoint_dir
 from ..sources import bronze as B
 from ..sources.catalog import export_folder, materialize
-from ..sources.pages import scan_page_files
+from ..sources.pages import list_page_files, scan_page_files
 from .gold import build_gold
 from .silver import build_silver
 
@@ -151,8 +151,23 @@ def read_silver(spark: SparkSession, root: str, name: str, buckets: int | None =
 
 
 def load_missing_batches(spark: SparkSession, page_root: str, root: str) -> int:
-    """Append every batch folder not yet in the raw table; rows appended."""
-    return B.append_batches(spark, scan_page_files(spark, page_root), _p(root, "raw", "api_data"))
+    """Append every batch folder not yet in the raw table; rows appended.
+
+    The batches present are taken from the file listing (no file is read);
+    only the folders of missing batches are then read.  Their folder names
+    come to the driver to build that path glob: one short name per batch
+    folder, never page content.
+    """
+    bronze_path = _p(root, "raw", "api_data")
+    bronze = B.read_bronze(spark, bronze_path)
+    listed = list_page_files(spark, page_root)
+    missing = B.missing_batches(listed, bronze)
+    folders = sorted(r.folder for r in listed.join(missing, "batch_id", "left_semi")
+                     .select("folder").distinct().collect())
+    if not folders:
+        return 0
+    batch_glob = "{" + ",".join(folders) + "}"
+    return B.append_batches(spark, scan_page_files(spark, page_root, batch_glob), bronze_path)
 
 
 def load_curated(spark: SparkSession, root: str, batch_id: int | None = None,

@@ -39,9 +39,26 @@ def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
         compact_document("doc").alias("raw_json"))
 
 
+def list_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
+                    page_glob: str = "page_*.json") -> DataFrame:
+    """batch_id, page, path of every page file, from the file listing only
+    (the ``binaryFile`` source does not read a file's content unless the
+    ``content`` column is selected)."""
+    try:
+        files = (spark.read.format("binaryFile")
+                 .load(f"{root.rstrip('/')}/{batch_glob}/{page_glob}").select("path"))
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], "batch_id int, page int, folder string, path string")
+    return files.select(number_in_name("path", "batch").alias("batch_id"),
+                        number_in_name("path", "page").alias("page"),
+                        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"), "path")
+
+
 def list_batches(spark: SparkSession, root: str) -> DataFrame:
     """Distinct batch ids of the batch folders under ``root`` that hold pages."""
-    return scan_page_files(spark, root).select("batch_id").distinct()
+    return list_page_files(spark, root).select("batch_id").distinct()
 
 
 def write_page_files(pages: DataFrame, root: str) -> None:

@@ -202,3 +202,17 @@ def test_bucketed_upsert_does_not_shuffle_the_table(spark, tmp_root):
     spark.sql(f"DROP TABLE {store.table(name)}")
     assert store.current_version(name) == 2
     assert store.read(name).where("genre_name = 'h'").count() == 300
+
+
+def test_missing_batches_read_from_listing(spark, tmp_root):
+    from stratum.sources.pages import list_page_files
+    pages = os.path.join(tmp_root, "importbatches")
+    write_batch(pages, 1, {1: [rec(1)]})
+    write_batch(pages, 2, {1: [rec(2)], 2: [rec(3)]})
+    got = sorted((r.batch_id, r.page, r.folder) for r in list_page_files(spark, pages).collect())
+    assert got == [(1, 1, "batch_1"), (2, 1, "batch_2"), (2, 2, "batch_2")]
+    wh = os.path.join(tmp_root, "wh")
+    assert P.load_missing_batches(spark, pages, wh) == 3
+    write_batch(pages, 3, {1: [rec(4)]})
+    assert P.load_missing_batches(spark, pages, wh) == 1
+    assert P.load_missing_batches(spark, pages, wh) == 0
