@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.misc import fmt_2dp, fmt_thousands
 from ..operators.shares import share_of_total, share_within
 from ..operators.topk import keep_members, top_k
 
@@ -129,6 +130,13 @@ def kpis(t: DataFrame) -> DataFrame:
     return t.agg(w_mean("score").alias("avg_score"), w_sum("members").alias("total_members"))
 
 
+def kpi_labels(k: DataFrame) -> DataFrame:
+    """The two KPI numbers as display text: mean score with two decimals,
+    total members with thousands separators."""
+    return k.select(fmt_2dp("avg_score").alias("avg_score_label"),
+                    fmt_thousands("total_members").alias("total_members_label"))
+
+
 def bubble_rows(enr: DataFrame) -> DataFrame:
     """Rows of the score-vs-members chart (one per enriched row)."""
     return enr.select("anime_id", "title_english", "score", "members", "favorites", "genre_name")

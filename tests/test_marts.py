@@ -47,6 +47,12 @@ def test_fanout_asis_vs_dedup(spark):
     assert asis.avg_score == pytest.approx(5.0)
 
 
+def test_kpi_labels(spark):
+    g = gold_of(spark, [dict(anime_id=1, members=1234567, score=7.456)])
+    r = M.kpi_labels(M.kpis(M.titles(g))).first()
+    assert (r.avg_score_label, r.total_members_label) == ("7.46", "1,234,567")
+
+
 def test_null_group_key_and_empty_sums(spark):
     g = gold_of(spark, [dict(anime_id=1, source="a"), dict(anime_id=2, source="a"),
                         dict(anime_id=3, source=None), dict(anime_id=4, source="c", score=None,
