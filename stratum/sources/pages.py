@@ -102,16 +102,20 @@ def take_while_pages(pages: DataFrame, min_members: int = S.MIN_MEMBERS) -> Data
     frame has ``batch_id``.
 
     The stop point is an aggregate (smallest failing page per batch), so the
-    rule is one filter over the pages, not a sequential loop.
+    rule is one filter over the pages, not a sequential loop.  Output: the
+    page rows with ``n_records`` and ``last_members``.
     """
-    probe = page_last_members(pages)
+    data = page_records("raw_json")
+    probed = pages.select(
+        "*",
+        F.coalesce(F.size(data), F.lit(0)).alias("n_records"),
+        last_element(data).getField("members").alias("last_members"))
     ok = (F.col("n_records") > 0) & (F.coalesce(F.col("last_members"), F.lit(0)) >= min_members)
     keys = [c for c in ("batch_id",) if c in pages.columns]
     if keys:
-        bad = probe.where(~ok).groupBy(*keys).agg(F.min("page").alias("__first_bad"))
-        judged = probe.join(bad, keys, "left")
+        bad = probed.where(~ok).groupBy(*keys).agg(F.min("page").alias("__first_bad"))
+        judged = probed.join(bad, keys, "left")
     else:
-        judged = probe.withColumn("__first_bad", probe.where(~ok).select(F.min("page")).scalar())
-    kept = judged.where(F.col("__first_bad").isNull() | (F.col("page") < F.col("__first_bad")))
-    return (pages.join(kept.select(*keys, "page", "n_records", "last_members"), keys + ["page"],
-                       "inner"))
+        judged = probed.withColumn("__first_bad", probed.where(~ok).select(F.min("page")).scalar())
+    return (judged.where(F.col("__first_bad").isNull() | (F.col("page") < F.col("__first_bad")))
+            .drop("__first_bad"))
