@@ -31,14 +31,23 @@ def unique_failures(df: DataFrame, columns: list[str] | str) -> DataFrame:
 
 
 def key_violations(df: DataFrame, key: list[str], not_null: list[str] | None = None) -> dict:
-    """Counts of NULL-key rows and duplicated keys for a primary-key rule.
-
-    One pass for the null counts, one aggregate for duplicates.
-    """
-    nn = list(dict.fromkeys(list(key) + list(not_null or [])))
-    null_counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in nn]).first()
-    dupes = unique_failures(df, key).limit(1).count()
-    return {"nulls": {c: int(null_counts[c]) for c in nn}, "duplicate_keys": bool(dupes)}
+    """Counts of NULL values in key / not-null columns and whether a non-null
+    key occurs twice, from one grouped aggregate (partial counts per key
+    map-side, then one small global aggregate)."""
+    extra = [c for c in dict.fromkeys(not_null or []) if c not in key]
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"__null_{c}") for c in extra])
+    key_null = F.lit(False)
+    for k in key:
+        key_null = key_null | F.col(k).isNull()
+    row = per_key.agg(
+        F.max(F.when(~key_null, F.col("__n"))).alias("__max_n"),
+        *[F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("__n"))), F.lit(0)).alias(k) for k in key],
+        *[F.coalesce(F.sum(f"__null_{c}"), F.lit(0)).alias(c) for c in extra]).first()
+    cols = list(key) + extra
+    return {"nulls": {c: int(row[c]) for c in cols},
+            "duplicate_keys": bool(row["__max_n"] is not None and row["__max_n"] > 1)}
 
 
 def assert_key(df: DataFrame, key: list[str], not_null: list[str] | None = None,

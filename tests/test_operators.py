@@ -101,6 +101,9 @@ def test_quality_checks(spark):
     with pytest.raises(ValueError, match="Constraint violation"):
         Q.assert_key(df, ["a", "b"])
     Q.assert_key(df.where("a = 2"), ["a"])
+    assert Q.key_violations(df, ["a"], ["b"]) == {"nulls": {"a": 1, "b": 1}, "duplicate_keys": True}
+    assert Q.key_violations(df.where("a = 2 or a is null"), ["a"]) == {"nulls": {"a": 1},
+                                                                       "duplicate_keys": False}
     assert Q.column_mismatch(["a", "x"], ["a", "b", "loaded_at"]) == ({"b"}, {"x"})
 
 
