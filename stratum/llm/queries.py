@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, sharding
+from . import decontaminate, packing, sharding, unigram
+
+#: folder of the public tokenizer files; only the driver reads it
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+WORD_BPE, UNIGRAM = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +27,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_packing(spark, sf_dir):
+    p = packing.pack(_table(spark, sf_dir), f"{TOKENIZERS}/{WORD_BPE}")
+    return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                    "sequence_id", "offset", "source")
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    return unigram.count_tokens(_table(spark, sf_dir), unigram.read_vocabulary(f"{TOKENIZERS}/{UNIGRAM}"))
+
+
 @query
 def op5_sharding(spark, sf_dir):
     """Law ``bytes``: the sizes of the 16 shards are near equal."""
