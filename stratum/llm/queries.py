@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, sharding, unigram
+from . import decontaminate, neardup, outliers, packing, sharding, unigram
 
 #: folder of the public tokenizer files; only the driver reads it
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -27,6 +27,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_near_duplicates(spark, sf_dir):
+    """The contract's shingles are two words; the library's default is five."""
+    return neardup.near_duplicates(_table(spark, sf_dir), shingle=2)
+
+
 @query
 def op2_packing(spark, sf_dir):
     p = packing.pack(_table(spark, sf_dir), f"{TOKENIZERS}/{WORD_BPE}")
@@ -47,6 +53,11 @@ def op5_sharding(spark, sf_dir):
                     F.lit(None).cast("int").alias("grown_shard"), "tokens")
 
 
+@query
+def op6_quality_rules(spark, sf_dir):
+    return outliers.quality(_table(spark, sf_dir))
+
+
 @query
 def op9_decontamination(spark, sf_dir):
     c = decontaminate.contamination(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
