@@ -8,12 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, outliers, packing, sharding, unigram
+from . import decontaminate, nbsvm, neardup, outliers, packing, pii, repeats, sharding, suffix_tree, unigram
 
 #: folder of the public tokenizer files; only the driver reads it
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 WORD_BPE, UNIGRAM = "word_bpe_49k.json", "piece_bpe_32k.model"
 
+PSEUDONYM_KEY = os.environ.get("PSEUDONYM_KEY", "test tables only")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -45,6 +47,12 @@ def op3_token_counts(spark, sf_dir):
     return unigram.count_tokens(_table(spark, sf_dir), unigram.read_vocabulary(f"{TOKENIZERS}/{UNIGRAM}"))
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    r = repeats.remove_repeats(_table(spark, sf_dir))
+    return r.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op5_sharding(spark, sf_dir):
     """Law ``bytes``: the sizes of the 16 shards are near equal."""
@@ -58,8 +66,25 @@ def op6_quality_rules(spark, sf_dir):
     return outliers.quality(_table(spark, sf_dir))
 
 
+@query
+def op7_pseudonyms(spark, sf_dir):
+    """The key is a secret of the deployment; this one is for the test tables."""
+    docs = _table(spark, sf_dir).select("doc_id", "text", F.size(pii.values(F.col("text"))).cast("long").alias("n_values"))
+    return pii.pseudonymised(docs, PSEUDONYM_KEY)
+
+
+@query
+def op8_suffix_tree_scores(spark, sf_dir):
+    return suffix_tree.scores(_table(spark, sf_dir))
+
+
 @query
 def op9_decontamination(spark, sf_dir):
     c = decontaminate.contamination(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
     return c.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    return nbsvm.quality_scores(_table(spark, sf_dir), _table(spark, sf_dir, "labels"))
