@@ -20,8 +20,8 @@ many tasks; stream offsets come from blocks of ``BLOCK_ROUNDS`` rounds, which
 hold about the same number of tokens each by construction.  Ids are shuffled
 once, to their document's packets.
 
-Tokenising keeps a bounded cache of white-space separated words: the tokenizer
-drops white space before it splits a text, so a text's ids are its words' ids.
+Tokenising keeps a bounded cache: the tokenizer drops white space and splits a
+text before its model runs, so a text's ids are the ids of its pieces.
 
 Defined cases: null and empty texts have the end id only; null sources are one
 more queue; repeated rows and null ids are packed like any other row; an empty
@@ -30,47 +30,90 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import map_batches, once_per_worker, stored
 
 SEQUENCE_TOKENS = 2048
 PACKET_TOKENS = 512
 END_ID = 1
 BLOCK_ROWS = 16384
 BLOCK_ROUNDS = 4096
-#: words kept in a worker's cache before it starts afresh
-CACHE_WORDS = 200_000
+#: entries of a worker's cache
+CACHE_PIECES = 250_000
 
 _WORD = re.compile(r"[^ \t\n\r]+")
+#: the word tokenizer's split; any other tokenizer gets whole texts (fixed value)
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: the same, restricted to plain lower-case characters
+_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+_NOT_PLAIN = re.compile(r"[^ -~\t\n\rÀ-ÖØ-öø-ÿ]")
+_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
 
-class WordTokenizer:
-    """Ids of a text, word by word through a bounded cache."""
+class _Cache(dict):
+    """Ids (as bytes) of pieces; forgets the older half when it is full."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_PIECES:
+            for k in list(islice(self, CACHE_PIECES // 2)):
+                del self[k]
+        ids = self[piece] = self.encode(piece)
+        return ids
+
+
+class CachedTokenizer:
+    """Ids of a text through bounded caches.
+
+    For the word tokenizer, the split of a text of plain characters is made
+    here, so that only the model runs, once per piece; any other text goes
+    through the whole tokenizer, white-space separated word by word.  Other
+    tokenizers get whole texts.
+    """
 
     def __init__(self, tokenizer_json: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.cache: dict[str, bytes] = {}
+        model = self.tokenizer.model
+        parts = json.loads(tokenizer_json)
+        splits = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.by_word = (splits[0].get("pattern") == {"Regex": _SPLIT}
+                        and [n["type"] for n in (parts.get("normalizer") or {}).get("normalizers", [])]
+                        == ["NFC", "Replace", "Lowercase"])
+        bytewise = Tokenizer(model)
+        bytewise.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+        def piece(s: str) -> bytes:
+            ids = [t.id for t in model.tokenize(s)] if s.isascii() else bytewise.encode(s, add_special_tokens=False).ids
+            return pack(f"<{len(ids)}I", *ids)
+
+        def word(s: str) -> bytes:
+            ids = self.tokenizer.encode(s, add_special_tokens=False).ids
+            return pack(f"<{len(ids)}I", *ids)
+
+        self.word, self.pieces, self.words = word, _Cache(piece), _Cache(word)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the text."""
-        words, cache = _WORD.findall(text), self.cache
-        missing = list(set(words).difference(cache))
-        if missing:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-                missing = list(set(words))
-            for w, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([cache[w] for w in words])
+        if not self.by_word:
+            return self.word(text)
+        if not text.isascii() and _NOT_PLAIN.search(text) or text.isascii() and _CONTROL.search(text):
+            return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id",
@@ -90,7 +133,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
     schema = rows.drop("text").schema.add("n_tokens", "long").add("ids", "binary")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, end = WordTokenizer(definition.value), np.array([end_id], "<u4").tobytes()
+        tokenizer = once_per_worker("tokenizer", definition.value, CachedTokenizer)
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 b = batch.slice(lo, 500)
@@ -101,7 +145,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
                 yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
                                                  names=schema.names)
 
-    return rows.mapInArrow(apply, schema)
+    return map_batches(rows, apply, schema)
 
 
 def schedule(lengths: DataFrame, mixture: dict[str, float] | None = None,
@@ -112,28 +156,26 @@ def schedule(lengths: DataFrame, mixture: dict[str, float] | None = None,
     that all queues run empty together; that is also the default for all).
     """
     spark = lengths.sparkSession
-    queue = F.coalesce("source", F.lit("\0"))
-    rows = lengths.select("row", queue.alias("queue"), "n_tokens")
-    sums = rows.groupBy("queue").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS)
-    weight = F.col("tokens") / F.sum("tokens").over(Window.partitionBy())
+    rows = lengths.select("row", F.coalesce("source", F.lit("\0")).alias("queue"), "n_tokens")
+    n_rows, n_tokens = rows.agg(F.count("*"), F.sum("n_tokens")).first()
+    quanta = rows.groupBy("queue").agg((F.sum("n_tokens") / F.lit(max(n_tokens or 0, 1))).alias("weight"))
     if mixture:
-        given = spark.createDataFrame([(str(k), float(v)) for k, v in mixture.items()], "queue string, w double")
-        total = sum(mixture.values())
-        sums = sums.join(given, "queue", "left")
-        weight = F.coalesce(F.col("w") / total, weight)
-    quanta = sums.select("queue", blocks.alias("blocks"), (weight * sequence_tokens).alias("quantum"))
+        total = float(sum(mixture.values()))
+        given = spark.createDataFrame([(str(k), v / total) for k, v in mixture.items()], "queue string, given double")
+        quanta = (quanta.join(given, "queue", "left")
+                  .select("queue", F.coalesce("given", "weight").alias("weight")))
+    quanta = quanta.select("queue", (F.col("weight") * sequence_tokens).alias("quantum"))
 
     # tokens ahead of each document in its queue
-    block = F.pmod(F.xxhash64("row"), F.col("blocks"))
-    rows = rows.join(quanta, "queue").withColumn("block", block)
+    blocks = max(1, -(-n_rows // BLOCK_ROWS))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
     order = Window.partitionBy("queue", "block").orderBy("row")
     ahead = F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
     per_block = rows.groupBy("queue", "block").agg(F.sum("n_tokens").alias("held"))
     earlier = Window.partitionBy("queue").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = per_block.select("queue", "block", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
     rows = (rows.withColumn("ahead", ahead).join(base, ["queue", "block"])
-            .withColumn("ahead", F.col("ahead") + F.col("base")))
+            .withColumn("ahead", F.col("ahead") + F.col("base")).join(quanta, "queue"))
 
     # packets and the round that sends them
     starts = F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.lit(packet).cast("long"))
@@ -162,7 +204,7 @@ def schedule(lengths: DataFrame, mixture: dict[str, float] | None = None,
                          (lo - F.col("sequence_id") * size).cast("long").alias("offset"))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, mixture: dict[str, float] | None = None,
+def packed(docs: DataFrame, tokenizer_path: str, mixture: dict[str, float] | None = None,
          sequence_tokens: int = SEQUENCE_TOKENS, packet: int = PACKET_TOKENS, end_id: int = END_ID,
          **cols: str) -> DataFrame:
     """One row per piece: doc_id, source, start, length, sequence_id, offset,
@@ -195,4 +237,4 @@ def pack(docs: DataFrame, tokenizer_path: str, mixture: dict[str, float] | None
                         [b.column(0).take(index), b.column(1).take(index), *(pa.array(v, long) for v in out),
                          pa.array(ids, pa.binary())], names=schema.names)
 
-    return joined.mapInArrow(cut, schema)
+    return map_batches(joined, cut, schema)

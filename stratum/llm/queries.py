@@ -37,7 +37,7 @@ def op1_near_duplicates(spark, sf_dir):
 
 @query
 def op2_packing(spark, sf_dir):
-    p = packing.pack(_table(spark, sf_dir), f"{TOKENIZERS}/{WORD_BPE}")
+    p = packing.packed(_table(spark, sf_dir), f"{TOKENIZERS}/{WORD_BPE}")
     return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                     "sequence_id", "offset", "source")
 

@@ -1,10 +1,13 @@
-"""Intermediate tables in the cluster's shared checkpoint folder."""
+"""Intermediate tables in the shared checkpoint folder, and bounded Arrow batches."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
 
@@ -19,3 +22,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Spark's default and ours: batches of texts and sets stay small next to a heap
+_BATCH, _DEFAULT_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 4 << 20
+
+
+def map_batches(df: DataFrame, fn: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with batches of ``BATCH_BYTES``, unless the session says otherwise."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) in (None, f"{_DEFAULT_BYTES}b", "64m", "64MB"):
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
+_made: dict[str, tuple[Any, Any]] = {}
+
+
+def once_per_worker(name: str, value: Any, make: Callable[[Any], Any]) -> Any:
+    """``make(value)``, kept in this Python worker for its next tasks.
+
+    ``value`` is a broadcast's value, which the worker holds anyway; another one
+    under the same name replaces what is kept."""
+    held = _made.get(name)
+    if held is None or held[0] is not value:
+        _made.pop(name, None)
+        held = _made[name] = (value, make(value))
+    return held[1]
