@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordbytes as wb
+from .store import map_batches
 
 WINDOW = 10
 #: words of the items in one automaton (about 50 MB on an executor)
@@ -213,7 +214,7 @@ def scan(docs: DataFrame, parts: list[Broadcast], id_col: str = "doc_id", text_c
         return apply
 
     for part in parts or [None]:
-        out = out.mapInArrow(one(part), schema)
+        out = map_batches(out, one(part), schema)
     return out.drop("text")
 
 
@@ -267,8 +268,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:-1])
 
     for part in matchers(benchmark, window, item_col, item_text_col):
-        out = out.mapInArrow(one(part), out.schema)
-    return out.mapInArrow(cut, plain)
+        out = map_batches(out, one(part), out.schema)
+    return map_batches(out, cut, plain)
 
 
 def _cut(text: str, runs: list[dict]) -> str:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordbytes as wb
-from .store import stored
+from .store import map_batches, stored
 
 BUCKETS = 1 << 18
 FOLDS = 5
@@ -70,7 +70,7 @@ def _indicators(rows: DataFrame, keep: list[str]) -> DataFrame:
                     + [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(bucket.astype(np.int32)))],
                     names=schema.names)
 
-    return rows.select(*keep, "text").mapInArrow(apply, schema)
+    return map_batches(rows.select(*keep, "text"), apply, schema)
 
 
 def dual_descent(indptr: np.ndarray, index: np.ndarray, value: np.ndarray, sign: np.ndarray) -> tuple[np.ndarray, float]:
@@ -195,7 +195,7 @@ def classify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 score = 1 / (1 + np.exp(-np.clip(m["a"] * margin + m["b"], -40, 40)))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, n), pa.array(score)], names=schema.names)
 
-    return rows.mapInArrow(apply, schema)
+    return map_batches(rows, apply, schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, limit: float = LIMIT,

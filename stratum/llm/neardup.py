@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import wordbytes as wb
 from .components import components
-from .store import stored
+from .store import map_batches, stored
 
 THRESHOLD = (4, 5)
 BANDS, ROWS = 32, 4
@@ -143,7 +143,7 @@ def sketched(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: st
                      pa.array(prints[0]), pa.array(prints[1]), pa.array([r.tobytes() for r in registers], pa.binary())],
                     names=schema.names)
 
-    return rows.mapInArrow(apply, schema)
+    return map_batches(rows, apply, schema)
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -161,7 +161,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
                      pa.array([g[cut[i]:cut[i + 1]].tobytes() for i in range(hi - lo)], pa.binary())],
                     names=["node", "items"])
 
-    return texts.select("node", "text").mapInArrow(apply, "node long, items binary")
+    return map_batches(texts.select("node", "text"), apply, "node long, items binary")
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -184,8 +184,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(j)],
                                                  names=["a", "b", "similarity"]).filter(pa.array(j >= num / den - MARGIN))
 
-    return (rows.select("a", "b", "n_a", "n_b", "r_a", "r_b")
-            .mapInArrow(apply, "a long, b long, similarity double"))
+    return map_batches(rows.select("a", "b", "n_a", "n_b", "r_a", "r_b"), apply, "a long, b long, similarity double")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -204,7 +203,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 linked.append(den * common >= num * (len(a) + len(b) - common))
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return rows.select("a", "b", "i_a", "i_b").mapInArrow(apply, "a long, b long")
+    return map_batches(rows.select("a", "b", "i_a", "i_b"), apply, "a long, b long")
 
 
 def _ordered(a: F.Column, b: F.Column) -> list[F.Column]:

@@ -36,6 +36,7 @@ MIN_WORDS = 50
 CORE = 0.75
 STEPS = 3
 MIN_GROUP = 100
+SALTS = 32
 TAIL = 1e-9
 #: log words, log word length, root of symbols, repeated lines, repeated words per word
 FEATURES = 5
@@ -154,25 +155,32 @@ def fit(statistics: DataFrame) -> DataFrame:
     members = stored(members.select("lang", "source", F.when(F.col("n") >= MIN_GROUP, group)
                                     .otherwise("").alias("g")), "mcd-groups")
     same = [usable[c].eqNullSafe(members[c]) for c in ("lang", "source")]
-    rows = stored(usable.join(members, same).select("g", *x), "mcd-rows")
+    rows = stored(usable.join(members, same).select(
+        "g", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"), *x), "mcd-rows")
+
+    def by_group(values: DataFrame, table: DataFrame) -> DataFrame:
+        """``values`` with their group's row of ``table``: a hot group's rows are
+        met in SALTS places, and summed in part before they move again."""
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        return values.join(table.withColumn("salt", salts), ["g", "salt"])
 
     # start: distances from the medians in units of the median deviations
     medians = rows.groupBy("g").agg(F.struct(*[F.percentile_approx(c, 0.5).alias(c) for c in x]).alias("c"))
-    apart = rows.join(stored(medians, "mcd-medians"), "g")
+    apart = by_group(rows, stored(medians, "mcd-medians"))
     spread = apart.groupBy("g").agg(F.first("c").alias("c"), F.struct(
         *[F.percentile_approx(F.abs(F.col(c) - F.col(f"c.{c}")), 0.5).alias(c) for c in x]).alias("d"))
-    apart = rows.join(stored(spread, "mcd-spread"), "g")
+    apart = by_group(rows, stored(spread, "mcd-spread"))
     d2 = sum((((F.col(c) - F.col(f"c.{c}")) / F.greatest(1.4826 * F.col(f"d.{c}"), F.lit(f))) ** 2
               for c, f in zip(x, FLOOR)), F.lit(0.0))
     ranked = apart.withColumn("d2", d2)
     for _ in range(STEPS + 1):
         cut = stored(ranked.groupBy("g").agg(F.percentile_approx("d2", CORE, 10000).alias("cut")), "mcd-cut")
-        core = ranked.join(cut, "g").filter(F.col("d2") <= F.col("cut"))
+        core = by_group(ranked, cut).filter(F.col("d2") <= F.col("cut"))
         moments = core.groupBy("g").agg(
             *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
             *[F.avg(F.col(x[i]) * F.col(x[j])).alias(f"s{i}{j}") for i in range(FEATURES) for j in range(i + 1)])
         params = stored(_inverse_factor(moments), "mcd-params")
-        ranked = rows.join(params, "g").withColumn("d2", _distance())
+        ranked = by_group(rows, params).withColumn("d2", _distance())
     return members.join(params, "g").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "p")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordbytes as wb
-from .store import stored
+from .store import map_batches, stored
 
 WINDOW = 50
 _KEY = ["id", "k0", "k1"]
@@ -108,7 +108,7 @@ def _first_pass(rows: DataFrame, window: int, seed: int) -> DataFrame:
                        _lists((at - w.first[doc]).astype(np.int32), doc, n, pa.int32())],
                     names=schema.names)
 
-    return rows.mapInArrow(apply, schema)
+    return map_batches(rows, apply, schema)
 
 
 def _hashed(hot: DataFrame, window: int, last: int, length: int, sampled: bool) -> DataFrame:
@@ -144,7 +144,7 @@ def _hashed(hot: DataFrame, window: int, last: int, length: int, sampled: bool)
                        pa.array(wb.signed(wb.range_hash(wb.mix(h), starts, starts + length, 2)))],
                     names=schema.names)
 
-    return hot.select(*_KEY, "text", "at").mapInArrow(apply, schema)
+    return map_batches(hot.select(*_KEY, "text", "at"), apply, schema)
 
 
 def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -202,7 +202,7 @@ def _cut(marked: DataFrame, window: int) -> DataFrame:
                 [*b.columns[:3], pa.array(spans, spans_type), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string())],
                 names=schema.names)
 
-    return marked.mapInArrow(apply, schema)
+    return map_batches(marked, apply, schema)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

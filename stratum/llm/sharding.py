@@ -43,7 +43,7 @@ LARGE = 1 / 256
 CELL_GROUPS = 4096
 BLOCK_ROWS = 16384
 
-WEIGHTS = np.array([4.0, 1.0, 1.0])
+WEIGHTS = np.array([32.0, 1.0, 1.0])
 
 _DIMS = ["bytes", "tokens", "n"]
 

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import map_batches, once_per_worker
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_SEGMENTS = 200_000
@@ -112,11 +114,11 @@ def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: s
     schema = rows.drop("text").schema.add("n_tokens", "long").add("score", "double")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = once_per_worker("unigram", shared.value, Counter)
         for b in batches:
             found = [counter.text(t.as_py() or "") for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([x for _, x in found], pa.float64())],
                 names=schema.names)
 
-    return rows.mapInArrow(apply, schema)
+    return map_batches(rows, apply, schema)
