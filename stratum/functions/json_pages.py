@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 
@@ -24,27 +25,58 @@ def compact_document(doc: Column | str) -> Column:
     return F.coalesce(F.to_json(F.try_parse_json(d)), d)
 
 
-def page_records(raw_json: Column | str, strict: bool = False) -> Column:
+_CORRUPT = "_corrupt"
+_PAGE = T.StructType([*S.PAGE.fields, T.StructField(_CORRUPT, T.StringType())])
+
+
+def _parsed(raw_json: Column | str) -> Column:
+    c = F.col(raw_json) if isinstance(raw_json, str) else raw_json
+    return F.from_json(c, _PAGE, {"columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _reason(doc: Column) -> Column:
+    """Why a parsed document is no page; NULL for a good one."""
+    return (F.when(doc.isNull(), "no document")
+            .when(doc.getField(_CORRUPT).isNotNull(), "malformed document or value")
+            .when(doc.getField("data").isNull(), "no data array"))
+
+
+def _data(doc: Column, strict: bool) -> Column:
+    reason = _reason(doc)
+    good = F.when(reason.isNull(), doc.getField("data"))
+    if not strict:
+        return good
+    return good.otherwise(F.raise_error(F.concat(F.lit("page rejected: "), reason)).cast(S.PAGE["data"].dataType))
+
+
+def page_records(raw_json: Column | str, strict: bool = True) -> Column:
     """The ``data`` array of a page document as ``array<struct>``.
 
-    ``strict`` raises on a malformed document (FAILFAST) instead of NULL.
+    A document that does not parse, holds a value that does not fit the declared
+    schema, or has no ``data`` raises; with ``strict=False`` it gives NULL as a
+    whole (no half-read page) and ``rejected_pages`` lists it.
     """
-    c = F.col(raw_json) if isinstance(raw_json, str) else raw_json
-    opts = {"mode": "FAILFAST"} if strict else {}
-    return F.from_json(c, S.PAGE, opts).getField("data")
+    return _data(_parsed(raw_json), strict)
+
+
+def rejected_pages(bronze: DataFrame) -> DataFrame:
+    """(raw_id, batch_id, page, reason) of the raw rows that are no good page."""
+    docs = bronze.select(F.col("id").alias("raw_id"), "batch_id", "page", _parsed("raw_json").alias("doc"))
+    return (docs.select("raw_id", "batch_id", "page", _reason(F.col("doc")).alias("reason"))
+            .where(F.col("reason").isNotNull()))
 
 
-def unpack_pages(bronze: DataFrame, strict: bool = False) -> DataFrame:
+def unpack_pages(bronze: DataFrame, strict: bool = True) -> DataFrame:
     """Raw page rows -> one row per record.
 
     Output: raw_id, batch_id, page, rec_pos, then every record field with the
     silver names (``mal_id`` -> ``anime_id``, ``episodes`` -> ``no_of_episodes``);
-    link arrays stay arrays.  A page with an empty or absent ``data`` array
-    yields no rows.
+    link arrays stay arrays.  A page with an empty ``data`` array yields no rows;
+    a bad page raises, or yields no rows with ``strict=False``.
     """
-    exploded = bronze.select(
-        F.col("id").alias("raw_id"), "batch_id", "page",
-        F.posexplode(page_records("raw_json", strict)).alias("rec_pos", "rec"))
+    docs = bronze.select(F.col("id").alias("raw_id"), "batch_id", "page", _parsed("raw_json").alias("doc"))
+    exploded = docs.select("raw_id", "batch_id", "page",
+                           F.posexplode(_data(F.col("doc"), strict)).alias("rec_pos", "rec"))
     flat = exploded.select("raw_id", "batch_id", "page", "rec_pos", "rec.*")
     return flat.withColumnsRenamed(S.RECORD_RENAMES)
 

@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 
 
 def number_in_name(name: Column | str, prefix: str) -> Column:
-    """``batch_12`` / ``page_3.json`` / ``/x/batch_12/page_3.json`` -> 12 / 3 (int).
+    """The number of a batch folder or page file: ``prefix_N`` -> N (int).
 
-    The number is the digits right after ``prefix_``; Spark's partition folder
-    spelling ``prefix=N`` / ``prefix_id=N`` is accepted too.  NULL when absent."""
+    ``name`` is a path, a folder name or a file name.  A page number is taken
+    from the file's stem (``page_3.json``), a batch number from the folder that
+    holds the file (``batch_12/page_3.json``); the same words further up in the
+    path mean nothing.  Folders as Spark writes them (``batch_id=N/page=P/...``)
+    are read too.  NULL when absent."""
     c = F.col(name) if isinstance(name, str) else name
-    return F.regexp_extract(c, rf"{prefix}(?:_id)?[_=](\d+)", 1).try_cast("int")
+    bare = rf"{prefix}_(\d+)(?:\.[^/]*)?"
+    folder = rf"{prefix}_(\d+)/[^/]*\.[^/]*" if prefix != "page" else r"(?!)()"
+    written = rf"{prefix}(?:_id)?=(\d+)(?:/page=\d+)?(?:/[^/]*)?"
+    found = [F.nullif(F.regexp_extract(c, rf"(?:^|/){p}$", 1), F.lit("")) for p in (bare, folder, written)]
+    return F.coalesce(*found).try_cast("int")
 
 
 def last_element(arr: Column | str) -> Column:

@@ -5,9 +5,10 @@ id, then the record's position in its page, then the position inside a link
 array), never by physical row order, so the result is deterministic.
 
 Written as an aggregate (``max_by``) rather than ``row_number() over (partition
-by key)``: the aggregate is combined map-side, so a key that holds a third of
-all rows is reduced inside every map task before the shuffle instead of being
-sorted in one task.
+by key)``: a key that holds a third of all rows is reduced inside every map task
+before the shuffle instead of being sorted in one task.  Spark runs ``max_by``
+over structs as a sort aggregate, so rows are sorted by key on both sides of the
+shuffle; that is the price for not meeting a hot key in one place.
 """
 
 from __future__ import annotations

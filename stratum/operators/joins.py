@@ -1,20 +1,27 @@
-"""Broadcast policy.
+"""Broadcast policy, and the left join that survives a hot key.
 
-Explicit ``broadcast()`` hints are given only where the row count is bounded
-by construction or has been checked:
+Explicit ``broadcast()`` hints are given only where the row count is bounded by
+construction: a top-k list (k rows) in ``topk.keep_members``, one row per
+partition or per dimension in ``sequence.dense_index`` and
+``gold.surrogate_dims``.  Every other join is a plain equi-join: Spark compares
+its size estimate with ``spark.sql.autoBroadcastJoinThreshold`` at plan time, and
+AQE repeats the check on the real shuffle output.
+"""
 
-* a top-k list (k rows)                              -> ``topk.keep_members``
-* one row per partition / per dimension              -> ``sequence.dense_index``,
-                                                        ``gold.surrogate_dims``
-* surrogate-key dimensions whose distinct-value count -> ``gold.surrogate_dims``
-  was checked against ``MAX_BROADCAST_ROWS``
+from __future__ import annotations
 
-Every other join is a plain equi-join: Spark compares its size estimate with
-``spark.sql.autoBroadcastJoinThreshold`` at plan time, and AQE repeats the
-check on the real shuffle output, falling back to sort-merge / shuffled hash
-joins (with skew-join splitting) when the side is large.
-"""
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right USING (key)`` as inner join plus left-only rows.
 
-# Rows up to which a small (id, name) dimension is shipped to every task:
-# about 50 bytes a row, so ~50 MB at the bound.
-MAX_BROADCAST_ROWS = 1_000_000
+    AQE splits a skewed partition of an outer join on the preserved side only; a
+    key with very many rows on the right would be met by one task.  Both sides
+    of an inner join, and the left side of an anti join, can be split.
+    """
+    matched = left.join(right, key)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    lonely = left.join(right.select(key), key, "left_anti").select(key, *[c for c in left.columns if c != key], *nulls)
+    return matched.unionByName(lonely)

@@ -61,42 +61,47 @@ def assert_key(df: DataFrame, key: list[str], not_null: list[str] | None = None,
 
 
 def column_mismatch(frame_columns: list[str], table_columns: list[str],
-                    ignore: tuple[str, ...] = ("loaded_at",)) -> tuple[set, set]:
-    """(columns of the table missing from the frame, extra columns of the frame)."""
-    missing = set(table_columns) - set(frame_columns) - set(ignore)
-    extra = set(frame_columns) - set(table_columns)
-    return missing, extra
+                    ignore: tuple[str, ...] = ("loaded_at",)) -> tuple[list[str], list[str]]:
+    """Sorted lists of the columns that the frame lacks and that only it has."""
+    frame, table = set(frame_columns), set(table_columns)
+    return sorted(table - frame - set(ignore)), sorted(frame - table)
 
 
 def assert_same_columns(frame_columns: list[str], table_columns: list[str],
                         target_name: str = "table", ignore: tuple[str, ...] = ("loaded_at",)) -> None:
-    missing, extra = column_mismatch(frame_columns, table_columns, ignore)
-    if missing or extra:
-        raise ValueError(
-            f"Column mismatch for {target_name}!\n"
-            f"  In table but not in DataFrame: {sorted(missing) or 'none'}\n"
-            f"  In DataFrame but not in table: {sorted(extra) or 'none'}")
+    lacking, unknown = column_mismatch(frame_columns, table_columns, ignore)
+    problems = [f"{word} {', '.join(cols)}" for word, cols in (("lacks", lacking), ("has unknown", unknown)) if cols]
+    if problems:
+        raise ValueError(f"frame for {target_name} {' and '.join(problems)}")
 
 
 def declared_tests(tables: dict[str, DataFrame], tests: list[tuple[str, str, str]]) -> DataFrame:
     """Run declared column tests and report failures: one row per test with
     (table_name, column_name, test, failures).
 
-    ``tests`` holds (table, column, "not_null" | "unique").  Each test is one
-    aggregate over its table (a global count for not_null, a grouped count for
-    unique); the reports are unioned, so the result has one row per test.
+    ``tests`` holds (table, column, "not_null" | "unique").  Every table is read
+    once: its tested columns are unpivoted to (table, column, value) rows, which
+    are counted by value (combined map-side) and then by column.  A column
+    without a uniqueness test has two values only, null or not.
     """
-    out = None
-    for table, column, kind in tests:
-        df = tables[table]
-        if kind == "not_null":
-            fails = df.agg(F.count(F.when(F.col(column).isNull(), 1)).cast("long").alias("failures"))
-        elif kind == "unique":
-            fails = unique_failures(df, column).agg(
-                F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("failures"))
-        else:
-            raise ValueError(kind)
-        row = fails.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-                           F.lit(kind).alias("test"), "failures")
-        out = row if out is None else out.unionByName(row)
-    return out
+    kinds = {kind for _, _, kind in tests}
+    if kinds - {"not_null", "unique"}:
+        raise ValueError(f"unknown tests {sorted(kinds - {'not_null', 'unique'})}")
+    unique = {(t, c) for t, c, kind in tests if kind == "unique"}
+    rows = None
+    for table in dict.fromkeys(t for t, _, _ in tests):
+        columns = dict.fromkeys(c for t, c, _ in tests if t == table)
+        values = [F.struct(F.lit(c).alias("column_name"), (
+            F.col(c).cast("string") if (table, c) in unique else F.when(F.col(c).isNotNull(), "")).alias("v"))
+            for c in columns]
+        part = tables[table].select(F.lit(table).alias("table_name"), F.explode(F.array(*values)).alias("x"))
+        part = part.select("table_name", "x.column_name", "x.v")
+        rows = part if rows is None else rows.unionByName(part)
+    by_value = rows.groupBy("table_name", "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = by_value.groupBy("table_name", "column_name").agg(
+        F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("not_null"),
+        F.sum(F.when(F.col("v").isNotNull() & (F.col("n") > 1), F.col("n"))).alias("unique"))
+    declared = rows.sparkSession.createDataFrame(tests, "table_name string, column_name string, test string")
+    failures = F.when(F.col("test") == "unique", F.col("unique")).otherwise(F.col("not_null"))
+    return declared.join(counts, ["table_name", "column_name"], "left").select(
+        "table_name", "column_name", "test", F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))

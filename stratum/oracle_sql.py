@@ -436,3 +436,44 @@ def _source_test_sql(table, column, kind):
 ORACLES["q_dq_source_tests"] = PREFIX + """,
 lg_nulled AS (SELECT anime_id, NULLIF(genre_id, 1) AS genre_id, genre_name FROM links_anime_genres)
 """ + "\nUNION ALL\n".join(_source_test_sql(*t) for t in _SOURCE_TESTS) + "\n"
+
+# ------------------------------------------------- names, batches, silver rules
+ORACLES["q_name_numbers"] = """
+SELECT event_id, CAST(dayofmonth(ts) AS INTEGER) AS batch_id, CAST(event_id AS INTEGER) AS page FROM events
+"""
+
+ORACLES["q_batch_scan"] = """
+SELECT event_id AS id, CAST(dayofmonth(ts) AS INTEGER) AS batch_id, CAST(user_id AS INTEGER) AS page, props AS raw_json
+FROM events WHERE dayofmonth(ts) = 9
+"""
+
+ORACLES["q_silver_keep_last"] = """
+SELECT CAST(l_orderkey AS INTEGER) AS anime_id, 't' || MAX(l_linenumber) AS title,
+       CASE WHEN MAX(l_linenumber) % 2 = 0 THEN 's' || MAX(l_linenumber) END AS source,
+       COUNT(DISTINCT CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END) AS n_links
+FROM lineitem GROUP BY l_orderkey
+"""
+
+ORACLES["q_upsert_links"] = """
+WITH source AS (SELECT l_orderkey, l_linenumber, l_partkey, 'U' AS l_returnflag FROM lineitem WHERE l_suppkey % 2 = 0)
+SELECT * FROM source
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem t
+WHERE l_suppkey % 3 <> 0 AND NOT EXISTS (
+  SELECT 1 FROM source s WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)
+"""
+
+ORACLES["q_kpi_labels"] = PREFIX + """
+SELECT printf('%.2f', ROUND(AVG(score), 4)) AS avg_score_label,
+       format('{:,}', CAST(COALESCE(SUM(members), 0) AS BIGINT)) AS total_members_label
+FROM filtered
+"""
+
+ORACLES["q_dim_metrics_part_5"] = PREFIX + _DIM_METRICS.format(
+    kind="producers", id="producer_id", name="producer_name", support=5)
+
+ORACLES["q_category_share_zero_year"] = ORACLES["q_category_share_by_year"].replace(
+    "(SELECT anime_id, year, members FROM filtered)",
+    "(SELECT anime_id, year, CASE WHEN year = 1998 THEN 0 ELSE members END AS members FROM filtered)").replace(
+    "/ CAST(SUM(members) OVER (PARTITION BY year) AS DOUBLE)",
+    "/ NULLIF(CAST(SUM(members) OVER (PARTITION BY year) AS DOUBLE), 0)")

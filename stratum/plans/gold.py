@@ -10,23 +10,22 @@ Inputs: ``silver["anime"]`` (entity, every batch upserted in) and
   d_<kind>                distinct (id, name) of each link kind (all batches)
   links_<kind>            (anime_id, X_id) of each link kind (all batches)
 
-The surrogate-key dimensions are counted when built and broadcast only under
-a row bound (``operators.joins.MAX_BROADCAST_ROWS``).  Natural-key dimensions
-are plain equi-joins for the consumers: their size is only known once the
-distinct has run, so the broadcast decision is Spark's (size-checked at plan
-time and again by AQE on the real shuffle output).
+Building a frame that needs a surrogate-key dimension runs one job (the
+checkpoint of the numbered values); everything else is lazy.  Dimensions are
+plain equi-joins for the consumers: their size is only known once the distinct
+has run, so the broadcast decision is Spark's (size-checked at plan time and
+again by AQE on the real shuffle output).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.duration import duration_minutes
-from ..operators.joins import MAX_BROADCAST_ROWS
 from ..operators.sequence import dense_index
 
 
@@ -38,13 +37,10 @@ def surrogate_dim(entity: DataFrame, column: str, id_col: str) -> DataFrame:
 def surrogate_dims(entity: DataFrame, specs: list[tuple[str, str]]) -> dict[str, DataFrame]:
     """Several surrogate-key dimensions from one pass over the entity.
 
-    The distinct non-null values of every column are stacked as (dim, value)
-    and counted.  Up to ``MAX_BROADCAST_ROWS`` values (the usual case: these
-    are categorical columns) the ids are ``row_number()`` per dimension in
-    value order -- deterministic, since the values are distinct -- and the
-    dimensions are broadcast: the count is the proven bound for both the
-    per-dimension window and the broadcast.  Above the bound the values are
-    numbered by the distributed ``dense_index`` instead and joined normally.
+    The distinct non-null values of the columns, exploded as (dim, value) in a
+    single scan, are numbered by the distributed ``dense_index`` (which runs its
+    checkpoint job here) and renumbered from 1 in each dimension.  The path is
+    the same for every number of values.
     """
     types = {entity.schema[c].dataType.simpleString() for c, _ in specs}
     if len(types) > 1:
@@ -54,30 +50,16 @@ def surrogate_dims(entity: DataFrame, specs: list[tuple[str, str]]) -> dict[str,
             out.update(surrogate_dims(entity, [sp for sp in specs
                                                if entity.schema[sp[0]].dataType.simpleString() == t]))
         return out
-    stacked = None
-    for k, (column, _) in enumerate(specs):
-        part = (entity.select(F.lit(k).alias("__dim"), F.col(column).alias("__v"))
-                .where(F.col("__v").isNotNull()))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    values = stacked.distinct()
-    n_values = values.count()
-    if n_values <= MAX_BROADCAST_ROWS:
-        based = values.withColumn(
-            "__id", F.row_number().over(Window.partitionBy("__dim").orderBy("__v")).cast("bigint"))
-        wrap = F.broadcast
-    else:
-        numbered = dense_index(values, ["__dim", "__v"], "__n")
-        firsts = numbered.groupBy("__dim").agg(F.min("__n").alias("__first"))
-        # one row per dimension in ``firsts``: a proven bound for the broadcast
-        based = (numbered.join(F.broadcast(firsts), "__dim")
-                 .withColumn("__id", (F.col("__n") - F.col("__first") + 1).cast("bigint")))
-        wrap = lambda df: df
-    out = {}
-    for k, (column, id_col) in enumerate(specs):
-        dim = (based.where(F.col("__dim") == k)
-               .select(F.col("__id").alias(id_col), F.col("__v").alias(column)))
-        out[column] = wrap(dim)
-    return out
+    pairs = F.array(*[F.struct(F.lit(k).alias("__dim"), F.col(c).alias("__v")) for k, (c, _) in enumerate(specs)])
+    values = (entity.select(F.explode(pairs).alias("x")).select("x.*")
+              .where(F.col("__v").isNotNull()).distinct())
+    numbered = dense_index(values, ["__dim", "__v"], "__n")
+    firsts = numbered.groupBy("__dim").agg(F.min("__n").alias("__first"))
+    # one row per dimension in ``firsts``: a proven bound for the broadcast
+    based = (numbered.join(F.broadcast(firsts), "__dim")
+             .withColumn("__id", (F.col("__n") - F.col("__first") + 1).cast("bigint")))
+    return {column: based.where(F.col("__dim") == k).select(F.col("__id").alias(id_col), F.col("__v").alias(column))
+            for k, (column, id_col) in enumerate(specs)}
 
 
 def natural_dim(links: DataFrame, prefix: str) -> DataFrame:
@@ -100,13 +82,19 @@ def latest_batch(entity: DataFrame) -> DataFrame:
     return entity.where(F.col("batch_id") == entity.select(F.max("batch_id")).scalar())
 
 
-def fact(entity: DataFrame, dims: Mapping[str, DataFrame], strict: bool = True) -> DataFrame:
-    latest = latest_batch(entity).withColumn(
+def fact(entity: DataFrame, dims: Mapping[str, DataFrame], strict: bool = True,
+         lookups: list[str] | None = None) -> DataFrame:
+    """Latest batch with duration minutes and surrogate ids.  ``lookups`` names
+    the columns whose ids are wanted (default all); the others are left out."""
+    out = latest_batch(entity).withColumn(
         "duration_minutes_per_episode", duration_minutes("duration", strict))
-    out = latest
+    skipped = []
     for dim_name, column in S.SURROGATE_DIMS:
-        out = out.join(dims[dim_name], on=column, how="left")
-    return out.select(*S.FACT_COLUMNS)
+        if lookups is None or column in lookups:
+            out = out.join(dims[dim_name], on=column, how="left")
+        else:
+            skipped.append(f"{column}_id")
+    return out.select(*[c for c in S.FACT_COLUMNS if c not in skipped])
 
 
 class LazyFrames(Mapping):
@@ -116,8 +104,10 @@ class LazyFrames(Mapping):
     that only needs, say, the genre tables should not pay for them.
     """
 
-    def __init__(self, factories: dict[str, Callable[[], DataFrame]]):
+    def __init__(self, factories: dict[str, Callable[[], DataFrame]],
+                 fact_with: Callable[[list[str]], DataFrame] | None = None):
         self._factories = factories
+        self._fact_with = fact_with
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -125,6 +115,10 @@ class LazyFrames(Mapping):
             self._built[name] = self._factories[name]()
         return self._built[name]
 
+    def fact_with(self, lookups: list[str]) -> DataFrame:
+        """The fact with only the surrogate ids of ``lookups``."""
+        return self._fact_with(lookups)
+
     def __iter__(self):
         return iter(self._factories)
 
@@ -136,7 +130,7 @@ def build_gold(silver: Mapping[str, DataFrame], strict: bool = True,
                sort_links: bool = False) -> LazyFrames:
     """The 16 gold frames (fewer when link kinds are missing from ``silver``)."""
     f: dict[str, Callable[[], DataFrame]] = {}
-    gold = LazyFrames(f)
+    gold = LazyFrames(f, lambda lookups: fact(silver["anime"], gold, strict, lookups))
     dims: dict[str, DataFrame] = {}
 
     def surrogate(column: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.misc import fmt_2dp, fmt_thousands
+from ..operators.joins import left_join
 from ..operators.shares import share_of_total, share_within
 from ..operators.topk import keep_members, top_k
 
@@ -41,11 +42,16 @@ def _link_with_dim(gold: Gold, kind: str, how: str = "left") -> DataFrame:
     return gold[f"links_{kind}"].join(gold[f"d_{kind}"], on=i, how=how)
 
 
-def fact_dims(gold: Gold) -> DataFrame:
-    """Fact with the three surrogate dimensions' names (one row per title)."""
-    out = gold["f_anime"]
+def fact_dims(gold: Gold, names: list[str] | None = None) -> DataFrame:
+    """Fact with the names of the surrogate dimensions (one row per title).
+
+    ``names``: the columns wanted (default all three).  Where gold is built on
+    the fly (``gold.LazyFrames``) only their ids are looked up."""
+    wanted = [c for _, c in S.SURROGATE_DIMS] if names is None else names
+    out = gold.fact_with(wanted) if names is not None and hasattr(gold, "fact_with") else gold["f_anime"]
     for dim_name, column in S.SURROGATE_DIMS:
-        out = out.join(gold[dim_name], on=f"{column}_id", how="left")
+        if column in wanted:
+            out = out.join(gold[dim_name], on=f"{column}_id", how="left")
     return out
 
 
@@ -54,15 +60,12 @@ def enriched(gold: Gold) -> DataFrame:
     names, genre links and names.
 
     Same rows as the reference's chain of seven left merges.  Each link table
-    is joined to its dimension first (the small side) and the two link joins
-    both use ``anime_id``, so the fact is shuffled once and the second join
-    reuses that partitioning.
+    is joined to its dimension first (the small side); ``left_join`` keeps a
+    title with a huge link list from being met by a single task.
     """
     lic = _link_with_dim(gold, "licensors")
     gen = _link_with_dim(gold, "genres")
-    return (fact_dims(gold)
-            .join(lic, on="anime_id", how="left")
-            .join(gen, on="anime_id", how="left"))
+    return left_join(left_join(fact_dims(gold), lic, "anime_id"), gen, "anime_id")
 
 
 def year_filter(df: DataFrame, year_range: tuple[int, int] = S.DEFAULT_YEAR_RANGE) -> DataFrame:
@@ -90,9 +93,10 @@ def title_weights(gold: Gold) -> DataFrame:
     ).withColumn("weight", F.col("w_lic") * F.col("w_gen"))
 
 
-def titles(gold: Gold, fanout: bool = True, names: bool = True) -> DataFrame:
-    """One row per title with its weights and (``names``) dimension names."""
-    base = fact_dims(gold) if names else gold["f_anime"]
+def titles(gold: Gold, fanout: bool = True, names: list[str] | None = None) -> DataFrame:
+    """One row per title with its weights and the dimension names in ``names``
+    (default: all three)."""
+    base = fact_dims(gold, names)
     if not fanout:
         return base.select("*", F.lit(1).cast("long").alias("w_lic"),
                            F.lit(1).cast("long").alias("w_gen"), F.lit(1).cast("long").alias("weight"))
@@ -248,9 +252,7 @@ def star_select(gold: Gold, kind: str = "genres") -> DataFrame:
     """Fact LEFT link LEFT dimension with every column named once: the fact's
     columns, the link's ``X_id`` and the dimension's ``X_name``."""
     i, n = S.link_cols(S.LINK_NAMES[kind])
-    f = gold["f_anime"].alias("f")
-    lk = gold[f"links_{kind}"].alias("l")
-    d = gold[f"d_{kind}"].alias("d")
-    return (f.join(lk, F.col("f.anime_id") == F.col("l.anime_id"), "left")
-            .join(d, F.col("l." + i) == F.col("d." + i), "left")
-            .select("f.*", F.col("l." + i).alias(i), F.col("d." + n).alias(n)))
+    fact = gold["f_anime"]
+    d = gold[f"d_{kind}"]
+    out = left_join(fact, gold[f"links_{kind}"], "anime_id").join(d, i, "left")
+    return out.select(*fact.columns, i, n)

@@ -4,14 +4,18 @@ Layout under a warehouse root (any Hadoop-compatible path):
 
   raw/api_data                 parquet, partitioned by batch_id, append-only
   curated/<table>_merge        staging of the last loaded batch (overwrite)
+  curated/records_merge        the unpacked records of the last loaded batch
+  curated/rejected_pages       pages left out in lenient mode, with the reason
   curated/<table>              silver table; every upsert writes a complete new
-                               version into partition ``_version=N`` (append),
-                               readers take the highest version
+                               version into partition ``_version=N``
+  curated/_published/<table>   one row per complete version (version, rows);
+                               readers take the highest published version
   datamart/<table>             gold tables (overwrite = full refresh)
 
 Spark cannot overwrite a parquet table that the same job reads, so the upsert
-result goes into a new version instead of replacing the table in place; the
-previous version stays readable until the new one is complete.
+result goes into a new version instead of replacing the table in place.  A
+version is published after its rows have been counted; what a failed or
+half-committed run leaves behind is never read, and its number is not reused.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.json_pages import rejected_pages, unpack_pages
 from ..operators.quality import assert_key, declared_tests
 from ..operators.upsert import overwrite_table, upsert
 from ..session import ensure_checkpoint_dir
@@ -28,7 +33,7 @@ from ..sources import bronze as B
 from ..sources.catalog import export_folder, materialize
 from ..sources.pages import list_page_files, scan_page_files
 from .gold import build_gold
-from .silver import build_silver
+from .silver import from_records
 
 VERSION = "_version"
 
@@ -45,6 +50,10 @@ def silver_tables() -> dict[str, tuple[list[str], list[str]]]:
     return out
 
 
+def _no_path(e: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e)
+
+
 def _versioned_schema(name: str) -> T.StructType:
     return T.StructType(S.silver_schema(name).fields + [T.StructField(VERSION, T.IntegerType())])
 
@@ -54,7 +63,7 @@ def _read_versioned(spark: SparkSession, path: str, name: str) -> DataFrame | No
     try:
         return spark.read.schema(_versioned_schema(name)).parquet(path)
     except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+        if _no_path(e):
             return None
         raise
 
@@ -82,21 +91,29 @@ class SilverStore:
         return f"`{self.database}`.`{name}`"
 
     def _ensure_table(self, name: str) -> None:
-        """Register the bucketed table over its folder (once per session)."""
+        """Register the bucketed table over its folder; an existing table must
+        have the same location and buckets.  Versions written elsewhere are
+        picked up each time."""
         if self.spark.catalog.tableExists(f"{self.database}.{name}"):
-            return
-        key = silver_tables()[name][1]
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _versioned_schema(name).fields)
-        keys = ", ".join(f"`{k}`" for k in key)
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
-        self.spark.sql(
-            f"CREATE TABLE {self.table(name)} ({cols}) USING parquet PARTITIONED BY (`{VERSION}`) "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
-            f"LOCATION '{self.path(name)}'")
-        try:  # pick up versions written by earlier sessions
+            found = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table(name)}").collect()}
+            location = found.get("Location", "").replace("file:", "").rstrip("/")
+            here = self.path(name).replace("file:", "").rstrip("/")
+            if location.lstrip("/") != here.lstrip("/") or int(found.get("Num Buckets", 0)) != self.buckets:
+                raise ValueError(f"{self.database}.{name} exists at {found.get('Location')} with "
+                                 f"{found.get('Num Buckets')} buckets; wanted {self.path(name)} with {self.buckets}")
+        else:
+            key = silver_tables()[name][1]
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _versioned_schema(name).fields)
+            keys = ", ".join(f"`{k}`" for k in key)
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+            self.spark.sql(
+                f"CREATE TABLE {self.table(name)} ({cols}) USING parquet PARTITIONED BY (`{VERSION}`) "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
+                f"LOCATION '{self.path(name)}'")
+        try:
             self.spark.sql(f"ALTER TABLE {self.table(name)} RECOVER PARTITIONS")
         except Exception as e:  # a new table: its folder does not exist yet
-            if "does not exist" not in str(e) and "PATH_NOT_FOUND" not in str(e):
+            if not _no_path(e):
                 raise
 
     def _all_versions(self, name: str) -> DataFrame | None:
@@ -105,13 +122,19 @@ class SilverStore:
             return self.spark.table(self.table(name))
         return _read_versioned(self.spark, self.path(name), name)
 
+    def _published(self, name: str) -> str:
+        return _p(self.root, "curated", "_published", name)
+
     def current_version(self, name: str) -> int | None:
-        """Highest ``_version`` (None if there is none); partition values only."""
-        df = self._all_versions(name)
-        if df is None:
-            return None
-        row = df.select(F.max(VERSION)).first()
-        return None if row is None or row[0] is None else int(row[0])
+        """Highest published version (None if there is none); reads only the
+        list of versions, never a table."""
+        try:
+            row = self.spark.read.schema("version int, n_rows long").parquet(self._published(name)).agg(F.max("version")).first()
+        except Exception as e:
+            if _no_path(e):
+                return None
+            raise
+        return row[0]
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
         """A version (default: the current one); empty before the first load."""
@@ -121,8 +144,21 @@ class SilverStore:
         # Equality on the partition column: only that version's folder is read.
         return self._all_versions(name).where(F.col(VERSION) == v).drop(VERSION)
 
-    def write_version(self, name: str, df: DataFrame, version: int) -> int:
-        """Append ``df`` as version ``version``; returns the rows written."""
+    def free_version(self, name: str) -> int:
+        """The next number whose folder does not exist yet."""
+        v = (self.current_version(name) or 0) + 1
+        while True:
+            try:
+                self.spark.read.schema(S.silver_schema(name)).parquet(f"{self.path(name)}/{VERSION}={v}")
+            except Exception as e:
+                if _no_path(e):
+                    return v
+                raise
+            v += 1
+
+    def write_version(self, name: str, df: DataFrame) -> int:
+        """Write ``df`` as a new version and publish it; returns its rows."""
+        version = self.free_version(name)
         cols = silver_tables()[name][0]
         obs = Observation()
         out = (df.select(*cols).withColumn(VERSION, F.lit(version).cast("int"))
@@ -132,16 +168,12 @@ class SilverStore:
             out.write.mode("append").insertInto(self.table(name))
         else:
             out.write.mode("append").partitionBy(VERSION).parquet(self.path(name))
-        return int(obs.get["n"])
-
-
-def current_version(spark: SparkSession, path: str, name: str) -> int | None:
-    """Highest ``_version`` of a path-based silver table (None if there is none)."""
-    df = _read_versioned(spark, path, name)
-    if df is None:
-        return None
-    row = df.select(F.max(VERSION)).first()
-    return None if row is None or row[0] is None else int(row[0])
+        written, readable = int(obs.get["n"]), self.read(name, version).count()
+        if written != readable:
+            raise RuntimeError(f"{name} version {version}: {written} rows written, {readable} readable; not published")
+        (self.spark.createDataFrame([(version, written)], "version int, n_rows long").coalesce(1)
+         .write.mode("append").parquet(self._published(name)))
+        return written
 
 
 def read_silver(spark: SparkSession, root: str, name: str, buckets: int | None = None,
@@ -150,45 +182,79 @@ def read_silver(spark: SparkSession, root: str, name: str, buckets: int | None =
     return SilverStore(spark, root, buckets, database).read(name)
 
 
-def load_missing_batches(spark: SparkSession, page_root: str, root: str) -> int:
+def load_missing_batches(spark: SparkSession, page_root: str, root: str, layout: str = "fetched") -> int:
     """Append every batch folder not yet in the raw table; rows appended.
 
-    The batches present are taken from the file listing (no file is read);
-    only the folders of missing batches are then read.  Their folder names
-    come to the driver to build that path glob: one short name per batch
-    folder, never page content.
+    The batches present, and their pages, are taken from the file listing (no
+    file is read); only the folders of missing batches are then read, once.
+    Their folder names come to the driver to build that path glob: one short
+    name per missing batch, never page content.
     """
     bronze_path = _p(root, "raw", "api_data")
     bronze = B.read_bronze(spark, bronze_path)
-    listed = list_page_files(spark, page_root)
+    listed = list_page_files(spark, page_root, layout=layout)
     missing = B.missing_batches(listed, bronze)
     folders = sorted(r.folder for r in listed.join(missing, "batch_id", "left_semi")
                      .select("folder").distinct().collect())
     if not folders:
         return 0
     batch_glob = "{" + ",".join(folders) + "}"
-    return B.append_batches(spark, scan_page_files(spark, page_root, batch_glob), bronze_path)
+    return B.append_batches(spark, scan_page_files(spark, page_root, batch_glob, layout), bronze_path, listed)
+
+
+def _not_older(staged: DataFrame, current: DataFrame, titles: DataFrame, key: list[str], batch_id: int) -> DataFrame:
+    """The staged rows that may be upserted: a batch must not overwrite what a
+    later batch has written.  Rows of titles last seen in a later batch are only
+    inserted where their key is new."""
+    later = titles.where(F.col("batch_id") > batch_id).select("anime_id")
+    known = current.join(later, "anime_id", "left_semi").select(*key)
+    return staged.join(known, key, "left_anti")
 
 
 def load_curated(spark: SparkSession, root: str, batch_id: int | None = None,
-                 strict: bool = False, buckets: int | None = None,
-                 database: str | None = None) -> dict[str, int]:
+                 strict: bool = True, buckets: int | None = None,
+                 database: str | None = None, pages: DataFrame | None = None) -> dict[str, int]:
     """Latest (or given) batch -> staging overwrite -> checks -> upsert into a
-    new silver version.  Returns rows per silver table after the upsert."""
+    new silver version.  Returns rows per silver table after the upsert.
+
+    The batch's pages (``pages``: raw rows of one batch, instead of reading them
+    from the raw table) are unpacked once into ``curated/records_merge`` and the
+    seven tables derived from there.  A bad page fails the run; with
+    ``strict=False`` it is left out, listed in ``curated/rejected_pages`` and
+    counted under "rejected_pages".
+    """
     ensure_checkpoint_dir(spark)
     store = SilverStore(spark, root, buckets, database)
-    bronze = B.read_bronze(spark, _p(root, "raw", "api_data"))
-    staging = build_silver(bronze, batch_id, strict)
+    raw = pages
+    if raw is None:
+        raw = B.scan_batch(B.read_bronze(spark, _p(root, "raw", "api_data")), batch_id)
     counts: dict[str, int] = {}
+    if not strict:
+        bad = rejected_pages(raw).withColumn("rejected_at", F.current_timestamp())
+        obs = Observation()
+        (bad.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append")
+         .parquet(_p(root, "curated", "rejected_pages")))
+        counts["rejected_pages"] = int(obs.get["n"])
+    records_path = _p(root, "curated", "records_merge")
+    unpack_pages(raw, strict).write.mode("overwrite").parquet(records_path)
+    recs = spark.read.parquet(records_path)
+    batch = recs.agg(F.max("batch_id")).first()[0]
+    staging = from_records(recs)
+    # as they were before this batch: the entity is upserted first
+    titles = store.read("anime")
     for name, (cols, key) in silver_tables().items():
         stage_path = _p(root, "curated", f"{name}_merge")
         overwrite_table(staging[name], cols, stage_path, name=f"curated.{name}_merge")
         staged = spark.read.schema(S.silver_schema(name)).parquet(stage_path)
         not_null = ["raw_id"] if name == "anime" else []
         assert_key(staged, key, not_null, name=f"curated.{name}_merge")
-        v = store.current_version(name)
-        merged = staged if v is None else upsert(store.read(name, v), staged, key)
-        counts[name] = store.write_version(name, merged, (v or 0) + 1)
+        merged = staged
+        if store.current_version(name) is not None:
+            current = store.read(name)
+            if batch is not None:
+                staged = _not_older(staged, current, titles, key, batch)
+            merged = upsert(current, staged, key)
+        counts[name] = store.write_version(name, merged)
     return counts
 
 
@@ -227,11 +293,12 @@ def test_silver(spark: SparkSession, root: str, buckets: int | None = None,
 
 
 def run(spark: SparkSession, page_root: str, root: str, buckets: int | None = None,
-        database: str | None = None) -> dict:
+        database: str | None = None, strict: bool = True, layout: str = "fetched") -> dict:
     """The monthly run: load new batches, curate the latest, test silver,
-    rebuild gold.  ``buckets``/``database`` select the bucketed silver store."""
-    appended = load_missing_batches(spark, page_root, root)
-    counts = load_curated(spark, root, buckets=buckets, database=database)
+    rebuild gold.  ``buckets``/``database`` select the bucketed silver store,
+    ``strict=False`` lists bad pages instead of failing."""
+    appended = load_missing_batches(spark, page_root, root, layout)
+    counts = load_curated(spark, root, strict=strict, buckets=buckets, database=database)
     failures = {(r.table_name, r.column_name, r.test): r.failures
                 for r in test_silver(spark, root, buckets, database).where("failures > 0").collect()}
     tables = build_datamart(spark, root, buckets=buckets, database=database)

@@ -25,7 +25,7 @@ from ..sources.bronze import scan_batch
 ORDER = ["raw_id", "rec_pos"]
 
 
-def records(bronze: DataFrame, batch_id: int | None = None, strict: bool = False) -> DataFrame:
+def records(bronze: DataFrame, batch_id: int | None = None, strict: bool = True) -> DataFrame:
     """One row per record of the chosen (default: latest) batch."""
     return unpack_pages(scan_batch(bronze, batch_id), strict)
 
@@ -43,9 +43,16 @@ def link_table(recs: DataFrame, kind: str) -> DataFrame:
 
 
 def build_silver(bronze: DataFrame, batch_id: int | None = None,
-                 strict: bool = False) -> dict[str, DataFrame]:
-    """The staging frames of one batch: ``anime`` and the six link tables."""
-    recs = records(bronze, batch_id, strict)
+                 strict: bool = True) -> dict[str, DataFrame]:
+    """The staging frames of one batch: ``anime`` and the six link tables.
+
+    A bad page raises; with ``strict=False`` it is left out as a whole (see
+    ``functions.json_pages.rejected_pages``)."""
+    return from_records(records(bronze, batch_id, strict))
+
+
+def from_records(recs: DataFrame) -> dict[str, DataFrame]:
+    """The staging frames of unpacked records."""
     out = {"anime": entity(recs)}
     for kind, _ in S.LINK_KINDS:
         out[f"links_anime_{kind}"] = link_table(recs, kind)
@@ -57,6 +64,6 @@ def bronze_from_pages(pages: DataFrame) -> DataFrame:
     (batch, page) order and the load time; for in-memory runs and tests."""
     from ..operators.sequence import dense_index
 
-    return (dense_index(pages, ["batch_id", "page"], "id")
+    return (dense_index(pages, ["batch_id", "page"], "id", key=["batch_id", "page"])
             .withColumn("loaded_at", F.current_timestamp())
             .select(*[f.name for f in S.BRONZE.fields]))

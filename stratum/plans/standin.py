@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import ensure_checkpoint_dir
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -89,72 +90,81 @@ def titles(t: Tables, batch: F.Column | None = None) -> DataFrame:
     )
 
 
-def _lines(t: Tables) -> DataFrame:
-    return t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-
-
-def link_rows(t: Tables, kind: str) -> DataFrame:
-    """Link rows (anime_id, X_id, X_name, l_linenumber) before de-duplication.
-
-    ``l_linenumber`` is the order of the links of one title (keep-last key).
-    """
-    prefix = S.LINK_NAMES[kind]
-    i, n = S.link_cols(prefix)
-    li = _lines(t)
-    if kind in ("genres", "producers"):
+def link_rows(t: Tables, kinds: list[str]) -> DataFrame:
+    """(kind, anime_id, id, name) of the line-item link kinds, one pass over
+    the line items, before de-duplication; ``id`` is a long."""
+    j = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
+    found = {}
+    if {"genres", "producers"} & set(kinds):
         # the brand number is derived on the part side, once per part
         p = t.part.select("p_partkey", "p_brand", "p_name",
                           F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("p_brand_id"))
-        j = li.join(p, li.l_partkey == p.p_partkey)
-        if kind == "genres":
-            cols = [F.col("p_brand_id").alias(i), F.col("p_brand").alias(n)]
-        else:
-            cols = [F.col("p_partkey").alias(i), F.col("p_name").alias(n)]
-    elif kind in ("studios", "licensors", "themes"):
+        j = j.join(p, j.l_partkey == p.p_partkey)
+        found |= {"genres": ("p_brand_id", "p_brand"), "producers": ("p_partkey", "p_name")}
+    if {"studios", "licensors", "themes"} & set(kinds):
         s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
-        j = li.join(s, li.l_suppkey == s.s_suppkey)
-        if kind == "studios":
-            cols = [F.col("s_suppkey").alias(i), F.col("s_name").alias(n)]
-        else:
+        found["studios"] = ("s_suppkey", "s_name")
+        if {"licensors", "themes"} & set(kinds):
             nat = t.nation.select("n_nationkey", "n_name", "n_regionkey")
-            j = j.join(nat, j.s_nationkey == nat.n_nationkey)
-            if kind == "licensors":
-                cols = [F.col("n_nationkey").alias(i), F.col("n_name").alias(n)]
-            else:
+            s = s.join(nat, s.s_nationkey == nat.n_nationkey)
+            found["licensors"] = ("n_nationkey", "n_name")
+            if "themes" in kinds:
                 r = t.region.select("r_regionkey", "r_name")
-                j = j.join(r, j.n_regionkey == r.r_regionkey)
-                cols = [F.col("r_regionkey").alias(i), F.col("r_name").alias(n)]
-    elif kind == "demographics":
-        o = t.orders.select("o_orderkey", "o_custkey")
-        c = t.customer.select("c_custkey", "c_nationkey")
-        nat = t.nation.select("n_nationkey", "n_name")
-        j = (o.join(c, o.o_custkey == c.c_custkey)
-             .join(nat, c.c_nationkey == nat.n_nationkey)
-             .withColumnsRenamed({"o_orderkey": "l_orderkey"})
-             .withColumn("l_linenumber", F.lit(0)))
-        cols = [F.col("n_nationkey").alias(i), F.col("n_name").alias(n)]
-    else:
-        raise ValueError(kind)
-    return j.select(F.col("l_orderkey").alias("anime_id"), *cols, "l_linenumber")
-
-
-def links(t: Tables, kind: str) -> DataFrame:
-    """Silver link table (anime_id, X_id, X_name), one row per (anime_id, X_id).
+                s = s.join(r, s.n_regionkey == r.r_regionkey)
+                found["themes"] = ("r_regionkey", "r_name")
+        j = j.join(s, j.l_suppkey == s.s_suppkey)
+    tagged = [F.struct(F.lit(k).alias("kind"), F.col(found[k][0]).cast("long").alias("id"), F.col(found[k][1]).alias("name"))
+              for k in kinds]
+    return j.select(F.col("l_orderkey").alias("anime_id"), F.explode(F.array(*tagged)).alias("x")).select(
+        "x.kind", "anime_id", "x.id", "x.name")
+
+
+def demographic_rows(t: Tables) -> DataFrame:
+    """(anime_id, id, name) of the one link kind that does not come from line items."""
+    o = t.orders.select("o_orderkey", "o_custkey")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    nat = t.nation.select("n_nationkey", "n_name")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(nat, c.c_nationkey == nat.n_nationkey)
+    return j.select(F.col("o_orderkey").alias("anime_id"), F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+
+
+def _id_type(t: Tables, kind: str):
+    if kind == "genres":
+        return "int"
+    table, column = {"producers": (t.part, "p_partkey"), "studios": (t.supplier, "s_suppkey"),
+                     "licensors": (t.nation, "n_nationkey"), "themes": (t.region, "r_regionkey"),
+                     "demographics": (t.nation, "n_nationkey")}[kind]
+    return table.schema[column].dataType
+
+
+def links(t: Tables, kinds: list[str]) -> dict[str, DataFrame]:
+    """Silver link tables (anime_id, X_id, X_name), one row per (anime_id, X_id).
 
     In these tables the name is a function of the id, so keeping the last copy
-    of a key is a plain distinct (a hash aggregate, combined map-side)."""
-    prefix = S.LINK_NAMES[kind]
-    return link_rows(t, kind).select(*S.link_table_columns(prefix)).distinct()
+    of a key is a plain distinct (a hash aggregate, combined map-side).  All
+    kinds that come from line items are derived in one pass and kept in a
+    reliable checkpoint, as the stored silver tables would be: the marts read
+    them several times."""
+    out = {}
+    from_lines = [k for k in kinds if k != "demographics"]
+    if from_lines:
+        ensure_checkpoint_dir(t.spark)
+        stored = link_rows(t, from_lines).distinct().checkpoint()
+        out = {k: stored.where(F.col("kind") == k) for k in from_lines}
+    if "demographics" in kinds:
+        out["demographics"] = demographic_rows(t).distinct()
+    for kind, df in out.items():
+        i, n = S.link_cols(S.LINK_NAMES[kind])
+        out[kind] = df.select("anime_id", F.col("id").cast(_id_type(t, kind)).alias(i), F.col("name").alias(n))
+    return out
 
 
 def silver(t: Tables, kinds: list[str] | None = None,
            batch: F.Column | None = None) -> dict[str, DataFrame]:
     """Entity and link tables in the silver shape."""
-    out = {"anime": titles(t, batch)}
-    for kind, _ in S.LINK_KINDS:
-        if kinds is None or kind in kinds:
-            out[f"links_anime_{kind}"] = links(t, kind)
-    return out
+    wanted = [kind for kind, _ in S.LINK_KINDS if kinds is None or kind in kinds]
+    tables = links(t, wanted)
+    return {"anime": titles(t, batch), **{f"links_anime_{kind}": tables[kind] for kind in wanted}}
 
 
 def page_records(t: Tables, kinds: list[str] | None = None) -> DataFrame:
@@ -167,13 +177,12 @@ def page_records(t: Tables, kinds: list[str] | None = None) -> DataFrame:
         F.col("no_of_episodes").alias("episodes"), "status", "duration",
         F.col("score").cast("float").alias("score"), "scored_by", "rank", "popularity",
         F.col("members").cast("int").alias("members"), "favorites", "year")
-    for kind, prefix in S.LINK_KINDS:
-        if kinds is not None and kind not in kinds:
-            continue
-        i, n = S.link_cols(prefix)
+    tables = links(t, [kind for kind, _ in S.LINK_KINDS if kinds is None or kind in kinds])
+    for kind in tables:
+        i, n = S.link_cols(S.LINK_NAMES[kind])
         # De-duplicated links first: the array of a title then holds one entry
         # per distinct target, ordered by id.
-        arr = (links(t, kind)
+        arr = (tables[kind]
                .groupBy("anime_id")
                .agg(F.array_sort(F.collect_list(F.struct(
                    F.col(i).cast("int").alias("mal_id"), F.col(n).alias("name")))).alias(kind))

@@ -16,6 +16,7 @@ from . import schemas as S
 from .functions.duration import duration_minutes
 from .functions.json_pages import pack_pages, unpack_pages
 from .functions.links import extract_links
+from .functions.misc import number_in_name
 from .operators import quality as Q
 from .operators.dedup import keep_last
 from .operators.sequence import dense_index
@@ -50,15 +51,15 @@ def _gold(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None):
     return build_gold(standin.silver(_tables(spark, sf_dir), kinds))
 
 
-def _filtered(g, fanout=True, names=True):
-    return M.year_filter(M.titles(g, fanout, names), YEARS)
+def _filtered(g, fanout=True, names=()):
+    return M.year_filter(M.titles(g, fanout, list(names)), YEARS)
 
 
 # ------------------------------------------------------------------- marts
 @query
 def q_category_share_by_year(spark, sf_dir):
     g = _gold(spark, sf_dir, ["licensors", "genres"])
-    return M.genre_share_by_year(g, _filtered(g, names=False), 10)
+    return M.genre_share_by_year(g, _filtered(g), 10)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,33 +100,33 @@ def q_bubble_rows(spark, sf_dir):
 @query
 def q_category_summary_top15(spark, sf_dir):
     g = _gold(spark, sf_dir, ["licensors", "genres"])
-    return M.genre_top(g, M.titles(g), 15)
+    return M.genre_top(g, M.titles(g, names=[]), 15)
 
 
 @query
 def q_category_summary_top15_dedup(spark, sf_dir):
     g = _gold(spark, sf_dir, ["licensors", "genres"])
-    return M.genre_top(g, M.titles(g, fanout=False), 15)
+    return M.genre_top(g, M.titles(g, fanout=False, names=[]), 15)
 
 
 @query
 def q_source_analysis(spark, sf_dir):
-    return M.source_analysis(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
+    return M.source_analysis(_filtered(_gold(spark, sf_dir, ["licensors", "genres"]), names=["source"]))
 
 
 @query
 def q_source_share(spark, sf_dir):
-    return M.source_share(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
+    return M.source_share(_filtered(_gold(spark, sf_dir, ["licensors", "genres"]), names=["source"]))
 
 
 @query
 def q_source_summary(spark, sf_dir):
-    return M.source_summary(_filtered(_gold(spark, sf_dir, ["licensors", "genres"])))
+    return M.source_summary(_filtered(_gold(spark, sf_dir, ["licensors", "genres"]), names=["source"]))
 
 
 @query
 def q_source_summary_dedup(spark, sf_dir):
-    return M.source_summary(_filtered(_gold(spark, sf_dir, ["licensors", "genres"]), fanout=False))
+    return M.source_summary(_filtered(_gold(spark, sf_dir, ["licensors", "genres"]), fanout=False, names=["source"]))
 
 
 @query
@@ -198,10 +199,11 @@ def q_dim_natural(spark, sf_dir):
 def q_link_sorted(spark, sf_dir):
     """All six gold link tables, range-partitioned and sorted by key."""
     t = _tables(spark, sf_dir)
+    tables = standin.links(t, [kind for kind, _ in S.LINK_KINDS])
     out = None
     for kind, prefix in S.LINK_KINDS:
         i, _ = S.link_cols(prefix)
-        lk = gold_links(standin.links(t, kind), prefix, sort=True).select(
+        lk = gold_links(tables[kind], prefix, sort=True).select(
             F.lit(f"links_{kind}").alias("link"), "anime_id", F.col(i).cast("bigint").alias("x_id"))
         out = lk if out is None else out.unionByName(lk)
     return out
@@ -251,7 +253,7 @@ def q_duration_minutes(spark, sf_dir):
 # ------------------------------------------------------------ silver, json
 def _pages(t):
     """Titles cut into page documents of 25, by members desc then id."""
-    recs = paginate(standin.page_records(t, ["genres"]), [F.desc("members"), F.asc("mal_id")])
+    recs = paginate(standin.page_records(t, ["genres"]), [F.desc("members"), F.asc("mal_id")], key=["mal_id"])
     fields = [f.name for f in S.RECORD.fields if f.name in recs.columns]
     return pack_pages(recs.select("page", "rec_pos", *fields), fields=fields)
 
@@ -310,6 +312,58 @@ def q_silver_links_from_pages(spark, sf_dir):
     return build_silver(bronze_from_pages(pages))["links_anime_genres"]
 
 
+@query
+def q_silver_keep_last(spark, sf_dir):
+    """Every line item as a page record of its order, so a title is on as many
+    pages as it has lines: the last page wins, the part links are the union (a
+    link without a name is no link), NULLs survive."""
+    li = _tables(spark, sf_dir).lineitem
+    order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    link = F.struct(part.cast("int").alias("mal_id"), F.when(part % 7 != 0, F.concat(F.lit("p"), part)).alias("name"))
+    recs = li.select(
+        (line + 8 * F.floor(order / 100)).alias("page"), order.alias("rec_pos"), order.cast("int").alias("mal_id"),
+        F.concat(F.lit("t"), line).alias("title"), F.when(line % 2 == 0, F.concat(F.lit("s"), line)).alias("source"),
+        F.array(link).alias("producers"))
+    raw = pack_pages(recs, fields=["mal_id", "title", "source", "producers"]).select(
+        F.col("page").cast("long").alias("id"), F.lit(1).alias("batch_id"), F.col("page").cast("int").alias("page"), "raw_json")
+    silver = build_silver(raw)
+    n = silver["links_anime_producers"].groupBy("anime_id").agg(F.count("*").alias("n_links"))
+    return (silver["anime"].join(n, "anime_id", "left")
+            .select("anime_id", "title", "source", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+
+
+@query
+def q_upsert_links(spark, sf_dir):
+    """Upsert with a composite key: line items of even suppliers change."""
+    li = _tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_suppkey")
+    target = li.where("l_suppkey % 3 != 0").drop("l_suppkey")
+    source = li.where("l_suppkey % 2 = 0").drop("l_suppkey").withColumn("l_returnflag", F.lit("U"))
+    return upsert(target, source, ["l_orderkey", "l_linenumber"])
+
+
+@query
+def q_kpi_labels(spark, sf_dir):
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    # the mean is rounded first: two engines' last digits do not decide a label
+    k = M.kpis(_filtered(g)).withColumn("avg_score", F.round("avg_score", 4))
+    return M.kpi_labels(k)
+
+
+@query
+def q_dim_metrics_part_5(spark, sf_dir):
+    """Producers with the default minimum support."""
+    g = _gold(spark, sf_dir, ["licensors", "genres", "producers"])
+    return M.dim_metrics(g, "producers", _filtered(g))
+
+
+@query
+def q_category_share_zero_year(spark, sf_dir):
+    """Shares by year where one year's titles have no members at all."""
+    g = _gold(spark, sf_dir, ["licensors", "genres"])
+    t = _filtered(g).withColumn("members", F.when(F.col("year") == 1998, F.lit(0)).otherwise(F.col("members")))
+    return M.genre_share_by_year(g, t, 10)
+
+
 # ------------------------------------------------------------------ upsert
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
               "o_orderpriority"]
@@ -391,6 +445,27 @@ def q_page_probe(spark, sf_dir):
     return page_last_members(_pages(_tables(spark, sf_dir)))
 
 
+@query
+def q_name_numbers(spark, sf_dir):
+    """Batch and page numbers of paths whose parent folders mislead."""
+    ev = _tables(spark, sf_dir).events
+    batch, page = F.dayofmonth("ts").cast("string"), F.col("event_id").cast("string")
+    parents = F.when(F.col("event_id") % 3 == 0, F.lit("/data/batch_2024/import")).when(
+        F.col("event_id") % 3 == 1, F.lit("/x/mybatch_7/in")).otherwise(F.lit("/x/page_9/batch_5/old"))
+    path = F.concat(parents, F.lit("/batch_"), batch, F.lit("/page_"), page, F.lit(".json"))
+    return ev.select("event_id", path.alias("path")).select(
+        "event_id", number_in_name("path", "batch").alias("batch_id"), number_in_name("path", "page").alias("page"))
+
+
+@query
+def q_batch_scan(spark, sf_dir):
+    """The raw rows of one chosen batch (the 9th)."""
+    ev, _ = _event_batches(spark, sf_dir)
+    raw = ev.select(F.col("event_id").alias("id"), "batch_id", F.col("user_id").cast("int").alias("page"),
+                    F.col("props").alias("raw_json"))
+    return B.scan_batch(raw, 9)
+
+
 # ------------------------------------------------------------------ checks
 @query
 def q_dq_not_null(spark, sf_dir):

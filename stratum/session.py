@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -61,6 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if configured.startswith("file:") and not sc.master.startswith("local"):
+            # a file: folder is fine only where every machine mounts it
+            sc._jvm.org.slf4j.LoggerFactory.getLogger("stratum").warn(
+                "spark.checkpoint.dir is a file: path; it must be a folder shared by all executors")
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):

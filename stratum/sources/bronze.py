@@ -67,22 +67,44 @@ def scan_batch(bronze: DataFrame, batch_id: int | None = None) -> DataFrame:
     return bronze.where(F.col("batch_id") == target).select("id", "batch_id", "page", "raw_json")
 
 
-def append_batches(spark: SparkSession, pages: DataFrame, path: str) -> int:
-    """Load every batch of ``pages`` (batch_id, page, raw_json) not yet in the
-    raw table at ``path``; returns the number of rows appended.
+def constrained(rows: DataFrame) -> DataFrame:
+    """``rows`` with batch_id and page enforced as NOT NULL while they are
+    written: a row without either fails the job, nothing is committed."""
+    fail = F.raise_error(F.lit("page rows without batch or page number; file names must be "
+                               "batch_<N>/page_<P>.json"))
+    return rows.withColumns({c: F.coalesce(c, fail.cast("int")) for c in ("batch_id", "page")})
+
 
-    Rows get ``loaded_at = now()`` and ids after the current maximum; the
-    write is a single append job (a batch is all in or not at all).
+def write_raw(rows: DataFrame, existing: DataFrame, path: str, keys: DataFrame | None = None) -> int:
+    """Append page rows (batch_id, page, raw_json) to the raw table with ids
+    after the largest one and the load time; returns the rows appended.
+
+    Only (batch_id, page) are sorted to number the rows; ``keys`` gives them
+    where they are known without reading the pages.  A repeated (batch_id, page)
+    would repeat ids, so it fails the load before anything is written.
     """
-    bronze = read_bronze(spark, path)
-    new = rows_to_load(pages, bronze)
-    # NOT NULL on batch_id / page: a file whose name carries no number fails
-    # the load before anything is written.
-    if not new.where(F.col("batch_id").isNull() | F.col("page").isNull()).isEmpty():
-        raise ValueError("page rows without batch or page number; file names must be "
-                         "batch_<N>/page_<P>.json")
-    new = assign_ids(new, bronze).withColumn("loaded_at", F.current_timestamp())
+    keys = (rows if keys is None else keys).select("batch_id", "page")
+    twice = keys.groupBy("batch_id", "page").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR batch_id IS NULL OR page IS NULL")
+    bad = twice.first()
+    if bad is not None:
+        raise ValueError(f"page rows without batch or page number, or a page that is there twice: "
+                         f"batch {bad.batch_id}, page {bad.page}; file names must be batch_<N>/page_<P>.json")
+    numbered = assign_ids(keys, existing)
+    new = constrained(rows).join(numbered, ["batch_id", "page"]).withColumn("loaded_at", F.current_timestamp())
     obs = Observation()
     out = new.select(*[f.name for f in S.BRONZE.fields]).observe(obs, F.count(F.lit(1)).alias("n"))
     out.write.mode("append").partitionBy("batch_id").parquet(path)
     return int(obs.get["n"])
+
+
+def append_batches(spark: SparkSession, pages: DataFrame, path: str, listed: DataFrame | None = None) -> int:
+    """Load every batch of ``pages`` (batch_id, page, raw_json) not yet in the
+    raw table at ``path``; returns the number of rows appended.
+
+    The write is a single append job (a batch is all in or not at all).
+    ``listed`` (batch_id, page of the same pages, from a listing) spares a read
+    of the page texts.
+    """
+    bronze = read_bronze(spark, path)
+    keys = None if listed is None else rows_to_load(listed, bronze)
+    return write_raw(rows_to_load(pages, bronze), bronze, path, keys)

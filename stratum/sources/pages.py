@@ -16,21 +16,29 @@ from ..functions.json_pages import compact_document, page_records
 from ..operators.sequence import dense_index
 
 
-def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
-                    page_glob: str = "page_*.json") -> DataFrame:
+#: globs of batch folder and page file: as fetched, and as ``write_page_files`` writes
+LAYOUTS = {"fetched": ("batch_*", "page_*.json"), "written": ("batch_id=*", "page=*/part-*")}
+
+
+def _missing(e: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e)
+
+
+def scan_page_files(spark: SparkSession, root: str, batch_glob: str | None = None,
+                    layout: str = "fetched") -> DataFrame:
     """``root/batch_N/page_P.json`` -> batch_id, page, raw_json (one row per file).
 
     The whole document is kept, re-serialised without layout whitespace
-    (``compact_document``).
-    ``batch_glob``/``page_glob`` select other layouts, e.g. the one written by
-    ``write_page_files`` (``batch_id=*`` / ``page=*/*.txt``).
+    (``compact_document``).  ``layout`` names the folder layout (``LAYOUTS``);
+    ``batch_glob`` restricts the batch folders.
     """
+    batches, pages = LAYOUTS[layout]
     # ``wholetext`` must be the keyword: ``text()`` sets its own default.
     try:
-        files = (spark.read.text(f"{root.rstrip('/')}/{batch_glob}/{page_glob}", wholetext=True)
+        files = (spark.read.text(f"{root.rstrip('/')}/{batch_glob or batches}/{pages}", wholetext=True)
                  .select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("path")))
     except Exception as e:  # no batch folder / no page file yet: nothing to load
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+        if not _missing(e):
             raise
         return spark.createDataFrame([], "batch_id int, page int, raw_json string")
     return files.select(
@@ -39,34 +47,36 @@ def scan_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
         compact_document("doc").alias("raw_json"))
 
 
-def list_page_files(spark: SparkSession, root: str, batch_glob: str = "batch_*",
-                    page_glob: str = "page_*.json") -> DataFrame:
-    """batch_id, page, path of every page file, from the file listing only
-    (the ``binaryFile`` source does not read a file's content unless the
+def list_page_files(spark: SparkSession, root: str, batch_glob: str | None = None,
+                    layout: str = "fetched") -> DataFrame:
+    """batch_id, page, folder, path of every page file, from the file listing
+    only (the ``binaryFile`` source does not read a file's content unless the
     ``content`` column is selected)."""
+    batches, pages = LAYOUTS[layout]
     try:
         files = (spark.read.format("binaryFile")
-                 .load(f"{root.rstrip('/')}/{batch_glob}/{page_glob}").select("path"))
+                 .load(f"{root.rstrip('/')}/{batch_glob or batches}/{pages}").select("path"))
     except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+        if not _missing(e):
             raise
         return spark.createDataFrame([], "batch_id int, page int, folder string, path string")
+    folder = r"([^/]+)/[^/]+$" if layout == "fetched" else r"([^/]+)/[^/]+/[^/]+$"
     return files.select(number_in_name("path", "batch").alias("batch_id"),
                         number_in_name("path", "page").alias("page"),
-                        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"), "path")
+                        F.regexp_extract("path", folder, 1).alias("folder"), "path")
 
 
-def list_batches(spark: SparkSession, root: str) -> DataFrame:
+def list_batches(spark: SparkSession, root: str, layout: str = "fetched") -> DataFrame:
     """Distinct batch ids of the batch folders under ``root`` that hold pages."""
-    return list_page_files(spark, root).select("batch_id").distinct()
+    return list_page_files(spark, root, layout=layout).select("batch_id").distinct()
 
 
 def write_page_files(pages: DataFrame, root: str) -> None:
     """Write pages (batch_id, page, raw_json): one folder per batch and page,
     ``root/batch_id=N/page=P/part-*.txt`` holding that page's document.
 
-    Spark names the files itself, so the page number lives in the folder;
-    ``scan_page_files(root, "batch_id=*", "page=*/*.txt")`` reads them back.
+    Spark names the files itself, so the page number lives in the folder; the
+    scans, loads and streams read them back with ``layout="written"``.
     """
     (pages.select("batch_id", "page", "raw_json")
      .repartition("batch_id", "page")
@@ -74,10 +84,12 @@ def write_page_files(pages: DataFrame, root: str) -> None:
 
 
 def paginate(df: DataFrame, order: list[str | Column], page_size: int = S.PAGE_SIZE,
-             rn: str = "rn") -> DataFrame:
+             rn: str = "rn", key: list[str] | None = None) -> DataFrame:
     """Number rows 1..n in ``order`` and cut them into pages of ``page_size``:
-    adds ``rn``, ``page`` (1-based) and ``rec_pos`` (0-based in the page)."""
-    numbered = dense_index(df, order, rn)
+    adds ``rn``, ``page`` (1-based) and ``rec_pos`` (0-based in the page).
+
+    With a ``key`` only the key and the order columns are sorted."""
+    numbered = dense_index(df, order, rn, key=key)
     return (numbered
             .withColumn("page", ((F.col(rn) - 1) / page_size).cast("int") + 1)
             .withColumn("rec_pos", ((F.col(rn) - 1) % page_size).cast("int")))

@@ -30,3 +30,14 @@ def test_pack_unpack_round_trip(spark):
     bronze = pages.select(F.col("page").cast("long").alias("id"), F.lit(1).alias("batch_id"), "page", "raw_json")
     out = unpack_pages(bronze).select("page", "rec_pos", "anime_id", "title").collect()
     assert sorted(map(tuple, out)) == [(1, 0, 10, "a"), (1, 1, 11, "b"), (2, 0, 12, "c")]
+
+
+def test_numbers_come_from_the_last_folder_and_the_stem(spark):
+    from stratum.functions.misc import number_in_name
+    paths = {"/data/batch_2024/import/batch_3/page_1.json": (3, 1), "/x/mybatch_7/in/batch_2/page_5.json": (2, 5),
+             "/x/page_9/batch_2/page_4.json": (2, 4), "batch_12": (12, None), "page_3.json": (None, 3),
+             "file:/r/batch_id=4/page=7/part-0.txt": (4, 7), "/batch_1/other/page_2.json": (None, 2),
+             "/batch_8/notes.txt": (8, None), "": (None, None), "batch_": (None, None)}
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = {r.p: (r.b, r.g) for r in df.select("p", number_in_name("p", "batch").alias("b"), number_in_name("p", "page").alias("g")).collect()}
+    assert got == paths

@@ -74,7 +74,7 @@ def test_upsert_updates_loaded_at(spark):
 def test_stage_frame_column_check(spark):
     df = spark.createDataFrame([(1, "x")], "k int, v string")
     assert stage_frame(df, ["k", "v", "loaded_at"]).columns == ["k", "v", "loaded_at"]
-    with pytest.raises(ValueError, match="Column mismatch"):
+    with pytest.raises(ValueError, match="lacks"):
         stage_frame(df, ["k", "w", "loaded_at"])
 
 
@@ -104,20 +104,59 @@ def test_quality_checks(spark):
     assert Q.key_violations(df, ["a"], ["b"]) == {"nulls": {"a": 1, "b": 1}, "duplicate_keys": True}
     assert Q.key_violations(df.where("a = 2 or a is null"), ["a"]) == {"nulls": {"a": 1},
                                                                        "duplicate_keys": False}
-    assert Q.column_mismatch(["a", "x"], ["a", "b", "loaded_at"]) == ({"b"}, {"x"})
+    assert Q.column_mismatch(["a", "x"], ["a", "b", "loaded_at"]) == (["b"], ["x"])
 
 
-def test_surrogate_dims_large_path_matches_small(spark, monkeypatch):
+def test_surrogate_dims_of_two_columns(spark):
     from stratum.plans import gold
-    df = spark.createDataFrame([(f"v{i % 37}", f"w{i % 5}") for i in range(500)], "a string, b string")
-    small = {c: sorted(map(tuple, d.collect())) for c, d in
-             gold.surrogate_dims(df, [("a", "a_id"), ("b", "b_id")]).items()}
-    monkeypatch.setattr(gold, "MAX_BROADCAST_ROWS", 3)   # force the distributed numbering
-    large = {c: sorted(map(tuple, d.collect())) for c, d in
-             gold.surrogate_dims(df, [("a", "a_id"), ("b", "b_id")]).items()}
-    assert small == large
-    assert [i for i, _ in small["b"]] == [1, 2, 3, 4, 5]
-    assert sorted(v for _, v in small["a"]) == sorted(f"v{i}" for i in range(37))
+    df = spark.createDataFrame([("b", "x"), ("a", None), ("c", "y"), (None, "x"), ("b", "z")], "a string, b string")
+    dims = gold.surrogate_dims(df, [("a", "a_id"), ("b", "b_id")])
+    got = {c: sorted(tuple(r) for r in d.collect()) for c, d in dims.items()}
+    assert got == {"a": [(1, "a"), (2, "b"), (3, "c")], "b": [(1, "x"), (2, "y"), (3, "z")]}
+
+
+def test_dense_index_by_key_checkpoints_no_payload(spark):
+    df = spark.createDataFrame([(i, (7 * i) % 100, "payload" * 50) for i in range(100)], "k int, o int, p string")
+    out = dense_index(df, ["o"], "n", key=["k"])
+    assert all(r.n == r.o + 1 and len(r.p) == 350 for r in out.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    kept = [line for line in plan.splitlines() if "ExistingRDD" in line or "LogicalRDD" in line]
+    assert not any("p#" in line for line in kept if "__pos" in line)
+
+
+def test_shares_of_a_zero_total_are_null(spark):
+    from stratum.operators.shares import share_of_total, share_within
+    df = spark.createDataFrame([(1, 0), (1, 0), (2, 1), (2, 3)], "g int, v long")
+    for bounded in (False, True):
+        got = sorted(share_within(df, "v", ["g"], rows_per_group_bounded=bounded).collect(), key=lambda r: (r.g, r.v))
+        assert [r.share_pct for r in got] == [None, None, 25.0, 75.0]
+    assert share_of_total(df.where("g = 1"), "v").first().share_pct is None
+
+
+def test_left_join_equals_outer_join_and_splits_a_hot_key(spark):
+    from stratum.operators.joins import left_join
+    left = spark.range(1000).selectExpr("id AS k", "id * 2 AS x")
+    right = spark.range(200000).selectExpr("IF(id % 2 = 0, 7, id % 900) AS k", "id AS y", "uuid() AS z")
+    want = left.join(right, "k", "left")
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                           "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
+        spark.conf.set("spark.sql.shuffle.partitions", 16)
+        got = left_join(left, right, "k")
+        assert got.columns == want.columns
+        total = got.agg({"k": "sum", "x": "sum", "y": "sum", "*": "count"})
+        assert tuple(total.first()) == tuple(want.agg({"k": "sum", "x": "sum", "y": "sum", "*": "count"}).first())
+        got = left_join(left, right, "k")
+        got.write.format("noop").mode("overwrite").save()
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
 
 
 def test_surrogate_ids_follow_native_order(spark):

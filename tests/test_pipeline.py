@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rec, write_batch
+from conftest import page_doc, rec, write_batch
 from stratum.plans import marts as M
 from stratum.plans import pipeline as P
 from stratum.sources import bronze as B
@@ -143,7 +143,7 @@ def test_page_file_sink_round_trip(spark, tmp_root):
     pages = spark.createDataFrame(rows, "batch_id int, page int, raw_json string")
     out = os.path.join(tmp_root, "written")
     write_page_files(pages, out)
-    back = scan_page_files(spark, out, "batch_id=*", "page=*/*.txt")
+    back = scan_page_files(spark, out, layout="written")
     got = sorted((r.batch_id, r.page, len(r.raw_json) > 0) for r in back.collect())
     assert got == [(1, 1, True), (1, 2, True), (2, 1, True)]
     from stratum.sources.pages import page_last_members
@@ -157,7 +157,10 @@ def test_stream_micro_batch_retry_is_idempotent(spark, tmp_root):
     bronze_path = os.path.join(tmp_root, "raw")
     batch = spark.createDataFrame([(1, 1, page_doc([rec(1)])), (1, 2, page_doc([rec(2)]))],
                                   "batch_id int, page int, raw_json string")
-    write = _append_micro_batch(bronze_path)
+
+    def write(micro_batch, epoch_id):
+        _append_micro_batch(micro_batch, bronze_path)
+
     write(batch, 0)
     write(batch, 0)          # the same epoch replayed
     assert B.read_bronze(spark, bronze_path).count() == 2
@@ -181,7 +184,7 @@ def test_bucketed_upsert_does_not_shuffle_the_table(spark, tmp_root):
                                        (F.col("id") % 7).cast("int").alias("genre_id"),
                                        F.lit("g").alias("genre_name"),
                                        F.current_timestamp().alias("loaded_at"))
-    assert store.write_version(name, rows, 1) == 2000
+    assert store.write_version(name, rows) == 2000
     batch = rows.where("anime_id < 300").withColumn("genre_name", F.lit("h"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -192,7 +195,7 @@ def test_bucketed_upsert_does_not_shuffle_the_table(spark, tmp_root):
         assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
         # two exchanges in all would mean the table side was shuffled too
         assert plan.count("Exchange hashpartitioning") == 1
-        assert store.write_version(name, merged, 2) == 2000
+        assert store.write_version(name, merged) == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -216,3 +219,101 @@ def test_missing_batches_read_from_listing(spark, tmp_root):
     write_batch(pages, 3, {1: [rec(4)]})
     assert P.load_missing_batches(spark, pages, wh) == 1
     assert P.load_missing_batches(spark, pages, wh) == 0
+
+
+def _stream(spark, tmp_root, name, **kw):
+    from stratum.streaming.incremental import stream_pages_to_silver
+    wh = os.path.join(tmp_root, "warehouse")
+    pages = os.path.join(tmp_root, "importbatches")
+    stream_pages_to_silver(spark, pages, wh, os.path.join(tmp_root, "ckpt"), **kw).awaitTermination(180)
+    return wh, {r.anime_id: r for r in P.read_silver(spark, wh, "anime").collect()}
+
+
+def test_stream_upserts_every_batch_and_late_pages(spark, tmp_root):
+    pages = os.path.join(tmp_root, "importbatches")
+    write_batch(pages, 1, {1: [rec(1, score=1.0), rec(2, score=1.0)]})
+    write_batch(pages, 2, {1: [rec(2, score=2.0), rec(3, score=2.0)]})
+    _, silver = _stream(spark, tmp_root, "a")  # both batches in one micro-batch
+    assert {k: r.score for k, r in silver.items()} == {1: 1.0, 2: 2.0, 3: 2.0}
+    # a late page of batch 1: a new title comes in, a newer row stays
+    write_batch(pages, 1, {2: [rec(4, score=1.0), rec(3, score=1.0, genres=[(9, "Late")])]})
+    wh, silver = _stream(spark, tmp_root, "b")
+    assert {k: r.score for k, r in silver.items()} == {1: 1.0, 2: 2.0, 3: 2.0, 4: 1.0}
+    links = {(r.anime_id, r.genre_id) for r in P.read_silver(spark, wh, "links_anime_genres").collect()}
+    assert links == {(3, 9)}
+
+
+def test_stream_in_bounded_micro_batches(spark, tmp_root):
+    pages = os.path.join(tmp_root, "importbatches")
+    write_batch(pages, 1, {p: [rec(p)] for p in range(1, 5)})
+    _, silver = _stream(spark, tmp_root, "a", max_files=2)
+    assert set(silver) == {1, 2, 3, 4}
+
+
+def test_lenient_run_lists_rejected_pages(spark, tmp_root):
+    pages, wh = os.path.join(tmp_root, "in"), os.path.join(tmp_root, "wh")
+    folder = write_batch(pages, 1, {1: [rec(1)]})
+    with open(os.path.join(folder, "page_2.json"), "w") as f:
+        f.write('{"data": [{"mal_id":')
+    with pytest.raises(Exception, match="page rejected"):
+        P.run(spark, pages, wh)
+    out = P.run(spark, pages, wh, strict=False)
+    assert out["silver_rows"]["rejected_pages"] == 1 and out["silver_rows"]["anime"] == 1
+    assert [r.page for r in spark.read.parquet(os.path.join(wh, "curated", "rejected_pages")).collect()] == [2]
+
+
+def test_half_written_version_is_never_current(spark, tmp_root):
+    import shutil
+    pages, wh = os.path.join(tmp_root, "in"), os.path.join(tmp_root, "wh")
+    write_batch(pages, 1, {1: [rec(n) for n in range(20)]})
+    P.run(spark, pages, wh)
+    table = os.path.join(wh, "curated", "anime")
+    shutil.copytree(os.path.join(table, "_version=1"), os.path.join(table, "_version=2"))
+    store = P.SilverStore(spark, wh)
+    assert store.current_version("anime") == 1 and store.read("anime").count() == 20
+    P.load_curated(spark, wh)
+    assert store.current_version("anime") == 3 and store.read("anime").count() == 20
+
+
+def test_current_version_reads_no_table(spark, tmp_root):
+    pages, wh = os.path.join(tmp_root, "in"), os.path.join(tmp_root, "wh")
+    write_batch(pages, 1, {1: [rec(1)]})
+    P.run(spark, pages, wh)
+    store = P.SilverStore(spark, wh)
+    assert "_published" in store._published("anime")
+    plan = store.read("anime")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_version" in plan and "max(_version" not in plan
+
+
+def test_bucketed_store_refuses_a_foreign_table(spark, tmp_root):
+    db = f"silver_{os.path.basename(tmp_root).replace('-', '_')}"
+    pages = os.path.join(tmp_root, "in")
+    write_batch(pages, 1, {1: [rec(1)]})
+    P.run(spark, pages, os.path.join(tmp_root, "one"), buckets=2, database=db)
+    with pytest.raises(ValueError, match="exists at"):
+        P.run(spark, pages, os.path.join(tmp_root, "two"), buckets=2, database=db)
+    with pytest.raises(ValueError, match="buckets"):
+        P.SilverStore(spark, os.path.join(tmp_root, "one"), 4, db).read("anime", 1)
+
+
+def test_written_pages_are_loaded_back(spark, tmp_root):
+    from stratum.sources.pages import write_page_files
+    out, wh = os.path.join(tmp_root, "out"), os.path.join(tmp_root, "wh")
+    rows = [(1, 1, page_doc([rec(1)])), (1, 2, page_doc([rec(2)])), (2, 1, page_doc([rec(3)]))]
+    write_page_files(spark.createDataFrame(rows, "batch_id int, page int, raw_json string"), out)
+    assert P.load_missing_batches(spark, out, wh, layout="written") == 3
+    assert P.load_missing_batches(spark, out, wh, layout="written") == 0
+    raw = B.read_bronze(spark, os.path.join(wh, "raw", "api_data"))
+    assert sorted((r.id, r.batch_id, r.page) for r in raw.collect()) == [(1, 1, 1), (2, 1, 2), (3, 2, 1)]
+
+
+def test_links_are_stored_in_key_order(spark, tmp_root):
+    import glob
+
+    import pyarrow.parquet as pq
+    pages, wh = os.path.join(tmp_root, "in"), os.path.join(tmp_root, "wh")
+    write_batch(pages, 1, {1: [rec(n, genres=[(7, "g7"), (3, "g3")]) for n in range(30, 0, -1)]})
+    P.run(spark, pages, wh)
+    files = sorted(glob.glob(os.path.join(wh, "datamart", "links_genres", "part-*")))
+    got = [(r["anime_id"], r["genre_id"]) for f in files for r in pq.read_table(f).to_pylist()]
+    assert got == sorted(got) and len(got) == 60

@@ -23,3 +23,16 @@ def test_plan_invariants(spark, name):
     c = count_operators(explain_text(df))
     assert c["python"] == 0, name
     assert c["cartesian"] == 0, name
+
+
+@pytest.mark.parametrize("name", ["q_category_share_by_year", "q_source_share"])
+def test_marts_read_their_tables_at_most_twice(spark, name):
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    relations = [line for line in plan.splitlines() if "Relation" in line]
+    assert sum("l_orderkey" in line for line in relations) <= 2
+    assert sum("o_orderkey" in line for line in relations) <= 2

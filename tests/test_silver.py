@@ -1,5 +1,7 @@
 """Silver stage on page documents (FIXTURES.md §1 cases)."""
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import page_doc, rec
@@ -42,9 +44,9 @@ def test_latest_batch_only(spark):
 def test_malformed_document(spark):
     import pytest
     rows = spark.createDataFrame([(1, 1, "{not json")], "batch_id int, page int, raw_json string")
-    assert build_silver(bronze_from_pages(rows))["anime"].count() == 0
+    assert build_silver(bronze_from_pages(rows), strict=False)["anime"].count() == 0
     with pytest.raises(Exception):
-        build_silver(bronze_from_pages(rows), strict=True)["anime"].collect()
+        build_silver(bronze_from_pages(rows))["anime"].collect()
 
 
 def test_empty_raw_table_gives_empty_silver(spark):
@@ -52,3 +54,27 @@ def test_empty_raw_table_gives_empty_silver(spark):
     s = build_silver(empty_bronze(spark))
     assert s["anime"].count() == 0
     assert all(s[f"links_anime_{k}"].count() == 0 for k in ("genres", "studios"))
+
+
+BAD = {"truncated": '{"data": [{"mal_id": 1', "no data": '{"pagination": {}}',
+       "text for a number": '{"data": [{"mal_id": 3, "score": "N/A"}]}',
+       "overflow": '{"data": [{"mal_id": 4, "members": 3000000000}]}', "not JSON": "x"}
+
+
+@pytest.mark.parametrize("name", sorted(BAD))
+def test_bad_pages_raise_or_are_listed(spark, name):
+    from stratum.functions.json_pages import rejected_pages
+    good = page_doc([rec(10), rec(11)])
+    raw = bronze_from_pages(spark.createDataFrame([(1, 1, good), (1, 2, BAD[name])], "batch_id int, page int, raw_json string"))
+    with pytest.raises(Exception, match="page rejected"):
+        build_silver(raw)["anime"].collect()
+    assert sorted(r.anime_id for r in build_silver(raw, strict=False)["anime"].collect()) == [10, 11]
+    assert [(r.page, bool(r.reason)) for r in rejected_pages(raw).collect()] == [(2, True)]
+
+
+def test_take_while_does_not_take_a_bad_page_for_an_empty_one(spark):
+    from stratum.sources.pages import take_while_pages
+    good = page_doc([rec(1, members=50000)])
+    pages = spark.createDataFrame([(1, good), (2, BAD["truncated"]), (3, good)], "page int, raw_json string")
+    with pytest.raises(Exception, match="page rejected"):
+        take_while_pages(pages).collect()
