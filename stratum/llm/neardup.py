@@ -13,15 +13,21 @@ registers are about as likely as two sets are similar.
 3. Estimate the similarity of each pair jointly: the likelihood of the counts
    of larger, smaller and equal registers given both set sizes.  Pairs whose
    estimate is ``MARGIN`` below the threshold are dropped (six deviations).
-4. Verify each node's best pair on the full sets; contract the components.
-5. Every other pair of bucket mates that are still in different components is
-   estimated and verified too, so no banded pair is left undecided.
+4. Verify each node's best pair on the full sets, contract the components, and
+   verify the hub pairs that still join two of them.
+5. The bucket mates that are still apart are searched exactly.  Members of
+   buckets whose largest part is the same component form a neighbourhood.  In it
+   a shingle is rare (in fewer than ``RARE`` sets) or common.  Two sets that may
+   be linked either share a rare shingle, or their common shingles alone suffice
+   for the threshold; only such mates are paired, estimated, bounded by their
+   truncated hashes (which can only overcount what is shared) and verified.
+   So no banded pair is left undecided and no bucket is paired with itself.
 
 The chance that a pair at the threshold shares no band is
 ``(1 - 0.8**4)**32 < 5e-8``.
 
-Scale: bucket work is linear in the bucket (hub pairs) plus what the hubs could
-not connect; no bucket or component is collected anywhere.  Texts move once, and
+Scale: hub pairs are linear in a bucket; no bucket, neighbourhood or component
+is collected anywhere.  Texts move once, and
 only to reach their sets; sets move only for pairs that are verified.
 
 Defined cases: null and empty texts have the empty set and link with nothing;
@@ -50,6 +56,10 @@ REGISTERS = BANDS * ROWS
 SKETCH_BASE, SKETCH_RATE = 1.001, 20.0
 #: pairs estimated this far below the threshold are not verified
 MARGIN = 0.21
+#: a shingle in fewer sets of a neighbourhood than this is rare
+RARE = 16
+#: sets below this size are bounded by 16 bits of each hash, others by 32
+SHORT = 2048
 
 
 def shingle_sets(w: wb.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,6 +174,33 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     return map_batches(texts.select("node", "text"), apply, "node long, items binary")
 
 
+def _bounds(sets: DataFrame) -> DataFrame:
+    """(node, items): the sets with 16 or 32 bits left of each hash."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cut = []
+            for x in b.column(1):
+                g = np.frombuffer(x.as_buffer(), np.uint64)
+                cut.append(((g >> np.uint64(48)).astype("<u2") if len(g) < SHORT else (g >> np.uint64(32)).astype("<u4")).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.binary())], names=["node", "items"])
+
+    return map_batches(sets.select("node", "items"), apply, "node long, items binary")
+
+
+def _incidences(sets: DataFrame) -> DataFrame:
+    """(node, shingle) of every set element."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            items = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column(1)]
+            node = np.repeat(b.column(0).to_numpy(), [len(g) for g in items])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate([*items, np.zeros(0, np.int64)]))],
+                                             names=["node", "shingle"])
+
+    return map_batches(sets.select("node", "items"), apply, "node long, shingle long")
+
+
 def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b, similarity) that may reach the threshold."""
     num, den = THRESHOLD
@@ -187,34 +224,78 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_batches(rows.select("a", "b", "n_a", "n_b", "r_a", "r_b"), apply, "a long, b long, similarity double")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Elements that two sorted arrays share, counted with repetitions."""
+    x, n = np.unique(a, return_counts=True)
+    y, m = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(np.minimum(n[i], m[j]).sum())
+
+
+def _reaching(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, bounded: bool) -> DataFrame:
+    """The pairs whose sets reach the threshold, or may reach it if the sets
+    are only ``bounded`` (``_bounds``)."""
     num, den = THRESHOLD
     rows = pairs.select("a", "b")
+    items = sets.join(sizes.select("node", "n_shingles"), "node")
     for s in ("a", "b"):
-        rows = rows.join(sets.select(F.col("node").alias(s), F.col("items").alias(f"i_{s}")), s)
+        rows = rows.join(items.select(F.col("node").alias(s), F.col("items").alias(f"i_{s}"),
+                                      F.col("n_shingles").alias(f"n_{s}")), s)
+
+    def count(raw_a: pa.Scalar, raw_b: pa.Scalar, n_a: int, n_b: int) -> int:
+        if not bounded:
+            return len(np.intersect1d(np.frombuffer(raw_a.as_buffer(), np.uint64), np.frombuffer(raw_b.as_buffer(), np.uint64),
+                                      assume_unique=True))
+        a, b = (np.frombuffer(x.as_buffer(), "<u2" if n < SHORT else "<u4") for x, n in ((raw_a, n_a), (raw_b, n_b)))
+        if a.dtype != b.dtype:  # the leading 16 of 32 bits
+            a, b = ((x >> 16).astype("<u2") if x.dtype == np.dtype("<u4") else x for x in (a, b))
+        return _shared(a, b)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             linked = []
-            for a, b in zip(x.column(2), x.column(3)):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                linked.append(den * common >= num * (len(a) + len(b) - common))
+            for a, b, n_a, n_b in zip(x.column(2), x.column(3), x.column(4).to_pylist(), x.column(5).to_pylist()):
+                common = count(a, b, n_a, n_b)
+                linked.append(den * common >= num * (n_a + n_b - common))
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return map_batches(rows.select("a", "b", "i_a", "i_b"), apply, "a long, b long")
+    return map_batches(rows.select("a", "b", "i_a", "i_b", "n_a", "n_b"), apply, "a long, b long")
 
 
 def _ordered(a: F.Column, b: F.Column) -> list[F.Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _keys(registers: str = "registers") -> F.Column:
+    """The bucket of each band."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
+        i, F.substring(registers, i * (2 * ROWS) + 1, F.lit(2 * ROWS))))
+
+
+def _named(df: DataFrame, components_: DataFrame, c: str) -> DataFrame:
+    """Adds ``c_<c>``, the component of node ``c`` (itself if it has no link)."""
+    names = components_.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
+    return df.join(names, c, "left").withColumn(f"c_{c}", F.coalesce(f"c_{c}", c))
+
+
+def _merge(joined: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, component) after the further links ``found`` (a, b)."""
+    links_ = _named(_named(found, joined, "a"), joined, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+    roots = stored(components(links_), "components")
+    named = joined.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")),
+                        "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return stored(named.unionByName(roots.join(joined, "node", "left_anti")), "components")
+
+
 def links(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the nodes that have a link."""
-    bands = nodes.filter("n_shingles > 0").select("node", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.xxhash64(i, F.substring("registers", i * (2 * ROWS) + 1, F.lit(2 * ROWS))))).alias("bucket"))
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return _sets_of(docs, nodes, wanted, shingle, id_col, text_col)
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    bands = nodes.filter("n_shingles > 0").select("node", F.explode(_keys()).alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1")
     bands = stored(bands.join(shared, "bucket"), "bands")
 
@@ -226,42 +307,72 @@ def links(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col
             .select(*_ordered(F.col("node"), F.col("hub"))).distinct())
     star = stored(_estimated(star, nodes), "pairs")
 
-    # each node's best pair first
-    ends = star.select("a", "b", "similarity", F.explode(F.array("a", "b")).alias("node"))
-    best = ends.groupBy("node").agg(F.max(F.struct("similarity", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    sets_of = lambda pairs: _sets_of(docs, nodes, pairs, shingle, id_col, text_col)
+    # each node's best pair first, then the hub pairs that join two components
+    sides = star.select("a", "b", "similarity", F.explode(F.array("a", "b")).alias("node"))
+    best = sides.groupBy("node").agg(F.max(F.struct("similarity", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     best = stored(best, "best")
-    first = stored(_verified(best, sets_of(best)), "links")
-    joined = stored(components(first), "components")
-
-    # whatever bucket mates are still apart
-    of = lambda df, c: (df.join(joined.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}")), c, "left")
-                        .withColumn(f"c_{c}", F.coalesce(f"c_{c}", c)))
-    mates = of(bands.select("bucket", "node"), "node")
-    sizes = mates.groupBy("bucket", "c_node").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "c_node")).alias("l"), F.count("*").alias("parts"))
-    mates = stored(mates.join(largest.filter("parts > 1").select("bucket", F.col("l.c_node").alias("main")), "bucket"),
-                   "mates")
-    minor = mates.filter("c_node != main").select("bucket", F.col("node").alias("x"), F.col("c_node").alias("c_x"))
-    # pairs inside the minor parts are met from both sides: keep one
-    apart = (mates.join(minor, "bucket").filter("c_node != c_x AND (c_node = main OR node < x)")
-             .select(*_ordered(F.col("node"), F.col("x"))).distinct())
-    apart = apart.join(star.select("a", "b"), ["a", "b"], "left_anti")
-    rest = of(of(star.join(best, ["a", "b"], "left_anti"), "a"), "b").filter("c_a != c_b").select("a", "b")
-    rest = stored(rest.unionByName(_estimated(apart, nodes).select("a", "b")), "pairs")
-    second = _verified(rest, sets_of(rest))
-    second = of(of(second, "a"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
-    # components of components
-    merged = stored(components(second), "components")
-    named = joined.join(merged.select(F.col("node").alias("component"), F.col("component").alias("root")),
-                        "component", "left").select("node", F.coalesce("root", "component").alias("component"))
-    alone = merged.join(joined, "node", "left_anti")
-    return named.unionByName(alone)
+    sets = sets_of(ends(star))
+    joined = stored(components(_reaching(best, sets, nodes, False)), "components")
+    rest = _named(_named(star.join(best, ["a", "b"], "left_anti"), joined, "a"), joined, "b").filter("c_a != c_b")
+    rest = _reaching(stored(rest.select("a", "b"), "pairs"), _bounds(sets), nodes, True)
+    joined = _merge(joined, _reaching(stored(rest, "pairs"), sets, nodes, False))
+
+    # bucket mates that are still apart, and not by a hub pair alone
+    mates = _named(bands.filter("mates > 2").select("bucket", "node"), joined, "node")
+    parts = mates.groupBy("bucket", "c_node").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+        F.max(F.struct("n", "c_node")).alias("largest"), F.count("*").alias("parts"))
+    apart = mates.join(parts.filter("parts > 1").select("bucket", F.col("largest.c_node").alias("place")), "bucket")
+    apart = stored(apart.select("place", "node", "c_node").distinct(), "apart")
+    sets = sets_of(apart.select("node").distinct())
+    pairs = _neighbours(apart, sets, nodes).join(star.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = stored(_estimated(stored(pairs, "pairs"), nodes).select("a", "b"), "pairs")
+    pairs = stored(_reaching(pairs, _bounds(sets), nodes, True), "pairs")
+    return _merge(joined, _reaching(pairs, sets, nodes, False))
+
+
+def _neighbours(apart: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of bucket mates in different components that may be linked.
+
+    ``apart``: (place, node, c_node); ``place`` is the neighbourhood and the
+    component of its largest part.
+    """
+    num, den = THRESHOLD
+    seen = _incidences(sets).join(apart.select("place", "node"), "node")
+    counts = seen.groupBy("place", "shingle").agg(F.count("*").alias("held")).filter("held > 1")
+    seen = stored(seen.join(counts, ["place", "shingle"]), "held")
+    common = seen.groupBy("place", "node").agg(F.count(F.when(F.col("held") >= RARE, 1)).alias("common"))
+    member = (apart.join(common, ["place", "node"], "left").withColumn("common", F.coalesce("common", F.lit(0)))
+              .join(nodes.select("node", "n_shingles", _keys().alias("keys")), "node"))
+    member = stored(member, "members")
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.select("place", *[F.col(c).alias(f"{s}_{c}") for c in df.columns if c != "place"])
+
+    sizes = (F.col("x_c_node") != F.col("y_c_node")) & (
+        den * F.least("x_n_shingles", "y_n_shingles") >= num * F.greatest("x_n_shingles", "y_n_shingles"))
+    mates = F.arrays_overlap("x_keys", "y_keys")
+    x, y = side(member.filter("c_node != place"), "x"), side(member, "y")
+    enough = ((num + den) * F.least("x_common", "y_common") >= num * (F.col("x_n_shingles") + F.col("y_n_shingles")))
+    once = (F.col("y_c_node") == F.col("place_")) | (F.col("y_node") < F.col("x_node"))
+    y_ = y.withColumnRenamed("place", "place_")
+    by_common = x.join(y_, (x["place"] == y_["place_"]) & sizes & enough & once & mates)
+    narrow = member.select("place", "node", "c_node", "n_shingles")
+    held = stored(seen.filter(F.col("held") < RARE).select("place", "node", "shingle").join(narrow, ["place", "node"]), "rare")
+    x, y = side(held, "x"), side(held, "y").withColumnRenamed("place", "place_")
+    by_rare = x.join(y, (x["place"] == y["place_"]) & (F.col("x_shingle") == F.col("y_shingle"))
+                     & (F.col("y_node") < F.col("x_node")) & sizes)
+    found = [p.select(*_ordered(F.col("x_node"), F.col("y_node"))) for p in (by_common, by_rare)]
+    rare = found[1].distinct()
+    keys = nodes.select("node", _keys().alias("keys"))
+    for s in ("a", "b"):
+        rare = rare.join(keys.select(F.col("node").alias(s), F.col("keys").alias(f"keys_{s}")), s)
+    rare = rare.filter(F.arrays_overlap("keys_a", "keys_b")).select("a", "b")
+    return found[0].unionByName(rare).distinct()
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """Full sets of the nodes in ``pairs``, from the text of each node's first row."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """Full sets of the nodes in ``wanted``, from the text of each node's first
+    row (and of rows that repeat it: more rows of the same node do no harm)."""
     wanted = nodes.select("node", "first_id", "text_key").join(wanted, "node")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     found = texts.join(wanted, (texts["key"] == wanted["text_key"]) & texts["id"].eqNullSafe(wanted["first_id"]))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, nbsvm, neardup, outliers, packing, pii, repeats, sharding, suffix_tree, unigram
+from .oracle_sql import ORACLES  # noqa: F401
 
 #: folder of the public tokenizer files; only the driver reads it
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -17,7 +18,6 @@ WORD_BPE, UNIGRAM = "word_bpe_49k.json", "piece_bpe_32k.model"
 PSEUDONYM_KEY = os.environ.get("PSEUDONYM_KEY", "test tables only")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):

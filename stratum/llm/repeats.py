@@ -149,9 +149,11 @@ def _hashed(hot: DataFrame, window: int, last: int, length: int, sampled: bool)
 
 def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
     """Hashes that occur in documents of different ids, with the smallest id."""
-    return (rows.groupBy(*by).agg(F.min("id").alias("least"), F.max("id").alias("most"),
-                                  F.count(F.when(F.col("id").isNull(), 1)).alias("unnamed"))
-            .filter("least < most OR (least IS NOT NULL AND unnamed > 0)").select(*by, "least"))
+    counted = rows.groupBy(*by).agg(F.min("id").alias("least"), F.max("id").alias("most"),
+                                    F.count(F.when(F.col("id").isNull(), 1)).alias("unnamed"))
+    # stored, so that both sides of the join to come are plain shuffles, which
+    # the adaptive skew join can split
+    return stored(counted.filter("least < most OR (least IS NOT NULL AND unnamed > 0)").select(*by, "least"), "repeated")
 
 
 def _levels(rows: DataFrame, part: DataFrame, window: int, seed: int) -> tuple[DataFrame, DataFrame]:
