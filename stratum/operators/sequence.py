@@ -32,25 +32,24 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 def dense_index(df: DataFrame, order: list[str | Column], name: str = "idx",
                 start: int | Column = 1, num_partitions: int | None = None,
-                key: list[str] | None = None) -> DataFrame:
+                key: list[str] | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
     """Add ``name`` (bigint): ``start``, ``start``+1, ... following ``order``.
 
     ``order`` should be a total order (add a unique column as last tie-break);
     with ties the numbering among tied rows is arbitrary but fixed.  ``start``
     may be a Column (for instance a scalar subquery ``max(id) + 1``).  With
     ``key`` (columns that identify a row) only the key and the order columns are
-    sorted and checkpointed, and the numbers are joined back to the rows.
+    sorted and checkpointed, and the numbers are joined back to the rows;
+    ``columns`` names what ``order`` refers to in Column expressions.
     """
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
-    by = [F.col(c) if isinstance(c, str) else c for c in order]
     narrow = df
     if key:
-        narrow = df.select(*key, *[c.alias(f"__by{i}") for i, c in enumerate(by)])
-        by = [F.col(f"__by{i}") for i in range(len(by))]
+        narrow = df.select(*dict.fromkeys([*key, *(c for c in order if isinstance(c, str)), *columns]))
     tagged = (
-        narrow.repartitionByRange(n, *by)
-        .sortWithinPartitions(*by)
+        narrow.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
         # monotonically_increasing_id = (partition index << 33) + row position,
         # assigned in the sorted order of the partition.
         .withColumn(_PID, F.spark_partition_id())

@@ -253,7 +253,8 @@ def q_duration_minutes(spark, sf_dir):
 # ------------------------------------------------------------ silver, json
 def _pages(t):
     """Titles cut into page documents of 25, by members desc then id."""
-    recs = paginate(standin.page_records(t, ["genres"]), [F.desc("members"), F.asc("mal_id")], key=["mal_id"])
+    recs = paginate(standin.page_records(t, ["genres"]), [F.desc("members"), F.asc("mal_id")], key=["mal_id"],
+                    columns=("members",))
     fields = [f.name for f in S.RECORD.fields if f.name in recs.columns]
     return pack_pages(recs.select("page", "rec_pos", *fields), fields=fields)
 

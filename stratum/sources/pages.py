@@ -84,12 +84,12 @@ def write_page_files(pages: DataFrame, root: str) -> None:
 
 
 def paginate(df: DataFrame, order: list[str | Column], page_size: int = S.PAGE_SIZE,
-             rn: str = "rn", key: list[str] | None = None) -> DataFrame:
+             rn: str = "rn", key: list[str] | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
     """Number rows 1..n in ``order`` and cut them into pages of ``page_size``:
     adds ``rn``, ``page`` (1-based) and ``rec_pos`` (0-based in the page).
 
-    With a ``key`` only the key and the order columns are sorted."""
-    numbered = dense_index(df, order, rn, key=key)
+    With a ``key`` only the key and the order columns are sorted (``dense_index``)."""
+    numbered = dense_index(df, order, rn, key=key, columns=columns)
     return (numbered
             .withColumn("page", ((F.col(rn) - 1) / page_size).cast("int") + 1)
             .withColumn("rec_pos", ((F.col(rn) - 1) % page_size).cast("int")))
