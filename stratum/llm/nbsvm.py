@@ -6,10 +6,10 @@ frequencies among the labelled rows.  The hinge-loss machine is fitted by dual
 coordinate descent, and its margins are turned into probabilities by a logistic
 fit on labelled rows that the machine has not seen.
 
-Scale: class frequencies are counted over all labelled rows by a distributed
-aggregate.  The machine is fitted in one task on at most ``MAX_FIT`` labelled
-rows (those with the smallest id hash) with at most ``MAX_FIT_NGRAMS`` n-grams
-in all, a fixed bound on that task; scoring is one narrow pass with the
+Scale: class frequencies and machine are fitted on at most ``MAX_FIT`` labelled
+rows (those with the smallest id hash), which are broadcast to find their texts;
+the machine in one task with at most ``MAX_FIT_NGRAMS`` n-grams.  No other text
+moves; scoring is one narrow pass with the
 ``BUCKETS`` weights broadcast, in proportion to the text.
 
 Inputs of a score are words only, never labels, language, source or id.
@@ -147,11 +147,13 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, id_col: str =
           label_col: str = "quality") -> dict:
     """The fitted model: ``ratio``, ``weights``, ``bias``, ``a``, ``b``, or ``share`` for one class."""
     spark = docs.sparkSession
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")
+    fold = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % folds
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-             .filter("label IN (0, 1)").distinct())
-    rows = docs.filter(F.crc32(key) % folds != 0).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.join(known, "id").withColumn("rank", F.xxhash64("id", F.lit("fit")))
+             .filter(F.col("label").isin(0, 1) & (fold != 0)).distinct()
+             .withColumn("rank", F.xxhash64("id", F.lit("fit"))))
+    # the sample: the smallest ranks; MAX_FIT narrow rows may be broadcast
+    known = F.broadcast(known.orderBy("rank", "label").limit(MAX_FIT))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id")
     rows = stored(_indicators(rows, ["rank", "label"]).withColumn("size", F.size("grams").cast("long")), "labelled")
     by_class = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(by_class) < 2:
@@ -164,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, id_col: str =
     p[gram] += n1
     q[gram] += counts.column("n").to_numpy() - n1
     ratio = np.log((p / (by_class[1] + 2)) / (q / (by_class[0] + 2)))
-    # the sample: smallest ranks, as far as the bounds go
+    # as far as the bound on the task goes
     small = rows.filter(F.col("size") <= MAX_FIT_NGRAMS // 64)
     cut = small.select("rank", "size").orderBy("rank").limit(MAX_FIT).toArrow()
     fits = int(np.searchsorted(np.cumsum(cut.column("size").to_numpy()), MAX_FIT_NGRAMS, side="right"))
