@@ -49,15 +49,15 @@ END_ID = 1
 BLOCK_ROWS = 16384
 BLOCK_ROUNDS = 4096
 #: entries of a worker's cache
-CACHE_PIECES = 250_000
+CACHE_PIECES = 500_000
 
 _WORD = re.compile(r"[^ \t\n\r]+")
 #: the word tokenizer's split; any other tokenizer gets whole texts (fixed value)
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: the same, restricted to plain lower-case characters
 _PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
-_NOT_PLAIN = re.compile(r"[^ -~\t\n\rÀ-ÖØ-öø-ÿ]")
-_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+#: the plain characters as Latin-1 bytes: printable ASCII, \t, \n, \r and letters
+_PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
 
 
 class _Cache(dict):
@@ -76,7 +76,7 @@ class _Cache(dict):
 
 
 class CachedTokenizer:
-    """Ids of a text through bounded caches.
+    """Ids of texts through bounded caches.
 
     For the word tokenizer, the split of a text of plain characters is made
     here, so that only the model runs, once per piece; any other text goes
@@ -84,7 +84,7 @@ class CachedTokenizer:
     tokenizers get whole texts.
     """
 
-    def __init__(self, tokenizer_json: str) -> None:
+    def __init__(self, tokenizer_json: str, wide: bool = True) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
@@ -96,24 +96,29 @@ class CachedTokenizer:
                         == ["NFC", "Replace", "Lowercase"])
         bytewise = Tokenizer(model)
         bytewise.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        kind = "I" if wide else "H"
 
         def piece(s: str) -> bytes:
             ids = [t.id for t in model.tokenize(s)] if s.isascii() else bytewise.encode(s, add_special_tokens=False).ids
-            return pack(f"<{len(ids)}I", *ids)
+            return pack(f"<{len(ids)}{kind}", *ids)
 
         def word(s: str) -> bytes:
             ids = self.tokenizer.encode(s, add_special_tokens=False).ids
-            return pack(f"<{len(ids)}I", *ids)
+            return pack(f"<{len(ids)}{kind}", *ids)
 
         self.word, self.pieces, self.words = word, _Cache(piece), _Cache(word)
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of the text."""
+        """Little-endian unsigned ids of the text, 32 bits ``wide`` or 16."""
         if not self.by_word:
             return self.word(text)
-        if not text.isascii() and _NOT_PLAIN.search(text) or text.isascii() and _CONTROL.search(text):
-            return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
-        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
+        try:
+            plain = not text.encode("latin-1").translate(None, _PLAIN)
+        except UnicodeEncodeError:
+            plain = False
+        if plain:
+            return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
+        return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id",
@@ -133,17 +138,17 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
     schema = rows.drop("text").schema.add("n_tokens", "long").add("ids", "binary")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = once_per_worker("tokenizer", definition.value, CachedTokenizer)
-        end = np.array([end_id], "<u4").tobytes()
+        tokenizer = once_per_worker("tokenizer", definition.value, lambda d: CachedTokenizer(d, wide))
+        # a small cache of this task's own pieces is faster than a full one
+        tokenizer.pieces.clear()
+        tokenizer.words.clear()
+        width = 4 if wide else 2
+        end = end_id.to_bytes(width, "little")
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                b = batch.slice(lo, 500)
-                ids = [tokenizer.ids(t.as_py() or "") + end for t in b.column(3)]
-                n = [len(x) // 4 for x in ids]
-                if not wide:
-                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
-                                                 names=schema.names)
+            ids = [tokenizer.ids(t.as_py() or "") + end for t in batch.column(3)]
+            n = [len(x) // width for x in ids]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
+                                             names=schema.names)
 
     return map_batches(rows, apply, schema)
 
@@ -209,7 +214,7 @@ def packed(docs: DataFrame, tokenizer_path: str, mixture: dict[str, float] | Non
          **cols: str) -> DataFrame:
     """One row per piece: doc_id, source, start, length, sequence_id, offset,
     doc_tokens and the piece's ``ids`` (little-endian unsigned 32-bit)."""
-    tokens = stored(tokenized(docs, tokenizer_path, end_id, **cols), "tokens")
+    tokens = stored(tokenized(docs, tokenizer_path, end_id, **cols), "tokens", "snappy")
     plan = schedule(tokens.select("row", "source", "n_tokens"), mixture, sequence_tokens, packet)
     by_row = plan.groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
     joined = tokens.join(by_row, "row").select("doc_id", "source", "n_tokens", "ids", "pieces")
@@ -220,21 +225,22 @@ def packed(docs: DataFrame, tokenizer_path: str, mixture: dict[str, float] | Non
     schema["source"].nullable = True
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                b = batch.slice(lo, 500)
-                take, out, ids = [], [[], [], [], [], []], []
-                for i, (n, raw, pieces) in enumerate(zip(b.column(2).to_pylist(), b.column(3), b.column(4).to_pylist())):
-                    raw = np.frombuffer(raw.as_buffer(), "<u2" if len(raw.as_buffer()) == 2 * n else "<u4")
-                    for p in pieces:
-                        take.append(i)
-                        for values, v in zip(out, (p["start"], p["length"], p["sequence_id"], p["offset"], n)):
-                            values.append(v)
-                        ids.append(raw[p["start"]:p["start"] + p["length"]].astype("<u4").tobytes())
-                if take:
-                    index = pa.array(take, long)
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(index), b.column(1).take(index), *(pa.array(v, long) for v in out),
-                         pa.array(ids, pa.binary())], names=schema.names)
+        for b in batches:
+            pieces, n = b.column(4), b.column(2).to_numpy()
+            take = np.repeat(np.arange(b.num_rows), pieces.value_lengths().to_numpy())
+            if not len(take):
+                continue
+            start, length, sequence, offset = (x.to_numpy() for x in pieces.flatten().flatten())
+            ids, row = [], -1
+            for i, lo, hi in zip(take.tolist(), start.tolist(), (start + length).tolist()):
+                if i != row:
+                    raw, row = b.column(3)[i].as_buffer(), i
+                    raw = np.frombuffer(raw, "<u2" if len(raw) == 2 * n[i] else "<u4").astype("<u4", copy=False)
+                ids.append(raw[lo:hi].tobytes())
+            index = pa.array(take)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(index), b.column(1).take(index),
+                 *(pa.array(v, long) for v in (start, length, sequence, offset, n[take])), pa.array(ids, pa.binary())],
+                names=schema.names)
 
     return map_batches(joined, cut, schema)

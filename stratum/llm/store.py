@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from ..session import ensure_checkpoint_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read back.
 
     Cuts the lineage, survives lost executors and, unlike ``checkpoint()``,
@@ -20,7 +20,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -84,6 +84,7 @@ def test_tokenizer_cache_is_exact():
     rng = np.random.default_rng(2)
     alphabet = list("aAbé ÉñßI'sŚ  \x0b\x1c\x85\n\t\r 12²😀|<endoftext>İ中'll’µª")
     texts = [t for _, t in data.texts()] + ["".join(rng.choice(alphabet, 30)) for _ in range(500)]
+    texts += ["".join(rng.choice(list("aB éÉß×÷.,-'12|\n"), 20)) for _ in range(500)]
     for t in texts:
         assert np.frombuffer(mine.ids(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, t
 
