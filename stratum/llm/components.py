@@ -9,14 +9,15 @@ are written to the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .store import stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """``edges``: (u, v) with u > v.  Returns new edges of the same form."""
+    """``edges``: (u, v) with u > v.  Returns new edges of the same form, some
+    of them more than once."""
     u, v = F.col("u"), F.col("v")
     if large:
         both = edges.unionByName(edges.select(v.alias("u"), u.alias("v")))
@@ -26,7 +27,16 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         moved = (edges.join(least, "u").select(v.alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))))
-    return moved.filter(F.col("u") != F.col("v")).distinct()
+    return moved.filter(F.col("u") != F.col("v"))
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The distinct edges, stored, with their count and checksum, which are
+    taken while they are written."""
+    seen = Observation()
+    edges = edges.distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+    edges = stored(edges, "edges")
+    return edges, (seen.get["n"], seen.get["sum"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,12 +45,10 @@ def components(links: DataFrame) -> DataFrame:
     ``component`` is the smallest node reachable.  Nodes without a link are not
     listed; repeated links and loops have no effect.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                   .filter("u != v").distinct(), "edges")
-    while True:
-        before = edges
-        edges = stored(_star(_star(edges, True), False), "edges")
-        if before.count() == edges.count() and before.exceptAll(edges).isEmpty():
-            break
+    edges, mark = _written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v"))
+    before = None
+    while mark != before and mark[0]:
+        before = mark
+        edges, mark = _written(_star(_star(edges, True), False))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

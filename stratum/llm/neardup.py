@@ -201,8 +201,9 @@ def _incidences(sets: DataFrame) -> DataFrame:
     return map_batches(sets.select("node", "items"), apply, "node long, shingle long")
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b, similarity) that may reach the threshold."""
+def _estimated(pairs: DataFrame, nodes: DataFrame, mates: bool = True) -> DataFrame:
+    """Pairs (a, b, similarity) that may reach the threshold; without ``mates``
+    it is not known that they share a bucket, and those that do not are left out."""
     num, den = THRESHOLD
     side = nodes.select("node", "n_shingles", "registers")
     rows = pairs
@@ -211,6 +212,8 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                                      F.col("registers").alias(f"r_{s}")), s)
         if s == "b":  # the smaller set alone bounds the similarity
             rows = rows.filter(den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))
+    if not mates:
+        rows = rows.filter(F.arrays_overlap(_keys("r_a"), _keys("r_b")))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,15 +235,10 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(n[i], m[j]).sum())
 
 
-def _reaching(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, bounded: bool) -> DataFrame:
-    """The pairs whose sets reach the threshold, or may reach it if the sets
-    are only ``bounded`` (``_bounds``)."""
+def _checked(rows: DataFrame, bounded: bool) -> DataFrame:
+    """The pairs of ``rows`` (a, b, i_a, i_b, n_a, n_b) whose sets reach the
+    threshold, or may reach it if the sets are only ``bounded`` (``_bounds``)."""
     num, den = THRESHOLD
-    rows = pairs.select("a", "b")
-    items = sets.join(sizes.select("node", "n_shingles"), "node")
-    for s in ("a", "b"):
-        rows = rows.join(items.select(F.col("node").alias(s), F.col("items").alias(f"i_{s}"),
-                                      F.col("n_shingles").alias(f"n_{s}")), s)
 
     def count(raw_a: pa.Scalar, raw_b: pa.Scalar, n_a: int, n_b: int) -> int:
         if not bounded:
@@ -262,6 +260,16 @@ def _reaching(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, bounded: bool
     return map_batches(rows.select("a", "b", "i_a", "i_b", "n_a", "n_b"), apply, "a long, b long")
 
 
+def _reaching(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, bounded: bool) -> DataFrame:
+    """The pairs (a, b) that pass ``_checked`` with their nodes' ``sets``."""
+    rows = pairs.select("a", "b")
+    items = sets.join(sizes.select("node", "n_shingles"), "node")
+    for s in ("a", "b"):
+        rows = rows.join(items.select(F.col("node").alias(s), F.col("items").alias(f"i_{s}"),
+                                      F.col("n_shingles").alias(f"n_{s}")), s)
+    return _checked(rows, bounded)
+
+
 def _ordered(a: F.Column, b: F.Column) -> list[F.Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -280,6 +288,9 @@ def _named(df: DataFrame, components_: DataFrame, c: str) -> DataFrame:
 
 def _merge(joined: DataFrame, found: DataFrame) -> DataFrame:
     """(node, component) after the further links ``found`` (a, b)."""
+    found = stored(found, "links")
+    if found.isEmpty():
+        return joined
     links_ = _named(_named(found, joined, "a"), joined, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
     roots = stored(components(links_), "components")
     named = joined.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")),
@@ -289,12 +300,6 @@ def _merge(joined: DataFrame, found: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the nodes that have a link."""
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        return _sets_of(docs, nodes, wanted, shingle, id_col, text_col)
-
-    def ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
     bands = nodes.filter("n_shingles > 0").select("node", F.explode(_keys()).alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1")
     bands = stored(bands.join(shared, "bucket"), "bands")
@@ -311,10 +316,13 @@ def links(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col
     sides = star.select("a", "b", "similarity", F.explode(F.array("a", "b")).alias("node"))
     best = sides.groupBy("node").agg(F.max(F.struct("similarity", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     best = stored(best, "best")
-    sets = sets_of(ends(star))
+    # whose sets may be asked for: members of pairs, and of buckets with more than a pair
+    wanted = star.select(F.explode(F.array("a", "b")).alias("node")).unionByName(bands.filter("mates > 2").select("node"))
+    sets = _sets_of(docs, nodes, wanted.distinct(), shingle, id_col, text_col)
+    bounds = stored(_bounds(sets), "bounds")
     joined = stored(components(_reaching(best, sets, nodes, False)), "components")
     rest = _named(_named(star.join(best, ["a", "b"], "left_anti"), joined, "a"), joined, "b").filter("c_a != c_b")
-    rest = _reaching(stored(rest.select("a", "b"), "pairs"), _bounds(sets), nodes, True)
+    rest = _reaching(stored(rest.select("a", "b"), "pairs"), bounds, nodes, True)
     joined = _merge(joined, _reaching(stored(rest, "pairs"), sets, nodes, False))
 
     # bucket mates that are still apart, and not by a hub pair alone
@@ -323,51 +331,49 @@ def links(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col
         F.max(F.struct("n", "c_node")).alias("largest"), F.count("*").alias("parts"))
     apart = mates.join(parts.filter("parts > 1").select("bucket", F.col("largest.c_node").alias("place")), "bucket")
     apart = stored(apart.select("place", "node", "c_node").distinct(), "apart")
-    sets = sets_of(apart.select("node").distinct())
-    pairs = _neighbours(apart, sets, nodes).join(star.select("a", "b"), ["a", "b"], "left_anti")
-    pairs = stored(_estimated(stored(pairs, "pairs"), nodes).select("a", "b"), "pairs")
-    pairs = stored(_reaching(pairs, _bounds(sets), nodes, True), "pairs")
+    pairs = stored(_neighbours(apart, sets, bounds, nodes), "pairs")
     return _merge(joined, _reaching(pairs, sets, nodes, False))
 
 
-def _neighbours(apart: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
+def _neighbours(apart: DataFrame, sets: DataFrame, bounds: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) of bucket mates in different components that may be linked.
 
     ``apart``: (place, node, c_node); ``place`` is the neighbourhood and the
     component of its largest part.
     """
     num, den = THRESHOLD
-    seen = _incidences(sets).join(apart.select("place", "node"), "node")
+    inside = sets.join(apart.select("node").distinct(), "node", "left_semi")
+    seen = _incidences(inside).join(apart.select("place", "node"), "node")
     counts = seen.groupBy("place", "shingle").agg(F.count("*").alias("held")).filter("held > 1")
     seen = stored(seen.join(counts, ["place", "shingle"]), "held")
     common = seen.groupBy("place", "node").agg(F.count(F.when(F.col("held") >= RARE, 1)).alias("common"))
     member = (apart.join(common, ["place", "node"], "left").withColumn("common", F.coalesce("common", F.lit(0)))
-              .join(nodes.select("node", "n_shingles", _keys().alias("keys")), "node"))
+              .join(nodes.select("node", F.col("n_shingles").alias("n"), _keys().alias("keys")), "node")
+              .join(bounds, "node"))
     member = stored(member, "members")
 
-    def side(df: DataFrame, s: str) -> DataFrame:
-        return df.select("place", *[F.col(c).alias(f"{s}_{c}") for c in df.columns if c != "place"])
-
-    sizes = (F.col("x_c_node") != F.col("y_c_node")) & (
-        den * F.least("x_n_shingles", "y_n_shingles") >= num * F.greatest("x_n_shingles", "y_n_shingles"))
-    mates = F.arrays_overlap("x_keys", "y_keys")
-    x, y = side(member.filter("c_node != place"), "x"), side(member, "y")
-    enough = ((num + den) * F.least("x_common", "y_common") >= num * (F.col("x_n_shingles") + F.col("y_n_shingles")))
-    once = (F.col("y_c_node") == F.col("place_")) | (F.col("y_node") < F.col("x_node"))
-    y_ = y.withColumnRenamed("place", "place_")
-    by_common = x.join(y_, (x["place"] == y_["place_"]) & sizes & enough & once & mates)
-    narrow = member.select("place", "node", "c_node", "n_shingles")
-    held = stored(seen.filter(F.col("held") < RARE).select("place", "node", "shingle").join(narrow, ["place", "node"]), "rare")
-    x, y = side(held, "x"), side(held, "y").withColumnRenamed("place", "place_")
-    by_rare = x.join(y, (x["place"] == y["place_"]) & (F.col("x_shingle") == F.col("y_shingle"))
-                     & (F.col("y_node") < F.col("x_node")) & sizes)
-    found = [p.select(*_ordered(F.col("x_node"), F.col("y_node"))) for p in (by_common, by_rare)]
-    rare = found[1].distinct()
-    keys = nodes.select("node", _keys().alias("keys"))
-    for s in ("a", "b"):
-        rare = rare.join(keys.select(F.col("node").alias(s), F.col("keys").alias(f"keys_{s}")), s)
-    rare = rare.filter(F.arrays_overlap("keys_a", "keys_b")).select("a", "b")
-    return found[0].unionByName(rare).distinct()
+    def two_sides(x: DataFrame, y: DataFrame, on: list[str], condition: F.Column) -> DataFrame:
+        x, y = (df.select([F.col(c).alias(f"{s}_{c}") for c in df.columns]) for df, s in ((x, "x"), (y, "y")))
+        for c in on:
+            condition = condition & (F.col(f"x_{c}") == F.col(f"y_{c}"))
+        return x.join(y, condition)
+
+    sizes = (F.col("x_c_node") != F.col("y_c_node")) & (den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n"))
+    # all that two sets without a shared rare shingle can share is common
+    enough = (num + den) * F.least("x_common", "y_common") >= num * (F.col("x_n") + F.col("y_n"))
+    once = (F.col("y_c_node") == F.col("y_place")) | (F.col("y_node") < F.col("x_node"))
+    by_common = two_sides(member.filter("c_node != place"), member, ["place"],
+                          sizes & enough & once & F.arrays_overlap("x_keys", "y_keys"))
+    by_common = _checked(by_common.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"),
+                                          F.col("x_items").alias("i_a"), F.col("y_items").alias("i_b"),
+                                          F.col("x_n").alias("n_a"), F.col("y_n").alias("n_b")), True)
+    held = (seen.filter(F.col("held") < RARE).select("place", "node", "shingle")
+            .join(member.select("place", "node", "c_node", "n"), ["place", "node"]))
+    held = stored(held, "rare")
+    by_rare = two_sides(held, held, ["place", "shingle"], sizes & (F.col("y_node") < F.col("x_node")))
+    by_rare = stored(by_rare.select(*_ordered(F.col("x_node"), F.col("y_node"))).distinct(), "pairs")
+    by_rare = _reaching(stored(_estimated(by_rare, nodes, mates=False), "pairs"), bounds, nodes, True)
+    return by_common.select(*_ordered(F.col("a"), F.col("b"))).unionByName(by_rare).distinct()
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:

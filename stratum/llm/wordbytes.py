@@ -74,6 +74,11 @@ def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: i
                * np.uint64(0xD6E8FEB86659FD93) + np.uint64(salt))
 
 
+def byte_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte slice ``data[start:end]``."""
+    return range_hash(_BYTE_VALUE[data], starts, ends)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1, from 0) of a string array; null is empty."""
     arr = pc.fill_null(column.cast(pa.large_string()), "")
@@ -124,7 +129,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of every (folded) word."""
-        return range_hash(_BYTE_VALUE[self.fold[self.data]], self.start, self.end)
+        return byte_hash(self.fold[self.data], self.start, self.end)
 
 
 def windows(first: np.ndarray, length: int) -> np.ndarray:
