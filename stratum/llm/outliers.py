@@ -7,7 +7,7 @@ concentration steps, and a document whose squared Mahalanobis distance exceeds
 the chi-square quantile of ``1 - TAIL`` is rejected.
 
 Everything is DataFrame expressions and aggregates.  Texts are read once and
-never shuffled; only the statistics (a few numbers per document) are stored and
+not shuffled; only the statistics (a few numbers per document) are stored and
 aggregated, every step with map-side partial aggregates, so a hot source is
 combined before any shuffle.  Order statistics are approximate percentiles of
 fixed accuracy.  The fitted table has one row per (lang, source).
@@ -204,8 +204,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", **cols: str) -> DataFrame:
 def keep(docs: DataFrame, **cols: str) -> DataFrame:
     """The documents that pass, with all their columns.
 
-    The statistics are computed once to fit and once to judge, so that no text
-    is written or shuffled.
+    Documents and statistics are stored together once: the fit reads the
+    statistics only, and nothing is computed twice or shuffled with its text.
     """
-    fitted = fit(stored(with_statistics(docs, [], **cols).drop("doc"), "statistics"))
-    return judge(with_statistics(docs, docs.columns, **cols), fitted).filter("kept").select("doc.*")
+    s = stored(with_statistics(docs, docs.columns, **cols), "statistics")
+    return judge(s, fit(s.drop("doc"))).filter("kept").select("doc.*")
