@@ -13,14 +13,19 @@ documents and different values stay different.
   permuted; the last keeps its distance to the Luhn check digit, so valid card
   numbers become valid card numbers and others do not.
 * ``phone``: the country code stays, all other digits are permuted.
-* ``ssn``, ``local`` (ddd-dddd), ``secret`` (hexadecimal, 32 to 64 characters)
-  and the local part of an ``email``: permuted within digits, lower-case and
-  upper-case letters.
+* ``ssn``, ``local`` (ddd-dddd), ``secret`` (hexadecimal, 32 characters or more,
+  in pieces of 64) and the local part of an ``email``: permuted within digits,
+  lower-case and upper-case letters.
 * ``ip``: the 32 bits of the address are permuted.
-* ``date`` (y-m-d with ``-``, ``/`` or ``.``; d.m.y and d/m/y): a Gregorian cycle
-  of 400 years has 146097 = 189 * 773 days; the day within its cycle is
-  permuted by a Feistel network over these two factors, so every valid date
-  becomes a valid date.  What is not in the calendar is left alone.
+* ``date`` (y-m-d with ``-``, ``/`` or ``.``; d.m.y and d/m/y; m/d/y where d/m/y
+  is no date): a Gregorian cycle of 400 years has 146097 = 189 * 773 days; the
+  day within its cycle is permuted by a Feistel network over these two factors,
+  so every valid date becomes a valid date.  Days and months of one digit and
+  the order m/d/y are kept by permuting on (cycle walking) to the next date that
+  is written so.  What is not in the calendar is left alone.
+
+A phone has 7 to 15 digits and a number at most 19; neither runs on into a value
+that follows it.
 
 Separators and spacing do not count as part of a value: ``1234 5678 ...`` and
 ``1234-5678-...`` are linked.
@@ -42,6 +47,8 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 CYCLE_DAYS, _A, _B = 146097, 189, 773
+#: steps to a date of the same layout: at least 22 % of all dates are, so all but 1e-27 end
+WALK = 256
 
 DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -49,16 +56,37 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HEX, HEX_UPPER = DIGITS + "abcdef", DIGITS + "ABCDEF"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_GAP = r"[ .-]?"
+
+
+def _behind(least: int, most: int) -> str:
+    """Between "+" and here are so many digits (Java bounds no repeated group here)."""
+    digit, more = r"[0-9][ .()-]{0,2}", ""
+    for _ in range(most - least):
+        more = f"(?:{digit}{more})?"
+    return rf"(?<=\+{digit * least}{more})"
+
+
+#: after "+": ten digits in fixed groups, or groups of two to four digits with 7
+#: to 15 digits in all that end before another value or a year
+_PHONE_FIXED = rf"\+(?:1{_GAP}[0-9]{{3}}|[0-9]{{1,3}}{_GAP}\([0-9]{{3}}\)){_GAP}[0-9]{{3}}{_GAP}[0-9]{{4}}"
+_OTHER = (rf"{_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])|[0-9]{{1,4}}[./-][0-9]{{1,2}}[./-][0-9]{{2,4}}(?![0-9])|[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}"
+          rf"|[0-9]{{13}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}|{_behind(11, 15)}(?:19|20)[0-9]{{2}}(?![0-9]|[ .-][0-9])")
+_PHONE_FREE = (rf"\+[0-9]{{1,3}}{_GAP}(?:\([0-9]{{2,4}}\)|[0-9]{{2,4}})(?:(?:[.-]?| (?!{_OTHER}))[0-9]{{2,4}}){{1,4}}"
+               rf"{_behind(7, 15)}")
 #: formats in order of precedence; none matches the empty string
 FORMATS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])[0-9A-Fa-f]{32,}(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
-    "date": r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\2[0-9]{4})(?![0-9]|[./-][0-9])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){1,4}"
-             r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
+    "date": r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([/.])[0-9]{1,2}\2[0-9]{4})(?![0-9]|[./-][0-9])",
+    "phone": rf"(?<![0-9+])(?:(?:{_PHONE_FIXED}|{_PHONE_FREE})(?![0-9]|[.-][0-9])|(?:{_PHONE_FIXED}|{_PHONE_FREE})(?![0-9])"
+             r"|(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9]))",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "number": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    # compact, in fours, as 4-6-5, or grouped in any other way
+    "number": r"(?<![0-9])(?![0-9]{1,6} [0-9]{13,19}(?![0-9])|(?:19|20)[0-9]{2}(?: [0-9]{4}){4}(?![0-9]))"
+              r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -]?[0-9]{4}){3}(?:[ -][0-9]{1,3}(?![0-9]|[ ./-][0-9]))?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
+              r"|[0-9](?:[ -]?[0-9]){12,18}(?![0-9]|[./-][0-9])|[0-9](?:[ -]?[0-9]){12,18})(?![0-9])",
     "local": r"(?<![0-9-])[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])",
 }
 
@@ -88,9 +116,9 @@ def _chars(s: Column) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
-def _stream(key: str, domain: str, step: Column, half: Column) -> Column:
+def _stream(key: str, domain: str | Column, step: Column, half: Column) -> Column:
     """128 hexadecimal digits that depend on all arguments."""
-    return F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit(domain), step.cast("string"), half, F.lit(key)), 512)
+    return F.sha2(F.concat_ws("\x1f", F.lit(key), domain if isinstance(domain, Column) else F.lit(domain), step.cast("string"), half, F.lit(key)), 512)
 
 
 def _at(stream: Column, j: Column) -> Column:
@@ -110,7 +138,7 @@ def _shifted(s: Column, stream: Column, alphabets: tuple[str, ...], sign: int) -
     return F.array_join(F.transform(_chars(s), one), "")
 
 
-def permuted(s: Column, key: str, domain: str, alphabets: tuple[str, ...], inverse: bool = False) -> Column:
+def permuted(s: Column, key: str, domain: str | Column, alphabets: tuple[str, ...], inverse: bool = False) -> Column:
     """Feistel permutation of a string within the alphabets of its characters."""
     half = F.floor(F.length(s) / 2).cast("int")
     start = F.struct(F.substring(s, F.lit(1), half).alias("l"), F.substring(s, half + 1, F.length(s)).alias("r"))
@@ -178,8 +206,16 @@ def _date(m: Column, key: str, inverse: bool) -> Column:
     iso = m.rlike(r"^[0-9]{4}")
     p = F.split(m, r"[-/.]")
     year, month, day = [F.when(iso, F.element_at(p, i)).otherwise(F.element_at(p, 4 - i)) for i in (1, 2, 3)]
-    found = F.when(year != "0000", F.try_to_timestamp(F.concat_ws("-", year, month, day), F.lit("yyyy-MM-dd")).cast("date"))
-    days = F.datediff(found, F.lit("1800-01-01").cast("date"))
+
+    def read(mo: Column, da: Column) -> Column:
+        text = F.concat_ws("-", year, F.lpad(mo, 2, "0"), F.lpad(da, 2, "0"))
+        found = F.when(year != "0000", F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date"))
+        return F.datediff(found, F.lit("1800-01-01").cast("date"))
+
+    plain, swapped = read(month, day), F.when(~iso & (sep == "/"), read(day, month))
+    days, us = F.coalesce(plain, swapped), plain.isNull()
+    # widths of month and day as they are written
+    wide_mo, wide_da = [F.length(F.when(us, a).otherwise(b)) == 2 for a, b in ((day, month), (month, day))]
     steps = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
 
     def moved(n: Column) -> Column:
@@ -195,25 +231,44 @@ def _date(m: Column, key: str, inverse: bool) -> Column:
         to = F.aggregate(steps, start, one, lambda x: x["a"] * _B + x["b"])
         return F.date_add(F.lit("1800-01-01").cast("date"), (n - inside + to).cast("int"))
 
+    def fits(d: Column) -> Column:
+        return (wide_mo | (F.month(d) < 10)) & (wide_da | (F.dayofmonth(d) < 10)) & (~us | (F.dayofmonth(d) > 12))
+
+    def walked(d: Column) -> Column:
+        again = F.when(wide_mo & wide_da & ~us, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.lit(WALK)))
+        return F.aggregate(again, d, lambda x, _: F.when(fits(x), x).otherwise(
+            moved(F.datediff(x, F.lit("1800-01-01").cast("date")))))
+
     def written(d: Column) -> Column:
-        y, mo, da = (F.date_format(d, f) for f in ("yyyy", "MM", "dd"))
-        return F.when(iso, F.concat(y, sep, mo, sep, da)).otherwise(F.concat(da, sep, mo, sep, y))
+        y = F.date_format(d, "yyyy")
+        mo, da = (F.when(wide, F.date_format(d, two)).otherwise(F.date_format(d, one))
+                  for wide, two, one in ((wide_mo, "MM", "M"), (wide_da, "dd", "d")))
+        return (F.when(iso, F.concat(y, sep, mo, sep, da)).when(us, F.concat(mo, sep, da, sep, y))
+                .otherwise(F.concat(da, sep, mo, sep, y)))
+
+    return F.when(days.isNotNull(), _let(walked(moved(days)), written))
 
-    return F.when(days.isNotNull(), _let(moved(days), written))
+
+def _secret(m: Column, key: str, inverse: bool) -> Column:
+    """Lower or upper case over 16 characters, mixed case within digits and letters."""
+    def of(alphabets: tuple[str, ...]) -> Column:
+        pieces = F.transform(F.regexp_extract_all(m, F.lit(".{1,64}"), F.lit(0)), lambda s, i: permuted(
+            s, key, F.when(i == 0, "secret").otherwise(F.concat(F.lit("secret "), i.cast("string"))), alphabets, inverse))
+        return F.array_join(pieces, "")
+
+    lower, upper = m.rlike("[a-f]"), m.rlike("[A-F]")
+    return (F.when(lower & upper, of((DIGITS, "abcdef", "ABCDEF"))).when(lower, of((HEX,))).otherwise(of((HEX_UPPER,))))
 
 
 def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
     """The pseudonym of one found value (itself if it does not validate)."""
-    def text(domain: str, *alphabets: str) -> Column:
-        return permuted(m, key, domain, alphabets, inverse)
-
     is_a = {name: m.rlike(f"^(?:{p})$") for name, p in FORMATS.items()}
     local = F.regexp_extract(m, "^([^@]*)@", 1)
     email = F.concat(permuted(local, key, "email", (DIGITS, LOWER, UPPER), inverse),
                      F.substring(m, F.length(local) + 1, F.length(m)))
     digits = lambda name: _refilled(m, permuted(_digits(m), key, name, (DIGITS,), inverse))
     return (F.when(is_a["email"], email)
-            .when(is_a["secret"], F.when(m.rlike("[a-f]"), text("secret", HEX)).otherwise(text("secret", HEX_UPPER)))
+            .when(is_a["secret"], _secret(m, key, inverse))
             .when(is_a["ip"], _ip(m, key, inverse))
             .when(is_a["date"], F.coalesce(_date(m, key, inverse), m))
             .when(is_a["phone"], _phone(m, key, inverse))

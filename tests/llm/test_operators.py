@@ -302,6 +302,40 @@ def test_pseudonyms_leave_the_rest_alone(spark, edge, empty):
     assert pii.pseudonymised(empty, "key").count() == 0
 
 
+ADJACENT = [("+1 (826) 555-4081", "190.137.223.204"), ("+1 (826) 555-4081", "4111 1111 1111 1111"), ("+49 30 1234567", "190.137.223.204"),
+            ("+49 30 1234567", "4111 1111 1111 1111"), ("+49 30 1234567", "1999-12-31"), ("+44 20 7946 0958", "123-45-6789"),
+            ("4111 1111 1111 1111", "123-45-6789"), ("4111111111111111", "190.137.223.204"), ("4111 1111 1111 1111", "4222 2222 2222 2222"),
+            ("190.137.223.204", "+1 (826) 555-4081"), ("31.12.1999", "4111-1111-1111-1111"), ("555-7713", "190.137.223.204"),
+            ("123-45-6789", "4111111111111111"), ("ab@mail.example.com", "+1 (826) 555-4081")]
+
+
+def test_adjacent_values_stay_apart(spark):
+    docs = data.plain(spark, [(i, f"x {a} {b}!") for i, (a, b) in enumerate(ADJACENT)])
+    got = {r.doc_id: r.v for r in docs.select("doc_id", pii.values(docs["text"]).alias("v")).collect()}
+    assert [tuple(got[i]) for i in range(len(ADJACENT))] == ADJACENT
+    alone = data.plain(spark, [(0, "+1 (826) 555-4081"), (1, "+1 (826) 555-4081 2024"), (2, "+1 (826) 555-4081 12"), (3, "+49 30 1234567"),
+                               (4, "+49 30 1234567 2024")])
+    got = {r.doc_id: r.text for r in pii.pseudonymised(alone, "key").collect()}
+    assert got[1] == got[0] + " 2024" and got[2] == got[0] + " 12" and got[4] == got[3] + " 2024"
+
+
+def test_dates_and_secrets_of_every_layout(spark):
+    import datetime
+    import re
+    dates = ["03/25/1999", "3/25/1999", "3/5/1999", "25/3/1999", "1999-3-5", "5.3.1999"]
+    hexa = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    values = dates + [hexa * 2, (hexa * 4).upper(), hexa[:20] + hexa[20:].upper()] + [f"{n % 9 + 1}/{n % 16 + 13}/{1900 + n // 4}" for n in range(400)]
+    docs = data.plain(spark, list(enumerate(values)))
+    out = pii.pseudonymised(docs, "key")
+    got = [r.text for r in out.orderBy("doc_id").collect()]
+    shape = lambda s: re.sub("[A-F]", "A", re.sub("[a-f]", "a", re.sub("[0-9]", "9", s)))
+    assert all(a != b and len(a) == len(b) for a, b in zip(got, values)) and len(set(got)) == len(set(values))
+    assert [shape(v) for v in got[:6]] == [shape(v) for v in dates] and shape(got[8]) == shape(values[8])
+    for v in got[:2] + got[9:]:
+        datetime.datetime.strptime(v, "%m/%d/%Y")
+    assert [r.text for r in pii.pseudonymised(out, "key", inverse=True).orderBy("doc_id").collect()] == values
+
+
 # ------------------------------------------------------------------ 8
 def test_base_scores(spark):
     pairs = data.texts()
