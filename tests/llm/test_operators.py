@@ -222,6 +222,19 @@ def test_outliers_are_found_and_clean_documents_stay(spark, empty):
     assert outliers.quality(empty).count() == 0 and outliers.keep(empty).count() == 0
 
 
+def test_moderate_outliers_are_rejected(spark):
+    """Menus, repeated words and repeated lines well inside the base rules."""
+    clean = [(i, data.prose(i, 60 + 5 * (i % 80))) for i in range(300)]
+    # one symbol for three words; a third of the words repeated; every second line of eight words repeated
+    menu = [(1000 + i, " | ".join(data.prose(9000 + 60 * i + j, 3) for j in range(40))) for i in range(5)]
+    again = [(2000 + i, " ".join([data.prose(7000 + i, 20)] * 2 + [data.prose(8000 + i, 80)])) for i in range(5)]
+    lines = [(3000 + i, "\n".join([data.prose(5000 + 60 * i + j, 8) for j in range(12)] + ["home"] * 7)) for i in range(5)]
+    got = {r.doc_id: r for r in outliers.quality(data.plain(spark, clean + menu + again + lines)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if i >= 1000 and r.kept} == set()
+    assert sum(not r.kept for i, r in got.items() if i < 1000) <= 3
+
+
 def test_outliers_edges(edge):
     got = outliers.quality(edge).collect()
     assert len(got) == edge.count() and all(r.kept is not None for r in got)
