@@ -12,7 +12,11 @@ aggregated, every step with map-side partial aggregates, so a hot source is
 combined before any shuffle.  Order statistics are approximate percentiles of
 fixed accuracy.  The fitted table has one row per (lang, source).
 
-Groups with fewer than ``MIN_GROUP`` usable documents share one pooled estimate.
+Every (lang, source) has its own estimate, of any size.  In each step its moments
+are mixed with those of its language with weight ``n^2 / (n^2 + PRIOR^2)`` for its
+n usable documents (``PRIOR``: five a statistic), and a language's likewise with
+those of the corpus.  Mixed moments include the distance of the two centres, so a
+small source of its own shape widens its estimate instead of being rejected.
 ``FLOOR`` bounds the standard deviations from below, so that a statistic that
 is constant in most of a group does not reject every other value: its square is
 added to the variance (a ridge), which for such a statistic is the floor itself.
@@ -36,15 +40,17 @@ MIN_WORDS = 50
 #: share of the usable documents that the estimate is fitted on
 CORE = 0.75
 STEPS = 3
-MIN_GROUP = 100
 SALTS = 32
 TAIL = 1e-4
 #: log words, log word length, root of symbols, repeated lines, repeated words per word
 FEATURES = 5
+#: documents at which a group's own moments and its parent's weigh the same
+PRIOR = 5 * FEATURES
 #: least deviations: most texts have no symbol and no repeat, and one repeated line
 #: or window in a text of MIN_WORDS words (0.14 and 0.35) has to pass by itself
 FLOOR = (0.2, 0.03, 0.08, 0.04, 0.08)
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+_ALL = "corpus"
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -143,23 +149,40 @@ def _inverse_factor(moments: DataFrame) -> DataFrame:
     return out.select("g", F.struct(*names).alias("p"))
 
 
+def _mixed(moments: DataFrame, tree: DataFrame) -> DataFrame:
+    """Moments of all groups, each mixed with its parent's from the corpus down."""
+    names = [c for c in moments.columns if c != "g"]
+    above = moments.filter(F.col("g") == _ALL)
+    out = above
+    weight = F.col("n") * F.col("n") / (F.col("n") * F.col("n") + float(PRIOR ** 2))
+    for level in (1, 2):
+        upper = above.select(F.col("g").alias("parent"), *[F.col(c).alias(f"up_{c}") for c in names])
+        above = (moments.join(tree.filter(F.col("level") == level), "g").join(upper, "parent").withColumn("w", weight)
+                 .select("g", *[(F.col("w") * F.col(c) + (1 - F.col("w")) * F.col(f"up_{c}")).alias(c) for c in names]))
+        out = out.unionByName(above)
+    return out
+
+
 def fit(statistics: DataFrame) -> DataFrame:
     """Estimates (lang, source, p) by minimum covariance determinant.
 
-    ``statistics``: rows of ``with_statistics``.  One row per (lang, source);
-    small groups carry the pooled estimate.
+    ``statistics``: rows of ``with_statistics``.  One row per (lang, source).
     """
     x = [f"x{i}" for i in range(FEATURES)]
     usable = statistics.filter(~F.col("base_failed")).select(
         "lang", "source", *[f.alias(c) for f, c in zip(features(), x)])
-    group = F.to_json(F.struct("lang", "source"))
-    members = statistics.groupBy("lang", "source").agg(
-        F.count(F.when(~F.col("base_failed"), 1)).alias("n"))
-    members = stored(members.select("lang", "source", F.when(F.col("n") >= MIN_GROUP, group)
-                                    .otherwise("").alias("g")), "mcd-groups")
-    same = [usable[c].eqNullSafe(members[c]) for c in ("lang", "source")]
-    rows = stored(usable.join(members, same).select(
-        "g", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"), *x), "mcd-rows")
+    # a row counts for its source, its language and the corpus
+    language = F.concat(F.lit("lang "), F.to_json(F.struct("lang")))
+    group = F.concat(F.lit("source "), F.to_json(F.struct("lang", "source")))
+    members = stored(statistics.filter(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n")).select(
+        "lang", "source", group.alias("g"), language.alias("parent"), "n"), "mcd-groups")
+    tree = members.select("g", "parent", "n", F.lit(2).alias("level")).union(
+        members.groupBy(F.col("parent").alias("g")).agg(F.sum("n").alias("n")).select(
+            "g", F.lit(_ALL).alias("parent"), "n", F.lit(1).alias("level")))
+    tree = stored(tree, "mcd-tree")
+    rows = stored(usable.select(
+        F.explode(F.array(group, language, F.lit(_ALL))).alias("g"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"), *x), "mcd-rows")
 
     def by_group(values: DataFrame, table: DataFrame) -> DataFrame:
         """``values`` with their group's row of ``table``: a hot group's rows are
@@ -182,7 +205,7 @@ def fit(statistics: DataFrame) -> DataFrame:
         moments = core.groupBy("g").agg(
             *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
             *[F.avg(F.col(x[i]) * F.col(x[j])).alias(f"s{i}{j}") for i in range(FEATURES) for j in range(i + 1)])
-        params = stored(_inverse_factor(moments), "mcd-params")
+        params = stored(_inverse_factor(_mixed(stored(moments, "mcd-moments"), tree)), "mcd-params")
         ranked = by_group(rows, params).withColumn("d2", _distance())
     return members.join(params, "g").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "p")
 

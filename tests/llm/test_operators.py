@@ -235,6 +235,27 @@ def test_moderate_outliers_are_rejected(spark):
     assert sum(not r.kept for i, r in got.items() if i < 1000) <= 3
 
 
+def test_small_sources_are_judged_by_themselves(spark):
+    """A source of 40 texts with a shape of its own is kept, its outliers are not;
+    the verdicts of a source do not turn with its hundredth text."""
+    import random
+    columns = ", ".join(f"{c} string" for c in ("lang", "source"))
+    prose = [(i, data.prose(i, 100 + 5 * (i % 60)), "en", "web") for i in range(300)]
+    table = [(1000 + i, " | ".join(data.prose(9000 + 60 * i + j, 3) for j in range(40)), "en", "tables") for i in range(40)]
+    odd = [(2000 + i, " ".join(w * 4 for w in data.prose(i, 150).split()), "en", "tables") for i in range(2)]
+    other = [(3000 + i, " ".join(random.Random(i).choices(["Donaudampfschiff", "Rindfleisch", "Satzung", "Wald"], k=4)[0] + w
+                                 for w in data.prose(i, 150 + i).split()), "de", "recht") for i in range(60)]
+    docs = spark.createDataFrame(prose + table + odd + other, f"doc_id long, text string, {columns}").repartition(3)
+    lost = {r.doc_id for r in outliers.quality(docs).collect() if not r.kept and not r.base_failed}
+    assert {2000, 2001} <= lost and len(lost) <= 4
+    kept = []
+    for n in (99, 100):
+        part = spark.createDataFrame(prose + [(1000 + i, f"{t} {data.prose(i, 20 + i)}", "de", "small")
+                                              for i, (_, t, *_) in enumerate((prose * 2)[:n])], f"doc_id long, text string, {columns}")
+        kept.append({r.doc_id: r.distance for r in outliers.quality(part.repartition(3)).collect()})
+    assert all(abs(kept[1][i] - d) < 0.2 * (1 + d) for i, d in kept[0].items())
+
+
 def test_outliers_edges(edge):
     got = outliers.quality(edge).collect()
     assert len(got) == edge.count() and all(r.kept is not None for r in got)
