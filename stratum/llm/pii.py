@@ -24,8 +24,9 @@ documents and different values stay different.
   the order m/d/y are kept by permuting on (cycle walking) to the next date that
   is written so.  What is not in the calendar is left alone.
 
-A phone has 7 to 15 digits and a number at most 19; neither runs on into a value
-that follows it.
+A phone that starts with + has 7 to 15 digits and a number at most 19.  In the fixed
+layouts neither runs on into a value that follows; groups in any other layout
+may be taken together with digits after a space.
 
 Separators and spacing do not count as part of a value: ``1234 5678 ...`` and
 ``1234-5678-...`` are linked.
