@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, nbsvm, neardup, outliers, packing, pii, repeats, sharding, suffix_tree, unigram
+from . import (decontaminate, mixing, nbsvm, neardup, outliers, packing, periods, pii, repeats, sharding, suffix_tree,
+               unigram, whitening)
 from .oracle_sql import ORACLES  # noqa: F401
 
 #: folder of the public tokenizer files; only the driver reads it
@@ -88,3 +89,45 @@ def op9_decontamination(spark, sf_dir):
 @query
 def op10_quality_classifier(spark, sf_dir):
     return nbsvm.quality_scores(_table(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    w = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    w = w.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("place", "whitened"))
+    return w.select("vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "whitened",
+                    F.get("explained", F.col("place")).alias("explained"), "identity_error")
+
+
+@query
+def op12_source_mixing(spark, sf_dir):
+    """Weights 3, 1, 2 in turn, one and a half times the corpus, two epochs at most."""
+    m = mixing.repetitions(_table(spark, sf_dir))
+    return m.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def _echoed(docs: DataFrame) -> DataFrame:
+    """The contract's planted periods: in every tenth document (by hash of its id)
+    all words from a place on repeat the p words found there."""
+    w = F.regexp_extract_all("text", F.lit(periods.WORD), F.lit(0))
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    tenth = docs.filter("h % 10 = 0").select("doc_id", w.alias("w"), F.expr("h div 10").alias("g"))
+    tenth = tenth.withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
+    tenth = tenth.withColumn("a", F.expr("if(n > 0, cast(g % n AS int), 0)"))
+    tenth = tenth.withColumn("p", F.expr("1 + cast(floor((n - a) / (3 + g % 8)) AS int)"))
+    text = F.expr("concat_ws(' ', slice(w, 1, a), transform(sequence(0, n - a - 1), i -> w[a + i % p]))")
+    text = F.when(F.col("n") > 0, text)
+    rest = docs.filter("h % 10 <> 0 OR h IS NULL").select("doc_id", "text")
+    return tenth.select("doc_id", text.alias("text")).unionByName(rest)
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    r = periods.periodic_runs(_echoed(_table(spark, sf_dir)))
+    line = lambda x: F.concat_ws(",", x.start, x.length, x.period)
+    lines = F.array_join(F.transform("runs", lambda x: F.concat(line(x), F.lit("\n"))), "")
+    best = F.col("strongest")
+    return r.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.start.alias("start"),
+                    best.length.alias("length"), best.period.alias("period"),
+                    F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+                    F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))

@@ -106,3 +106,71 @@ def base_scores(docs):
 
 def luhn(digits):
     return sum(d if i % 2 == 0 else d // 5 + 2 * d % 10 for i, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def runs(w, exponent=4, least=6):
+    """[(start, length, period)] of a list of words: every lag, every stretch."""
+    out = []
+    for q in range(1, len(w) // exponent + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            s, e = i, j + q
+            smaller = any(all(w[k] == w[k + d] for k in range(s, e - d)) for d in range(1, q))
+            if e - s >= max(least, exponent * q) and not smaller:
+                out.append((s, e - s, q))
+            i = j
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapse(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def echoed(doc_id, text):
+    """The words of a text with the planted periods of op13's contract."""
+    w = words(text)
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is None or h % 10 or not w:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def water_targets(sizes, weights, share, epochs):
+    """{source: target} by clamping and sharing again; weights go round in order."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    budget, full = share * sum(sizes.values()), set()
+    while True:
+        free = [s for s in order if s not in full]
+        left = budget - sum(epochs * sizes[s] for s in full)
+        total = sum(weight[s] for s in free)
+        out = {s: epochs * sizes[s] if s in full else left * weight[s] / total for s in order}
+        over = {s for s in free if out[s] >= epochs * sizes[s]}
+        if not over:
+            return out
+        full |= over
+
+
+def whitening(vectors, components=8, scale=1024, shift=100_000):
+    """{place: (deviation, whitened)}, explained, by numpy's own eigenvectors."""
+    import numpy as np
+    x = {k: [math.floor(scale * c) + shift for c in v] for k, v in enumerate(vectors)
+         if v is not None and all(c is not None and math.isfinite(c) for c in v)}
+    n, dims = len(x), len(next(iter(x.values())))
+    s = [sum(v[i] for v in x.values()) for i in range(dims)]
+    d = {k: [n * c - t for c, t in zip(v, s)] for k, v in x.items()}
+    c = np.array(list(d.values()), float) / n
+    e, u = np.linalg.eigh(c.T @ c / n)
+    e, u = e[::-1][:components], u[:, ::-1][:, :components]
+    return ({k: (sum(a * a for a in v), np.array(v, float) / n @ u / np.sqrt(e)) for k, v in d.items()},
+            e / np.trace(c.T @ c / n), n)
