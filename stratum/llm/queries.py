@@ -109,16 +109,14 @@ def op12_source_mixing(spark, sf_dir):
 def _echoed(docs: DataFrame) -> DataFrame:
     """The contract's planted periods: in every tenth document (by hash of its id)
     all words from a place on repeat the p words found there."""
-    w = F.regexp_extract_all("text", F.lit(periods.WORD), F.lit(0))
     docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
-    tenth = docs.filter("h % 10 = 0").select("doc_id", w.alias("w"), F.expr("h div 10").alias("g"))
-    tenth = tenth.withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
-    tenth = tenth.withColumn("a", F.expr("if(n > 0, cast(g % n AS int), 0)"))
-    tenth = tenth.withColumn("p", F.expr("1 + cast(floor((n - a) / (3 + g % 8)) AS int)"))
+    w = F.when(F.expr("h % 10 = 0"), F.regexp_extract_all("text", F.lit(periods.WORD), F.lit(0)))
+    docs = docs.select("doc_id", "text", w.alias("w"), F.expr("h div 10").alias("g"))
+    docs = docs.withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
+    docs = docs.withColumn("a", F.expr("if(n > 0, cast(g % n AS int), 0)"))
+    docs = docs.withColumn("p", F.expr("if(n > 0, 1 + cast(floor((n - a) / (3 + g % 8)) AS int), 1)"))
     text = F.expr("concat_ws(' ', slice(w, 1, a), transform(sequence(0, n - a - 1), i -> w[a + i % p]))")
-    text = F.when(F.col("n") > 0, text)
-    rest = docs.filter("h % 10 <> 0 OR h IS NULL").select("doc_id", "text")
-    return tenth.select("doc_id", text.alias("text")).unionByName(rest)
+    return docs.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
 
 
 @query
