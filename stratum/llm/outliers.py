@@ -2,9 +2,16 @@
 
 Base rules reject short and self-repeating texts.  The other documents have a
 vector of transformed statistics (``FEATURES``); for every (lang, source) the
-minimum-covariance-determinant estimate of its centre and scatter is fitted by
-concentration steps, and a document whose squared Mahalanobis distance exceeds
-the chi-square quantile of ``1 - TAIL`` is rejected.
+minimum-covariance-determinant estimate of its centre and scatter is fitted, and
+a document whose squared Mahalanobis distance exceeds the chi-square quantile of
+``1 - TAIL`` is rejected.
+
+The estimate is the one of least determinant among ``STARTS`` runs, which begin
+with the core nearest to the medians in units of the median deviations, nearest
+to the means in units of the deviations, and nearest to the medians in length
+and word length alone.  Concentration steps (estimate from the core, core of the
+``CORE`` nearest) go on until no log determinant moves by more than ``TOLERANCE``,
+``STEPS`` times at most.
 
 Everything is DataFrame expressions and aggregates.  Texts are read once and
 not shuffled; only the statistics (a few numbers per document) are stored and
@@ -20,6 +27,8 @@ small source of its own shape widens its estimate instead of being rejected.
 ``FLOOR`` bounds the standard deviations from below, so that a statistic that
 is constant in most of a group does not reject every other value: its square is
 added to the variance (a ridge), which for such a statistic is the floor itself.
+A repeated line raises two statistics at once; ``REPEAT`` adds the covariance of
+that, so that one such line passes by itself.
 
 Defined cases: null and empty texts have no words and fail the base rules; a
 null language or source is a value of its own; repeated rows count each time;
@@ -39,16 +48,18 @@ from .store import stored
 MIN_WORDS = 50
 #: share of the usable documents that the estimate is fitted on
 CORE = 0.75
-STEPS = 3
+STARTS, STEPS, TOLERANCE = 3, 6, 1e-3
 SALTS = 32
 TAIL = 1e-4
 #: log words, log word length, root of symbols, repeated lines, repeated words per word
 FEATURES = 5
 #: documents at which a group's own moments and its parent's weigh the same
 PRIOR = 5 * FEATURES
-#: least deviations: most texts have no symbol and no repeat, and one repeated line
-#: or window in a text of MIN_WORDS words (0.14 and 0.35) has to pass by itself
-FLOOR = (0.2, 0.03, 0.08, 0.04, 0.08)
+#: least deviations: most texts have no symbol and no repeat
+FLOOR = (0.2, 0.03, 0.08, 0.025, 0.075)
+#: a quarter of what one line of 8 words, found twice in MIN_WORDS words, adds to each
+#: statistic (both copies count as repeated words): alone it is about 13 away, not 80
+REPEAT = (0.0, 0.0, 0.0, 0.25 * math.sqrt(1 / MIN_WORDS), 0.25 * math.sqrt(16 / MIN_WORDS))
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _ALL = "corpus"
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -115,50 +126,56 @@ def features() -> list[Column]:
 
 
 def _distance(params: str = "p") -> Column:
-    """Squared Mahalanobis distance: the norm of (inverse factor) * (x - centre)."""
-    total = F.lit(0.0)
-    for i in range(FEATURES):
-        z = F.lit(0.0)
-        for k in range(i + 1):
-            z = z + F.col(f"{params}.w{i}{k}") * (F.col(f"x{k}") - F.col(f"{params}.m{k}"))
-        total = total + z * z
-    return total
-
-
-def _inverse_factor(moments: DataFrame) -> DataFrame:
-    """Centre m and the inverse of the Cholesky factor (w) from the moments."""
+    """Squared Mahalanobis distance from the centre and the inverse scatter."""
+    z = [F.col(f"x{i}") - F.get(F.col(f"{params}.centre"), F.lit(i)) for i in range(FEATURES)]
+    cell = lambda i, j: F.get(F.col(f"{params}.inverse"), F.lit(i * FEATURES + j))
+    return sum((cell(i, j) * z[i] * z[j] * (1 if i == j else 2) for i in range(FEATURES) for j in range(i + 1)), F.lit(0.0))
+
+
+def _inverted(matrix: Column) -> Column:
+    """(inverse, log determinant) of a positive definite matrix, given and returned
+    row by row: every pivot is swept out in turn."""
+
+    def sweep(state: Column, k: Column) -> Column:
+        a = state["inverse"]
+        pivot = F.greatest(F.get(a, k * FEATURES + k), F.get(F.array(*[F.lit(f ** 2 / 100) for f in FLOOR]), k))
+
+        def cell(v: Column, at: Column) -> Column:
+            i, j = F.floor(at / FEATURES).cast("int"), at % FEATURES
+            return (F.when((i == k) & (j == k), 1 / pivot).when(i == k, v / pivot).when(j == k, -v / pivot)
+                    .otherwise(v - F.get(a, i * FEATURES + k) * F.get(a, k * FEATURES + j) / pivot))
+
+        return F.struct(F.transform(a, cell).alias("inverse"), (state["logdet"] + F.log(pivot)).alias("logdet"))
+
+    start = F.struct(matrix.alias("inverse"), F.lit(0.0).alias("logdet"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(FEATURES - 1)), start, sweep)
+
+
+def _estimates(moments: DataFrame) -> DataFrame:
+    """(g, start, p): centre, inverse scatter and log determinant from the moments."""
     q = chi2_quantile(CORE, FEATURES)
     consistent = CORE / chi2_cdf(q, FEATURES + 2)  # the core's scatter is too small by this factor
-    out = moments
-    for i in range(FEATURES):
-        for j in range(i + 1):
-            c = (F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * consistent
-            if i == j:
-                c = F.greatest(c, F.lit(0.0)) + FLOOR[i] ** 2
-            for k in range(j):
-                c = c - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            c = F.sqrt(F.greatest(c, F.lit(FLOOR[i] ** 2 / 100))) if i == j else c / F.col(f"l{j}{j}")
-            out = out.withColumn(f"l{i}{j}", c)
-    for i in range(FEATURES):
-        for j in range(i + 1):
-            c = F.lit(1.0 if i == j else 0.0)
-            for k in range(j, i):
-                c = c - F.col(f"l{i}{k}") * F.col(f"w{k}{j}")
-            out = out.withColumn(f"w{i}{j}", c / F.col(f"l{i}{i}"))
-    names = [f"m{i}" for i in range(FEATURES)] + [f"w{i}{j}" for i in range(FEATURES) for j in range(i + 1)]
-    return out.select("g", F.struct(*names).alias("p"))
+
+    def scatter(i: int, j: int) -> Column:
+        c = (F.col(f"s{max(i, j)}{min(i, j)}") - F.col(f"m{i}") * F.col(f"m{j}")) * consistent + REPEAT[i] * REPEAT[j]
+        return F.greatest(c, F.lit(0.0)) + FLOOR[i] ** 2 if i == j else c
+
+    cells = F.array(*[scatter(i, j) for i in range(FEATURES) for j in range(FEATURES)])
+    centre = F.array(*[F.col(f"m{i}") for i in range(FEATURES)])
+    rows = moments.select("g", "start", centre.alias("centre"), _inverted(cells).alias("s"))
+    return rows.select("g", "start", F.struct("centre", "s.inverse", "s.logdet").alias("p"))
 
 
 def _mixed(moments: DataFrame, tree: DataFrame) -> DataFrame:
     """Moments of all groups, each mixed with its parent's from the corpus down."""
-    names = [c for c in moments.columns if c != "g"]
+    names = [c for c in moments.columns if c not in ("g", "start")]
     above = moments.filter(F.col("g") == _ALL)
     out = above
     weight = F.col("n") * F.col("n") / (F.col("n") * F.col("n") + float(PRIOR ** 2))
     for level in (1, 2):
-        upper = above.select(F.col("g").alias("parent"), *[F.col(c).alias(f"up_{c}") for c in names])
-        above = (moments.join(tree.filter(F.col("level") == level), "g").join(upper, "parent").withColumn("w", weight)
-                 .select("g", *[(F.col("w") * F.col(c) + (1 - F.col("w")) * F.col(f"up_{c}")).alias(c) for c in names]))
+        upper = above.select(F.col("g").alias("parent"), "start", *[F.col(c).alias(f"up_{c}") for c in names])
+        above = (moments.join(tree.filter(F.col("level") == level), "g").join(upper, ["parent", "start"]).withColumn("w", weight)
+                 .select("g", "start", *[(F.col("w") * F.col(c) + (1 - F.col("w")) * F.col(f"up_{c}")).alias(c) for c in names]))
         out = out.unionByName(above)
     return out
 
@@ -184,30 +201,41 @@ def fit(statistics: DataFrame) -> DataFrame:
         F.explode(F.array(group, language, F.lit(_ALL))).alias("g"),
         F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"), *x), "mcd-rows")
 
-    def by_group(values: DataFrame, table: DataFrame) -> DataFrame:
-        """``values`` with their group's row of ``table``: a hot group's rows are
+    def by_group(values: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+        """``values`` with their group's rows of ``table``: a hot group's rows are
         met in SALTS places, and summed in part before they move again."""
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        return values.join(table.withColumn("salt", salts), ["g", "salt"])
-
-    # start: distances from the medians in units of the median deviations
-    medians = rows.groupBy("g").agg(F.struct(*[F.percentile_approx(c, 0.5).alias(c) for c in x]).alias("c"))
-    apart = by_group(rows, stored(medians, "mcd-medians"))
-    spread = apart.groupBy("g").agg(F.first("c").alias("c"), F.struct(
-        *[F.percentile_approx(F.abs(F.col(c) - F.col(f"c.{c}")), 0.5).alias(c) for c in x]).alias("d"))
-    apart = by_group(rows, stored(spread, "mcd-spread"))
-    d2 = sum((((F.col(c) - F.col(f"c.{c}")) / F.greatest(1.4826 * F.col(f"d.{c}"), F.lit(f))) ** 2
-              for c, f in zip(x, FLOOR)), F.lit(0.0))
-    ranked = apart.withColumn("d2", d2)
+        return values.join(table.withColumn("salt", salts), [*on, "salt"])
+
+    # starts: medians and median deviations, means and deviations
+    centres = rows.groupBy("g").agg(
+        F.struct(*[F.percentile_approx(c, 0.5).alias(c) for c in x]).alias("median"),
+        F.struct(*[F.avg(c).alias(c) for c in x]).alias("mean"), F.struct(*[F.stddev_pop(c).alias(c) for c in x]).alias("sd"))
+    apart = by_group(rows, stored(centres, "mcd-centres"), ["g"])
+    spread = apart.groupBy("g").agg(*[F.first(c).alias(c) for c in ("median", "mean", "sd")], F.struct(
+        *[F.percentile_approx(F.abs(F.col(c) - F.col(f"median.{c}")), 0.5).alias(c) for c in x]).alias("mad"))
+    apart = by_group(rows, stored(spread, "mcd-spread"), ["g"])
+    robust = [((F.col(c) - F.col(f"median.{c}")) / F.greatest(1.4826 * F.col(f"mad.{c}"), F.lit(f))) ** 2 for c, f in zip(x, FLOOR)]
+    plain = [((F.col(c) - F.col(f"mean.{c}")) / F.greatest(f"sd.{c}", F.lit(f))) ** 2 for c, f in zip(x, FLOOR)]
+    starts = [sum(robust, F.lit(0.0)), sum(plain, F.lit(0.0)), sum(robust[:2], F.lit(0.0))]
+    ranked = apart.select("g", "salt", *x, F.posexplode(F.array(*starts)).alias("start", "d2"))
+    before = None
     for _ in range(STEPS + 1):
-        cut = stored(ranked.groupBy("g").agg(F.percentile_approx("d2", CORE, 10000).alias("cut")), "mcd-cut")
-        core = by_group(ranked, cut).filter(F.col("d2") <= F.col("cut"))
-        moments = core.groupBy("g").agg(
+        cut = ranked.groupBy("g", "start").agg(F.percentile_approx("d2", CORE, 10000).alias("cut"))
+        core = by_group(ranked, cut, ["g", "start"]).filter(F.col("d2") <= F.col("cut"))
+        moments = core.groupBy("g", "start").agg(
             *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
             *[F.avg(F.col(x[i]) * F.col(x[j])).alias(f"s{i}{j}") for i in range(FEATURES) for j in range(i + 1)])
-        params = stored(_inverse_factor(_mixed(stored(moments, "mcd-moments"), tree)), "mcd-params")
-        ranked = by_group(rows, params).withColumn("d2", _distance())
-    return members.join(params, "g").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "p")
+        params = stored(_estimates(_mixed(stored(moments, "mcd-moments"), tree)), "mcd-params")
+        if before is not None:
+            was = before.select("g", "start", F.col("p.logdet").alias("was"))
+            moved = params.join(was, ["g", "start"]).agg(F.max(F.abs(F.col("p.logdet") - F.col("was")))).first()[0]
+            if moved is None or moved <= TOLERANCE:
+                break
+        before = params
+        ranked = by_group(rows, params, ["g"]).withColumn("d2", _distance())
+    least = params.groupBy("g").agg(F.min_by("p", F.struct("p.logdet", "start")).alias("p"))
+    return members.join(least, "g").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "p")
 
 
 def judge(statistics: DataFrame, estimates: DataFrame) -> DataFrame:

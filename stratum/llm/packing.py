@@ -121,6 +121,14 @@ class CachedTokenizer:
         return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
 
 
+def _vocabulary_size(definition: str) -> int:
+    """One more than the largest id in a tokenizer file; no tokenizer is made."""
+    known = json.loads(definition)
+    vocabulary = known["model"].get("vocab", {})
+    ids = vocabulary.values() if isinstance(vocabulary, dict) else range(len(vocabulary))
+    return max([-1, *ids, *(t["id"] for t in known.get("added_tokens") or [])]) + 1
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id",
               text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(row, doc_id, source, n_tokens, ids) of every row, the end id included.
@@ -130,8 +138,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()
-    from tokenizers import Tokenizer
-    wide = max(Tokenizer.from_str(definition).get_vocab_size(), end_id + 1) > 1 << 16
+    wide = max(_vocabulary_size(definition), end_id + 1) > 1 << 16
     definition = docs.sparkSession.sparkContext.broadcast(definition)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stratum.llm import (decontaminate, nbsvm, neardup, outliers, packing, pii, repeats, sharding, suffix_tree,
                          unigram)
@@ -270,19 +271,42 @@ def test_distances_are_mahalanobis(spark):
                          np.sqrt(got.n_dup_lines / n), np.sqrt(got.n_repeat_words / n)])
     used = ~got.base_failed.to_numpy()
     fit = x[used]
-    floor = np.array(outliers.FLOOR)
+    floor, repeat = np.array(outliers.FLOOR), np.array(outliers.REPEAT)
     pct = lambda v, p: np.sort(v)[max(int(np.ceil(p * len(v))) - 1, 0)]  # noqa: E731  as percentile_approx
     med = np.array([pct(c, 0.5) for c in fit.T])
     mad = np.array([pct(np.abs(c - m), 0.5) for c, m in zip(fit.T, med)])
-    d2 = (((fit - med) / np.maximum(1.4826 * mad, floor)) ** 2).sum(axis=1)
+    robust = ((fit - med) / np.maximum(1.4826 * mad, floor)) ** 2
+    plain = ((fit - fit.mean(axis=0)) / np.maximum(fit.std(axis=0), floor)) ** 2
     q = outliers.chi2_quantile(outliers.CORE, 5)
     factor = outliers.CORE / outliers.chi2_cdf(q, 7)
-    for _ in range(outliers.STEPS + 1):
-        core = fit[d2 <= pct(d2, outliers.CORE)]
-        cov = np.cov(core.T, bias=True) * factor + np.diag(floor ** 2)
-        diff = fit - core.mean(axis=0)
-        d2 = (diff @ np.linalg.inv(cov) * diff).sum(axis=1)
-    assert np.allclose(np.sort(got.distance[used]), np.sort(d2), rtol=1e-6)
+    found = []
+    for d2 in (robust.sum(axis=1), plain.sum(axis=1), robust[:, :2].sum(axis=1)):
+        for _ in range(outliers.STEPS + 1):
+            core = fit[d2 <= pct(d2, outliers.CORE)]
+            cov = np.cov(core.T, bias=True) * factor + np.diag(floor ** 2) + np.outer(repeat, repeat)
+            diff = fit - core.mean(axis=0)
+            d2 = (diff @ np.linalg.inv(cov) * diff).sum(axis=1)
+        found.append((np.linalg.slogdet(cov)[1], d2))
+    assert np.allclose(np.sort(got.distance[used]), np.sort(min(found, key=lambda f: f[0])[1]), rtol=1e-5)
+
+
+def test_inverse_and_determinant(spark):
+    rng = np.random.default_rng(5)
+    ms = [m @ m.T + np.eye(5) for m in rng.normal(size=(20, 5, 5))]
+    df = spark.createDataFrame([(i, m.ravel().tolist()) for i, m in enumerate(ms)], "i int, m array<double>")
+    for r in df.select("i", outliers._inverted(F.col("m")).alias("s")).collect():
+        assert np.allclose(np.reshape(r.s.inverse, (5, 5)), np.linalg.inv(ms[r.i]))
+        assert abs(r.s.logdet - np.linalg.slogdet(ms[r.i])[1]) < 1e-9
+
+
+def test_one_repeated_line_is_kept(spark):
+    """Texts of 50 to 100 words with one line of eight words twice, beside clean ones."""
+    clean = [(i, data.prose(i, 50 + i % 200)) for i in range(400)]
+    line = [(1000 + i, "\n".join([data.prose(4000 + i, 8), data.prose(i, 34 + i), data.prose(4000 + i, 8)])) for i in range(50)]
+    got = outliers.quality(data.plain(spark, clean + line)).collect()
+    assert all(r.n_dup_lines == 1 and 50 <= r.n_words < 100 for r in got if r.doc_id >= 1000)
+    assert all(r.kept for r in got if r.doc_id >= 1000)
+    assert sum(not r.kept and not r.base_failed for r in got) <= 2
 
 
 def test_chi_square():
