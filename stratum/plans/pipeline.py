@@ -6,16 +6,16 @@ Layout under a warehouse root (any Hadoop-compatible path):
   curated/<table>_merge        staging of the last loaded batch (overwrite)
   curated/records_merge        the unpacked records of the last loaded batch
   curated/rejected_pages       pages left out in lenient mode, with the reason
-  curated/<table>              silver table; every upsert writes a complete new
-                               version into partition ``_version=N``
-  curated/_published/<table>   one row per complete version (version, rows);
-                               readers take the highest published version
+  curated/<table>              silver table in versions (see ``sources.bucket_store``):
+                               an upsert rewrites the buckets its batch touches
   datamart/<table>             gold tables (overwrite = full refresh)
 
 Spark cannot overwrite a parquet table that the same job reads, so the upsert
-result goes into a new version instead of replacing the table in place.  A
-version is published after its rows have been counted; what a failed or
-half-committed run leaves behind is never read, and its number is not reused.
+result goes into new files and a version names the files that make it up.  What
+a failed or half-committed run leaves behind is never read.
+
+With a catalog ``database`` the silver tables are bucketed catalog tables instead
+(``SilverStore``): every upsert writes a complete new version there.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from ..operators.quality import assert_key, declared_tests
 from ..operators.upsert import overwrite_table, upsert
 from ..session import ensure_checkpoint_dir
 from ..sources import bronze as B
+from ..sources.bucket_store import BucketStore
 from ..sources.catalog import export_folder, materialize
 from ..sources.pages import list_page_files, scan_page_files
 from .gold import build_gold
@@ -69,13 +70,13 @@ def _read_versioned(spark: SparkSession, path: str, name: str) -> DataFrame | No
 
 
 class SilverStore:
-    """Where the versioned silver tables live.
+    """Silver tables as complete versions, for sessions with a catalog.
 
-    Default: parquet folders ``root/curated/<table>`` partitioned by
-    ``_version``.  With ``buckets`` (and a ``database`` name for the catalog)
-    the same folders are catalog tables bucketed -- and sorted -- by the table
-    key: the current version is then read already hash-partitioned by key, so
-    the upsert's anti join shuffles only the batch, never the whole table.
+    Parquet folders ``root/curated/<table>`` partitioned by ``_version``; with
+    ``buckets`` and a ``database`` name the same folders are catalog tables
+    bucketed -- and sorted -- by the table key: the current version is then read
+    already hash-partitioned by key, so the upsert's anti join shuffles only the
+    batch.  Every upsert writes the whole table, and one writer at a time is assumed.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
@@ -176,10 +177,36 @@ class SilverStore:
         return written
 
 
+    def rows(self, name: str) -> int:
+        return self.read(name).count()
+
+    def committed(self, name: str, writer: str, epoch: int) -> None:
+        return None  # no ledger here: a replay is merged again, with the same result
+
+    def upsert(self, name: str, source: DataFrame, key: list[str], prepare=None,
+               writer: str | None = None, epoch: int | None = None) -> int:
+        if self.current_version(name) is None:
+            return self.write_version(name, source)
+        current = self.read(name)
+        accepted = prepare(source, current) if prepare else source
+        return self.write_version(name, upsert(current, accepted.select(*current.columns), key))
+
+
+def open_store(spark: SparkSession, root: str, buckets: int | None = None,
+               database: str | None = None) -> BucketStore | SilverStore:
+    """The silver tables of a warehouse: copy-on-write buckets, or bucketed catalog
+    tables if a ``database`` is named.  All tables are bucketed by the title, so a
+    title's rows are in the same bucket of each."""
+    if database:
+        return SilverStore(spark, root, buckets, database)
+    tables = {n: (S.silver_schema(n), "anime_id") for n in silver_tables()}
+    return BucketStore(spark, _p(root, "curated"), tables, buckets)
+
+
 def read_silver(spark: SparkSession, root: str, name: str, buckets: int | None = None,
                 database: str | None = None) -> DataFrame:
     """Current version of a silver table (an empty frame before the first load)."""
-    return SilverStore(spark, root, buckets, database).read(name)
+    return open_store(spark, root, buckets, database).read(name)
 
 
 def load_missing_batches(spark: SparkSession, page_root: str, root: str, layout: str = "fetched") -> int:
@@ -202,29 +229,39 @@ def load_missing_batches(spark: SparkSession, page_root: str, root: str, layout:
     return B.append_batches(spark, scan_page_files(spark, page_root, batch_glob, layout), bronze_path, listed)
 
 
-def _not_older(staged: DataFrame, current: DataFrame, titles: DataFrame, key: list[str], batch_id: int) -> DataFrame:
-    """The staged rows that may be upserted: a batch must not overwrite what a
-    later batch has written.  Rows of titles last seen in a later batch are only
-    inserted where their key is new."""
-    later = titles.where(F.col("batch_id") > batch_id).select("anime_id")
-    known = current.join(later, "anime_id", "left_semi").select(*key)
+def _not_older(staged: DataFrame, current: DataFrame, titles: DataFrame, key: list[str]) -> DataFrame:
+    """The staged rows (with ``batch_id``) that may be upserted: a batch must not
+    overwrite what a later batch has written.  Rows of titles last seen in a later
+    batch are only inserted where their key is new."""
+    last = titles.select("anime_id", F.col("batch_id").alias("_last")).where("_last IS NOT NULL")
+    older = (staged.select(*key, "batch_id").join(last, "anime_id").where("batch_id < _last").select(*key))
+    known = older.join(current.select(*key), key, "left_semi")
     return staged.join(known, key, "left_anti")
 
 
 def load_curated(spark: SparkSession, root: str, batch_id: int | None = None,
                  strict: bool = True, buckets: int | None = None,
-                 database: str | None = None, pages: DataFrame | None = None) -> dict[str, int]:
+                 database: str | None = None, pages: DataFrame | None = None,
+                 writer: str | None = None, epoch: int | None = None) -> dict[str, int]:
     """Latest (or given) batch -> staging overwrite -> checks -> upsert into a
     new silver version.  Returns rows per silver table after the upsert.
 
-    The batch's pages (``pages``: raw rows of one batch, instead of reading them
-    from the raw table) are unpacked once into ``curated/records_merge`` and the
-    seven tables derived from there.  A bad page fails the run; with
+    The pages (``pages``: raw rows, of any number of batches, instead of reading
+    one batch from the raw table) are unpacked once into ``curated/records_merge``
+    and the seven tables derived from there: one upsert each, the last copy of a
+    key by (batch, raw id, position).  A bad page fails the run; with
     ``strict=False`` it is left out, listed in ``curated/rejected_pages`` and
     counted under "rejected_pages".
+
+    ``writer`` and ``epoch`` name a streaming writer's micro-batch: tables that
+    hold it already are left alone, and if all do, nothing is written at all.
     """
     ensure_checkpoint_dir(spark)
-    store = SilverStore(spark, root, buckets, database)
+    store = open_store(spark, root, buckets, database)
+    names = silver_tables()
+    done = {n: store.committed(n, writer, epoch) if writer is not None else None for n in names}
+    if all(v is not None for v in done.values()):
+        return {n: store.rows(n) for n in names}
     raw = pages
     if raw is None:
         raw = B.scan_batch(B.read_bronze(spark, _p(root, "raw", "api_data")), batch_id)
@@ -237,31 +274,40 @@ def load_curated(spark: SparkSession, root: str, batch_id: int | None = None,
         counts["rejected_pages"] = int(obs.get["n"])
     records_path = _p(root, "curated", "records_merge")
     unpack_pages(raw, strict).write.mode("overwrite").parquet(records_path)
-    recs = spark.read.parquet(records_path)
-    batch = recs.agg(F.max("batch_id")).first()[0]
-    staging = from_records(recs)
+    staging = from_records(spark.read.parquet(records_path), with_batch=True)
     # as they were before this batch: the entity is upserted first
-    titles = store.read("anime")
-    for name, (cols, key) in silver_tables().items():
+    if done["anime"]:
+        titles = store.read("anime", done["anime"])
+    elif done["anime"] == 0:
+        titles = spark.createDataFrame([], S.silver_schema("anime"))
+    else:
+        titles = store.read("anime")
+    for name, (cols, key) in names.items():
+        if done[name] is not None:
+            counts[name] = store.rows(name)
+            continue
         stage_path = _p(root, "curated", f"{name}_merge")
-        overwrite_table(staging[name], cols, stage_path, name=f"curated.{name}_merge")
-        staged = spark.read.schema(S.silver_schema(name)).parquet(stage_path)
+        staged_columns = list(dict.fromkeys([*cols, "batch_id"]))
+        overwrite_table(staging[name], staged_columns, stage_path, name=f"curated.{name}_merge")
+        schema = T.StructType([*S.silver_schema(name).fields,
+                               *([] if "batch_id" in cols else [T.StructField("batch_id", T.IntegerType())])])
+        staged = spark.read.schema(schema).parquet(stage_path)
         not_null = ["raw_id"] if name == "anime" else []
         assert_key(staged, key, not_null, name=f"curated.{name}_merge")
-        merged = staged
-        if store.current_version(name) is not None:
-            current = store.read(name)
-            if batch is not None:
-                staged = _not_older(staged, current, titles, key, batch)
-            merged = upsert(current, staged, key)
-        counts[name] = store.write_version(name, merged)
+        counts[name] = store.upsert(name, staged, key, lambda new, old, k=key: _not_older(new, old, titles, k), writer, epoch)
     return counts
 
 
+def vacuum(spark: SparkSession, root: str, keep: int = 2, grace_hours: float = 24.0) -> dict[str, int]:
+    """Drop old versions of the silver tables; folders removed by table."""
+    store = open_store(spark, root)
+    return {n: store.vacuum(n, keep, grace_hours) for n in silver_tables()}
+
+
 def build_datamart(spark: SparkSession, root: str, strict: bool = True, buckets: int | None = None,
                    database: str | None = None) -> list[str]:
     """Full refresh of the gold tables from the current silver version."""
-    store = SilverStore(spark, root, buckets, database)
+    store = open_store(spark, root, buckets, database)
     silver = {n: store.read(n) for n in silver_tables()}
     gold = build_gold(silver, strict=strict, sort_links=True)
     for name in gold:
@@ -287,7 +333,7 @@ def export_datamart(spark: SparkSession, root: str, destination: str) -> list[st
 def test_silver(spark: SparkSession, root: str, buckets: int | None = None,
                 database: str | None = None) -> DataFrame:
     """The declared silver tests (unique / not_null) as a failures report."""
-    store = SilverStore(spark, root, buckets, database)
+    store = open_store(spark, root, buckets, database)
     silver = {n: store.read(n) for n in silver_tables()}
     return declared_tests(silver, S.SOURCE_TESTS)
 
@@ -295,7 +341,8 @@ def test_silver(spark: SparkSession, root: str, buckets: int | None = None,
 def run(spark: SparkSession, page_root: str, root: str, buckets: int | None = None,
         database: str | None = None, strict: bool = True, layout: str = "fetched") -> dict:
     """The monthly run: load new batches, curate the latest, test silver,
-    rebuild gold.  ``buckets``/``database`` select the bucketed silver store,
+    rebuild gold.  ``buckets`` is the number of buckets of a new warehouse's silver
+    tables, ``database`` keeps them as catalog tables,
     ``strict=False`` lists bad pages instead of failing."""
     appended = load_missing_batches(spark, page_root, root, layout)
     counts = load_curated(spark, root, strict=strict, buckets=buckets, database=database)

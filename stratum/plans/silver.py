@@ -4,9 +4,9 @@ keep the last copy of every key.
 One lazy DataFrame graph per output table; no row leaves the executors.
 
 * entity ``anime``: one row per ``anime_id`` (ENTITY_COLUMNS), the last record
-  by (raw_id, position in page)
+  by (batch, raw_id, position in page)
 * ``links_anime_<kind>``: one row per (anime_id, X_id) with X_name, the last
-  by (raw_id, record position, position in the link array).  Links are taken
+  by (batch, raw_id, record position, position in the link array).  Links are taken
   from every record before the entity is de-duplicated, so two copies of a
   title contribute the union of their links.
 """
@@ -22,7 +22,7 @@ from ..functions.links import extract_links
 from ..operators.dedup import keep_last
 from ..sources.bronze import scan_batch
 
-ORDER = ["raw_id", "rec_pos"]
+ORDER = ["batch_id", "raw_id", "rec_pos"]
 
 
 def records(bronze: DataFrame, batch_id: int | None = None, strict: bool = True) -> DataFrame:
@@ -31,15 +31,15 @@ def records(bronze: DataFrame, batch_id: int | None = None, strict: bool = True)
 
 
 def entity(recs: DataFrame) -> DataFrame:
-    cols = S.ENTITY_COLUMNS + ["rec_pos"]
+    cols = list(dict.fromkeys(S.ENTITY_COLUMNS + ORDER))
     return keep_last(recs.select(*cols), S.ENTITY_KEY, ORDER).select(*S.ENTITY_COLUMNS)
 
 
-def link_table(recs: DataFrame, kind: str) -> DataFrame:
+def link_table(recs: DataFrame, kind: str, with_batch: bool = False) -> DataFrame:
     prefix = S.LINK_NAMES[kind]
     rows = extract_links(recs, kind, prefix, keep=ORDER)
     return keep_last(rows, S.link_key(prefix), ORDER + ["link_pos"]).select(
-        *S.link_table_columns(prefix))
+        *S.link_table_columns(prefix), *(["batch_id"] if with_batch else []))
 
 
 def build_silver(bronze: DataFrame, batch_id: int | None = None,
@@ -51,11 +51,12 @@ def build_silver(bronze: DataFrame, batch_id: int | None = None,
     return from_records(records(bronze, batch_id, strict))
 
 
-def from_records(recs: DataFrame) -> dict[str, DataFrame]:
-    """The staging frames of unpacked records."""
+def from_records(recs: DataFrame, with_batch: bool = False) -> dict[str, DataFrame]:
+    """The staging frames of unpacked records; ``with_batch`` keeps the batch that
+    a link was last seen in."""
     out = {"anime": entity(recs)}
     for kind, _ in S.LINK_KINDS:
-        out[f"links_anime_{kind}"] = link_table(recs, kind)
+        out[f"links_anime_{kind}"] = link_table(recs, kind, with_batch)
     return out
 
 

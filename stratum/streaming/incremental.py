@@ -7,7 +7,7 @@ were processed, so it is per file, stricter than "is the batch loaded").  With
 everything new, then stop.
 
 ``stream_pages_to_silver`` additionally upserts every micro-batch into the
-silver tables (``foreachBatch``): every batch it holds, in ascending order.
+silver tables (``foreachBatch``): all batches it holds in one upsert.
 """
 
 from __future__ import annotations
@@ -75,11 +75,14 @@ def stream_pages_to_silver(spark: SparkSession, page_root: str, root: str,
                            buckets: int | None = None, database: str | None = None,
                            strict: bool = True, max_files: int | None = MAX_FILES, layout: str = "fetched"):
     """Like ``stream_pages_to_bronze``, then upsert the micro-batch's own pages
-    into silver, batch by batch in ascending order.
+    into silver: all its batches in one upsert per table, the last copy of a key
+    by (batch, raw id, position).
 
     The pages are found in the raw table by (batch, page), also those a failed
-    attempt has already appended, so a retry changes nothing.  A late page of an
-    older batch adds what is new and never overwrites a later batch."""
+    attempt has already appended.  Every table's new version carries the stream's
+    name (its checkpoint folder) and the epoch, so an epoch that Spark replays
+    writes only what it had not committed.  A late page of an older batch adds what
+    is new and never overwrites a later batch."""
     from ..plans.pipeline import _p, load_curated
 
     bronze_path = _p(root, "raw", "api_data")
@@ -90,9 +93,9 @@ def stream_pages_to_silver(spark: SparkSession, page_root: str, root: str,
         ids = _append_micro_batch(batch, bronze_path)
         spark = batch.sparkSession
         pages = batch.select("batch_id", "page").distinct()
-        raw = B.read_bronze(spark, bronze_path)
-        for batch_id in ids:
-            mine = B.scan_batch(raw, batch_id).join(pages, ["batch_id", "page"], "left_semi")
-            load_curated(spark, root, strict=strict, buckets=buckets, database=database, pages=mine)
+        raw = B.read_bronze(spark, bronze_path).where(F.col("batch_id").isin(ids))
+        mine = raw.select("id", "batch_id", "page", "raw_json").join(pages, ["batch_id", "page"], "left_semi")
+        load_curated(spark, root, strict=strict, buckets=buckets, database=database, pages=mine,
+                     writer=checkpoint, epoch=epoch_id)
 
     return _start(page_file_stream(spark, page_root, max_files, layout), write, checkpoint, available_now)

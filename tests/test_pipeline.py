@@ -268,20 +268,26 @@ def test_half_written_version_is_never_current(spark, tmp_root):
     write_batch(pages, 1, {1: [rec(n) for n in range(20)]})
     P.run(spark, pages, wh)
     table = os.path.join(wh, "curated", "anime")
-    shutil.copytree(os.path.join(table, "_version=1"), os.path.join(table, "_version=2"))
-    store = P.SilverStore(spark, wh)
+    attempt = os.listdir(os.path.join(table, "data"))[0]
+    shutil.copytree(os.path.join(table, "data", attempt), os.path.join(table, "data", "_attempt=left"))
+    store = P.open_store(spark, wh)
     assert store.current_version("anime") == 1 and store.read("anime").count() == 20
+    # an entry that its writer has not finished is no version, but its number is taken
+    with open(os.path.join(table, "_log", "000000000002.json"), "w") as f:
+        f.write('{"buckets": 64, "fi')
+    assert store.current_version("anime") == 1 and store.read("anime").count() == 20
+    os.remove(os.path.join(table, "_log", "000000000002.json"))
     P.load_curated(spark, wh)
-    assert store.current_version("anime") == 3 and store.read("anime").count() == 20
+    assert store.current_version("anime") == 2 and store.read("anime").count() == 20 == store.rows("anime")
 
 
-def test_current_version_reads_no_table(spark, tmp_root):
-    pages, wh = os.path.join(tmp_root, "in"), os.path.join(tmp_root, "wh")
-    write_batch(pages, 1, {1: [rec(1)]})
-    P.run(spark, pages, wh)
-    store = P.SilverStore(spark, wh)
-    assert "_published" in store._published("anime")
-    plan = store.read("anime")._jdf.queryExecution().executedPlan().toString()
+def test_complete_versions_by_folder(spark, tmp_root):
+    store = P.SilverStore(spark, tmp_root)
+    rows = spark.createDataFrame([(1, 2, "g", None), (3, 4, "h", None)], P.S.silver_schema("links_anime_genres"))
+    assert store.write_version("links_anime_genres", rows) == 2
+    assert store.upsert("links_anime_genres", rows.limit(1).withColumn("genre_name", F.lit("x")), ["anime_id", "genre_id"]) == 2
+    assert store.current_version("links_anime_genres") == 2
+    plan = store.read("links_anime_genres")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_version" in plan and "max(_version" not in plan
 
 
