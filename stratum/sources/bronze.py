@@ -6,16 +6,31 @@ its folder and "is batch N loaded" is a partition listing.
 
 A batch is loaded at most once: loading takes the batches present in the
 source that are absent from the table (an anti join on ``batch_id``), numbers
-their rows after the current maximum id and appends them.
+their rows and appends them.
+
+Several writers may load at once.  A writer reserves its range of ids by
+publishing (start, end, batches) as the next entry of the log beside the table
+(``sources.commit_log``): ranges never overlap, so no id is given twice, and a
+range whose load failed is not used again, as with any sequence.  The entry also
+claims its batches: another writer that wants one of them before it is in the
+table gets a ``Conflict``.  A failed load gives its claim up; one whose writer
+was killed ends after ``LEASE_SECONDS``, or at once for a writer of the same name.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.sequence import dense_index
+from .commit_log import CommitLog, Conflict
+
+#: how long the claim of a writer that has vanished keeps others off its batches
+LEASE_SECONDS = 1800
 
 
 def empty_bronze(spark: SparkSession) -> DataFrame:
@@ -75,26 +90,83 @@ def constrained(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.coalesce(c, fail.cast("int")) for c in ("batch_id", "page")})
 
 
-def write_raw(rows: DataFrame, existing: DataFrame, path: str, keys: DataFrame | None = None) -> int:
-    """Append page rows (batch_id, page, raw_json) to the raw table with ids
-    after the largest one and the load time; returns the rows appended.
+def id_log(spark: SparkSession, path: str) -> CommitLog:
+    """The reservations of the raw table at ``path``."""
+    return CommitLog(spark, f"{path.rstrip('/')}_ids")
+
+
+def reserve_ids(spark: SparkSession, path: str, n: int, batches: list[int], writer: str | None = None) -> tuple[int, int]:
+    """(entry, first id) of ``n`` ids kept for this writer, who loads ``batches``.
+
+    The first reservation of a table starts after its largest id; from then on
+    the log alone says where the next range starts."""
+    writer = writer or uuid.uuid4().hex
+    log = id_log(spark, path)
+
+    def make(number: int, last: dict | None) -> dict:
+        now = time.time()
+        open_claims = last["claims"] if last else {}
+        claims = {}
+        for batch, (who, since) in open_claims.items():
+            if who != writer and now - since < LEASE_SECONDS:
+                if int(batch) in batches:
+                    raise Conflict(f"batch {batch} is being loaded by another writer")
+                claims[batch] = [who, since]
+        start = last["end"] + 1 if last else int(read_bronze(spark, path).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]) + 1
+        return {"start": start, "end": start + n - 1, "writer": writer, "batches": batches,
+                "claims": claims | {str(b): [writer, now] for b in batches}}
+
+    number, entry = log.append(make)
+    return number, entry["start"]
+
+
+def _release(spark: SparkSession, path: str, number: int) -> None:
+    """Give up the claims of entry ``number``."""
+    log = id_log(spark, path)
+    mine = log.read(number)
+
+    def make(_: int, last: dict) -> dict:
+        claims = {b: c for b, c in last["claims"].items() if c[0] != mine["writer"] or int(b) not in mine["batches"]}
+        return {**last, "claims": claims, "batches": [], "released": number}
+
+    log.append(make)
+
+
+def write_raw(rows: DataFrame, path: str, keys: DataFrame | None = None, writer: str | None = None) -> int:
+    """Append page rows (batch_id, page, raw_json) to the raw table with reserved
+    ids and the load time; returns the rows appended.
 
     Only (batch_id, page) are sorted to number the rows; ``keys`` gives them
     where they are known without reading the pages.  A repeated (batch_id, page)
-    would repeat ids, so it fails the load before anything is written.
+    would repeat ids, so it fails the load before anything is written; so does a
+    page that another writer has appended in the meantime.
     """
+    spark = rows.sparkSession
     keys = (rows if keys is None else keys).select("batch_id", "page")
-    twice = keys.groupBy("batch_id", "page").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR batch_id IS NULL OR page IS NULL")
-    bad = twice.first()
-    if bad is not None:
-        raise ValueError(f"page rows without batch or page number, or a page that is there twice: "
-                         f"batch {bad.batch_id}, page {bad.page}; file names must be batch_<N>/page_<P>.json")
-    numbered = assign_ids(keys, existing)
-    new = constrained(rows).join(numbered, ["batch_id", "page"]).withColumn("loaded_at", F.current_timestamp())
-    obs = Observation()
-    out = new.select(*[f.name for f in S.BRONZE.fields]).observe(obs, F.count(F.lit(1)).alias("n"))
-    out.write.mode("append").partitionBy("batch_id").parquet(path)
-    return int(obs.get["n"])
+    numbered = dense_index(keys, ["batch_id", "page"], "id")
+    held = numbered.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("page").alias("pages"),
+                                            F.count("page").alias("known")).collect()  # one row per batch
+    for r in held:
+        if r.batch_id is None or r.known < r.n or r.pages < r.n:
+            raise ValueError(f"page rows without batch or page number, or a page that is there twice: batch {r.batch_id}; "
+                             "file names must be batch_<N>/page_<P>.json")
+    if not held:
+        return 0
+    batches = sorted(r.batch_id for r in held)
+    number, start = reserve_ids(spark, path, sum(r.n for r in held), batches, writer)
+    try:
+        there = read_bronze(spark, path).where(F.col("batch_id").isin(batches)).select("batch_id", "page")
+        twice = there.join(keys, ["batch_id", "page"], "left_semi").first()
+        if twice is not None:
+            raise Conflict(f"another writer has loaded batch {twice.batch_id}, page {twice.page} in the meantime")
+        ids = numbered.withColumn("id", F.col("id") + F.lit(start - 1))
+        new = constrained(rows).join(ids, ["batch_id", "page"]).withColumn("loaded_at", F.current_timestamp())
+        obs = Observation()
+        out = new.select(*[f.name for f in S.BRONZE.fields]).observe(obs, F.count(F.lit(1)).alias("n"))
+        out.write.mode("append").partitionBy("batch_id").parquet(path)
+        return int(obs.get["n"])
+    finally:
+        _release(spark, path, number)
 
 
 def append_batches(spark: SparkSession, pages: DataFrame, path: str, listed: DataFrame | None = None) -> int:
@@ -107,4 +179,4 @@ def append_batches(spark: SparkSession, pages: DataFrame, path: str, listed: Dat
     """
     bronze = read_bronze(spark, path)
     keys = None if listed is None else rows_to_load(listed, bronze)
-    return write_raw(rows_to_load(pages, bronze), bronze, path, keys)
+    return write_raw(rows_to_load(pages, bronze), path, keys)

@@ -39,7 +39,7 @@ def page_file_stream(spark: SparkSession, page_root: str, max_files: int | None
         compact_document("doc").alias("raw_json"))
 
 
-def _append_micro_batch(batch: DataFrame, bronze_path: str) -> list[int]:
+def _append_micro_batch(batch: DataFrame, bronze_path: str, writer: str | None = None) -> list[int]:
     """Append the pages that are not in the raw table; the batch ids met.
 
     ``foreachBatch`` is at-least-once: a micro-batch retried after its write but
@@ -49,7 +49,7 @@ def _append_micro_batch(batch: DataFrame, bronze_path: str) -> list[int]:
     ids = sorted(r.batch_id for r in batch.select("batch_id").distinct().collect() if r.batch_id is not None)
     existing = B.read_bronze(batch.sparkSession, bronze_path)
     loaded = existing.where(F.col("batch_id").isin(ids)).select("batch_id", "page")
-    B.write_raw(batch.join(loaded, ["batch_id", "page"], "left_anti"), existing, bronze_path)
+    B.write_raw(batch.join(loaded, ["batch_id", "page"], "left_anti"), bronze_path, writer=writer)
     return ids
 
 
@@ -65,7 +65,7 @@ def stream_pages_to_bronze(spark: SparkSession, page_root: str, bronze_path: str
     """Start the stream; returns the StreamingQuery (``awaitTermination`` it
     for an availableNow run).  A micro-batch has at most ``max_files`` pages."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        _append_micro_batch(batch, bronze_path)
+        _append_micro_batch(batch, bronze_path, checkpoint)
 
     return _start(page_file_stream(spark, page_root, max_files, layout), write, checkpoint, available_now)
 
@@ -90,7 +90,7 @@ def stream_pages_to_silver(spark: SparkSession, page_root: str, root: str,
     def write(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        ids = _append_micro_batch(batch, bronze_path)
+        ids = _append_micro_batch(batch, bronze_path, checkpoint)
         spark = batch.sparkSession
         pages = batch.select("batch_id", "page").distinct()
         raw = B.read_bronze(spark, bronze_path).where(F.col("batch_id").isin(ids))

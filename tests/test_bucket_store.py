@@ -188,3 +188,52 @@ def test_replay_after_half_of_the_tables(spark, tmp_root, monkeypatch):
     store = P.open_store(spark, wh)
     assert store.versions("anime") == [1] and out["anime"] == 2 and out["links_anime_genres"] == 1
     assert [r.genre_name for r in store.read("links_anime_genres").collect()] == ["new"]
+
+
+# ------------------------------------------------------------------ raw ids
+def page_rows(spark, batch, n):
+    return spark.createDataFrame([(batch, p, "{}") for p in range(1, n + 1)], "batch_id int, page int, raw_json string")
+
+
+def test_interleaved_loads_share_no_id(spark, tmp_root, monkeypatch):
+    from stratum.sources import bronze as B
+    path, reserve, outcome = os.path.join(tmp_root, "raw"), B.reserve_ids, []
+
+    def during(spark_, path_, n, batches, writer=None):
+        out = reserve(spark_, path_, n, batches, writer)
+        if not outcome:  # the first writer has its ids, but has written nothing yet
+            outcome.append(None)
+            assert B.append_batches(spark, page_rows(spark, 2, 4), path) == 4
+            with pytest.raises(B.Conflict, match="batch 1 is being loaded"):
+                B.append_batches(spark, page_rows(spark, 1, 3), path)
+        return out
+
+    monkeypatch.setattr(B, "reserve_ids", during)
+    assert B.append_batches(spark, page_rows(spark, 1, 3), path) == 3
+    assert B.append_batches(spark, page_rows(spark, 1, 3), path) == 0
+    got = sorted((r.batch_id, r.page, r.id) for r in B.read_bronze(spark, path).collect())
+    assert [x[:2] for x in got] == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3), (2, 4)]
+    assert [x[2] for x in got] == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_failed_and_vanished_loads(spark, tmp_root, monkeypatch):
+    from stratum.sources import bronze as B
+    path = os.path.join(tmp_root, "raw")
+    broken = page_rows(spark, 1, 2).withColumn("raw_json", F.raise_error(F.lit("unreadable")).cast("string"))
+    with pytest.raises(Exception, match="unreadable"):
+        B.write_raw(broken, path, keys=page_rows(spark, 1, 2))
+    assert B.append_batches(spark, page_rows(spark, 1, 2), path) == 2  # the claim was given up, the ids were not
+    assert sorted(r.id for r in B.read_bronze(spark, path).collect()) == [3, 4]
+    B.reserve_ids(spark, path, 5, [2], writer="gone")  # killed before it wrote anything
+    with pytest.raises(B.Conflict):
+        B.append_batches(spark, page_rows(spark, 2, 1), path)
+    assert B.write_raw(page_rows(spark, 2, 1), path, writer="gone") == 1  # the same writer, started again
+    B.reserve_ids(spark, path, 5, [3], writer="gone")
+    monkeypatch.setattr(B, "LEASE_SECONDS", 0)
+    assert B.append_batches(spark, page_rows(spark, 3, 1), path) == 1
+    ids = [r.id for r in B.read_bronze(spark, path).collect()]
+    assert len(set(ids)) == len(ids) == 4
+    with pytest.raises(B.Conflict, match="in the meantime"):
+        B.write_raw(page_rows(spark, 3, 1), path)
+    with pytest.raises(ValueError, match="twice"):
+        B.write_raw(page_rows(spark, 4, 1).union(page_rows(spark, 4, 1)), path)
