@@ -59,6 +59,15 @@ def page_records(raw_json: Column | str, strict: bool = True) -> Column:
     return _data(_parsed(raw_json), strict)
 
 
+def with_records(pages: DataFrame, name: str = "data", strict: bool = True) -> DataFrame:
+    """``pages`` with the ``page_records`` of ``raw_json`` as a column.
+
+    The document is a column of its own select before anything is taken from
+    it, so it is parsed once however often the records are used."""
+    return (pages.select("*", _parsed("raw_json").alias("__doc"))
+            .select(*pages.columns, _data(F.col("__doc"), strict).alias(name)))
+
+
 def rejected_pages(bronze: DataFrame) -> DataFrame:
     """(raw_id, batch_id, page, reason) of the raw rows that are no good page."""
     docs = bronze.select(F.col("id").alias("raw_id"), "batch_id", "page", _parsed("raw_json").alias("doc"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def share_within(df: DataFrame, value: str, group: list[str], name: str = "share_pct",
                  rows_per_group_bounded: bool = False) -> DataFrame:
@@ -28,8 +30,11 @@ def share_of_total(df: DataFrame, value: str, name: str = "share_pct") -> DataFr
     """``100 * value / sum(value)`` over the whole frame (pie slices); NULL if the
     sum is 0.
 
-    The total is an uncorrelated scalar subquery, computed once and inlined as
-    a literal; no single-partition window, no join.
+    ``df`` is kept once, as it is both summed and returned.  The total is an
+    uncorrelated scalar subquery, computed once and inlined as a literal; no
+    single-partition window, no join.
     """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     total = df.select(F.sum(value)).scalar()
     return df.withColumn(name, F.try_divide(F.col(value) * F.lit(100.0), total))

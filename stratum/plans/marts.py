@@ -31,6 +31,7 @@ from ..functions.misc import fmt_2dp, fmt_thousands
 from ..operators.joins import left_join
 from ..operators.shares import share_of_total, share_within
 from ..operators.topk import keep_members, top_k
+from ..session import ensure_checkpoint_dir
 
 Gold = Mapping[str, DataFrame]
 
@@ -65,7 +66,8 @@ def enriched(gold: Gold) -> DataFrame:
     """
     lic = _link_with_dim(gold, "licensors")
     gen = _link_with_dim(gold, "genres")
-    return left_join(left_join(fact_dims(gold), lic, "anime_id"), gen, "anime_id")
+    first = left_join(fact_dims(gold), lic, "anime_id", gold["links_licensors"])
+    return left_join(first, gen, "anime_id", gold["links_genres"])
 
 
 def year_filter(df: DataFrame, year_range: tuple[int, int] = S.DEFAULT_YEAR_RANGE) -> DataFrame:
@@ -205,7 +207,9 @@ def top_genres(by_year: DataFrame, k: int = 10) -> DataFrame:
 def genre_share_by_year(gold: Gold, t: DataFrame, k: int = 10) -> DataFrame:
     """Each top-k genre's percent of the year's members, the year's total
     taken over the kept top-k genres only (a 100%-stacked area chart)."""
-    by_year = genre_by_year(gold, t)
+    # kept once: the top-k and the shares both start from it
+    ensure_checkpoint_dir(gold["f_anime"].sparkSession)
+    by_year = genre_by_year(gold, t).checkpoint()
     kept = keep_members(by_year, top_genres(by_year, k), "genre_name")
     # (year, genre) is unique in by_year, so a year keeps at most k rows.
     return share_within(kept, "members", ["year"], "share_pct", rows_per_group_bounded=True).select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.misc import last_element, number_in_name
-from ..functions.json_pages import compact_document, page_records
+from ..functions.json_pages import compact_document, with_records
 from ..operators.sequence import dense_index
 
 
@@ -95,39 +95,66 @@ def paginate(df: DataFrame, order: list[str | Column], page_size: int = S.PAGE_S
             .withColumn("rec_pos", ((F.col(rn) - 1) % page_size).cast("int")))
 
 
+def _probed(pages: DataFrame) -> DataFrame:
+    """``pages`` with n_records, last_title and last_members; one parse a page."""
+    last = last_element(F.col("__data"))
+    return with_records(pages, "__data").select(
+        *pages.columns, F.coalesce(F.size("__data"), F.lit(0)).alias("n_records"),
+        last.getField("title").alias("last_title"), last.getField("members").alias("last_members"))
+
+
 def page_last_members(pages: DataFrame) -> DataFrame:
     """[batch_id,] page, n_records, last_title, last_members of page documents."""
-    data = page_records("raw_json")
-    last = last_element(data)
     keys = [c for c in ("batch_id",) if c in pages.columns]
-    return pages.select(
-        *keys, "page",
-        F.coalesce(F.size(data), F.lit(0)).alias("n_records"),
-        last.getField("title").alias("last_title"),
-        last.getField("members").alias("last_members"))
+    return _probed(pages.select(*keys, "page", "raw_json")).drop("raw_json")
+
+
+#: pages of each batch probed first by ``take_while_pages``
+FIRST_PAGES = 64
 
 
-def take_while_pages(pages: DataFrame, min_members: int = S.MIN_MEMBERS) -> DataFrame:
+def stop_pages(pages: DataFrame, min_members: int = S.MIN_MEMBERS, first_pages: int = FIRST_PAGES) -> dict:
+    """{batch (None without ``batch_id``): its first page that fails}, of the batches that have one.
+
+    A progressive scan: pages 1 to ``first_pages``, then twice as far, and so on,
+    each time of the batches that have not stopped yet.  Pages past twice the stop
+    (and past ``first_pages``) are never parsed.  The driver keeps two numbers a
+    batch."""
+    keys = [c for c in ("batch_id",) if c in pages.columns]
+    of = lambda r: r[0] if keys else None
+    left = {of(r): r["top"] for r in pages.groupBy(*keys).agg(F.max("page").alias("top")).collect() if r["top"] is not None}
+    fails = (F.col("n_records") == 0) | (F.coalesce("last_members", F.lit(0)) < min_members)
+    stops, lo, hi = {}, None, first_pages
+    while left:
+        part = pages.where((F.col("page") <= hi) if lo is None else (F.col("page") > lo) & (F.col("page") <= hi))
+        if keys:
+            known = F.col("batch_id").isin([b for b in left if b is not None])
+            part = part.where(known | F.col("batch_id").isNull() if None in left else known)
+        # not a filter on ``fails``: it would be pushed down beside the page range
+        bad = _probed(part.select(*keys, "page", "raw_json")).groupBy(*keys).agg(F.min(F.when(fails, F.col("page"))).alias("stop"))
+        stops |= {of(r): r["stop"] for r in bad.collect() if r["stop"] is not None}
+        left = {b: top for b, top in left.items() if b not in stops and top > hi}
+        lo, hi = hi, 2 * hi
+    return stops
+
+
+def take_while_pages(pages: DataFrame, min_members: int = S.MIN_MEMBERS, first_pages: int = FIRST_PAGES) -> DataFrame:
     """Pages kept by the fetch loop: in page order, while the page's last
     record has ``members >= min_members``.  An empty page, or one whose last
     record fails, stops the run and is itself not kept.  Per batch when the
     frame has ``batch_id``.
 
-    The stop point is an aggregate (smallest failing page per batch), so the
-    rule is one filter over the pages, not a sequential loop.  Output: the
-    page rows with ``n_records`` and ``last_members``.
+    The stops are found by ``stop_pages`` (jobs run here), then one filter keeps the
+    pages before them.  Output: the page rows with ``n_records`` and
+    ``last_members``.
     """
-    data = page_records("raw_json")
-    probed = pages.select(
-        "*",
-        F.coalesce(F.size(data), F.lit(0)).alias("n_records"),
-        last_element(data).getField("members").alias("last_members"))
-    ok = (F.col("n_records") > 0) & (F.coalesce(F.col("last_members"), F.lit(0)) >= min_members)
-    keys = [c for c in ("batch_id",) if c in pages.columns]
-    if keys:
-        bad = probed.where(~ok).groupBy(*keys).agg(F.min("page").alias("__first_bad"))
-        judged = probed.join(bad, keys, "left")
+    stops = stop_pages(pages, min_members, first_pages)
+    if "batch_id" not in pages.columns:
+        kept = pages.where(F.col("page") < stops[None]) if stops else pages
+    elif stops:  # one row per batch: a proven bound for the broadcast
+        table = pages.sparkSession.createDataFrame(list(stops.items()), "__batch int, __stop int")
+        kept = (pages.join(F.broadcast(table), F.col("batch_id").eqNullSafe(F.col("__batch")), "left")
+                .where(F.col("__stop").isNull() | (F.col("page") < F.col("__stop"))).select(*pages.columns))
     else:
-        judged = probed.withColumn("__first_bad", probed.where(~ok).select(F.min("page")).scalar())
-    return (judged.where(F.col("__first_bad").isNull() | (F.col("page") < F.col("__first_bad")))
-            .drop("__first_bad"))
+        kept = pages
+    return _probed(kept).drop("last_title")

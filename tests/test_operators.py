@@ -134,31 +134,48 @@ def test_shares_of_a_zero_total_are_null(spark):
 
 
 def test_left_join_equals_outer_join_and_splits_a_hot_key(spark):
-    from stratum.operators.joins import left_join
-    left = spark.range(1000).selectExpr("id AS k", "id * 2 AS x")
-    right = spark.range(200000).selectExpr("IF(id % 2 = 0, 7, id % 900) AS k", "id AS y", "uuid() AS z")
+    from stratum.operators.joins import heavy_hitters, left_join
+    left = spark.range(1000).selectExpr("IF(id = 5, NULL, id) AS k", "id * 2 AS x").union(spark.createDataFrame([(7, -1)], "k long, x long"))
+    right = spark.range(200000).selectExpr("IF(id % 2 = 0, 7, id % 900) AS k", "id AS y", "id % 3 AS z")
+    right = right.union(spark.createDataFrame([(None, 1, 1)], "k long, y long, z long"))
     want = left.join(right, "k", "left")
-    keep = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-                                           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
-                                           "spark.sql.shuffle.partitions")}
+    totals = {"k": "sum", "x": "sum", "y": "sum", "z": "sum", "*": "count"}
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
-        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
         spark.conf.set("spark.sql.shuffle.partitions", 16)
-        got = left_join(left, right, "k")
-        assert got.columns == want.columns
-        total = got.agg({"k": "sum", "x": "sum", "y": "sum", "*": "count"})
-        assert tuple(total.first()) == tuple(want.agg({"k": "sum", "x": "sum", "y": "sum", "*": "count"}).first())
-        got = left_join(left, right, "k")
-        got.write.format("noop").mode("overwrite").save()
-        got.collect()
-        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+        assert set(heavy_hitters(right, "k", 20_000)) == {7} and heavy_hitters(right.limit(0), "k") == {}
+        for hot_rows in (20_000, 1_000_000):
+            got = left_join(left, right, "k", hot_rows=hot_rows)
+            assert got.columns == want.columns
+            assert tuple(got.agg(totals).first()) == tuple(want.agg(totals).first())
+        # a plain left join unless a key is hot; one left join, on the salt too, if one is
+        plain = left_join(left, right, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "salt" not in plain and plain.count("Join") == 1
+        salted = left_join(left, right, "k", hot_rows=20_000)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Join") == 1 and "Join [k" in plan and "__salt" in plan and "LeftOuter" in plan
+        assert plan.count("Range (0, 200000") == 1 and plan.count("Range (0, 1000") == 1
+        # the hot key's 200,000 rows (two left rows) are met by several tasks
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        salted = left_join(left, right, "k", hot_rows=20_000)
+        per_task = salted.groupBy(F.spark_partition_id()).count().agg({"count": "max"}).first()[0]
+        assert per_task < 120_000
     finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         for c, v in keep.items():
             spark.conf.set(c, v)
 
 
+def test_left_join_by_a_cheaper_key_frame(spark):
+    from stratum.operators.joins import left_join
+    left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, x int")
+    right = spark.createDataFrame([("a", n) for n in range(50)] + [("b", 0)], "k string, y int")
+    got = left_join(left, right, "k", keys=right.select("k"), hot_rows=10)
+    want = left.join(right, "k", "left")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_surrogate_ids_follow_native_order(spark):
     from stratum.plans.gold import surrogate_dims
     df = spark.createDataFrame([(10, "b"), (9, "a"), (100, "b")], "n int, s string")

@@ -10,7 +10,7 @@ from conftest import page_doc, rec, write_batch
 from stratum.plans import marts as M
 from stratum.plans import pipeline as P
 from stratum.sources import bronze as B
-from stratum.sources.pages import list_batches, scan_page_files, take_while_pages
+from stratum.sources.pages import list_batches, scan_page_files, stop_pages, take_while_pages
 
 
 def batch1():
@@ -44,6 +44,22 @@ def test_scan_and_take_while(spark, tmp_root):
     assert [r.batch_id for r in list_batches(spark, pages).collect()] == [1]
 
 
+def test_take_while_reads_no_page_past_twice_the_stop(spark):
+    """Pages 300 and up are broken: parsing one would fail the run."""
+    doc = lambda p: page_doc([rec(p, members=20000 if p != 130 else 5)]) if p < 300 else "{broken"
+    pages = spark.createDataFrame([(b, p, doc(p)) for b in (1, 2) for p in range(1, 600)], "batch_id int, page int, raw_json string")
+    both = pages.union(spark.createDataFrame([(3, 1, page_doc([rec(1)])), (4, 1, page_doc([]))], pages.schema))
+    assert stop_pages(both) == {1: 130, 2: 130, 4: 1}
+    kept = take_while_pages(both)
+    assert kept.columns == ["batch_id", "page", "raw_json", "n_records", "last_members"]
+    assert kept.groupBy("batch_id").count().orderBy("batch_id").collect() == [(1, 129), (2, 129), (3, 1)]
+    one = take_while_pages(pages.where("batch_id = 1").drop("batch_id"), first_pages=1)
+    assert sorted(r.page for r in one.collect()) == list(range(1, 130))
+    with pytest.raises(Exception, match="page rejected"):
+        take_while_pages(pages.where("page <> 130")).count()
+    assert take_while_pages(pages.limit(0)).count() == 0
+
+
 def test_incremental_batches(spark, tmp_root):
     pages = os.path.join(tmp_root, "importbatches")
     for b in (1, 2, 3):

@@ -36,3 +36,17 @@ def test_marts_read_their_tables_at_most_twice(spark, name):
     relations = [line for line in plan.splitlines() if "Relation" in line]
     assert sum("l_orderkey" in line for line in relations) <= 2
     assert sum("o_orderkey" in line for line in relations) <= 2
+
+
+@pytest.mark.parametrize("name", ["q_json_page_unpack", "q_page_probe", "q_take_while_pages"])
+def test_pages_are_parsed_once(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("from_json") + plan.lower().count("jsontostructs") == 1
+
+
+@pytest.mark.parametrize("name", ["q_enriched_rows", "q_star_select", "q_bubble_rows"])
+def test_left_joins_read_their_left_side_once(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    relations = [line for line in plan.splitlines() if "Relation" in line]
+    # the entity, and once more to find its latest batch
+    assert sum("o_orderkey" in line for line in relations) <= 2 and "LeftAnti" not in plan
