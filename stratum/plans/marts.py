@@ -208,7 +208,7 @@ def genre_share_by_year(gold: Gold, t: DataFrame, k: int = 10) -> DataFrame:
     """Each top-k genre's percent of the year's members, the year's total
     taken over the kept top-k genres only (a 100%-stacked area chart)."""
     # kept once: the top-k and the shares both start from it
-    ensure_checkpoint_dir(gold["f_anime"].sparkSession)
+    ensure_checkpoint_dir(t.sparkSession)
     by_year = genre_by_year(gold, t).checkpoint()
     kept = keep_members(by_year, top_genres(by_year, k), "genre_name")
     # (year, genre) is unique in by_year, so a year keeps at most k rows.
