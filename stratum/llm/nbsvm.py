@@ -7,10 +7,13 @@ coordinate descent, and its margins are turned into probabilities by a logistic
 fit on labelled rows that the machine has not seen.
 
 Scale: class frequencies and machine are fitted on at most ``MAX_FIT`` labelled
-rows (those with the smallest id hash), which are broadcast to find their texts;
-the machine in one task with at most ``MAX_FIT_NGRAMS`` n-grams.  No other text
-moves; scoring is one narrow pass with the
-``BUCKETS`` weights broadcast, in proportion to the text.
+rows: of the labels whose document exists (only ids are joined to find out), those
+with the smallest id hash, which are broadcast to find their texts.  The machine
+is fitted in one task on the first of them, in the order of the hash, that have at
+most ``MAX_FIT_NGRAMS`` distinct n-grams together; a text has ``BUCKETS`` of them at
+most and none is left out for its length, so long texts shorten the sample.  No
+other text moves; scoring is one narrow pass with the ``BUCKETS`` weights
+broadcast, in proportion to the text.
 
 Inputs of a score are words only, never labels, language, source or id.
 
@@ -41,7 +44,8 @@ LIMIT = 0.3
 #: bounds of the sample that the machine is fitted on
 MAX_FIT, MAX_FIT_NGRAMS = 8192, 4_000_000
 C = 1.0
-EPOCHS = 12
+#: the descent ends when no coordinate's projected gradient is larger, or after PASSES
+TOLERANCE, PASSES = 1e-3, 2000
 
 
 def ngrams(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -87,17 +91,33 @@ def dual_descent(indptr: np.ndarray, index: np.ndarray, value: np.ndarray, sign:
     positive = (sign > 0).mean()
     bound = C * np.where(sign > 0, 0.5 / max(positive, 1e-9), 0.5 / max(1 - positive, 1e-9))
     order = np.random.default_rng(0)
-    for _ in range(EPOCHS):
-        for i in order.permutation(len(sign)):
+    active, upper, lower = np.arange(len(sign)), np.inf, -np.inf
+    for _ in range(PASSES):
+        most, least = -np.inf, np.inf
+        keep = np.ones(len(active), bool)
+        for k in order.permutation(len(active)):
+            i = active[k]
             lo, hi = indptr[i], indptr[i + 1]
             x, v = index[lo:hi], value[lo:hi]
             gradient = sign[i] * (w[x] @ v + bias) - 1
+            if (alpha[i] == 0 and gradient > upper) or (alpha[i] == bound[i] and gradient < lower):
+                keep[k] = False  # at its bound and far from leaving it: set aside
+                continue
+            projected = min(gradient, 0.0) if alpha[i] == 0 else max(gradient, 0.0) if alpha[i] == bound[i] else gradient
+            most, least = max(most, projected), min(least, projected)
             new = min(max(alpha[i] - gradient / square[i], 0.0), bound[i])
             if new != alpha[i]:
                 change = (new - alpha[i]) * sign[i]
                 w[x] += change * v  # indices of one row are distinct
                 bias += change
                 alpha[i] = new
+        active = active[keep]
+        if max(most, -least) <= TOLERANCE:
+            if len(active) == len(sign):
+                break
+            active, upper, lower = np.arange(len(sign)), np.inf, -np.inf  # once more with all rows
+        else:
+            upper, lower = (most if most > 0 else np.inf), (least if least < 0 else -np.inf)
     return w, bias
 
 
@@ -150,6 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, id_col: str =
     fold = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % folds
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .filter(F.col("label").isin(0, 1) & (fold != 0)).distinct()
+             .join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
              .withColumn("rank", F.xxhash64("id", F.lit("fit"))))
     # the sample: the smallest ranks; MAX_FIT narrow rows may be broadcast
     known = F.broadcast(known.orderBy("rank", "label").limit(MAX_FIT))
@@ -167,11 +188,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, id_col: str =
     q[gram] += counts.column("n").to_numpy() - n1
     ratio = np.log((p / (by_class[1] + 2)) / (q / (by_class[0] + 2)))
     # as far as the bound on the task goes
-    small = rows.filter(F.col("size") <= MAX_FIT_NGRAMS // 64)
-    cut = small.select("rank", "size").orderBy("rank").limit(MAX_FIT).toArrow()
+    cut = rows.select("rank", "size").orderBy("rank").limit(MAX_FIT).toArrow()
     fits = int(np.searchsorted(np.cumsum(cut.column("size").to_numpy()), MAX_FIT_NGRAMS, side="right"))
     last = int(cut.column("rank")[max(min(fits, len(cut)) - 1, 0)].as_py()) if len(cut) else 0
-    sample = small.filter(F.col("rank") <= last).limit(MAX_FIT)  # ranks of repeated ids may tie
+    sample = rows.filter(F.col("rank") <= last).limit(MAX_FIT)  # ranks of repeated ids may tie
     fitted = (sample.select("rank", "label", "grams").groupBy(F.lit(0).alias("all"))
               .applyInPandas(_fit_task(ratio), "weights binary, bias double, a double, b double").first())
     return {"ratio": ratio, "weights": np.frombuffer(fitted["weights"], "<f8"),
