@@ -167,6 +167,8 @@ def schedule(lengths: DataFrame, mixture: dict[str, float] | None = None,
     ``mixture``: weights by source (sources left out: by their token counts, so
     that all queues run empty together; that is also the default for all).
     """
+    if mixture and not all(0 < v < float("inf") for v in mixture.values()):
+        raise ValueError("every weight of a mixture must be positive: a source that is not to be packed has to be left out of the documents")
     spark = lengths.sparkSession
     rows = lengths.select("row", F.coalesce("source", F.lit("\0")).alias("queue"), "n_tokens")
     n_rows, n_tokens = rows.agg(F.count("*"), F.sum("n_tokens")).first()

@@ -33,24 +33,26 @@ UNKNOWN_PENALTY = 10.0
 CACHE_SEGMENTS = 200_000
 
 
-def read_vocabulary(model_path: str) -> list[tuple[str, float]]:
-    """(piece, score) by id of a sentencepiece model file."""
+def read_vocabulary(model_path: str) -> list[tuple[str, float | None]]:
+    """(piece, score) by id of a sentencepiece model file.  Control, unknown and
+    byte pieces have no score: their names in a text are ordinary text."""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    return [(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())]
+    special = lambda i: sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)
+    return [(sp.id_to_piece(i), None if special(i) else sp.get_score(i)) for i in range(sp.get_piece_size())]
 
 
 class Counter:
     """Best score and piece count of segments under a unigram vocabulary."""
 
-    def __init__(self, vocabulary: list[tuple[str, float]]) -> None:
+    def __init__(self, vocabulary: list[tuple[str, float | None]]) -> None:
         import ahocorasick
         self.automaton = ahocorasick.Automaton()
         for piece, score in vocabulary:
-            if piece:
+            if piece and score is not None:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        self.unknown = min((s for _, s in vocabulary), default=0.0) - UNKNOWN_PENALTY
+        self.unknown = min((s for _, s in vocabulary if s is not None), default=0.0) - UNKNOWN_PENALTY
         pieces = {p for p, _ in vocabulary}
         self.byte_fallback = all(f"<0x{b:02X}>" in pieces for b in range(256))
         self.cache: dict[str, tuple[int, float]] = {}

@@ -119,6 +119,18 @@ def test_packing_follows_the_mixture(spark):
     early = [p for p in pieces if p.sequence_id < 20]
     share = sum(p.length for p in early if p.source == "a") / sum(p.length for p in early)
     assert abs(share - 0.75) < 0.03
+    # as long as both queues hold tokens every window keeps the mixture; then the other queue is sent alone
+    held = {s: sum(p.length for p in pieces if p.source == s) for s in "ab"}
+    last = max(p.sequence_id for p in pieces)
+    empty_at = max(p.sequence_id for p in pieces if p.source == "a")
+    assert held["a"] / 3 < held["b"] and empty_at < last
+    for lo in range(0, empty_at - 8, 8):
+        part = [p for p in pieces if lo <= p.sequence_id < lo + 8]
+        assert abs(sum(p.length for p in part if p.source == "a") / sum(p.length for p in part) - 0.75) < 0.06
+    assert {p.source for p in pieces if p.sequence_id > empty_at + 1} == {"b"}
+    for wrong in (0, -1, float("nan")):
+        with pytest.raises(ValueError, match="positive"):
+            packing.packed(docs, data.TOKENIZER, mixture={"a": 1, "b": wrong})
 
 
 def test_packing_empty(empty):
@@ -130,7 +142,7 @@ def test_packing_empty(empty):
 def test_unigram_counts_are_the_tokenizers(edge, empty, byte_pieces):
     from tokenizers import Tokenizer, models, pre_tokenizers
     vocabulary = [p for p in unigram.read_vocabulary(data.UNIGRAM) if byte_pieces or not p[0].startswith("<0x")]
-    t = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=byte_pieces))
+    t = Tokenizer(models.Unigram([(p, x or 0.0) for p, x in vocabulary], unk_id=0, byte_fallback=byte_pieces))
     t.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
     got = unigram.count_tokens(edge, vocabulary).collect()
     want = [(r.doc_id, len(t.encode(r.text or "", add_special_tokens=False).ids)) for r in edge.collect()]
@@ -138,6 +150,13 @@ def test_unigram_counts_are_the_tokenizers(edge, empty, byte_pieces):
     assert unigram.count_tokens(empty, vocabulary).count() == 0
 
 
+def test_unigram_names_of_special_pieces_are_text(spark):
+    vocabulary = unigram.read_vocabulary(data.UNIGRAM)
+    assert {p for p, s in vocabulary if s is None} >= {"<unk>", "<s>", "</s>", "<0x41>"}
+    docs = data.plain(spark, enumerate(["<s>", "</s>", "<unk>", "<0x41>"]))
+    assert all(r.n_tokens > 2 for r in unigram.count_tokens(docs, vocabulary).collect())
+
+
 def test_unigram_ties_take_the_longest_last_piece():
     c = unigram.Counter([("<unk>", 0.0), ("▁a", -1.0), ("b", -1.0), ("c", -1.0), ("bc", -2.0), ("▁ab", -2.0)])
     # ▁ab|c and ▁a|bc score -3 like ▁a|b|c; the longest last piece is bc
