@@ -10,8 +10,9 @@ The estimate is the one of least determinant among ``STARTS`` runs, which begin
 with the core nearest to the medians in units of the median deviations, nearest
 to the means in units of the deviations, and nearest to the medians in length
 and word length alone.  Concentration steps (estimate from the core, core of the
-``CORE`` nearest) go on until no log determinant moves by more than ``TOLERANCE``,
-``STEPS`` times at most.
+``CORE`` nearest) are made with every start; after ``TRIAL`` estimates the start of
+least determinant goes on alone until no log determinant moves by more than
+``TOLERANCE``, ``STEPS`` times at most.
 
 Everything is DataFrame expressions and aggregates.  Texts are read once and
 not shuffled; only the statistics (a few numbers per document) are stored and
@@ -48,7 +49,7 @@ from .store import stored
 MIN_WORDS = 50
 #: share of the usable documents that the estimate is fitted on
 CORE = 0.75
-STARTS, STEPS, TOLERANCE = 3, 6, 1e-3
+STARTS, TRIAL, STEPS, TOLERANCE = 3, 2, 6, 1e-3
 SALTS = 32
 TAIL = 1e-4
 #: log words, log word length, root of symbols, repeated lines, repeated words per word
@@ -220,7 +221,7 @@ def fit(statistics: DataFrame) -> DataFrame:
     starts = [sum(robust, F.lit(0.0)), sum(plain, F.lit(0.0)), sum(robust[:2], F.lit(0.0))]
     ranked = apart.select("g", "salt", *x, F.posexplode(F.array(*starts)).alias("start", "d2"))
     before = None
-    for _ in range(STEPS + 1):
+    for step in range(1, STEPS + 2):
         cut = ranked.groupBy("g", "start").agg(F.percentile_approx("d2", CORE, 10000).alias("cut"))
         core = by_group(ranked, cut, ["g", "start"]).filter(F.col("d2") <= F.col("cut"))
         moments = core.groupBy("g", "start").agg(
@@ -232,10 +233,12 @@ def fit(statistics: DataFrame) -> DataFrame:
             moved = params.join(was, ["g", "start"]).agg(F.max(F.abs(F.col("p.logdet") - F.col("was")))).first()[0]
             if moved is None or moved <= TOLERANCE:
                 break
+        if step == TRIAL:
+            params = stored(params.groupBy("g").agg(F.min_by(F.struct("start", "p"), F.struct("p.logdet", "start")).alias("b"))
+                            .select("g", "b.start", "b.p"), "mcd-best")
         before = params
         ranked = by_group(rows, params, ["g"]).withColumn("d2", _distance())
-    least = params.groupBy("g").agg(F.min_by("p", F.struct("p.logdet", "start")).alias("p"))
-    return members.join(least, "g").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "p")
+    return members.join(params, "g").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "p")
 
 
 def judge(statistics: DataFrame, estimates: DataFrame) -> DataFrame:
