@@ -234,8 +234,9 @@ def fit(statistics: DataFrame) -> DataFrame:
             if moved is None or moved <= TOLERANCE:
                 break
         if step == TRIAL:
-            params = stored(params.groupBy("g").agg(F.min_by(F.struct("start", "p"), F.struct("p.logdet", "start")).alias("b"))
-                            .select("g", "b.start", "b.p"), "mcd-best")
+            # one start each from here on, by one name: groups and their parents are mixed by it
+            least = params.groupBy("g").agg(F.min_by("p", F.struct("p.logdet", "start")).alias("p"))
+            params = stored(least.select("g", F.lit(0).alias("start"), "p"), "mcd-best")
         before = params
         ranked = by_group(rows, params, ["g"]).withColumn("d2", _distance())
     return members.join(params, "g").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "p")
