@@ -1,33 +1,41 @@
-"""Language-model scores from a probabilistic suffix tree.
-
-The symbols are the bytes of a text's lower-cased words, each word followed by
-a space, and one end symbol.  Contexts have up to ``DEPTH`` bytes.  A context is
-a candidate if it makes up at least ``MIN_SHARE`` of all training positions; it
-is retained if its next-symbol distribution diverges from the distribution of
-its suffix by at least ``MIN_DIVERGENCE`` nats (Kullback-Leibler), or if a
-longer context that ends with it is retained.  Distributions are smoothed along
-the suffixes:  ``P(x | s) = (count(s x) + w P(x | suffix of s)) / (count(s) + w)``.
-A text is scored by walking an automaton whose state gives the longest retained
-suffix of what has been read.
-
-Beside it, ``base`` scores are additively smoothed word frequencies.
-
-Scale: one pass counts words and byte strings of the training documents with
-partial sums in each task.  The tree has at most ``DEPTH / MIN_SHARE`` contexts,
-whatever the corpus size, so it can be sent to every worker.  Words that make
-up ``HEAD_SHARE`` of the corpus or more (at most ``1 / HEAD_SHARE``) are looked
-up in the scoring pass; the counts of all others, none of which is hot, come by
-a join.  No text is shuffled.
+"""Language-model scores from a probabilistic suffix tree over words.
+
+The symbols are the lower-cased words of a text and one end symbol; words that
+make up less than ``HEAD_SHARE`` of the corpus share one symbol, within which a
+word keeps its base probability.  A context is the empty one, the word before
+(or the text's begin), or the two words before.  One-word contexts are
+candidates from ``MIN_COUNT`` training positions on; two-word contexts if they
+are hot as well (``HOT_SHARE`` of all positions).  A candidate is retained if its
+smoothed next-symbol distribution diverges from that of its suffix by at least
+``MIN_DIVERGENCE`` nats over its training positions (Kullback-Leibler), or if a
+longer context that ends with it is retained.  Next symbols seen once in a
+context give their mass to the suffix:  with ``once`` such positions,
+``P(x | s) = c(s x) / (c(s) + w) + (w + once) / (c(s) + w) * P(x | suffix of s)``,
+the first term only if ``c(s x) > 1``.  A position is scored in the longest
+retained suffix of what stands before it.
+
+``base`` scores are additively smoothed word frequencies; the tree's root is the
+same distribution, so both are probabilities of the same tokens.
+
+Scale: one pass counts words, one pairs, one the triples behind hot pairs, each
+with partial sums in its tasks; the tree is a stored table of edges that grows
+with the corpus.  As the logarithm of a position is a sum of what its contexts
+and its edges give, a text needs no more than its keys: what hot contexts and
+hot edges give (at most ``1 / HOT_SHARE`` of each length) and the symbols
+(``1 / HEAD_SHARE``) are sent to the workers, all other edges and words, none of
+which is hot, come by a join.  No text is shuffled.  Words are compared by one
+64-bit hash.
 
 Defined cases: null and empty texts are one end symbol; a null id counts as the
 empty string when documents are held out; without any training document every
-symbol is equally likely; repeated rows count each time; an empty table gives
-an empty result; other columns are ignored.
+token has probability 1, as in the base formula; repeated rows count each time;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,38 +44,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordbytes as wb
-from .store import map_batches, once_per_worker, stored
+from .store import map_batches, stored
 
-DEPTH = 5
-MIN_SHARE = 5e-6
+MIN_COUNT = 4
 MIN_DIVERGENCE = 0.01
-SMOOTHING = 5.0
-#: pseudo-count of each of the 256 symbols without context
-ROOT_COUNT = 0.5
-HEAD_SHARE = 5e-7
+SMOOTHING = 1.0
+HEAD_SHARE = HOT_SHARE = 5e-7
 BASE_COUNT = 0.1
 FOLDS = 10
 
-_SPACE, _END = 0x20, 0x0A  # neither occurs in a word
-_SEGMENT = 256
+#: symbols have 21 bits, so that three fit a long; 1 / HEAD_SHARE words and two more are fewer
+_BITS = 21
+_RARE, _END = 0, 1  # every other symbol is a head word's place + 2; _END is the text's begin, too
+_PAIR = (1 << 2 * _BITS) - 1
 _CHUNK = 1 << 22
-_WORD, _GRAM = 0, 1
 
 
-def symbols(w: wb.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, begin, end): each document is DEPTH end symbols, then its
-    symbols at [begin, end)."""
-    n = len(w.offsets) - 1
-    size = w.end - w.start
-    upto = np.concatenate(([0], np.cumsum(size + 1)))
-    begin = upto[w.first[:-1]] + np.arange(n) * (DEPTH + 1) + DEPTH
-    end = begin + upto[w.first[1:]] - upto[w.first[:-1]] + 1
-    out = np.full(int(end[-1]) if n else 0, _END, np.uint8)
-    to = upto[:-1] + w.doc * (DEPTH + 1) + DEPTH
-    from_ = np.repeat(w.start - (upto[:-1] - np.arange(len(size))), size) + np.arange(int(size.sum()))
-    out[np.repeat(to - w.start, size) + from_] = w.fold[w.data[from_]]
-    out[to + size] = _SPACE
-    return out, begin, end
+class Head(NamedTuple):
+    """Frequent words by hash: their counts, and the root's logarithm of every symbol."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+    root: np.ndarray
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbol of each word, whether it is a head word)."""
+        at, hit = _find(self.keys, hashes)
+        return np.where(hit, at + 2, _RARE), hit
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted ``keys``, found) of each wanted key."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return at, keys[at] == wanted
 
 
 def _words(column: pa.Array) -> Iterator[tuple[int, int, wb.Words]]:
@@ -76,132 +88,107 @@ def _words(column: pa.Array) -> Iterator[tuple[int, int, wb.Words]]:
         yield lo, hi, wb.Words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], wb.NOT_SPACE, wb.LOWER)
 
 
-def _counts(train: DataFrame) -> DataFrame:
-    """(kind, key, n): words by hash, byte strings of DEPTH + 1 symbols by code."""
+def keys(w: wb.Words, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, pair key, context key) of every token of the documents' words.
+
+    The pair key holds the symbol before and the token's own; the context key the
+    two symbols before.  Keys are -1 where there is no such context: behind a rare
+    word, and for the longer one at a text's first token."""
+    n = len(w.offsets) - 1
+    doc = np.repeat(np.arange(n), np.diff(w.first) + 1)
+    own = np.full(len(doc), _END, np.int64)
+    own[np.arange(len(symbol)) + w.doc] = symbol
+    begin = w.first[:-1] + np.arange(n)
+    one = np.concatenate(([_END], own[:-1]))  # the end before is this text's begin
+    two = np.concatenate(([_END], one[:-1]))
+    two[begin] = _RARE
+    pair = np.where(one == _RARE, -1, one << _BITS | own)
+    context = np.where((one == _RARE) | (two == _RARE), -1, two << _BITS | one)
+    return doc, pair, context
+
+
+def _counted(train: DataFrame, of: Callable[[wb.Words], np.ndarray]) -> DataFrame:
+    """(key, n) of the keys that ``of`` makes of the documents' words."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, _, w in _words(b.column(0)):
-                stream, begin, end = symbols(w)
-                code = np.zeros(len(stream), np.uint64)
-                for back in range(DEPTH + 1):
-                    code[DEPTH:] |= stream[DEPTH - back:len(stream) - back].astype(np.uint64) << np.uint64(8 * back)
-                step = np.zeros(len(stream) + 1, np.int8)
-                step[begin] += 1
-                step[end] -= 1
-                target = np.cumsum(step[:-1], dtype=np.int8) > 0
-                for kind, keys in ((_WORD, w.hashes()), (_GRAM, code[target])):
-                    keys, n = np.unique(keys, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(n), kind, np.int32)), pa.array(wb.signed(keys)), pa.array(n, pa.int64())],
-                        names=["kind", "key", "n"])
-
-    return map_batches(train, apply, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-
-
-def grow(grams: DataFrame) -> list[pa.Table]:
-    """The tree by depth: tables (context, next, n, total), root first.
-
-    ``grams``: (key, n) of strings of DEPTH + 1 symbols, the last byte lowest.
-    """
-    edges = [stored(grams.select(F.expr("key >> 8").alias("context"), F.expr("key & 255").alias("next"), "n"), "edges")]
-    for depth in range(DEPTH - 1, -1, -1):
-        mask = F.lit((1 << 8 * depth) - 1)
-        edges.insert(0, stored(edges[0].groupBy(F.col("context").bitwiseAND(mask).alias("context"), "next")
-                               .agg(F.sum("n").alias("n")), "edges"))
-    total = edges[0].agg(F.sum("n")).first()[0] or 0
-    candidates = []
-    for depth, e in enumerate(edges):
-        sums = e.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= MIN_SHARE * total)
-        candidates.append(stored(e.join(sums, "context"), "candidates"))
-    retained, longer = [None] * (DEPTH + 1), None
-    for depth in range(DEPTH, 0, -1):
-        c, mask = candidates[depth], F.lit((1 << 8 * (depth - 1)) - 1)
-        parent = candidates[depth - 1].select(F.col("context").alias("suffix"), "next",
-                                              (F.col("n") / F.col("total")).alias("q"))
-        p = F.col("n") / F.col("total")
-        kept = (c.withColumn("suffix", F.col("context").bitwiseAND(mask)).join(parent, ["suffix", "next"])
-                .groupBy("context").agg(F.sum(p * F.log(p / F.col("q"))).alias("kl"))
-                .filter(F.col("kl") >= MIN_DIVERGENCE).select("context"))
-        if longer is not None:
-            kept = kept.union(longer).distinct()
-        kept = stored(kept, "retained")
-        retained[depth] = c.join(kept, "context", "left_semi")
-        longer = kept.select(F.col("context").bitwiseAND(mask).alias("context"))
-    retained[0] = candidates[0]
-    return [t.select("context", "next", "n", "total").toArrow() for t in retained]
-
-
-class Scorer:
-    """Automaton of a grown tree."""
-
-    def __init__(self, tree: list[tuple[np.ndarray, ...]]) -> None:
-        known = np.unique(tree[0][1]).astype(np.int64)  # bytes seen in training
-        self.classes = np.full(256, len(known), np.uint16)
-        self.classes[known] = np.arange(len(known))
-        width = self.width = len(known) + 1  # the last class: never seen
-        total = int(tree[0][2].sum())
-        root = np.full((1, width), ROOT_COUNT / (total + 256 * ROOT_COUNT))
-        root[0, self.classes[tree[0][1]]] += tree[0][2] / (total + 256 * ROOT_COUNT)
-        # distributions, by depth
-        contexts, probability = [np.zeros(1, np.int64)], [root]
-        for depth in range(1, len(tree)):
-            context, nxt, n, totals = tree[depth]
-            c, at = np.unique(context, return_index=True)
-            of = np.zeros(len(c), np.float64)
-            of[:] = totals[at]
-            parent = np.searchsorted(contexts[-1], c & ((1 << 8 * (depth - 1)) - 1))
-            p = probability[-1][parent] * (SMOOTHING / (of + SMOOTHING))[:, None]
-            row = np.searchsorted(c, context)
-            p[row, self.classes[nxt]] += n / (of[row] + SMOOTHING)
-            contexts.append(c)
-            probability.append(p)
-        first_row = np.cumsum([0] + [len(c) for c in contexts])
-        self.log = np.log10(np.concatenate(probability)).astype(np.float32).ravel()
-        # automaton over all prefixes of contexts; failure links by length
-        prefixes = [np.zeros(1, np.int64)]
-        for length in range(1, len(tree)):
-            prefixes.append(np.unique(np.concatenate([contexts[d] >> 8 * (d - length) for d in range(length, len(tree))])))
-        first = np.cumsum([0] + [len(p) for p in prefixes])
-        self.move = np.zeros((first[-1], width), np.int32)
-        self.row = np.zeros(first[-1], np.int32)
-        fail = np.zeros(first[-1], np.int64)
-        for length, codes in enumerate(prefixes):
-            here = np.arange(first[length], first[length + 1])
-            if length:
-                parent = first[length - 1] + np.searchsorted(prefixes[length - 1], codes >> 8)
-                if length > 1:
-                    fail[here] = self.move[fail[parent], self.classes[codes & 255]]
-                self.move[here] = self.move[fail[here]]
-                self.row[here] = self.row[fail[here]]
-                at = np.searchsorted(contexts[length], codes)
-                at[at == len(contexts[length])] = 0
-                if len(contexts[length]):
-                    own = contexts[length][at] == codes
-                    self.row[here[own]] = first_row[length] + at[own]
-            if length + 1 < len(prefixes):
-                longer = prefixes[length + 1]
-                self.move[first[length] + np.searchsorted(codes, longer >> 8), self.classes[longer & 255]] = (
-                    first[length + 1] + np.arange(len(longer)))
-        self.move = self.move.ravel()
-
-    def score(self, stream: np.ndarray) -> np.ndarray:
-        """log10 probability of every symbol given what stands before it."""
-        m = len(stream)
-        n = -(-m // _SEGMENT)
-        padded = np.full((n + 1) * _SEGMENT + DEPTH, self.classes[_END], np.uint16)
-        padded[DEPTH:DEPTH + m] = self.classes[stream]
-        # a state depends on DEPTH symbols only: segments warm up on those before them
-        segments = np.lib.stride_tricks.as_strided(padded, (_SEGMENT + DEPTH, n), (2, 2 * _SEGMENT))
-        segments = np.ascontiguousarray(segments)
-        out = np.empty((_SEGMENT, n), np.float32)
-        state = np.zeros(n, np.int64)
-        for t in range(_SEGMENT + DEPTH):
-            x = segments[t]
-            if t >= DEPTH:
-                out[t - DEPTH] = self.log[self.row[state] * np.int64(self.width) + x]
-            state = self.move[state * self.width + x].astype(np.int64)
-        return out.T.ravel()[:m]
+                found, n = np.unique(of(w), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n, pa.int64())], names=["key", "n"])
+
+    return map_batches(train.select("text"), apply, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _level(counts: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges and contexts of one length.
+
+    ``counts``: (key, n); ``shorter``: (key, q), the suffix's probability of each
+    edge seen more than once.  Edges: key, context, n, p, delta (what the edge adds
+    to its context's ``back``); contexts: context, back (logarithm of the share
+    that goes to the suffix), passed (the divergence test)."""
+    c = counts.withColumn("context", F.expr(f"shiftright(key, {_BITS})"))
+    total, once = F.col("total"), F.col("once")
+    sums = (c.groupBy("context").agg(F.sum("n").alias("total"), F.sum(F.expr("if(n = 1, 1L, 0L)")).alias("once"))
+            .filter(total >= MIN_COUNT)
+            .withColumn("share", (once + SMOOTHING) / (total + SMOOTHING)))
+    edges = c.filter("n > 1").join(sums, "context").join(shorter, "key")
+    p = F.col("n") / (total + SMOOTHING) + F.col("share") * F.col("q")
+    edges = stored(edges.select("key", "context", "n", p.alias("p"), "q", (F.log(p / F.col("q")) - F.log("share")).alias("delta")),
+                   "edges")
+    gain = edges.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("p") / F.col("q"))).alias("gain"))
+    passed = F.coalesce("gain", F.lit(0.0)) + once * F.log("share") >= MIN_DIVERGENCE * total
+    contexts = sums.join(gain, "context", "left").select("context", F.log("share").alias("back"), passed.alias("passed"))
+    return edges, stored(contexts, "contexts")
+
+
+class Tree(NamedTuple):
+    """``backs``: retained contexts by length, as sorted (key, back) arrays; a context's
+    length is told by its key.  ``edges``: (key, delta, n) of all retained contexts."""
+
+    backs: tuple[np.ndarray, np.ndarray]
+    edges: DataFrame
+
+
+def grow(train: DataFrame, head, positions: int) -> Tree:
+    """The tree of the training texts; ``head`` is the broadcast ``Head``."""
+    spark = train.sparkSession
+
+    def pairs(w: wb.Words) -> np.ndarray:
+        pair = keys(w, head.value.find(wb.signed(w.hashes()))[0])[1]
+        return pair[pair >= 0]
+
+    def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            q = np.exp(head.value.root[b.column(0).to_numpy() & ((1 << _BITS) - 1)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(q)], names=["key", "q"])
+
+    one = stored(_counted(train, pairs), "pairs")
+    repeated = one.filter("n > 1")
+    edges1, contexts1 = _level(one, map_batches(repeated.select("key"), root, "key long, q double"))
+
+    hot = max(HOT_SHARE * positions, MIN_COUNT)
+    found = one.filter((F.col("n") >= hot) & (F.expr(f"key & {(1 << _BITS) - 1}") > _END)).select("key").toArrow()
+    hot_pairs = spark.sparkContext.broadcast(np.sort(found.column("key").to_numpy()))
+
+    def triples(w: wb.Words) -> np.ndarray:
+        _, pair, context = keys(w, head.value.find(wb.signed(w.hashes()))[0])
+        hit = _find(hot_pairs.value, context)[1]
+        return context[hit] << _BITS | pair[hit] & ((1 << _BITS) - 1)
+
+    two = stored(_counted(train, triples), "triples")
+    suffix = edges1.select(F.col("key").alias("pair"), F.col("p").alias("q"))
+    shorter = (two.filter("n > 1").select("key", F.expr(f"key & {_PAIR}L").alias("pair"))
+               .join(suffix, "pair").select("key", "q"))
+    edges2, contexts2 = _level(two, shorter)
+
+    kept2 = contexts2.filter("passed").select("context", "back")
+    longer = kept2.select(F.expr(f"context & {(1 << _BITS) - 1}").alias("context"), F.lit(True).alias("longer")).distinct()
+    kept1 = contexts1.join(longer, "context", "left").filter("passed OR longer").select("context", "back")
+    edges = (edges1.join(kept1, "context", "left_semi").unionByName(edges2.join(kept2, "context", "left_semi"))
+             .select("key", "delta", "n"))
+    backs = kept1.unionByName(kept2).toArrow()  # both lengths are bounded by HEAD_SHARE and HOT_SHARE
+    order = np.argsort(backs.column("context").to_numpy())
+    return Tree((backs.column("context").to_numpy()[order], backs.column("back").to_numpy()[order]), stored(edges, "tree"))
 
 
 def _id_text(id_col: str) -> F.Column:
@@ -217,49 +204,65 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
                        (F.crc32(_id_text(id_col).cast("binary")) % folds == 0).alias("held_out"),
                        F.col(text_col).alias("text"))
     train = rows.filter("NOT held_out")
-    counts = stored(_counts(train.select("text")), "counts")
-    words = counts.filter(F.col("kind") == _WORD).select("key", "n")
+    words = stored(_counted(train, lambda w: wb.signed(w.hashes())), "words")
     n_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_train = train.count()
     total, vocabulary = n_words + n_train, distinct + (n_train > 0)
-    if vocabulary == 0:
-        total = 0
-    unit = np.log10(total + BASE_COUNT * (vocabulary + 1))
+    mass = total + BASE_COUNT * (vocabulary + 1)
+    unit = np.log10(mass)
     end = float(np.log10(n_train + BASE_COUNT))
 
-    tree = grow(counts.filter(F.col("kind") == _GRAM).select("key", "n"))
-    tree = spark.sparkContext.broadcast([tuple(c.to_numpy() for c in t.columns) for t in tree])
-    head = words.filter(F.col("n") >= max(HEAD_SHARE * total, 1)).toArrow()
-    order = np.argsort(head.column("key").to_numpy())
-    head = spark.sparkContext.broadcast((head.column("key").to_numpy()[order],
-                                         np.log10(head.column("n").to_numpy()[order] + BASE_COUNT)))
+    found = words.filter(F.col("n") >= max(HEAD_SHARE * total, 1)).toArrow()
+    order = np.argsort(found.column("key").to_numpy())
+    n = found.column("n").to_numpy()[order]
+    p = np.concatenate(([0, n_train + BASE_COUNT], n + BASE_COUNT)) / mass
+    p[_RARE] = max((mass - (n + BASE_COUNT).sum() - n_train - BASE_COUNT) / mass, BASE_COUNT / mass)
+    head = spark.sparkContext.broadcast(Head(found.column("key").to_numpy()[order], n, np.log(p)))
+
+    tree = grow(train, head, total)
+    hot = tree.edges.filter(F.col("n") >= max(HOT_SHARE * total, 1)).select("key", "delta").toArrow()
+    order = np.argsort(hot.column("key").to_numpy())
+    hot_edges = (hot.column("key").to_numpy()[order], hot.column("delta").to_numpy()[order])
+    known_tree = spark.sparkContext.broadcast((tree.backs, hot_edges))
 
+    lists = T.ArrayType(T.LongType())
     schema = (rows.drop("text").schema.add("n_words", "long").add("head_known", "long").add("head_score", "double")
-              .add("score", "double").add("tail", T.ArrayType(T.LongType())))
+              .add("gain", "double").add("tail", lists).add("edges", lists))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = once_per_worker("suffix-tree", tree.value, Scorer)
-        keys, logs = head.value
+        (contexts, backs), (hot_keys, deltas) = known_tree.value
+        logs = np.log10(head.value.counts + BASE_COUNT)
+
+        def cut(doc: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n + 1)), pa.int32()), pa.array(values))
+
         for b in batches:
             for lo, hi, w in _words(b.column(2)):
                 n = hi - lo
-                stream, begin, end = symbols(w)
-                # sums over [begin, end); there is padding between two documents
-                log = np.append(scorer.score(stream).astype(np.float64), 0.0)
-                score = np.add.reduceat(log, np.column_stack([begin, end]).ravel())[::2]
                 h = wb.signed(w.hashes())
-                at = np.searchsorted(keys, h)
-                at[at == len(keys)] = 0
-                hit = keys[at] == h if len(keys) else np.zeros(len(h), dtype=bool)
-                doc = w.doc
-                known = np.bincount(doc[hit], minlength=n)
-                base = np.bincount(doc[hit], weights=logs[at[hit]], minlength=n) if len(keys) else np.zeros(n)
-                cut = np.searchsorted(doc[~hit], np.arange(n + 1))
-                tail = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(h[~hit]))
+                symbol, hit = head.value.find(h)
+                base = np.bincount(w.doc[hit], weights=logs[symbol[hit] - 2], minlength=n) if hit.any() else np.zeros(n)
+                doc, pair, context = keys(w, symbol)
+                gain, open_doc, open_key = np.zeros(n), [], []
+                for state, key in ((np.where(pair < 0, -1, pair >> _BITS), pair),
+                                   (context, context << _BITS | pair & ((1 << _BITS) - 1))):
+                    at, inside = _find(contexts, state)
+                    if not inside.any():
+                        continue
+                    d, k = doc[inside], key[inside]
+                    gain += np.bincount(d, weights=backs[at[inside]], minlength=n)
+                    at, inside = _find(hot_keys, k)
+                    if inside.any():
+                        gain += np.bincount(d[inside], weights=deltas[at[inside]], minlength=n)
+                    open_doc.append(d[~inside])
+                    open_key.append(k[~inside])
+                d = np.concatenate([*open_doc, np.zeros(0, np.int64)])
+                by_doc = np.argsort(d, kind="stable")
+                k = np.concatenate([*open_key, np.zeros(0, np.int64)])[by_doc]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, n), b.column(1).slice(lo, n), pa.array(np.diff(w.first), pa.int64()),
-                     pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                     pa.array(score, pa.float64()), tail], names=schema.names)
+                     pa.array(np.bincount(w.doc[hit], minlength=n), pa.int64()), pa.array(base, pa.float64()),
+                     pa.array(gain, pa.float64()), cut(w.doc[~hit], h[~hit], n), cut(d[by_doc], k, n)], names=schema.names)
 
     seen = stored(map_batches(rows.select("doc_id", "held_out", "text"), apply, schema)
                   .withColumn("row", F.monotonically_increasing_id()), "scored")
@@ -267,13 +270,14 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
     rare = rare.join(words, "key", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("tf"))).alias("tail_known"),
         F.sum(F.col("tf") * F.log10(F.coalesce("n", F.lit(0)) + BASE_COUNT)).alias("tail_score"))
-    out = seen.drop("tail").join(rare, "row", "left")
+    more = (seen.select("row", F.explode("edges").alias("key")).join(tree.edges.select("key", "delta"), "key")
+            .groupBy("row").agg(F.sum("delta").alias("more")))
+    out = seen.drop("tail", "edges").join(rare, "row", "left").join(more, "row", "left")
     n_tokens = F.col("n_words") + 1
     end_known = 1 if n_train else 0
+    base = F.col("head_score") + F.coalesce("tail_score", F.lit(0.0)) + end - n_tokens * float(unit)
     return out.select(
         "doc_id", "held_out", n_tokens.alias("n_tokens"),
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0)) + end_known).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("head_score") + F.coalesce("tail_score", F.lit(0.0)) + end - n_tokens * float(unit)).alias("base_score"),
-        "score")
-
+        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (base + (F.col("gain") + F.coalesce("more", F.lit(0.0))) / float(np.log(10))).alias("score"))

@@ -426,49 +426,97 @@ def test_base_scores(spark):
         assert abs(r.base_score - base) < 1e-6 * max(1, abs(base))
 
 
-def test_tree_scores_by_definition(spark):
-    """Grown and scored by plain Python on the same symbols."""
+def _grown(pairs, held):
+    """The tree in plain Python: (symbol of a word, retained contexts, P(symbol | context))."""
     import math
-    pairs = [(i, t) for i, t in data.texts() if len(t) < 2000]
-    got = {r.doc_id: r.score for r in suffix_tree.scores(data.plain(spark, pairs)).collect()}
-    held = {i: h for i, (h, *_) in brute.base_scores(pairs).items()}
-    depth = suffix_tree.DEPTH
-    stream = {i: b"\n" * depth + b"".join(w.encode() + b" " for w in brute.words(brute.lower(t))) + b"\n" for i, t in pairs}
-    count = [Counter() for _ in range(depth + 1)]
-    for i, s in stream.items():
-        if not held[i]:
-            for p in range(depth, len(s)):
-                for k in range(depth + 1):
-                    count[k][s[p - k:p], s[p]] += 1
-    total = sum(count[0].values())
-    sums = [Counter() for _ in count]
-    after = {}
-    for k, c in enumerate(count):
-        for (ctx, x), n in c.items():
-            sums[k][ctx] += n
-            after.setdefault(ctx, {})[x] = n
-    retained = set()
-    for k in range(depth, 0, -1):
-        for ctx, n in sums[k].items():
-            if n >= suffix_tree.MIN_SHARE * total:
-                kl = sum(m / n * math.log(m / n / (after[ctx[1:]][x] / sums[k - 1][ctx[1:]])) for x, m in after[ctx].items())
-                if kl >= suffix_tree.MIN_DIVERGENCE:
-                    retained.update(ctx[j:] for j in range(len(ctx)))
+    texts = {i: brute.words(brute.lower(t)) for i, t in pairs}
+    seen = Counter(x for i, t in texts.items() if not held[i] for x in t)
+    n_train = sum(not h for h in held.values())
+    total = sum(seen.values()) + n_train
+    mass = total + 0.1 * (len(seen) + 2)
+    head = {x for x, n in seen.items() if n >= max(suffix_tree.HEAD_SHARE * total, 1)}
+    root = {x: (seen[x] + 0.1) / mass for x in head} | {"<end>": (n_train + 0.1) / mass}
+    root["<rare>"] = 1 - sum(root.values())
+    symbols = {i: [x if x in head else "<rare>" for x in t] + ["<end>"] for i, t in texts.items()}
+    count = {}
+
+    def add(ctx, x):
+        count.setdefault(ctx, Counter())[x] += 1
+
+    def each(length):
+        for i, t in symbols.items():
+            padded = ["<end>", *t]
+            for at in range(length, len(padded)):
+                ctx = tuple(padded[at - length:at])
+                if not held[i] and "<rare>" not in ctx:
+                    yield ctx, padded[at]
+
+    for ctx, x in each(1):
+        add(ctx, x)
+    hot = max(suffix_tree.HOT_SHARE * total, suffix_tree.MIN_COUNT)
+    for ctx, x in each(2):
+        if count[ctx[:1]][ctx[1]] >= hot:
+            add(ctx, x)
 
     def p(ctx, x):
         if not ctx:
-            return (after.get(b"", {}).get(x, 0) + 0.5) / (total + 128)
-        n = sums[len(ctx)][ctx]
-        return (after[ctx].get(x, 0) + suffix_tree.SMOOTHING * p(ctx[1:], x)) / (n + suffix_tree.SMOOTHING)
-
-    for i, s in stream.items():
-        want = 0.0
-        for at in range(depth, len(s)):
-            ctx = s[at - depth:at]
+            return root[x]
+        n, w = sum(count[ctx].values()), suffix_tree.SMOOTHING
+        once = sum(m == 1 for m in count[ctx].values())
+        own = count[ctx][x]
+        return (own if own > 1 else 0) / (n + w) + (w + once) / (n + w) * p(ctx[1:], x)
+
+    retained = set()
+    for ctx, after in count.items():
+        n, w = sum(after.values()), suffix_tree.SMOOTHING
+        if n >= suffix_tree.MIN_COUNT:
+            once = sum(m == 1 for m in after.values())
+            kl = sum(m * math.log(p(ctx, x) / p(ctx[1:], x)) for x, m in after.items() if m > 1)
+            if kl + once * math.log((w + once) / (n + w)) >= suffix_tree.MIN_DIVERGENCE * n:
+                retained |= {ctx, ctx[-1:]}
+    return symbols, retained, root, p
+
+
+@pytest.mark.parametrize("head, hot", [(5e-7, 5e-7), (2e-3, 5e-4)])
+def test_tree_scores_by_definition(spark, head, hot, monkeypatch):
+    """Grown and scored by plain Python on the same symbols."""
+    import math
+    monkeypatch.setattr(suffix_tree, "HEAD_SHARE", head)
+    monkeypatch.setattr(suffix_tree, "HOT_SHARE", hot)
+    pairs = data.texts()
+    got = {r.doc_id: r for r in suffix_tree.scores(data.plain(spark, pairs)).collect()}
+    base = brute.base_scores(pairs)
+    symbols, retained, root, p = _grown(pairs, {i: h for i, (h, *_) in base.items()})
+    assert {len(c) for c in retained} == {1, 2}
+    for ctx in list(retained)[:20]:  # distributions
+        assert abs(sum(p(ctx, x) for x in root) - 1) < 1e-9
+    for i, t in symbols.items():
+        padded, want = ["<end>", *t], base[i][4]
+        for at in range(1, len(padded)):
+            ctx = tuple(padded[max(at - 2, 0):at])
             while ctx and ctx not in retained:
                 ctx = ctx[1:]
-            want += math.log10(p(ctx, s[at]))
-        assert abs(got[i] - want) < 1e-4 * max(1, abs(want)), i
+            want += math.log10(p(ctx, padded[at]) / root[padded[at]])
+        assert abs(got[i].score - want) < 1e-6 * max(1, abs(want)), i
+    assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
+
+
+def test_tree_grows_with_the_corpus(spark):
+    """No share of the corpus bounds its edges, and unseen documents gain by them."""
+    from stratum.llm.store import stored
+    edges = []
+    for sf in ("sf0.001", "sf0.01"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        kept = []
+        monkey = pytest.MonkeyPatch()
+        monkey.setattr(suffix_tree, "stored", lambda df, name, *a: kept.append((name, stored(df, name, *a))) or kept[-1][1])
+        try:
+            scored = suffix_tree.scores(docs).filter("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+        finally:
+            monkey.undo()
+        edges.append(next(df for name, df in kept if name == "tree").count())
+    assert edges[1] > 4 * edges[0] > 0
+    assert scored["sum(score)"] > 0.95 * scored["sum(base_score)"]  # 5 % nearer to zero
 
 
 def test_scores_edges(spark, edge, empty):
@@ -478,7 +526,7 @@ def test_scores_edges(spark, edge, empty):
     assert suffix_tree.scores(empty).count() == 0
     only_held_out = data.plain(spark, [(next(i for i in range(99) if zlib.crc32(str(i).encode()) % 10 == 0), "a b")])
     r = suffix_tree.scores(only_held_out).first()
-    assert r.train_tokens == 0 and r.n_known == 0 and abs(r.score - 5 * np.log10(1 / 256)) < 1e-4
+    assert r.train_tokens == 0 and r.n_known == 0 and r.score == r.base_score == 0
 
 
 # ------------------------------------------------------------------ 9
