@@ -119,23 +119,24 @@ def _counted(train: DataFrame, of: Callable[[wb.Words], np.ndarray]) -> DataFram
     return map_batches(train.select("text"), apply, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _level(counts: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _level(counts: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges and contexts of one length.
 
-    ``counts``: (key, n); ``shorter``: (key, q), the suffix's probability of each
-    edge seen more than once.  Edges: key, context, n, p, delta (what the edge adds
-    to its context's ``back``); contexts: context, back (logarithm of the share
-    that goes to the suffix), passed (the divergence test)."""
-    c = counts.withColumn("context", F.expr(f"shiftright(key, {_BITS})"))
+    ``counts``: (key, n); ``repeated``: (key, n, q) of those seen more than once, q
+    being the suffix's probability.  Edges: key, context, n, p, delta (what the edge
+    adds to its context's ``back``); contexts: context, back (logarithm of the share
+    that goes to the suffix), passed (the divergence test).  There are at most
+    ``1 / HEAD_SHARE`` or ``1 / HOT_SHARE`` contexts, so they go to the edges."""
+    context = F.expr(f"shiftright(key, {_BITS})").alias("context")
     total, once = F.col("total"), F.col("once")
-    sums = (c.groupBy("context").agg(F.sum("n").alias("total"), F.sum(F.expr("if(n = 1, 1L, 0L)")).alias("once"))
-            .filter(total >= MIN_COUNT)
-            .withColumn("share", (once + SMOOTHING) / (total + SMOOTHING)))
-    edges = c.filter("n > 1").join(sums, "context").join(shorter, "key")
+    sums = stored(counts.select(context, "n").groupBy("context")
+                  .agg(F.sum("n").alias("total"), F.sum(F.expr("if(n = 1, 1L, 0L)")).alias("once"))
+                  .filter(total >= MIN_COUNT).withColumn("share", (once + SMOOTHING) / (total + SMOOTHING)), "sums")
+    edges = repeated.select("key", context, "n", "q").join(F.broadcast(sums), "context")
     p = F.col("n") / (total + SMOOTHING) + F.col("share") * F.col("q")
-    edges = stored(edges.select("key", "context", "n", p.alias("p"), "q", (F.log(p / F.col("q")) - F.log("share")).alias("delta")),
-                   "edges")
-    gain = edges.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("p") / F.col("q"))).alias("gain"))
+    edges = stored(edges.select("key", "context", "n", p.alias("p"), F.log(p / F.col("q")).alias("ratio"), "share")
+                   .select("key", "context", "n", "p", "ratio", (F.col("ratio") - F.log("share")).alias("delta")), "edges")
+    gain = edges.groupBy("context").agg(F.sum(F.col("n") * F.col("ratio")).alias("gain"))
     passed = F.coalesce("gain", F.lit(0.0)) + once * F.log("share") >= MIN_DIVERGENCE * total
     contexts = sums.join(gain, "context", "left").select("context", F.log("share").alias("back"), passed.alias("passed"))
     return edges, stored(contexts, "contexts")
@@ -160,11 +161,10 @@ def grow(train: DataFrame, head, positions: int) -> Tree:
     def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             q = np.exp(head.value.root[b.column(0).to_numpy() & ((1 << _BITS) - 1)])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(q)], names=["key", "q"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(q)], names=["key", "n", "q"])
 
     one = stored(_counted(train, pairs), "pairs")
-    repeated = one.filter("n > 1")
-    edges1, contexts1 = _level(one, map_batches(repeated.select("key"), root, "key long, q double"))
+    edges1, contexts1 = _level(one, map_batches(one.filter("n > 1"), root, "key long, n long, q double"))
 
     hot = max(HOT_SHARE * positions, MIN_COUNT)
     found = one.filter((F.col("n") >= hot) & (F.expr(f"key & {(1 << _BITS) - 1}") > _END)).select("key").toArrow()
@@ -177,18 +177,17 @@ def grow(train: DataFrame, head, positions: int) -> Tree:
 
     two = stored(_counted(train, triples), "triples")
     suffix = edges1.select(F.col("key").alias("pair"), F.col("p").alias("q"))
-    shorter = (two.filter("n > 1").select("key", F.expr(f"key & {_PAIR}L").alias("pair"))
-               .join(suffix, "pair").select("key", "q"))
-    edges2, contexts2 = _level(two, shorter)
+    repeated = two.filter("n > 1").withColumn("pair", F.expr(f"key & {_PAIR}L"))
+    edges2, contexts2 = _level(two, repeated.join(suffix, "pair").select("key", "n", "q"))
 
     kept2 = contexts2.filter("passed").select("context", "back")
     longer = kept2.select(F.expr(f"context & {(1 << _BITS) - 1}").alias("context"), F.lit(True).alias("longer")).distinct()
     kept1 = contexts1.join(longer, "context", "left").filter("passed OR longer").select("context", "back")
-    edges = (edges1.join(kept1, "context", "left_semi").unionByName(edges2.join(kept2, "context", "left_semi"))
-             .select("key", "delta", "n"))
+    edges = [e.join(F.broadcast(kept), "context", "left_semi").select("key", "delta", "n")
+             for e, kept in ((edges1, kept1), (edges2, kept2))]
     backs = kept1.unionByName(kept2).toArrow()  # both lengths are bounded by HEAD_SHARE and HOT_SHARE
     order = np.argsort(backs.column("context").to_numpy())
-    return Tree((backs.column("context").to_numpy()[order], backs.column("back").to_numpy()[order]), stored(edges, "tree"))
+    return Tree((backs.column("context").to_numpy()[order], backs.column("back").to_numpy()[order]), stored(edges[0].unionByName(edges[1]), "tree"))
 
 
 def _id_text(id_col: str) -> F.Column:
@@ -225,16 +224,22 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
     hot_edges = (hot.column("key").to_numpy()[order], hot.column("delta").to_numpy()[order])
     known_tree = spark.sparkContext.broadcast((tree.backs, hot_edges))
 
-    lists = T.ArrayType(T.LongType())
+    bag = T.ArrayType(T.StructType().add("key", "long").add("tf", "int"))
     schema = (rows.drop("text").schema.add("n_words", "long").add("head_known", "long").add("head_score", "double")
-              .add("gain", "double").add("tail", lists).add("edges", lists))
+              .add("gain", "double").add("tail", bag).add("edges", bag))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (contexts, backs), (hot_keys, deltas) = known_tree.value
         logs = np.log10(head.value.counts + BASE_COUNT)
 
-        def cut(doc: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
-            return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n + 1)), pa.int32()), pa.array(values))
+        def bags(doc: np.ndarray, key: np.ndarray, n: int) -> pa.Array:
+            """The distinct keys of each document, with how often they occur."""
+            order = np.lexsort((key, doc))
+            doc, key = doc[order], key[order]
+            first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))))
+            tf = np.diff(np.append(first, len(key))).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[first], np.arange(n + 1)), pa.int32()),
+                                            pa.StructArray.from_arrays([pa.array(key[first]), pa.array(tf)], ["key", "tf"]))
 
         for b in batches:
             for lo, hi, w in _words(b.column(2)):
@@ -257,21 +262,20 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
                     open_doc.append(d[~inside])
                     open_key.append(k[~inside])
                 d = np.concatenate([*open_doc, np.zeros(0, np.int64)])
-                by_doc = np.argsort(d, kind="stable")
-                k = np.concatenate([*open_key, np.zeros(0, np.int64)])[by_doc]
+                k = np.concatenate([*open_key, np.zeros(0, np.int64)])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, n), b.column(1).slice(lo, n), pa.array(np.diff(w.first), pa.int64()),
                      pa.array(np.bincount(w.doc[hit], minlength=n), pa.int64()), pa.array(base, pa.float64()),
-                     pa.array(gain, pa.float64()), cut(w.doc[~hit], h[~hit], n), cut(d[by_doc], k, n)], names=schema.names)
+                     pa.array(gain, pa.float64()), bags(w.doc[~hit], h[~hit], n), bags(d, k, n)], names=schema.names)
 
     seen = stored(map_batches(rows.select("doc_id", "held_out", "text"), apply, schema)
                   .withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = seen.select("row", F.explode("tail").alias("key")).groupBy("row", "key").agg(F.count("*").alias("tf"))
-    rare = rare.join(words, "key", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("tf"))).alias("tail_known"),
-        F.sum(F.col("tf") * F.log10(F.coalesce("n", F.lit(0)) + BASE_COUNT)).alias("tail_score"))
-    more = (seen.select("row", F.explode("edges").alias("key")).join(tree.edges.select("key", "delta"), "key")
-            .groupBy("row").agg(F.sum("delta").alias("more")))
+    tf = F.col("tf")
+    rare = seen.select("row", F.inline("tail")).join(words, "key", "left").groupBy("row").agg(
+        F.sum(F.when(F.col("n").isNotNull(), tf)).alias("tail_known"),
+        F.sum(tf * F.log10(F.coalesce("n", F.lit(0)) + BASE_COUNT)).alias("tail_score"))
+    more = (seen.select("row", F.inline("edges")).join(tree.edges.select("key", "delta"), "key")
+            .groupBy("row").agg(F.sum(tf * F.col("delta")).alias("more")))
     out = seen.drop("tail", "edges").join(rare, "row", "left").join(more, "row", "left")
     n_tokens = F.col("n_words") + 1
     end_known = 1 if n_train else 0
