@@ -224,7 +224,7 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
     hot_edges = (hot.column("key").to_numpy()[order], hot.column("delta").to_numpy()[order])
     known_tree = spark.sparkContext.broadcast((tree.backs, hot_edges))
 
-    bag = T.ArrayType(T.StructType().add("key", "long").add("tf", "int"))
+    bag = T.ArrayType(T.StructType().add("key", "long").add("tf", "integer"))
     schema = (rows.drop("text").schema.add("n_words", "long").add("head_known", "long").add("head_score", "double")
               .add("gain", "double").add("tail", bag).add("edges", bag))
 
