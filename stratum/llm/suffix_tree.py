@@ -23,7 +23,8 @@ with the corpus.  As the logarithm of a position is a sum of what its contexts
 and its edges give, a text needs no more than its keys: what hot contexts and
 hot edges give (at most ``1 / HOT_SHARE`` of each length) and the symbols
 (``1 / HEAD_SHARE``) are sent to the workers, all other edges and words, none of
-which is hot, come by a join.  No text is shuffled.  Words are compared by one
+which is hot, come by a join.  A filter of fixed size keeps most keys that are no
+edge out of it.  No text is shuffled.  Words are compared by one
 64-bit hash.
 
 Defined cases: null and empty texts are one end symbol; a null id counts as the
@@ -50,6 +51,8 @@ MIN_COUNT = 4
 MIN_DIVERGENCE = 0.01
 SMOOTHING = 1.0
 HEAD_SHARE = HOT_SHARE = 5e-7
+#: bits of the filter that spares keys of no edge the join; a full one spares none and changes no result
+FILTER_BITS = 1 << 27
 BASE_COUNT = 0.1
 FOLDS = 10
 
@@ -190,6 +193,30 @@ def grow(train: DataFrame, head, positions: int) -> Tree:
     return Tree((backs.column("context").to_numpy()[order], backs.column("back").to_numpy()[order]), stored(edges[0].unionByName(edges[1]), "tree"))
 
 
+def _slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the word, bit within it) of each key in the filter."""
+    slot = (wb.mix(keys.view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+    return slot >> 6, np.int64(1) << (slot & 63)
+
+
+def edge_filter(edges: DataFrame) -> np.ndarray:
+    """One bit for each edge's key, ``FILTER_BITS`` in all whatever the tree's size."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(FILTER_BITS >> 6, np.int64)
+        for b in batches:
+            at, bit = _slots(b.column(0).to_numpy())
+            np.bitwise_or.at(words, at, bit)
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(words[used])], names=["word", "bits"])
+
+    parts = map_batches(edges.select("key"), bits, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    found = parts.toArrow()
+    out = np.zeros(FILTER_BITS >> 6, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
 def _id_text(id_col: str) -> F.Column:
     return F.coalesce(F.col(id_col).cast("string"), F.lit(""))
 
@@ -222,14 +249,14 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
     hot = tree.edges.filter(F.col("n") >= max(HOT_SHARE * total, 1)).select("key", "delta").toArrow()
     order = np.argsort(hot.column("key").to_numpy())
     hot_edges = (hot.column("key").to_numpy()[order], hot.column("delta").to_numpy()[order])
-    known_tree = spark.sparkContext.broadcast((tree.backs, hot_edges))
+    known_tree = spark.sparkContext.broadcast((tree.backs, hot_edges, edge_filter(tree.edges)))
 
     bag = T.ArrayType(T.StructType().add("key", "long").add("tf", "integer"))
     schema = (rows.drop("text").schema.add("n_words", "long").add("head_known", "long").add("head_score", "double")
               .add("gain", "double").add("tail", bag).add("edges", bag))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (contexts, backs), (hot_keys, deltas) = known_tree.value
+        (contexts, backs), (hot_keys, deltas), edges = known_tree.value
         logs = np.log10(head.value.counts + BASE_COUNT)
 
         def bags(doc: np.ndarray, key: np.ndarray, n: int) -> pa.Array:
@@ -259,8 +286,10 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
                     at, inside = _find(hot_keys, k)
                     if inside.any():
                         gain += np.bincount(d[inside], weights=deltas[at[inside]], minlength=n)
-                    open_doc.append(d[~inside])
-                    open_key.append(k[~inside])
+                    place, bit = _slots(k)
+                    inside = ~inside & (edges[place] & bit != 0)
+                    open_doc.append(d[inside])
+                    open_key.append(k[inside])
                 d = np.concatenate([*open_doc, np.zeros(0, np.int64)])
                 k = np.concatenate([*open_key, np.zeros(0, np.int64)])
                 yield pa.RecordBatch.from_arrays(
