@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
@@ -24,6 +25,17 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files and broadcasts of steps that have been stored.
+
+    Spark's cleaner removes them once the driver has collected the plans that made
+    them; a driver with free heap does not collect for up to half an hour
+    (``spark.cleaner.periodicGC.interval``), while the files fill the executors'
+    disks.  Nothing that a live DataFrame refers to is removed."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Spark's default and ours: batches of texts and sets stay small next to a heap
 _BATCH, _DEFAULT_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 4 << 20
 

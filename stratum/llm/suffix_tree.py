@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import wordbytes as wb
-from .store import map_batches, stored
+from .store import map_batches, release, stored
 
 MIN_COUNT = 4
 MIN_DIVERGENCE = 0.01
@@ -179,6 +179,7 @@ def grow(train: DataFrame, head, positions: int) -> Tree:
         return context[hit] << _BITS | pair[hit] & ((1 << _BITS) - 1)
 
     two = stored(_counted(train, triples), "triples")
+    release(spark)
     suffix = edges1.select(F.col("key").alias("pair"), F.col("p").alias("q"))
     repeated = two.filter("n > 1").withColumn("pair", F.expr(f"key & {_PAIR}L"))
     edges2, contexts2 = _level(two, repeated.join(suffix, "pair").select("key", "n", "q"))
@@ -246,6 +247,7 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
     head = spark.sparkContext.broadcast(Head(found.column("key").to_numpy()[order], n, np.log(p)))
 
     tree = grow(train, head, total)
+    release(spark)
     hot = tree.edges.filter(F.col("n") >= max(HOT_SHARE * total, 1)).select("key", "delta").toArrow()
     order = np.argsort(hot.column("key").to_numpy())
     hot_edges = (hot.column("key").to_numpy()[order], hot.column("delta").to_numpy()[order])
@@ -299,6 +301,7 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
 
     seen = stored(map_batches(rows.select("doc_id", "held_out", "text"), apply, schema)
                   .withColumn("row", F.monotonically_increasing_id()), "scored")
+    release(spark)
     tf = F.col("tf")
     rare = seen.select("row", F.inline("tail")).join(words, "key", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n").isNotNull(), tf)).alias("tail_known"),
