@@ -316,6 +316,15 @@ ORACLES["q_event_props"] = """
 SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 """
 
+ORACLES["q_discovered_fields"] = """
+WITH f AS (SELECT event_type, props, unnest(json_keys(props)) AS field FROM events),
+t AS (SELECT event_type, field, json_type(props, '$.' || field) AS type FROM f)
+SELECT event_type, field, COUNT(*) AS n_present, COUNT(*) FILTER (WHERE type = 'NULL') AS n_null,
+       CASE WHEN bool_and(type IN ('UBIGINT', 'BIGINT')) FILTER (WHERE type <> 'NULL') THEN 'BIGINT'
+            WHEN bool_and(type = 'VARCHAR') FILTER (WHERE type <> 'NULL') THEN 'STRING' END AS type
+FROM t GROUP BY event_type, field
+"""
+
 ORACLES["q_keep_last"] = """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber

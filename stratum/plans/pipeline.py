@@ -33,6 +33,7 @@ from ..sources import bronze as B
 from ..sources.bucket_store import BucketStore
 from ..sources.catalog import export_folder, materialize
 from ..sources.pages import list_page_files, scan_page_files
+from ..sources.publish import publish_set
 from .gold import build_gold
 from .silver import from_records
 
@@ -330,6 +331,12 @@ def export_datamart(spark: SparkSession, root: str, destination: str) -> list[st
     return export_folder(spark, GOLD_TABLES, _p(root, "datamart"), destination)
 
 
+def publish_datamart(spark: SparkSession, root: str, destination: str) -> int:
+    """All gold tables as one published set (``sources.publish``): readers of
+    ``read_set`` never meet half an export.  Returns the set's number."""
+    return publish_set(read_datamart(spark, root), destination)
+
+
 def test_silver(spark: SparkSession, root: str, buckets: int | None = None,
                 database: str | None = None) -> DataFrame:
     """The declared silver tests (unique / not_null) as a failures report."""

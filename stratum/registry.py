@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from . import schemas as S
 from .functions.duration import duration_minutes
 from .functions.json_pages import pack_pages, unpack_pages
+from .functions.json_schema import discovered_fields
 from .functions.links import extract_links
 from .functions.misc import number_in_name
 from .operators import quality as Q
@@ -289,6 +290,13 @@ def q_event_props(spark, sf_dir):
     return ev.select("event_id", "event_type", k.alias("k"))
 
 
+@query
+def q_discovered_fields(spark, sf_dir):
+    """Fields, presence, nulls and merged types of the event documents, by event type."""
+    ev = _tables(spark, sf_dir).events
+    return discovered_fields(ev.select("event_type", F.try_parse_json("props").alias("record")), by=("event_type",))
+
+
 @query
 def q_keep_last(spark, sf_dir):
     li = _tables(spark, sf_dir).lineitem
