@@ -40,6 +40,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +62,7 @@ _BITS = 21
 _RARE, _END = 0, 1  # every other symbol is a head word's place + 2; _END is the text's begin, too
 _PAIR = (1 << 2 * _BITS) - 1
 _CHUNK = 1 << 22
+_DOC, _WORD, _EDGE = 0, 1, 2  # kinds of rows that scoring makes of a text
 
 
 class Head(NamedTuple):
@@ -251,23 +253,27 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
     hot_edges = (hot.column("key").to_numpy()[order], hot.column("delta").to_numpy()[order])
     known_tree = spark.sparkContext.broadcast((tree.backs, hot_edges, edge_filter(tree.edges)))
 
-    bag = T.ArrayType(T.StructType().add("key", "long").add("tf", "integer"))
-    schema = (rows.drop("text").schema.add("n_words", "long").add("head_known", "long").add("head_score", "double")
-              .add("gain", "double").add("tail", bag).add("edges", bag))
+    summary = (rows.drop("text").schema.add("n_words", "long").add("head_known", "long").add("head_score", "double")
+               .add("gain", "double"))
+    schema = (T.StructType().add("row", "long").add("kind", "integer").add("key", "long").add("tf", "integer")
+              .add("doc", summary))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (contexts, backs), (hot_keys, deltas), edges = known_tree.value
         logs = np.log10(head.value.counts + BASE_COUNT)
+        row = TaskContext.get().partitionId() << 33
 
-        def bags(doc: np.ndarray, key: np.ndarray, n: int) -> pa.Array:
+        def bag(kind: int, doc: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
             """The distinct keys of each document, with how often they occur."""
             order = np.lexsort((key, doc))
             doc, key = doc[order], key[order]
             first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))))
             tf = np.diff(np.append(first, len(key))).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[first], np.arange(n + 1)), pa.int32()),
-                                            pa.StructArray.from_arrays([pa.array(key[first]), pa.array(tf)], ["key", "tf"]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(row + doc[first]), pa.array(np.full(len(first), kind, np.int32)), pa.array(key[first]), pa.array(tf),
+                 pa.nulls(len(first), shape)], names=schema.names)
 
+        shape = None
         for b in batches:
             for lo, hi, w in _words(b.column(2)):
                 n = hi - lo
@@ -275,7 +281,7 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
                 symbol, hit = head.value.find(h)
                 base = np.bincount(w.doc[hit], weights=logs[symbol[hit] - 2], minlength=n) if hit.any() else np.zeros(n)
                 doc, pair, context = keys(w, symbol)
-                gain, open_doc, open_key = np.zeros(n), [], []
+                gain, bags = np.zeros(n), [(_WORD, w.doc[~hit], h[~hit])]
                 for state, key in ((np.where(pair < 0, -1, pair >> _BITS), pair),
                                    (context, context << _BITS | pair & ((1 << _BITS) - 1))):
                     at, inside = _find(contexts, state)
@@ -288,29 +294,33 @@ def scores(docs: DataFrame, folds: int = FOLDS, id_col: str = "doc_id", text_col
                         gain += np.bincount(d[inside], weights=deltas[at[inside]], minlength=n)
                     place, bit = _slots(k)
                     inside = ~inside & (edges[place] & bit != 0)
-                    open_doc.append(d[inside])
-                    open_key.append(k[inside])
-                d = np.concatenate([*open_doc, np.zeros(0, np.int64)])
-                k = np.concatenate([*open_key, np.zeros(0, np.int64)])
-                yield pa.RecordBatch.from_arrays(
+                    bags.append((_EDGE, d[inside], k[inside]))
+                known = np.bincount(w.doc[hit], minlength=n)
+                docs = pa.StructArray.from_arrays(
                     [b.column(0).slice(lo, n), b.column(1).slice(lo, n), pa.array(np.diff(w.first), pa.int64()),
-                     pa.array(np.bincount(w.doc[hit], minlength=n), pa.int64()), pa.array(base, pa.float64()),
-                     pa.array(gain, pa.float64()), bags(w.doc[~hit], h[~hit], n), bags(d, k, n)], names=schema.names)
-
-    seen = stored(map_batches(rows.select("doc_id", "held_out", "text"), apply, schema)
-                  .withColumn("row", F.monotonically_increasing_id()), "scored")
-    tf = F.col("tf")
-    rare = seen.select("row", F.inline("tail")).join(words, "key", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), tf)).alias("tail_known"),
-        F.sum(tf * F.log10(F.coalesce("n", F.lit(0)) + BASE_COUNT)).alias("tail_score"))
-    more = (seen.select("row", F.inline("edges")).join(tree.edges.select("key", "delta"), "key")
-            .groupBy("row").agg(F.sum(tf * F.col("delta")).alias("more")))
-    out = seen.drop("tail", "edges").join(rare, "row", "left").join(more, "row", "left")
+                     pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(gain, pa.float64())], names=summary.names)
+                shape = docs.type
+                at = pa.array(row + np.arange(n))
+                # a document's own row has its number as key, so that these rows spread
+                yield pa.RecordBatch.from_arrays([at, pa.array(np.full(n, _DOC, np.int32)), at, pa.array(np.zeros(n, np.int32)), docs],
+                                                 names=schema.names)
+                for kind, d, k in bags:
+                    yield bag(kind, d, k)
+                row += n
+
+    found = map_batches(rows.select("doc_id", "held_out", "text"), apply, schema)
+    values = (words.select(F.lit(_WORD).alias("kind"), "key", F.log10(F.col("n") + BASE_COUNT).alias("value"))
+              .unionByName(tree.edges.select(F.lit(_EDGE).alias("kind"), "key", F.col("delta").alias("value"))))
+    tf, value, is_word = F.col("tf"), F.col("value"), F.col("kind") == _WORD
+    per_row = found.join(values, ["kind", "key"], "left").groupBy("row").agg(
+        *[F.max(f"doc.{c}").alias(c) for c in summary.names],
+        F.sum(F.when(is_word & value.isNotNull(), tf).otherwise(0)).alias("tail_known"),
+        F.sum(F.when(is_word, tf * F.coalesce(value, F.lit(float(np.log10(BASE_COUNT))))).otherwise(0.0)).alias("tail_score"),
+        F.sum(F.when(is_word, 0.0).otherwise(tf * F.coalesce(value, F.lit(0.0)))).alias("more"))
     n_tokens = F.col("n_words") + 1
     end_known = 1 if n_train else 0
-    base = F.col("head_score") + F.coalesce("tail_score", F.lit(0.0)) + end - n_tokens * float(unit)
-    return out.select(
-        "doc_id", "held_out", n_tokens.alias("n_tokens"),
-        (F.col("head_known") + F.coalesce("tail_known", F.lit(0)) + end_known).alias("n_known"),
+    base = F.col("head_score") + F.col("tail_score") + end - n_tokens * float(unit)
+    return per_row.select(
+        "doc_id", "held_out", n_tokens.alias("n_tokens"), (F.col("head_known") + F.col("tail_known") + end_known).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + (F.col("gain") + F.coalesce("more", F.lit(0.0))) / float(np.log(10))).alias("score"))
+        (base + (F.col("gain") + F.col("more")) / float(np.log(10))).alias("score"))
