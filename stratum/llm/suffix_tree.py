@@ -128,8 +128,8 @@ def _level(counts: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame
     """Edges and contexts of one length.
 
     ``counts``: (key, n); ``repeated``: (key, n, q) of those seen more than once, q
-    being the suffix's probability.  Edges: key, context, n, p, delta (what the edge
-    adds to its context's ``back``); contexts: context, back (logarithm of the share
+    being the suffix's probability.  Edges: key, n, p, ratio (logarithm of p to q);
+    contexts: context, back (logarithm of the share
     that goes to the suffix), passed (the divergence test).  There are at most
     ``1 / HEAD_SHARE`` or ``1 / HOT_SHARE`` contexts, so they go to the edges."""
     context = F.expr(f"shiftright(key, {_BITS})").alias("context")
@@ -139,9 +139,8 @@ def _level(counts: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame
                   .filter(total >= MIN_COUNT).withColumn("share", (once + SMOOTHING) / (total + SMOOTHING)), "sums")
     edges = repeated.select("key", context, "n", "q").join(F.broadcast(sums), "context")
     p = F.col("n") / (total + SMOOTHING) + F.col("share") * F.col("q")
-    edges = stored(edges.select("key", "context", "n", p.alias("p"), F.log(p / F.col("q")).alias("ratio"), "share")
-                   .select("key", "context", "n", "p", "ratio", (F.col("ratio") - F.log("share")).alias("delta")), "edges")
-    gain = edges.groupBy("context").agg(F.sum(F.col("n") * F.col("ratio")).alias("gain"))
+    edges = stored(edges.select("key", "n", p.alias("p"), F.log(p / F.col("q")).alias("ratio")), "edges")
+    gain = edges.select(context, "n", "ratio").groupBy("context").agg(F.sum(F.col("n") * F.col("ratio")).alias("gain"))
     passed = F.coalesce("gain", F.lit(0.0)) + once * F.log("share") >= MIN_DIVERGENCE * total
     contexts = sums.join(gain, "context", "left").select("context", F.log("share").alias("back"), passed.alias("passed"))
     return edges, stored(contexts, "contexts")
@@ -188,8 +187,9 @@ def grow(train: DataFrame, head, positions: int) -> Tree:
     kept2 = contexts2.filter("passed").select("context", "back")
     longer = kept2.select(F.expr(f"context & {(1 << _BITS) - 1}").alias("context"), F.lit(True).alias("longer")).distinct()
     kept1 = contexts1.join(longer, "context", "left").filter("passed OR longer").select("context", "back")
-    edges = [e.join(F.broadcast(kept), "context", "left_semi").select("key", "delta", "n")
-             for e, kept in ((edges1, kept1), (edges2, kept2))]
+    context = F.expr(f"shiftright(key, {_BITS})").alias("context")
+    edges = [e.select(context, "*").join(F.broadcast(kept), "context")
+             .select("key", (F.col("ratio") - F.col("back")).alias("delta"), "n") for e, kept in ((edges1, kept1), (edges2, kept2))]
     backs = kept1.unionByName(kept2).toArrow()  # both lengths are bounded by HEAD_SHARE and HOT_SHARE
     order = np.argsort(backs.column("context").to_numpy())
     return Tree((backs.column("context").to_numpy()[order], backs.column("back").to_numpy()[order]), stored(edges[0].unionByName(edges[1]), "tree"))
