@@ -392,6 +392,16 @@ SELECT anime_id, members, rn, CAST((rn - 1) // 25 + 1 AS INTEGER) AS page, CAST(
 FROM ranked
 """
 
+ORACLES["q_page_files"] = PAGED + """,
+numbered AS (
+  SELECT page, CAST(page % 4 + 1 AS INTEGER) AS batch_id,
+         row_number() OVER (ORDER BY (page % 4 + 1) % 2, page % 4, page) AS raw_id
+  FROM (SELECT DISTINCT page FROM paged))
+SELECT CAST(raw_id AS BIGINT) AS raw_id, batch_id, page, rec_pos, CAST(anime_id AS INTEGER) AS anime_id,
+       CAST(members AS INTEGER) AS members
+FROM paged JOIN numbered USING (page)
+"""
+
 _PROBE = PAGED + """,
 probe AS (
   SELECT page, CAST(COUNT(*) AS INTEGER) AS n_records,

@@ -3,6 +3,7 @@
 Layout under a warehouse root (any Hadoop-compatible path):
 
   raw/api_data                 parquet, partitioned by batch_id, append-only
+  raw/api_data_files           the ledger of the page files loaded
   curated/<table>_merge        staging of the last loaded batch (overwrite)
   curated/records_merge        the unpacked records of the last loaded batch
   curated/rejected_pages       pages left out in lenient mode, with the reason
@@ -32,7 +33,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import bronze as B
 from ..sources.bucket_store import BucketStore
 from ..sources.catalog import export_folder, materialize
-from ..sources.pages import list_page_files, scan_page_files
+from ..sources.file_ledger import load_new_files
 from ..sources.publish import publish_set
 from .gold import build_gold
 from .silver import from_records
@@ -211,23 +212,13 @@ def read_silver(spark: SparkSession, root: str, name: str, buckets: int | None =
 
 
 def load_missing_batches(spark: SparkSession, page_root: str, root: str, layout: str = "fetched") -> int:
-    """Append every batch folder not yet in the raw table; rows appended.
+    """Append every page file not yet in the raw table; rows appended.
 
-    The batches present, and their pages, are taken from the file listing (no
-    file is read); only the folders of missing batches are then read, once.
-    Their folder names come to the driver to build that path glob: one short
-    name per missing batch, never page content.
+    The ledger of loaded files (``sources.file_ledger``) finds the batch folders that
+    are new or have changed; only those are listed and only new files read.  A batch
+    that was loaded half-way is finished.
     """
-    bronze_path = _p(root, "raw", "api_data")
-    bronze = B.read_bronze(spark, bronze_path)
-    listed = list_page_files(spark, page_root, layout=layout)
-    missing = B.missing_batches(listed, bronze)
-    folders = sorted(r.folder for r in listed.join(missing, "batch_id", "left_semi")
-                     .select("folder").distinct().collect())
-    if not folders:
-        return 0
-    batch_glob = "{" + ",".join(folders) + "}"
-    return B.append_batches(spark, scan_page_files(spark, page_root, batch_glob, layout), bronze_path, listed)
+    return load_new_files(spark, page_root, _p(root, "raw", "api_data"), layout)
 
 
 def _not_older(staged: DataFrame, current: DataFrame, titles: DataFrame, key: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ DuckDB SQL is in ``oracle_sql``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,8 @@ from .plans.gold import build_gold, gold_links
 from .plans.silver import bronze_from_pages, build_silver
 from .session import ensure_checkpoint_dir
 from .sources import bronze as B
+from .sources.file_ledger import load_new_files
+from .sources.page_sink import write_named_pages
 from .sources.pages import page_last_members, paginate, take_while_pages
 
 # Parameters used on the provided tables.  Their orders span 1995-2001, so the
@@ -35,6 +38,7 @@ from .sources.pages import page_last_members, paginate, take_while_pages
 YEARS = (1996, 2000)
 MIN_SUPPORT_PRODUCERS = 150
 TAKE_WHILE_MIN_MEMBERS = 20_000_000
+PAGE_FILE_BATCHES = 4
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -445,6 +449,19 @@ def q_paginate(spark, sf_dir):
     return paginate(ent, [F.desc("members"), F.asc("anime_id")])
 
 
+@query
+def q_page_files(spark, sf_dir):
+    """All pages written as batch_N/page_P.json, even batches first; found and loaded by
+    the file ledger in two runs, so that the second finds new folders only; raw rows
+    numbered in load order, unpacked to records."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/page-files-{uuid.uuid4().hex}"
+    pages = _pages(_tables(spark, sf_dir)).withColumn("batch_id", F.col("page") % PAGE_FILE_BATCHES + 1).checkpoint()
+    for odd in (0, 1):
+        write_named_pages(pages.where(F.col("batch_id") % 2 == odd), f"{root}/import")
+        load_new_files(spark, f"{root}/import", f"{root}/raw")
+    return unpack_pages(B.read_bronze(spark, f"{root}/raw")).select("raw_id", "batch_id", "page", "rec_pos", "anime_id", "members")
+
+
 @query
 def q_take_while_pages(spark, sf_dir):
     pages = _pages(_tables(spark, sf_dir)).checkpoint()  # probed in several steps
