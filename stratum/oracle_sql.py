@@ -397,9 +397,9 @@ numbered AS (
   SELECT page, CAST(page % 4 + 1 AS INTEGER) AS batch_id,
          row_number() OVER (ORDER BY (page % 4 + 1) % 2, page % 4, page) AS raw_id
   FROM (SELECT DISTINCT page FROM paged))
-SELECT CAST(raw_id AS BIGINT) AS raw_id, batch_id, page, rec_pos, CAST(anime_id AS INTEGER) AS anime_id,
+SELECT CAST(n.raw_id AS BIGINT) AS raw_id, n.batch_id, p.page, rec_pos, CAST(anime_id AS INTEGER) AS anime_id,
        CAST(members AS INTEGER) AS members
-FROM paged JOIN numbered USING (page)
+FROM paged p JOIN numbered n ON p.page = n.page
 """
 
 _PROBE = PAGED + """,
