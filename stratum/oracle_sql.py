@@ -158,6 +158,15 @@ SELECT genre_name, CAST(anime_count AS BIGINT) AS anime_count, CAST(members AS B
 FROM gs ORDER BY members DESC, genre_name LIMIT 15
 """
 
+ORACLES["q_stored_marts"] = PREFIX + """,
+late AS (SELECT o_orderkey FROM orders WHERE o_orderdate = (SELECT MAX(o_orderdate) FROM orders)),
+now AS (SELECT anime_id, score, genre_id, members + CASE WHEN anime_id IN (SELECT o_orderkey FROM late) THEN 1000 ELSE 0 END AS members
+        FROM enriched)
+SELECT dg.genre_name, COUNT(*) AS anime_count, CAST(SUM(e.members) AS BIGINT) AS members, AVG(e.score) AS score
+FROM links_genres lg JOIN d_genres dg ON lg.genre_id = dg.genre_id JOIN now e ON lg.anime_id = e.anime_id
+GROUP BY dg.genre_name
+"""
+
 ORACLES["q_category_summary_top15_dedup"] = PREFIX + """,
 titles AS (SELECT f.*, src.source FROM f_anime f LEFT JOIN d_sources src ON f.source_id = src.source_id),
 gs AS (

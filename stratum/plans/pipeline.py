@@ -10,6 +10,7 @@ Layout under a warehouse root (any Hadoop-compatible path):
   curated/<table>              silver table in versions (see ``sources.bucket_store``):
                                an upsert rewrites the buckets its batch touches
   datamart/<table>             gold tables (overwrite = full refresh)
+  datamart/_partials           partial sums of the marts per silver bucket (see ``stored_marts``)
 
 Spark cannot overwrite a parquet table that the same job reads, so the upsert
 result goes into new files and a version names the files that make it up.  What
@@ -37,6 +38,7 @@ from ..sources.file_ledger import load_new_files
 from ..sources.publish import publish_set
 from .gold import build_gold
 from .silver import from_records
+from .stored_marts import StoredMarts
 
 VERSION = "_version"
 
@@ -307,6 +309,15 @@ def build_datamart(spark: SparkSession, root: str, strict: bool = True, buckets:
     return list(gold)
 
 
+def refresh_marts(spark: SparkSession, root: str) -> StoredMarts:
+    """The stored marts of the warehouse (``datamart/_partials``), brought up to its silver
+    tables: only buckets that have changed are read.  Needs the bucketed folders, not a
+    catalog ``database``."""
+    marts = StoredMarts(open_store(spark, root), _p(root, "datamart", "_partials"))
+    marts.refresh()
+    return marts
+
+
 def read_datamart(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
     from ..sources.catalog import load_tables
 

@@ -27,8 +27,10 @@ from .plans import marts as M
 from .plans import standin
 from .plans.gold import build_gold, gold_links
 from .plans.silver import bronze_from_pages, build_silver
+from .plans.stored_marts import StoredMarts
 from .session import ensure_checkpoint_dir
 from .sources import bronze as B
+from .sources.bucket_store import BucketStore
 from .sources.file_ledger import load_new_files
 from .sources.page_sink import write_named_pages
 from .sources.pages import page_last_members, paginate, take_while_pages
@@ -39,6 +41,7 @@ YEARS = (1996, 2000)
 MIN_SUPPORT_PRODUCERS = 150
 TAKE_WHILE_MIN_MEMBERS = 20_000_000
 PAGE_FILE_BATCHES = 4
+MART_BUCKETS = 16
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -114,6 +117,25 @@ def q_category_summary_top15_dedup(spark, sf_dir):
     return M.genre_top(g, M.titles(g, fanout=False, names=[]), 15)
 
 
+@query
+def q_stored_marts(spark, sf_dir):
+    """Genre summary from the stored partial sums of bucketed silver tables, refreshed
+    after the titles of the last order date have been upserted with more members."""
+    t = _tables(spark, sf_dir)
+    silver = standin.silver(t, ["licensors", "genres"])
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-marts-{uuid.uuid4().hex}"
+    store = BucketStore(spark, f"{root}/curated", {n: (df.schema, "anime_id") for n, df in silver.items()}, MART_BUCKETS)
+    for name, df in silver.items():
+        store.upsert(name, df, ["anime_id", *(c for c in df.columns if name != "anime" and c.endswith("_id") and c != "anime_id")])
+    marts = StoredMarts(store, f"{root}/marts")
+    marts.refresh()
+    last = t.orders.where(F.col("o_orderdate") == t.orders.select(F.max("o_orderdate")).scalar())
+    late = silver["anime"].join(last.select(F.col("o_orderkey").alias("anime_id")), "anime_id", "left_semi")
+    store.upsert("anime", late.withColumn("members", F.col("members") + 1000), ["anime_id"])
+    marts.refresh()
+    return marts.genre_summary()
+
+
 @query
 def q_source_analysis(spark, sf_dir):
     return M.source_analysis(_filtered(_gold(spark, sf_dir, ["licensors", "genres"]), names=["source"]))

@@ -147,3 +147,15 @@ def test_tables_of_different_buckets_are_refused(spark, tmp_root):
     other.upsert("links_anime_genres", links(spark, "genres", [(1, 1, "a")]), ["anime_id", "genre_id"])
     with pytest.raises(ValueError, match="number of buckets"):
         stored.refresh()
+
+
+def test_marts_of_a_warehouse(spark, tmp_root):
+    from conftest import rec, write_batch
+    from stratum.plans import pipeline as P
+    pages, wh = f"{tmp_root}/in", f"{tmp_root}/wh"
+    write_batch(pages, 1, {1: [rec(n, members=n, genres=[(1, "a"), (n, "b")]) for n in range(2, 9)]})
+    P.run(spark, pages, wh, buckets=4)
+    stored = P.refresh_marts(spark, wh)
+    gold = P.read_datamart(spark, wh)
+    assert rows_of(stored.kpis()) == rows_of(M.kpis(M.titles(gold)))
+    assert rows_of(stored.genre_summary()) == rows_of(M.genre_summary(gold, M.titles(gold)))
