@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..session import ensure_checkpoint_dir
+from ..operators.joins import HOT_ROWS, heavy_hitters
+from ..session import stored
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -90,9 +91,10 @@ def titles(t: Tables, batch: F.Column | None = None) -> DataFrame:
     )
 
 
-def link_rows(t: Tables, kinds: list[str]) -> DataFrame:
+def link_rows(t: Tables, kinds: list[str], by_title: bool = False) -> DataFrame:
     """(kind, anime_id, id, name) of the line-item link kinds, one pass over
-    the line items, before de-duplication; ``id`` is a long."""
+    the line items, before de-duplication; ``id`` is a long.  ``by_title`` brings
+    the lines of a title together before a line becomes a row per kind."""
     j = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
     found = {}
     if {"genres", "producers"} & set(kinds):
@@ -113,6 +115,8 @@ def link_rows(t: Tables, kinds: list[str]) -> DataFrame:
                 s = s.join(r, s.n_regionkey == r.r_regionkey)
                 found["themes"] = ("r_regionkey", "r_name")
         j = j.join(s, j.l_suppkey == s.s_suppkey)
+    if by_title:  # a number of its own: AQE would merge partitions by their size before the rows multiply
+        j = j.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
     tagged = [F.struct(F.lit(k).alias("kind"), F.col(found[k][0]).cast("long").alias("id"), F.col(found[k][1]).alias("name"))
               for k in kinds]
     return j.select(F.col("l_orderkey").alias("anime_id"), F.explode(F.array(*tagged)).alias("x")).select(
@@ -142,15 +146,21 @@ def links(t: Tables, kinds: list[str]) -> dict[str, DataFrame]:
 
     In these tables the name is a function of the id, so keeping the last copy
     of a key is a plain distinct (a hash aggregate, combined map-side).  All
-    kinds that come from line items are derived in one pass and kept in a
-    reliable checkpoint, as the stored silver tables would be: the marts read
-    them several times."""
+    kinds that come from line items are derived in one pass and stored as Parquet
+    in the checkpoint folder, as the silver tables would be: the marts read them
+    several times, a kind and a few columns each.
+
+    The lines are shuffled by title and the rows of a title made and de-duplicated
+    where they are: combined map-side they hardly shrink, and there are more of them
+    than a map task's hash table holds.  With a title of very many lines (or very
+    many lines without one) the rows are combined map-side and dealt by all columns."""
     out = {}
     from_lines = [k for k in kinds if k != "demographics"]
     if from_lines:
-        ensure_checkpoint_dir(t.spark)
-        stored = link_rows(t, from_lines).distinct().checkpoint()
-        out = {k: stored.where(F.col("kind") == k) for k in from_lines}
+        titles_of_lines = t.lineitem.select(F.coalesce("l_orderkey", F.lit(-1)).alias("l_orderkey"))
+        hot = heavy_hitters(titles_of_lines, "l_orderkey", HOT_ROWS)
+        rows = stored(link_rows(t, from_lines, by_title=not hot).distinct(), "links")
+        out = {k: rows.where(F.col("kind") == k) for k in from_lines}
     if "demographics" in kinds:
         out["demographics"] = demographic_rows(t).distinct()
     for kind, df in out.items():

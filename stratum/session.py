@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans this package builds.  AQE is what turns a
 # statically planned sort-merge join against a freshly aggregated dimension into
@@ -76,3 +77,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="stratum-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the checkpoint folder and read back.
+
+    Cuts the lineage and survives lost executors as ``checkpoint()`` does, but the
+    columns are compressed and a reader takes only those it names: a checkpoint
+    is read as whole serialised rows, by each reader anew.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
