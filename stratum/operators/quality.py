@@ -79,29 +79,34 @@ def declared_tests(tables: dict[str, DataFrame], tests: list[tuple[str, str, str
     """Run declared column tests and report failures: one row per test with
     (table_name, column_name, test, failures).
 
-    ``tests`` holds (table, column, "not_null" | "unique").  Every table is read
-    once: its tested columns are unpivoted to (table, column, value) rows, which
-    are counted by value (combined map-side) and then by column.  A column
-    without a uniqueness test has two values only, null or not.
+    ``tests`` holds (table, column, "not_null" | "unique").  The not_null columns of
+    a table are counted in one scan of them, without a row per value; a unique column
+    is counted by value (combined map-side), its nulls among them.
     """
     kinds = {kind for _, _, kind in tests}
     if kinds - {"not_null", "unique"}:
         raise ValueError(f"unknown tests {sorted(kinds - {'not_null', 'unique'})}")
     unique = {(t, c) for t, c, kind in tests if kind == "unique"}
-    rows = None
+    counts = None
     for table in dict.fromkeys(t for t, _, _ in tests):
-        columns = dict.fromkeys(c for t, c, _ in tests if t == table)
-        values = [F.struct(F.lit(c).alias("column_name"), (
-            F.col(c).cast("string") if (table, c) in unique else F.when(F.col(c).isNotNull(), "")).alias("v"))
-            for c in columns]
-        part = tables[table].select(F.lit(table).alias("table_name"), F.explode(F.array(*values)).alias("x"))
-        part = part.select("table_name", "x.column_name", "x.v")
-        rows = part if rows is None else rows.unionByName(part)
-    by_value = rows.groupBy("table_name", "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-    counts = by_value.groupBy("table_name", "column_name").agg(
-        F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("not_null"),
-        F.sum(F.when(F.col("v").isNotNull() & (F.col("n") > 1), F.col("n"))).alias("unique"))
-    declared = rows.sparkSession.createDataFrame(tests, "table_name string, column_name string, test string")
+        columns = list(dict.fromkeys(c for t, c, _ in tests if t == table))
+        parts = []
+        for c in (c for c in columns if (table, c) in unique):
+            by_value = tables[table].groupBy(F.col(c).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(by_value.agg(
+                F.sum(F.when(F.col("v").isNull(), F.col("n"))).alias("not_null"),
+                F.sum(F.when(F.col("v").isNotNull() & (F.col("n") > 1), F.col("n"))).alias("unique"))
+                .select(F.lit(c).alias("column_name"), "not_null", "unique"))
+        plain = [c for c in columns if (table, c) not in unique]
+        if plain:
+            nulls = tables[table].agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}") for i, c in enumerate(plain)])
+            parts.append(nulls.select(F.explode(F.array(*[
+                F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("not_null"), F.lit(0).cast("long").alias("unique"))
+                for i, c in enumerate(plain)])).alias("x")).select("x.*"))
+        for part in parts:
+            part = part.select(F.lit(table).alias("table_name"), "*")
+            counts = part if counts is None else counts.unionByName(part)
+    declared = counts.sparkSession.createDataFrame(tests, "table_name string, column_name string, test string")
     failures = F.when(F.col("test") == "unique", F.col("unique")).otherwise(F.col("not_null"))
     return declared.join(counts, ["table_name", "column_name"], "left").select(
         "table_name", "column_name", "test", F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))

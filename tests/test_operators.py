@@ -182,3 +182,18 @@ def test_surrogate_ids_follow_native_order(spark):
     d = surrogate_dims(df, [("n", "n_id"), ("s", "s_id")])
     assert [tuple(r) for r in d["n"].orderBy("n_id").collect()] == [(1, 9), (2, 10), (3, 100)]
     assert [tuple(r) for r in d["s"].orderBy("s_id").collect()] == [(1, "a"), (2, "b")]
+
+
+def test_declared_tests_make_no_row_per_value(spark):
+    """Null counts and repeated values of whole tables; not_null columns are counted in the scan."""
+    from stratum.operators.quality import declared_tests
+    a = spark.createDataFrame([(1, None), (1, "x"), (2, "y"), (None, None), (None, "")], "id long, name string")
+    b = spark.createDataFrame([], "id long, other int")
+    tests = [("a", "id", "unique"), ("a", "id", "not_null"), ("a", "name", "not_null"), ("b", "id", "not_null"),
+             ("b", "other", "not_null"), ("b", "other", "unique")]
+    got = declared_tests({"a": a, "b": b}, tests)
+    assert sorted(map(tuple, got.collect())) == [
+        ("a", "id", "not_null", 2), ("a", "id", "unique", 2), ("a", "name", "not_null", 2),
+        ("b", "id", "not_null", 0), ("b", "other", "not_null", 0), ("b", "other", "unique", 0)]
+    plan = declared_tests({"a": a}, [("a", "name", "not_null"), ("a", "id", "not_null")])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # rows are made of the counts, above the aggregate
