@@ -28,7 +28,7 @@ from .plans import standin
 from .plans.gold import build_gold, gold_links
 from .plans.silver import bronze_from_pages, build_silver
 from .plans.stored_marts import StoredMarts
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, stored
 from .sources import bronze as B
 from .sources.bucket_store import BucketStore
 from .sources.file_ledger import load_new_files
@@ -477,7 +477,8 @@ def q_page_files(spark, sf_dir):
     the file ledger in two runs, so that the second finds new folders only; raw rows
     numbered in load order, unpacked to records."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/page-files-{uuid.uuid4().hex}"
-    pages = _pages(_tables(spark, sf_dir)).withColumn("batch_id", F.col("page") % PAGE_FILE_BATCHES + 1).checkpoint()
+    pages = _pages(_tables(spark, sf_dir)).withColumn("batch_id", F.col("page") % PAGE_FILE_BATCHES + 1)
+    pages = stored(pages, "pages")
     for odd in (0, 1):
         write_named_pages(pages.where(F.col("batch_id") % 2 == odd), f"{root}/import")
         load_new_files(spark, f"{root}/import", f"{root}/raw")

@@ -17,6 +17,7 @@ ends between the append and the ledger's entry costs a listing and nothing else.
 
 from __future__ import annotations
 
+import math
 import re
 import time
 import uuid
@@ -37,6 +38,8 @@ FILES = "batch_id int, page int, folder string, path string, length long, modifi
 FOLDERS_PER_STEP = 256
 #: files of half-loaded folders that are read by path; beyond it the folders are read whole
 PATHS_PER_READ = 10_000
+#: files that one task reads: Spark packs 30 small ones, so a backlog is cut into very many tasks
+FILES_PER_TASK = 1_000
 #: a folder changed this shortly before it was looked at is looked at again next time
 SETTLE_MS = 2_000
 #: loads after which the ledger is written anew as one
@@ -138,11 +141,17 @@ def changed_files(spark: SparkSession, root: str, bronze_path: str, layout: str
             .where("length <> _length OR modified <> _modified").select("batch_id", "page", "folder", "path", "length", "modified"))
 
 
+def _tasks(spark: SparkSession, files: int) -> int:
+    """Tasks for that many small files: enough for all cores, and no more than needed."""
+    return max(4 * spark.sparkContext.defaultParallelism, math.ceil(files / FILES_PER_TASK))
+
+
 def _load_step(ledger: FileLedger, root: str, bronze_path: str, folders: dict[str, int], layout: str, writer: str | None) -> int:
     spark, names = ledger.spark, list(folders)
     batches = [int(re.search(r"\d+", n)[0]) for n in names]
     listed = list_files(spark, root, names, layout)
     on_record = ledger.files().where(F.col("folder").isin(names)).select("path")
+    listed = listed.coalesce(_tasks(spark, 0))
     load, n_new = ledger.store(listed.join(on_record, "path", "left_anti").select(*listed.columns))
     if not n_new:
         ledger.publish(None, folders)
@@ -161,7 +170,7 @@ def _load_step(ledger: FileLedger, root: str, bronze_path: str, folders: dict[st
             paths = whole + [r.path for r in pending.where(F.col("folder").isin(half)).select("path").collect()]
         else:
             paths = whole + [f"{root.rstrip('/')}/{n}" for n in half]
-        rows = read_files(spark, paths, layout)
+        rows = read_files(spark, paths, layout).coalesce(_tasks(spark, wanted))
         if half:  # pages that are in the table already
             rows = rows.join(there, ["batch_id", "page"], "left_anti")
         appended = B.write_raw(rows, bronze_path, pending, writer)

@@ -228,3 +228,18 @@ def test_the_ledger_is_written_anew_as_one(spark, tmp_root, monkeypatch):
         assert L.FileLedger(spark, raw).files().count() == b
     assert len(L.FileLedger(spark, raw).state()["loads"]) == 2
     assert set(L.FileLedger(spark, raw).state()["folders"]) == {f"batch_{b}" for b in range(1, 5)}
+
+
+def test_small_files_are_read_many_to_a_task(spark, tmp_root, monkeypatch):
+    src, raw = os.path.join(tmp_root, "import"), os.path.join(tmp_root, "raw")
+    write_batch(src, 1, {p: [rec(p)] for p in range(1, 61)})
+    tasks, plain = [], B.write_raw
+    monkeypatch.setattr(B, "write_raw", lambda rows, *a: tasks.append(rows.rdd.getNumPartitions()) or plain(rows, *a))
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")  # a partition each
+    try:
+        assert L.load_new_files(spark, src, raw) == 60
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    assert tasks == [16]  # four a core
+    assert sorted((r.batch_id, r.page) for r in B.read_bronze(spark, raw).collect()) == [(1, p) for p in range(1, 61)]
