@@ -529,6 +529,46 @@ def test_scores_edges(spark, edge, empty):
     assert r.train_tokens == 0 and r.n_known == 0 and r.score == r.base_score == 0
 
 
+def test_tree_leaves_little_on_disk(spark):
+    """Steps that are stored leave no shuffle files, and no edge seen once is stored."""
+    import time
+    from stratum.llm.store import stored
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "shuffle_" in f and f.endswith(".data")}
+
+    kept, before = [], shuffled()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    as_set = spark.conf.get(setting)
+    monkey = pytest.MonkeyPatch()
+    monkey.setattr(suffix_tree, "stored", lambda df, name, *a: kept.append((name, stored(df, name, *a))) or kept[-1][1])
+    try:
+        suffix_tree.scores(data.plain(spark, data.texts()))
+    finally:
+        monkey.undo()
+    for _ in range(50):  # files are removed in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(setting) == as_set
+    for name in ("pairs", "triples"):
+        least = next(df for n, df in kept if n == name).agg({"n": "min"}).first()[0]
+        assert least > 1
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 5, 5000])
+def test_index_finds_what_it_holds(size):
+    rng = np.random.default_rng(size)
+    keys = rng.integers(-1 << 63, (1 << 63) - 1, size)
+    keys[:2] = (-1, 0)[:size]
+    index, order = suffix_tree.Index.of(keys)
+    wanted = np.concatenate([keys, rng.integers(-1 << 63, (1 << 63) - 1, 3000), np.arange(-5, 5)])
+    at, found = index.find(wanted)
+    assert (found == np.isin(wanted, keys)).all()
+    assert (keys[order][at[found]] == wanted[found]).all()
+
+
 # ------------------------------------------------------------------ 9
 ITEMS = [(1, data.prose(1, 30)), (2, "short item"), (3, None), (4, ""), (1, data.prose(1, 30)), (None, data.prose(100, 12)),
          (5, "!!"), (6, "one"), (7, data.prose(1, 30).upper())]
