@@ -87,7 +87,7 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: Fraction = SHARE,
         "_weight", F.element_at(cycle, (F.col("_place") % len(fractions) + 1).cast("int"))), "mixing-sources")
     total, weight = sources.agg(F.sum("source_size"), F.sum("_weight")).first()
     budget, left, clamped = share * int(total or 0), int(weight or 0), 0
-    level, is_full = Fraction(0), F.lit(True)
+    level, is_full = Fraction(0), F.lit(False)  # without any weight nothing is taken
     cap = F.col("source_size").cast("decimal(38,0)")
     while left:  # raises the level until no further source is clamped
         level = (budget - epochs * clamped) / left

@@ -214,6 +214,12 @@ def test_water_level(spark, sizes, weights, share):
     assert not level or max(level) - min(level) <= 1e-9 * max(level)
 
 
+def test_no_weight_takes_nothing(spark):
+    table = spark.createDataFrame([("s0", 7)], "_source string, source_size long")
+    r = mixing.targets(table, (0, 1)).first()
+    assert r.target == 0 and r.words == 0
+
+
 def test_mixing_query(spark):
     got = queries.op12_source_mixing(spark, data.SF).collect()
     docs = {r.doc_id: r for r in spark.read.parquet(f"{data.SF}/documents.parquet").collect()}
