@@ -4,7 +4,8 @@ Large-star connects a node's larger neighbours to its smallest neighbour,
 small-star its smaller ones; the two alternate until every edge points at the
 root of its component.  Each step is a minimum per node (map-side combined) and
 an equi-join, so no neighbour list is ever collected; the edges of each round
-are written to the shared folder.
+are written to the shared folder, in no more files than the edges of the round
+before call for.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import few_files, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,25 +31,27 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter(F.col("u") != F.col("v"))
 
 
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+def _written(edges: DataFrame, rows: int | None = None) -> tuple[DataFrame, tuple]:
     """The distinct edges, stored, with their count and checksum, which are
-    taken while they are written."""
+    taken while they are written; at most ``rows`` of them, if that is known."""
     seen = Observation()
     edges = edges.distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
-    edges = stored(edges, "edges")
+    edges = stored(edges if rows is None else few_files(edges, rows), "edges")
     return edges, (seen.get["n"], seen.get["sum"])
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b: long, any order).
 
     ``component`` is the smallest node reachable.  Nodes without a link are not
-    listed; repeated links and loops have no effect.
+    listed; repeated links and loops have no effect.  ``rows``: at most so many
+    links, if that is known.
     """
-    edges, mark = _written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v"))
+    edges, mark = _written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v"), rows)
     before = None
     while mark != before and mark[0]:
         before = mark
-        edges, mark = _written(_star(_star(edges, True), False))
+        # a star step leaves no more edges than it finds
+        edges, mark = _written(_star(_star(edges, True), False), mark[0])
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

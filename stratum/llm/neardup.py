@@ -19,15 +19,18 @@ registers are about as likely as two sets are similar.
    buckets whose largest part is the same component form a neighbourhood.  In it
    a shingle is rare (in fewer than ``RARE`` sets) or common.  Two sets that may
    be linked either share a rare shingle, or their common shingles alone suffice
-   for the threshold; only such mates are paired, estimated, bounded by their
-   truncated hashes (which can only overcount what is shared) and verified.
-   So no banded pair is left undecided and no bucket is paired with itself.
+   for the threshold.  Of the latter only counts are compared, by ``KINDS`` of
+   shingles: two sets share no more of a kind than either has.  Mates that pass
+   are estimated, bounded by their truncated hashes (which can only overcount
+   what is shared) and verified.  So no banded pair is left undecided.
 
 The chance that a pair at the threshold shares no band is
 ``(1 - 0.8**4)**32 < 5e-8``.
 
 Scale: hub pairs are linear in a bucket; no bucket, neighbourhood or component
-is collected anywhere.  Texts move once, and
+is collected anywhere.  In a neighbourhood the counts of the sets outside its
+largest part, as far as their common shingles suffice, meet those of all others
+that do; sets are fetched for the pairs that pass.  Texts move once, and
 only to reach their sets; sets move only for pairs that are verified.
 
 Defined cases: null and empty texts have the empty set and link with nothing;
@@ -47,7 +50,7 @@ from pyspark.sql import functions as F
 
 from . import wordbytes as wb
 from .components import components
-from .store import map_batches, stored
+from .store import counted, few_files, map_batches, stored
 
 THRESHOLD = (4, 5)
 BANDS, ROWS = 32, 4
@@ -58,6 +61,10 @@ SKETCH_BASE, SKETCH_RATE = 1.001, 20.0
 MARGIN = 0.21
 #: a shingle in fewer sets of a neighbourhood than this is rare
 RARE = 16
+#: kinds of shingles by which the common ones of two sets are bounded
+KINDS = 32
+#: rows with a set, or compared by their sets, that are worth a task
+SET_ROWS = 4096
 #: sets below this size are bounded by 16 bits of each hash, others by 32
 SHORT = 2048
 
@@ -286,56 +293,60 @@ def _named(df: DataFrame, components_: DataFrame, c: str) -> DataFrame:
     return df.join(names, c, "left").withColumn(f"c_{c}", F.coalesce(f"c_{c}", c))
 
 
-def _merge(joined: DataFrame, found: DataFrame) -> DataFrame:
-    """(node, component) after the further links ``found`` (a, b)."""
-    found = stored(found, "links")
-    if found.isEmpty():
-        return joined
+def _merge(joined: DataFrame, found: DataFrame, rows: int) -> DataFrame:
+    """(node, component) after the further links ``found`` (a, b), at most ``rows``."""
+    found = few_files(found, rows, SET_ROWS)
     links_ = _named(_named(found, joined, "a"), joined, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
-    roots = stored(components(links_), "components")
+    roots = stored(components(links_, rows), "components")
+    if roots.isEmpty():
+        return joined
     named = joined.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")),
                         "component", "left").select("node", F.coalesce("root", "component").alias("component"))
     return stored(named.unionByName(roots.join(joined, "node", "left_anti")), "components")
 
 
-def links(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the nodes that have a link."""
+    n_bands = n_nodes * BANDS
     bands = nodes.filter("n_shingles > 0").select("node", F.explode(_keys()).alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("mates")).filter("mates > 1")
-    bands = stored(bands.join(shared, "bucket"), "bands")
+    bands = stored(few_files(bands.join(shared, "bucket"), n_bands), "bands")
 
     # a node's centrality is the number of its bucket mates
     central = bands.groupBy("node").agg(F.sum("mates").alias("weight"))
-    bands = stored(bands.join(central, "node"), "bands")
+    bands = stored(few_files(bands.join(central, "node"), n_bands), "bands")
     hubs = bands.groupBy("bucket").agg(F.max(F.struct("weight", F.col("node").alias("hub"))).alias("h"))
     star = (bands.join(hubs.select("bucket", "h.hub"), "bucket").filter("node != hub")
             .select(*_ordered(F.col("node"), F.col("hub"))).distinct())
-    star = stored(_estimated(star, nodes), "pairs")
+    star, n_star = counted(few_files(_estimated(star, nodes), n_bands), "pairs")
 
     # each node's best pair first, then the hub pairs that join two components
     sides = star.select("a", "b", "similarity", F.explode(F.array("a", "b")).alias("node"))
     best = sides.groupBy("node").agg(F.max(F.struct("similarity", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    best = stored(best, "best")
+    best, n_best = counted(few_files(best, n_star), "best")
     # whose sets may be asked for: members of pairs, and of buckets with more than a pair
     wanted = star.select(F.explode(F.array("a", "b")).alias("node")).unionByName(bands.filter("mates > 2").select("node"))
-    sets = _sets_of(docs, nodes, wanted.distinct(), shingle, id_col, text_col)
+    sets = few_files(_sets_of(docs, nodes, wanted.distinct(), shingle, id_col, text_col), n_nodes, SET_ROWS)
+    sets = stored(sets, "sets")
     bounds = stored(_bounds(sets), "bounds")
-    joined = stored(components(_reaching(best, sets, nodes, False)), "components")
+    linked = few_files(_reaching(best, sets, nodes, False), n_best, SET_ROWS)
+    joined = stored(components(linked, n_best), "components")
     rest = _named(_named(star.join(best, ["a", "b"], "left_anti"), joined, "a"), joined, "b").filter("c_a != c_b")
-    rest = _reaching(stored(rest.select("a", "b"), "pairs"), bounds, nodes, True)
-    joined = _merge(joined, _reaching(stored(rest, "pairs"), sets, nodes, False))
+    rest, n_rest = counted(few_files(rest.select("a", "b"), n_star), "pairs")
+    rest, n_rest = counted(few_files(_reaching(rest, bounds, nodes, True), n_rest, SET_ROWS), "pairs")
+    joined = _merge(joined, _reaching(rest, sets, nodes, False), n_rest)
 
     # bucket mates that are still apart, and not by a hub pair alone
     mates = _named(bands.filter("mates > 2").select("bucket", "node"), joined, "node")
     parts = mates.groupBy("bucket", "c_node").agg(F.count("*").alias("n")).groupBy("bucket").agg(
         F.max(F.struct("n", "c_node")).alias("largest"), F.count("*").alias("parts"))
     apart = mates.join(parts.filter("parts > 1").select("bucket", F.col("largest.c_node").alias("place")), "bucket")
-    apart = stored(apart.select("place", "node", "c_node").distinct(), "apart")
-    pairs = stored(_neighbours(apart, sets, bounds, nodes), "pairs")
-    return _merge(joined, _reaching(pairs, sets, nodes, False))
+    apart, n_apart = counted(few_files(apart.select("place", "node", "c_node").distinct(), n_bands), "apart")
+    pairs, n_pairs = counted(_neighbours(apart, n_apart, sets, bounds, nodes), "pairs")
+    return _merge(joined, _reaching(pairs, sets, nodes, False), n_pairs)
 
 
-def _neighbours(apart: DataFrame, sets: DataFrame, bounds: DataFrame, nodes: DataFrame) -> DataFrame:
+def _neighbours(apart: DataFrame, n_apart: int, sets: DataFrame, bounds: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) of bucket mates in different components that may be linked.
 
     ``apart``: (place, node, c_node); ``place`` is the neighbourhood and the
@@ -345,35 +356,43 @@ def _neighbours(apart: DataFrame, sets: DataFrame, bounds: DataFrame, nodes: Dat
     inside = sets.join(apart.select("node").distinct(), "node", "left_semi")
     seen = _incidences(inside).join(apart.select("place", "node"), "node")
     counts = seen.groupBy("place", "shingle").agg(F.count("*").alias("held")).filter("held > 1")
+    crowds = apart.groupBy("place").agg(F.count("*").alias("crowd"))
+    # kinds of shingles: those that most members hold and the others, each by hash
+    usual = F.when(2 * F.col("held") >= F.col("crowd"), KINDS // 2).otherwise(0)
+    counts = counts.join(crowds, "place").select(
+        "place", "shingle", "held", (usual + F.pmod("shingle", F.lit(KINDS // 2))).cast("int").alias("kind"))
     seen = stored(seen.join(counts, ["place", "shingle"]), "held")
-    common = seen.groupBy("place", "node").agg(F.count(F.when(F.col("held") >= RARE, 1)).alias("common"))
+    wide = F.col("held") >= RARE
+    common = seen.groupBy("place", "node").agg(
+        F.count(F.when(wide, 1)).alias("common"),
+        F.array([F.count(F.when(wide & (F.col("kind") == k), 1)) for k in range(KINDS)]).alias("kinds"))
     member = (apart.join(common, ["place", "node"], "left").withColumn("common", F.coalesce("common", F.lit(0)))
-              .join(nodes.select("node", F.col("n_shingles").alias("n"), _keys().alias("keys")), "node")
-              .join(bounds, "node"))
-    member = stored(member, "members")
+              .join(nodes.select("node", F.col("n_shingles").alias("n")), "node"))
+    member = stored(few_files(member, n_apart), "members")
 
     def two_sides(x: DataFrame, y: DataFrame, on: list[str], condition: F.Column) -> DataFrame:
         x, y = (df.select([F.col(c).alias(f"{s}_{c}") for c in df.columns]) for df, s in ((x, "x"), (y, "y")))
         for c in on:
             condition = condition & (F.col(f"x_{c}") == F.col(f"y_{c}"))
-        return x.join(y, condition)
+        return x.join(y, condition).select(*_ordered(F.col("x_node"), F.col("y_node")))
 
     sizes = (F.col("x_c_node") != F.col("y_c_node")) & (den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n"))
-    # all that two sets without a shared rare shingle can share is common
-    enough = (num + den) * F.least("x_common", "y_common") >= num * (F.col("x_n") + F.col("y_n"))
+    # all that two sets without a shared rare shingle can share is common, and of
+    # each kind no more than either has
+    need, may = num * (F.col("x_n") + F.col("y_n")), num + den
+    shared = F.aggregate(F.zip_with("x_kinds", "y_kinds", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda n, k: n + k)
+    enough = (may * F.least("x_common", "y_common") >= need) & (may * shared >= need)
     once = (F.col("y_c_node") == F.col("y_place")) | (F.col("y_node") < F.col("x_node"))
-    by_common = two_sides(member.filter("c_node != place"), member, ["place"],
-                          sizes & enough & once & F.arrays_overlap("x_keys", "y_keys"))
-    by_common = _checked(by_common.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"),
-                                          F.col("x_items").alias("i_a"), F.col("y_items").alias("i_b"),
-                                          F.col("x_n").alias("n_a"), F.col("y_n").alias("n_b")), True)
+    # a set that is linked shares num/den of itself at least
+    able = member.filter(den * F.col("common") >= num * F.col("n"))
+    by_common = two_sides(able.filter("c_node != place"), able, ["place"], sizes & enough & once)
     held = (seen.filter(F.col("held") < RARE).select("place", "node", "shingle")
             .join(member.select("place", "node", "c_node", "n"), ["place", "node"]))
     held = stored(held, "rare")
     by_rare = two_sides(held, held, ["place", "shingle"], sizes & (F.col("y_node") < F.col("x_node")))
-    by_rare = stored(by_rare.select(*_ordered(F.col("x_node"), F.col("y_node"))).distinct(), "pairs")
-    by_rare = _reaching(stored(_estimated(by_rare, nodes, mates=False), "pairs"), bounds, nodes, True)
-    return by_common.select(*_ordered(F.col("a"), F.col("b"))).unionByName(by_rare).distinct()
+    pairs, n = counted(by_common.unionByName(by_rare).distinct(), "pairs")
+    pairs, n = counted(few_files(_estimated(pairs, nodes, mates=False), n), "pairs")
+    return few_files(_reaching(pairs, bounds, nodes, True), n, SET_ROWS)
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -382,7 +401,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int,
     wanted = nodes.select("node", "first_id", "text_key").join(wanted, "node")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     found = texts.join(wanted, (texts["key"] == wanted["text_key"]) & texts["id"].eqNullSafe(wanted["first_id"]))
-    return stored(_sets(found, shingle), "sets")
+    return _sets(found, shingle)
 
 
 def grouped(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -391,14 +410,15 @@ def grouped(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str
     rows = stored(sketched(docs, shingle, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sketches")
     nodes = rows.groupBy("f0", "f1", "n_shingles").agg(
         F.min(F.struct("row", "doc_id", "text_key", "registers")).alias("r"), F.min("doc_id").alias("min_id"))
-    nodes = stored(nodes.select(F.col("r.row").alias("node"), "f0", "f1", "n_shingles", F.col("r.doc_id").alias("first_id"),
+    nodes, n_nodes = counted(nodes.select(F.col("r.row").alias("node"), "f0", "f1", "n_shingles", F.col("r.doc_id").alias("first_id"),
                                 F.col("r.text_key").alias("text_key"), F.col("r.registers").alias("registers"), "min_id"),
                    "nodes")
-    linked = stored(links(docs, nodes, shingle, id_col, text_col), "linked")
+    linked = stored(links(docs, nodes, n_nodes, shingle, id_col, text_col), "linked")
     named = (nodes.select("node", "f0", "f1", "n_shingles", "min_id").join(linked, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     ids = named.groupBy("component").agg(F.min("min_id").alias("component_id"))
-    named = stored(named.join(ids, "component").select("f0", "f1", "n_shingles", "component", "component_id"), "named")
+    named = named.join(ids, "component").select("f0", "f1", "n_shingles", "component", "component_id")
+    named = stored(few_files(named, n_nodes), "named")
     alone = F.col("n_shingles") == 0
     return (rows.select("doc_id", "text_key", "row", "n_shingles", "f0", "f1").join(named, ["f0", "f1", "n_shingles"])
             .select("doc_id", "text_key", "row", "n_shingles", F.when(alone, F.col("row")).otherwise(F.col("component")).alias("component"),

@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
@@ -25,6 +26,25 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: rows of a file that are worth a task of their own
+FILE_ROWS = 1 << 16
+
+
+def few_files(df: DataFrame, rows: int, file_rows: int = FILE_ROWS) -> DataFrame:
+    """``df``, known to have at most ``rows`` rows, in no more partitions than
+    ``file_rows`` a partition call for, or than the session has cores: a small
+    table in many files takes longer to write and to read again than its rows do.
+    Never makes more partitions; a large table keeps those it has."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // file_rows)))
+
+
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``df`` stored, and its number of rows, counted while it is written."""
+    seen = Observation()
+    df = stored(df.observe(seen, F.count("*").alias("n")), name)
+    return df, seen.get["n"]
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

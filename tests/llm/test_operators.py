@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, on edge cases and empty tables."""
 
+import random
 import zlib
 from collections import Counter
 
@@ -7,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import (decontaminate, nbsvm, neardup, outliers, packing, pii, repeats, sharding, suffix_tree,
-                         unigram)
+from stratum.llm import (decontaminate, nbsvm, neardup, outliers, packing, pii, repeats, sharding, store,
+                         suffix_tree, unigram)
 from stratum.llm.components import components
 
 from . import brute, data
@@ -51,6 +52,43 @@ def test_near_duplicates_edges(edge, empty):
     assert neardup.near_duplicates(empty, 2).count() == 0
 
 
+def damaged_copies(n, most, seed):
+    """Copies of one text with up to ``most`` words replaced, a word always by the same."""
+    rng = random.Random(seed)
+    base = data.prose(seed, 100).split()
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for at in rng.sample(range(100), rng.randint(1, most)):
+            words[at] = f"other{at}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_near_duplicates_compare_few_sets_of_a_dense_neighbourhood(spark, monkeypatch):
+    pairs = list(enumerate(damaged_copies(400, 16, 1)))
+    compared, checked = [], neardup._checked
+
+    def counting(rows, bounded):
+        compared.append(rows.select("a", "b").count())
+        return checked(rows, bounded)
+
+    monkeypatch.setattr(neardup, "_checked", counting)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(data.plain(spark, pairs), 2).collect()}
+    want = brute.near_duplicates(pairs, 2)
+    assert got == want
+    assert len({c for _, c in want.values()}) > 20  # many sets are apart from the largest part
+    assert sum(compared) < 20 * len(pairs)
+
+
+def test_small_tables_are_written_in_few_files(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert store.few_files(spark.range(0, 100, 1, 64), 100).rdd.getNumPartitions() == cores
+    assert store.few_files(spark.range(0, 100, 1, 64), 100, 5).rdd.getNumPartitions() == max(cores, 20)
+    assert store.few_files(spark.range(0, 100, 1, 2), 100).rdd.getNumPartitions() == 2
+    assert store.few_files(spark.range(0, 100, 1, 64), 1 << 40).rdd.getNumPartitions() == 64
+
+
 def test_deduplicated_keeps_one_of_each_group(spark, edge, empty):
     pairs = data.texts()
     want = brute.near_duplicates(pairs, 5)
