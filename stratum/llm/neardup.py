@@ -63,7 +63,8 @@ MARGIN = 0.21
 RARE = 16
 #: kinds of shingles by which the common ones of two sets are bounded
 KINDS = 32
-#: rows with a set, or compared by their sets, that are worth a task
+#: rows with a text or set that are worth a task; a step that looks up sets reads
+#: those of all nodes, however few its pairs are
 SET_ROWS = 4096
 #: sets below this size are bounded by 16 bits of each hash, others by 32
 SHORT = 2048
@@ -295,7 +296,6 @@ def _named(df: DataFrame, components_: DataFrame, c: str) -> DataFrame:
 
 def _merge(joined: DataFrame, found: DataFrame, rows: int) -> DataFrame:
     """(node, component) after the further links ``found`` (a, b), at most ``rows``."""
-    found = few_files(found, rows, SET_ROWS)
     links_ = _named(_named(found, joined, "a"), joined, "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
     roots = stored(components(links_, rows), "components")
     if roots.isEmpty():
@@ -305,7 +305,8 @@ def _merge(joined: DataFrame, found: DataFrame, rows: int) -> DataFrame:
     return stored(named.unionByName(roots.join(joined, "node", "left_anti")), "components")
 
 
-def links(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, n_nodes: int, n_rows: int, shingle: int, id_col: str,
+          text_col: str) -> DataFrame:
     """(node, component) of the nodes that have a link."""
     n_bands = n_nodes * BANDS
     bands = nodes.filter("n_shingles > 0").select("node", F.explode(_keys()).alias("bucket"))
@@ -326,15 +327,15 @@ def links(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle: int, id_col:
     best, n_best = counted(few_files(best, n_star), "best")
     # whose sets may be asked for: members of pairs, and of buckets with more than a pair
     wanted = star.select(F.explode(F.array("a", "b")).alias("node")).unionByName(bands.filter("mates > 2").select("node"))
-    sets = few_files(_sets_of(docs, nodes, wanted.distinct(), shingle, id_col, text_col), n_nodes, SET_ROWS)
+    sets = few_files(_sets_of(docs, nodes, wanted.distinct(), shingle, id_col, text_col), n_rows, SET_ROWS)
     sets = stored(sets, "sets")
     bounds = stored(_bounds(sets), "bounds")
-    linked = few_files(_reaching(best, sets, nodes, False), n_best, SET_ROWS)
+    linked = few_files(_reaching(best, sets, nodes, False), n_nodes + n_best, SET_ROWS)
     joined = stored(components(linked, n_best), "components")
     rest = _named(_named(star.join(best, ["a", "b"], "left_anti"), joined, "a"), joined, "b").filter("c_a != c_b")
     rest, n_rest = counted(few_files(rest.select("a", "b"), n_star), "pairs")
-    rest, n_rest = counted(few_files(_reaching(rest, bounds, nodes, True), n_rest, SET_ROWS), "pairs")
-    joined = _merge(joined, _reaching(rest, sets, nodes, False), n_rest)
+    rest, n_rest = counted(few_files(_reaching(rest, bounds, nodes, True), n_nodes + n_rest, SET_ROWS), "pairs")
+    joined = _merge(joined, few_files(_reaching(rest, sets, nodes, False), n_nodes + n_rest, SET_ROWS), n_rest)
 
     # bucket mates that are still apart, and not by a hub pair alone
     mates = _named(bands.filter("mates > 2").select("bucket", "node"), joined, "node")
@@ -342,11 +343,12 @@ def links(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle: int, id_col:
         F.max(F.struct("n", "c_node")).alias("largest"), F.count("*").alias("parts"))
     apart = mates.join(parts.filter("parts > 1").select("bucket", F.col("largest.c_node").alias("place")), "bucket")
     apart, n_apart = counted(few_files(apart.select("place", "node", "c_node").distinct(), n_bands), "apart")
-    pairs, n_pairs = counted(_neighbours(apart, n_apart, sets, bounds, nodes), "pairs")
-    return _merge(joined, _reaching(pairs, sets, nodes, False), n_pairs)
+    pairs, n_pairs = counted(_neighbours(apart, n_apart, sets, bounds, nodes, n_nodes), "pairs")
+    return _merge(joined, few_files(_reaching(pairs, sets, nodes, False), n_nodes + n_pairs, SET_ROWS), n_pairs)
 
 
-def _neighbours(apart: DataFrame, n_apart: int, sets: DataFrame, bounds: DataFrame, nodes: DataFrame) -> DataFrame:
+def _neighbours(apart: DataFrame, n_apart: int, sets: DataFrame, bounds: DataFrame, nodes: DataFrame,
+                n_nodes: int) -> DataFrame:
     """Pairs (a, b) of bucket mates in different components that may be linked.
 
     ``apart``: (place, node, c_node); ``place`` is the neighbourhood and the
@@ -368,7 +370,7 @@ def _neighbours(apart: DataFrame, n_apart: int, sets: DataFrame, bounds: DataFra
         F.array([F.count(F.when(wide & (F.col("kind") == k), 1)) for k in range(KINDS)]).alias("kinds"))
     member = (apart.join(common, ["place", "node"], "left").withColumn("common", F.coalesce("common", F.lit(0)))
               .join(nodes.select("node", F.col("n_shingles").alias("n")), "node"))
-    member = stored(few_files(member, n_apart), "members")
+    member = stored(few_files(member, n_nodes + n_apart, SET_ROWS), "members")
 
     def two_sides(x: DataFrame, y: DataFrame, on: list[str], condition: F.Column) -> DataFrame:
         x, y = (df.select([F.col(c).alias(f"{s}_{c}") for c in df.columns]) for df, s in ((x, "x"), (y, "y")))
@@ -391,8 +393,8 @@ def _neighbours(apart: DataFrame, n_apart: int, sets: DataFrame, bounds: DataFra
     held = stored(held, "rare")
     by_rare = two_sides(held, held, ["place", "shingle"], sizes & (F.col("y_node") < F.col("x_node")))
     pairs, n = counted(by_common.unionByName(by_rare).distinct(), "pairs")
-    pairs, n = counted(few_files(_estimated(pairs, nodes, mates=False), n), "pairs")
-    return few_files(_reaching(pairs, bounds, nodes, True), n, SET_ROWS)
+    pairs, n = counted(few_files(_estimated(pairs, nodes, mates=False), n_nodes + n), "pairs")
+    return few_files(_reaching(pairs, bounds, nodes, True), n_nodes + n, SET_ROWS)
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -407,13 +409,13 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int,
 def grouped(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, text_key, row, n_shingles, component (a
     long naming the group), component_id (smallest doc_id in the group)."""
-    rows = stored(sketched(docs, shingle, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    rows, n_rows = counted(sketched(docs, shingle, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sketches")
     nodes = rows.groupBy("f0", "f1", "n_shingles").agg(
         F.min(F.struct("row", "doc_id", "text_key", "registers")).alias("r"), F.min("doc_id").alias("min_id"))
     nodes, n_nodes = counted(nodes.select(F.col("r.row").alias("node"), "f0", "f1", "n_shingles", F.col("r.doc_id").alias("first_id"),
                                 F.col("r.text_key").alias("text_key"), F.col("r.registers").alias("registers"), "min_id"),
                    "nodes")
-    linked = stored(links(docs, nodes, n_nodes, shingle, id_col, text_col), "linked")
+    linked = stored(links(docs, nodes, n_nodes, n_rows, shingle, id_col, text_col), "linked")
     named = (nodes.select("node", "f0", "f1", "n_shingles", "min_id").join(linked, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     ids = named.groupBy("component").agg(F.min("min_id").alias("component_id"))

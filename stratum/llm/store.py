@@ -31,10 +31,10 @@ FILE_ROWS = 1 << 16
 
 
 def few_files(df: DataFrame, rows: int, file_rows: int = FILE_ROWS) -> DataFrame:
-    """``df``, known to have at most ``rows`` rows, in no more partitions than
-    ``file_rows`` a partition call for, or than the session has cores: a small
-    table in many files takes longer to write and to read again than its rows do.
-    Never makes more partitions; a large table keeps those it has."""
+    """``df``, whose last step reads and makes at most ``rows`` rows, in no more
+    partitions than ``file_rows`` a partition call for, or than the session has
+    cores: a small table in many files takes longer to write and to read again than
+    its rows do.  Never makes more partitions; a large table keeps those it has."""
     return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // file_rows)))
 
 
