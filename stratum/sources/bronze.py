@@ -156,11 +156,12 @@ def write_raw(rows: DataFrame, path: str, keys: DataFrame | None = None, writer:
     number, start = reserve_ids(spark, path, sum(r.n for r in held), batches, writer)
     try:
         there = read_bronze(spark, path).where(F.col("batch_id").isin(batches)).select("batch_id", "page")
-        twice = there.join(keys, ["batch_id", "page"], "left_semi").first()
+        # no broadcast: a row a page, which looks small where the keys come from Parquet
+        twice = there.join(keys.hint("merge"), ["batch_id", "page"], "left_semi").first()
         if twice is not None:
             raise Conflict(f"another writer has loaded batch {twice.batch_id}, page {twice.page} in the meantime")
         ids = numbered.withColumn("id", F.col("id") + F.lit(start - 1))
-        new = constrained(rows).join(ids, ["batch_id", "page"]).withColumn("loaded_at", F.current_timestamp())
+        new = constrained(rows).join(ids.hint("merge"), ["batch_id", "page"]).withColumn("loaded_at", F.current_timestamp())
         obs = Observation()
         out = new.select(*[f.name for f in S.BRONZE.fields]).observe(obs, F.count(F.lit(1)).alias("n"))
         out.write.mode("append").partitionBy("batch_id").parquet(path)

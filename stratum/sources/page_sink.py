@@ -16,6 +16,7 @@ be importable in the Python workers.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections import Counter
@@ -44,6 +45,14 @@ def _exists(files: pafs.FileSystem, path: str) -> bool:
     return files.get_file_info(path).type != pafs.FileType.NotFound
 
 
+def _entries(files: pafs.FileSystem, path: str) -> int:
+    """Files in a folder; ``FileSelector`` holds them all, so a local folder is walked."""
+    if not isinstance(files, pafs.LocalFileSystem):
+        return len(files.get_file_info(pafs.FileSelector(path)))
+    with os.scandir(path) as entries:
+        return sum(1 for _ in entries)
+
+
 @dataclass
 class PagesWritten(WriterCommitMessage):
     """Rows a task has written, by batch."""
@@ -88,7 +97,7 @@ class PageFileWriter(DataSourceWriter):
         for message in messages:
             rows.update(message.rows if message else {})
         for batch, n in sorted(rows.items()):
-            there = len(files.get_file_info(pafs.FileSelector(f"{staging}/batch_{batch}")))
+            there = _entries(files, f"{staging}/batch_{batch}")
             if there != n:
                 raise ValueError(f"batch {batch}: {n} rows but {there} page files; a page is there twice")
             if not self.overwrite and _exists(files, f"{root}/batch_{batch}"):

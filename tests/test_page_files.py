@@ -243,3 +243,68 @@ def test_small_files_are_read_many_to_a_task(spark, tmp_root, monkeypatch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     assert tasks == [16]  # four a core
     assert sorted((r.batch_id, r.page) for r in B.read_bronze(spark, raw).collect()) == [(1, p) for p in range(1, 61)]
+
+
+def _odd_folder(src):
+    """Batch 1 with names and texts out of the common."""
+    folder = write_batch(src, 1, {1: [rec(1)], 2: [rec(2)]})
+    texts = {"page_3.json": b"", "page_4.json": b"\xef\xbb\xbf{}", "page_5.json": b"no json \xff\xfe\n", "page_6.json": "{\"a\": \"ü\U0001f600\"}".encode(),
+             "page_x.json": b"{}", "_page_7.json": b"{}", ".page_8.json": b"{}", "page_9.txt": b"{}", "page_10 %20#.json": b"{}",
+             "page_11.json._COPYING_": b"{}", "deep er/page_12.json": b"{}", "_hidden/page_13.json": b"{}", "_k=1/page_14.json": b"{}", ".d/page_15.json": b"{}",
+             "_metadata/page_17.json": b"{}", "_metadata_x": b"{}"}
+    for name, text in texts.items():
+        os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
+        with open(os.path.join(folder, name), "wb") as f:
+            f.write(text)
+    os.symlink(os.path.join(folder, "page_1.json"), os.path.join(folder, "page_16.json"))
+    os.makedirs(os.path.join(folder, "page_18.json"))  # a folder
+    return folder
+
+
+def test_executors_list_and_read_as_sparks_readers_do(spark, tmp_root, monkeypatch):
+    src = os.path.join(tmp_root, "im port")
+    folder = _odd_folder(src)
+    write_batch(src, 2, {1: [rec(3)]})
+    paths = [f"{src}/batch_2", f"file:{folder}/page_1.json", f"{folder}/page_5.json"]
+
+    def found():
+        listed = sorted(map(tuple, L.list_files(spark, src, ["batch_1", "batch_2"]).collect()), key=str)
+        read = [sorted(map(tuple, L.read_files(spark, p).select("batch_id", "page", F.hex("raw_json")).collect()), key=str)
+                for p in ([f"{src}/batch_1"], paths)]
+        return listed, read
+
+    by_executors = found()
+    monkeypatch.setattr(L, "_local", lambda *_: None)
+    assert by_executors == found()
+    assert len(by_executors[0]) == 12 and [len(r) for r in by_executors[1]] == [11, 3]
+
+
+def test_the_driver_holds_no_row_a_file(spark, tmp_root, monkeypatch):
+    src, raw = os.path.join(tmp_root, "import"), os.path.join(tmp_root, "raw")
+    inputs, joins, frame = [], [], type(spark.range(0))
+    for name in ("list_files", "read_files"):
+        monkeypatch.setattr(L, name, lambda *a, plain=getattr(L, name): inputs.append((df := plain(*a)).inputFiles()) or df)
+
+    def join(self, other, on=None, how=None, plain=frame.join):
+        df = plain(self, other, on, how)
+        if on in (["batch_id", "page"], "path"):
+            plan = df._jdf.queryExecution().sparkPlan().toString()
+            joins.append(next(line.split("[")[0].strip("+- ") for line in plan.splitlines() if "Join" in line))
+        return df
+
+    monkeypatch.setattr(frame, "join", join)
+    for b in (1, 2):
+        write_batch(src, b, {p: [rec(p)] for p in range(1, 21)})
+        assert L.load_new_files(spark, src, raw) == 20
+    assert inputs == [[]] * 4  # files that the driver has listed
+    assert len(joins) == 8 and {j.split()[0] for j in joins} == {"SortMergeJoin"}
+
+
+def test_a_commit_walks_the_files_of_a_batch(tmp_root, monkeypatch):
+    from pyspark.sql import Row
+    from stratum.sources import page_sink
+    writer = page_sink.PageFileWriter(f"{tmp_root}/import", False)
+    message = writer.write(iter([Row(batch_id=1, page=p, raw_json="x") for p in range(5)]))
+    monkeypatch.setattr(page_sink.pafs, "FileSelector", lambda *_: pytest.fail("a list of all files"))
+    writer.commit([message])
+    assert len(_tree(f"{tmp_root}/import")) == 5
